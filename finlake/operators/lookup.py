@@ -100,25 +100,49 @@ def _row_width(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts).cast("long")
 
 
-def key_stats(df: DataFrame, keys: list[str]) -> SideStats:
-    """One job: rows, distinct keys, largest key group, approximate bytes.
-    Null is a key value like any other. Remembered on the DataFrame object,
-    so a dimension used by many lookups is measured once."""
-    memo = df.__dict__.setdefault("_finlake_key_stats", {})
-    if tuple(keys) in memo:
-        return memo[tuple(keys)]
+def _memo(df: DataFrame) -> dict:
+    return df.__dict__.setdefault("_finlake_key_stats", {})
+
+
+def _stats_plan(df: DataFrame, keys: list[str], tag: int) -> DataFrame:
     per_key = df.groupBy(*[col(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(_row_width(df)).alias("__w")
     )
-    r = per_key.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.max("__n"), F.lit(0)).alias("mx"),
-        F.coalesce(F.sum("__w"), F.lit(0)).alias("bytes"),
-    ).collect()[0]
-    stats = SideStats(int(r["rows"]), int(r["keys"]), int(r["mx"]), int(r["bytes"]))
-    memo[tuple(keys)] = stats
-    return stats
+    return per_key.agg(
+        F.lit(tag).alias("tag"),
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
+        F.count(F.lit(1)).cast("long").alias("keys"),
+        F.coalesce(F.max("__n"), F.lit(0)).cast("long").alias("mx"),
+        F.coalesce(F.sum("__w"), F.lit(0)).cast("long").alias("bytes"),
+    )
+
+
+def prefetch_key_stats(items: list[tuple[DataFrame, list[str]]]) -> None:
+    """Measure several (frame, keys) pairs in one job: the per-frame
+    aggregates are unioned, so their stages run side by side."""
+    todo = []
+    for df, keys in items:
+        ks = tuple(_as_list(keys))
+        if ks not in _memo(df) and all(k in df.columns for k in ks):
+            todo.append((df, ks))
+    if not todo:
+        return
+    plans = [_stats_plan(df, list(ks), i) for i, (df, ks) in enumerate(todo)]
+    rows = reduce(lambda a, b: a.unionByName(b), plans).collect()
+    for r in rows:
+        df, ks = todo[r["tag"]]
+        _memo(df)[ks] = SideStats(r["rows"], r["keys"], r["mx"], r["bytes"])
+
+
+def key_stats(df: DataFrame, keys: list[str]) -> SideStats:
+    """Rows, distinct keys, largest key group and approximate bytes of
+    ``df`` grouped on ``keys`` (null is a key value like any other), in one
+    job. Remembered on the DataFrame object, so a dimension used by many
+    lookups is measured once."""
+    ks = tuple(_as_list(keys))
+    if ks not in _memo(df):
+        prefetch_key_stats([(df, list(ks))])
+    return _memo(df)[ks]
 
 
 def duplicate_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
@@ -135,6 +159,9 @@ def duplicate_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
 def assert_unique(df: DataFrame, keys: str | list[str], side: str = "right", sample: int = 5) -> None:
     """Raise MergeError with sample keys if ``keys`` is not unique in ``df``."""
     ks = _as_list(keys)
+    known = _memo(df).get(tuple(ks))
+    if known is not None and known.max_per_key <= 1:
+        return
     dups = duplicate_keys(df, ks).limit(sample).collect()
     if dups:
         shown = ", ".join(str(tuple(r[k] for k in ks)) for r in dups)
@@ -216,7 +243,7 @@ def lookup_join(
 
     left_unique, right_unique = VALIDATIONS[validate]
     if left_unique:
-        assert_unique(left_r, lk, side="left")
+        assert_unique(left, lkeys, side="left")
 
     rstats: SideStats | None = None
     if right_unique or strategy == "auto":

@@ -12,7 +12,7 @@ from finlake.functions.columns import col, first_char
 from finlake.operators.filldown import fill_down
 from finlake.operators.frames import ordered_columns, rename_columns
 from finlake.operators.hierarchy import hierarchy_paths, widen_levels
-from finlake.operators.lookup import lookup_join
+from finlake.operators.lookup import lookup_join, prefetch_key_stats
 
 ORDINAL = "Source Row"  # file order of ordered dimension files
 
@@ -152,8 +152,18 @@ class GoldDims:
 def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
     """The five lookups of the gold rules. Each is a dimension (bounded by the
     reference data, not by the facts); it is cached so that its one
-    validation job and every lookup against it share one computation."""
-    return GoldDims(
+    validation job and every lookup against it share one computation. All
+    cardinality checks of one stage run as one job."""
+    prefetch_key_stats(
+        [
+            (lookups["wbs_codification"], ["WBS Type Char"]),
+            (lookups["gl_accounts"], ["G/L Account"]),
+            (lookups["gl_accounts_to_compass"], ["G/L Account"]),
+            (lookups["node_to_compass"], ["Standard Hierarchy Node"]),
+            (lookups["signatures"], ["Signature Code"]),
+        ]
+    )
+    dims = GoldDims(
         wbs_enhanced=enhance_wbs_elements(lookups["wbs_elements"], lookups["wbs_codification"]).cache(),
         gl_to_compass=link_gl_to_compass(lookups["gl_accounts"], lookups["gl_accounts_to_compass"]).cache(),
         cost_center_to_compass=link_cost_center_to_compass(
@@ -164,6 +174,16 @@ def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
             lookups["profit_centers"], lookups["signatures"]
         ).cache(),
     )
+    prefetch_key_stats(
+        [
+            (dims.wbs_enhanced, ["WBS Element Code"]),
+            (dims.gl_to_compass, ["G/L Account"]),
+            (dims.cost_center_to_compass, ["Cost Center Code"]),
+            (dims.compass_codes, ["Compass Code"]),
+            (dims.profit_centers_to_signatures, ["Profit Center Code"]),
+        ]
+    )
+    return dims
 
 
 # ---------------------------------------------------------------------------

@@ -256,7 +256,7 @@ def forecast_bronze(events: DataFrame) -> DataFrame:
         _when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("CODE (L2)"),
         F.lit("wbs").alias("CODE DESCRIPTION (L2)"),
         _when(F.col("event_id") % 3 != 0, F.col("event_id") % 5).alias("P&L LINE COMPASS CODE_FS"),
-        _when(F.col("event_id") % 2 != 0, (F.col("value").cast("bigint") % 50)).alias("P&L DESTINATION ACCOUNT"),
+        _when(F.col("event_id") % 2 != 0, (F.floor("value").cast("bigint") % 50)).alias("P&L DESTINATION ACCOUNT"),
         forecast_source_file(F.col("event_id")).alias("source_file"),
     )
     fp = period_digits("PERIOD")

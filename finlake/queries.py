@@ -75,9 +75,9 @@ pcs as (select c.c_custkey pc, c.c_mktsegment division, c.c_nationkey sig_code,
 """
 
 
-def _sql_ledger_fact(lo: str, hi: str) -> str:
+def _sql_ledger_fact(lo: str, hi: str, name: str = "fact") -> str:
     return f"""
-fact as (select l_orderkey, l_linenumber, l_partkey,
+{name} as (select l_orderkey, l_linenumber, l_partkey,
     cast(l_extendedprice as decimal(18,2)) amount,
     case when l_linenumber%3=0 then null else l_partkey end wbs_code,
     case when l_linenumber%2=0 then l_suppkey end cc_code,
@@ -92,17 +92,17 @@ fact as (select l_orderkey, l_linenumber, l_partkey,
 """
 
 
-def _sql_ledger_gold(scenario: str, m_rule: bool) -> str:
+def _sql_ledger_gold(scenario: str, m_rule: bool, fact: str = "fact", p: str = "") -> str:
     m = "coalesce(type_char='M',false)" if m_rule else "false"
     return f"""
-a as (select f.l_orderkey, f.l_linenumber, f.l_partkey, -f.amount amount, f.wbs_code, f.cc_code,
+{p}a as (select f.l_orderkey, f.l_linenumber, f.l_partkey, -f.amount amount, f.wbs_code, f.cc_code,
     f.partner_cc, f.product_code, f.gl native_gl, coalesce(w.wbs_gl,f.gl) gl,
     coalesce(w.wbs_pc,f.pc) pc, w.type_char, w.wbs_type, w.parent_code, f.fy, f.fp
-  from fact f left join wbs w on f.wbs_code is not distinct from w.wbs_code),
-b as (select a.*, coalesce(cc.compass_cc, glc.gl_compass) compass, coalesce(a.pc,cc.cc_pc) pc2
-  from a left join glc on a.gl is not distinct from glc.gl
+  from {fact} f left join wbs w on f.wbs_code is not distinct from w.wbs_code),
+{p}b as (select a.*, coalesce(cc.compass_cc, glc.gl_compass) compass, coalesce(a.pc,cc.cc_pc) pc2
+  from {p}a a left join glc on a.gl is not distinct from glc.gl
          left join cc on a.cc_code is not distinct from cc.cc_code),
-g as (select b.l_orderkey, b.l_linenumber, b.l_partkey, '{scenario}' scenario, b.amount, b.native_gl, b.gl,
+{p}g as (select b.l_orderkey, b.l_linenumber, b.l_partkey, '{scenario}' scenario, b.amount, b.native_gl, b.gl,
   cast(b.compass as bigint) compass, comp.pl_text, b.pc2 pc, pcs.division, pcs.sig_desc,
   b.wbs_type, b.parent_code,
   case when wbs_code is not null and not {m} then 'WBS'
@@ -110,7 +110,7 @@ g as (select b.l_orderkey, b.l_linenumber, b.l_partkey, '{scenario}' scenario, b
        when (wbs_code is null or {m}) and product_code is not null then 'NO WBS'
        else 'FINANCE' end fiscal_type,
   b.fy as yr, b.fp as mon
-from b left join comp on b.compass is not distinct from comp.compass
+from {p}b b left join comp on b.compass is not distinct from comp.compass
        left join pcs on b.pc2 is not distinct from pcs.pc
 where b.fp<>0)
 """
@@ -537,3 +537,233 @@ def q_chart_of_accounts(spark: SparkSession, sf: str) -> DataFrame:
         "Level": "level",
     }
     return chart.select(*[col(c).alias(names.get(c, c.lower().replace(" ", "_"))) for c in chart.columns])
+
+
+SQL_COMMIT_WBS = """
+cw as (select o_orderkey, cast(o_totalprice as decimal(18,2)) amount,
+   case when o_orderkey % 7 <> 0 then o_custkey end wbs_code,
+   cast(o_orderkey % 50 + 1 as bigint) gl,
+   case when o_orderstatus = 'P' then 'not a date' else strftime(o_orderdate, '%m/%d/%Y') end posting_text,
+   cast(extract(year from o_orderdate) as bigint) fy, cast(extract(month from o_orderdate) as bigint) fp
+ from orders),
+cwa as (select c.o_orderkey, 'Committed' scenario, c.amount, c.gl native_gl, coalesce(w.wbs_gl, c.gl) gl,
+    w.wbs_pc pc, w.wbs_type, w.parent_code, 'WBS' fiscal_type,
+    try_strptime(c.posting_text, '%m/%d/%Y') posting_date, c.fy yr, c.fp mon
+  from cw c left join wbs w on c.wbs_code is not distinct from w.wbs_code),
+cwg as (select g.*, cast(glc.gl_compass as bigint) compass, comp.pl_text, pcs.division, pcs.sig_desc
+  from cwa g left join glc on g.gl is not distinct from glc.gl
+   left join pcs on g.pc is not distinct from pcs.pc
+   left join comp on glc.gl_compass is not distinct from comp.compass
+  where g.mon <> 0)
+"""
+
+SQL_COMMIT_CC = """
+ccf as (select o_orderkey, cast(o_totalprice as decimal(18,2)) amount,
+   case when o_orderkey % 3 <> 0 then o_custkey % 100 end cc_code,
+   cast(o_orderkey % 50 + 1 as bigint) gl,
+   case when o_orderpriority = '5-LOW' then null else strftime(o_orderdate, '%-m/%-d/%Y') end delivery_text,
+   cast(extract(year from o_orderdate) as bigint) fy, cast(extract(month from o_orderdate) as bigint) fp
+ from orders),
+ccg as (select f.o_orderkey, 'Committed' scenario, f.amount, f.gl,
+   cast(coalesce(cc.compass_cc, glc.gl_compass) as bigint) compass, comp.pl_text, cc.cc_pc pc,
+   pcs.division, pcs.sig_desc, 'COST CENTER' fiscal_type,
+   try_strptime(f.delivery_text, '%m/%d/%Y') delivery_date, f.fy yr, f.fp mon
+  from ccf f left join glc on f.gl is not distinct from glc.gl
+   left join cc on f.cc_code is not distinct from cc.cc_code
+   left join pcs on cc.cc_pc is not distinct from pcs.pc
+   left join comp on coalesce(cc.compass_cc, glc.gl_compass) is not distinct from comp.compass
+  where f.fp <> 0)
+"""
+
+
+def _sql_forecast(lo: str, hi: str) -> str:
+    return f"""
+ev2 as (select event_id, cast(json_extract_string(props, '$.k') as bigint) k, event_type, user_id, value from events),
+fb as (select event_id,
+   cast(2023 + k % 2 as bigint) yr,
+   case when event_type = 'error' then 'TOTAL' when event_type = 'signup' then 'TOTAL_B'
+        when event_id % 17 = 0 then null
+        else 'M' || lpad(cast(k % 13 as varchar), 2, '0') || '_T' end period,
+   event_type spend_type,
+   cast(value as decimal(18,2)) amount,
+   case when event_id % 4 <> 0 then user_id % 100 end code1,
+   case when event_id % 6 <> 0 then 'cc-' || event_type end code1_desc,
+   case when event_id % 5 <> 0 then user_id end code2,
+   'wbs' code2_desc,
+   case when event_id % 3 <> 0 then event_id % 5 end compass_native,
+   case when event_id % 2 <> 0 then cast(floor(value) as bigint) % 50 end gl_native,
+   case event_id % 4 when 0 then 'fc_LE_2024.csv' when 1 then 'fc_prebud_2024.csv' when 2 then 'fc_bud_2024.csv'
+     else ['fc_T03_2024.csv', 'fc_T05_2024.csv', 'fc_T09_2024.csv', 'fc_t03_2024.csv'][(event_id // 4) % 4 + 1]
+   end source_file
+  from ev2),
+fc as (select *, coalesce(try_cast(nullif(regexp_extract(period, '(\\d+)', 1), '') as bigint), 0) fp from fb),
+fcd as (select *, case when fp <> 0 then make_timestamp(yr, fp, 1, 0, 0, 0) end pdate from fc),
+routed as (select *,
+   case when contains(lower(source_file), '_le_') then 'Live Estimate'
+        when contains(lower(source_file), '_prebud_') then 'Pre-Budget'
+        when contains(lower(source_file), '_bud_') then 'Budget'
+        when contains(source_file, 'T03') then 'Trend 3'
+        when contains(source_file, 'T05') then 'Trend 5'
+        when contains(source_file, 'T09') then 'Trend 9' end scenario
+  from fcd
+  where period not in ('TOTAL', 'TOTAL_B', 'TOTAL_T')
+    and pdate >= timestamp '{lo}' and pdate < timestamp '{hi}'),
+fcg as (select r.event_id, r.scenario, -r.amount amount, coalesce(r.gl_native, w.wbs_gl) gl,
+   cast(coalesce(cc.cc_pc, w.wbs_pc) as varchar) pc,
+   cast(coalesce(r.compass_native, cc.compass_cc) as varchar) compass,
+   cast(r.code1 as varchar) || r.code1_desc code1_concat,
+   cast(r.code2 as varchar) || r.code2_desc code2_concat,
+   w.wbs_pc, r.spend_type fiscal_type, r.yr, r.fp mon
+ from routed r left join cc on r.code1 is not distinct from cc.cc_code
+   left join wbs w on r.code2 is not distinct from w.wbs_code
+ where r.fp <> 0)
+"""
+
+
+@query("gold_commit_wbs", "with " + SQL_DIMS + "," + SQL_COMMIT_WBS + " select * from cwg")
+def q_gold_commit_wbs(spark: SparkSession, sf: str) -> DataFrame:
+    dims = dt.gold_dims(spark, sf)
+    g = assemble_gold(dims, commit_wbs=dt.commit_wbs_feed(dt.table(spark, sf, "orders")))
+    return g.filter(col("Month") != 0).select(
+        "o_orderkey",
+        col("Scenario").alias("scenario"),
+        col(AMOUNT).alias("amount"),
+        col("Native G/L Account").alias("native_gl"),
+        col("G/L Account").alias("gl"),
+        col("Profit Center Code").alias("pc"),
+        col("WBS Type").alias("wbs_type"),
+        col("WBS Parent Code").alias("parent_code"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col("Posting Date").alias("posting_date"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+        col("Compass Code").cast("bigint").alias("compass"),
+        col("P&L Line Text").alias("pl_text"),
+        col("Division").alias("division"),
+        col("Signature Description").alias("sig_desc"),
+    )
+
+
+@query("gold_commit_cc", "with " + SQL_DIMS + "," + SQL_COMMIT_CC + " select * from ccg")
+def q_gold_commit_cc(spark: SparkSession, sf: str) -> DataFrame:
+    dims = dt.gold_dims(spark, sf)
+    g = assemble_gold(dims, commit_cc=dt.commit_cc_feed(dt.table(spark, sf, "orders")))
+    return g.filter(col("Month") != 0).select(
+        "o_orderkey",
+        col("Scenario").alias("scenario"),
+        col(AMOUNT).alias("amount"),
+        col("G/L Account").alias("gl"),
+        col("Compass Code").cast("bigint").alias("compass"),
+        col("P&L Line Text").alias("pl_text"),
+        col("Profit Center Code").alias("pc"),
+        col("Division").alias("division"),
+        col("Signature Description").alias("sig_desc"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col("Delivery Date").alias("delivery_date"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+    )
+
+
+FORECAST_RANGE = ("2023-01-01", "2025-01-01")
+
+
+@query("gold_forecast", "with " + SQL_DIMS + "," + _sql_forecast(*FORECAST_RANGE) + " select * from fcg")
+def q_gold_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    dims = dt.gold_dims(spark, sf)
+    feeds = dt.forecast_feeds(dt.table(spark, sf, "events"))
+    g = assemble_gold(dims, forecasts=feeds, start="2023/01/01", end="2025/01/01")
+    return _forecast_columns(g)
+
+
+def _forecast_columns(g: DataFrame) -> DataFrame:
+    return g.filter(col("Month") != 0).select(
+        "event_id",
+        col("Scenario").alias("scenario"),
+        col(AMOUNT).alias("amount"),
+        col("G/L Account").alias("gl"),
+        col("Profit Center Code").alias("pc"),
+        col("Compass Code").alias("compass"),
+        col("Code 1 Concatenated").alias("code1_concat"),
+        col("Code 2 Concatenated").alias("code2_concat"),
+        col("WBS Profit Center Code").alias("wbs_pc"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+    )
+
+
+ALL_RANGE = ("1997-01-01", "2025-01-01")
+
+SQL_GOLD_ALL = (
+    "with "
+    + SQL_DIMS
+    + ","
+    + _sql_ledger_fact(*ALL_RANGE, name="fact")
+    + ","
+    + _sql_ledger_gold("Actuals", True, "fact", "act_")
+    + ","
+    + _sql_ledger_gold("Cost Center Details", False, "fact", "ccd_")
+    + ","
+    + SQL_COMMIT_WBS
+    + ","
+    + SQL_COMMIT_CC
+    + ","
+    + _sql_forecast(*ALL_RANGE)
+    + """
+select l_orderkey, l_linenumber, null::bigint o_orderkey, null::bigint event_id, scenario, fiscal_type, amount, gl,
+       cast(pc as varchar) pc, cast(compass as varchar) compass, pl_text, yr, mon from act_g
+union all
+select l_orderkey, l_linenumber, null, null, scenario, fiscal_type, amount, gl,
+       cast(pc as varchar), cast(compass as varchar), pl_text, yr, mon from ccd_g
+union all
+select null, null, o_orderkey, null, scenario, fiscal_type, amount, gl,
+       cast(pc as varchar), cast(compass as varchar), pl_text, yr, mon from cwg
+union all
+select null, null, o_orderkey, null, scenario, fiscal_type, amount, gl,
+       cast(pc as varchar), cast(compass as varchar), pl_text, yr, mon from ccg
+union all
+select null, null, null, event_id, scenario, fiscal_type, amount, gl,
+       pc, compass, null, yr, mon from fcg
+"""
+)
+
+
+def gold_all_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feed through its gold rule, unioned by name, with Year/Month."""
+    dims = dt.gold_dims(spark, sf)
+    lineitem = dt.table(spark, sf, "lineitem")
+    orders = dt.table(spark, sf, "orders")
+    return assemble_gold(
+        dims,
+        actuals=dt.ledger_feed(lineitem, *ALL_RANGE),
+        cc_details=dt.ledger_feed(lineitem, *ALL_RANGE),
+        commit_wbs=dt.commit_wbs_feed(orders),
+        commit_cc=dt.commit_cc_feed(orders),
+        forecasts=dt.forecast_feeds(dt.table(spark, sf, "events")),
+        start=ALL_RANGE[0].replace("-", "/"),
+        end=ALL_RANGE[1].replace("-", "/"),
+    )
+
+
+def _gold_all_columns(g: DataFrame) -> DataFrame:
+    return g.filter(col("Month") != 0).select(
+        "l_orderkey",
+        "l_linenumber",
+        "o_orderkey",
+        "event_id",
+        col("Scenario").alias("scenario"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col(AMOUNT).alias("amount"),
+        col("G/L Account").alias("gl"),
+        col("Profit Center Code").cast("string").alias("pc"),
+        col("Compass Code").cast("string").alias("compass"),
+        col("P&L Line Text").alias("pl_text"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+    )
+
+
+@query("gold_all", SQL_GOLD_ALL)
+def q_gold_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_all_columns(gold_all_frame(spark, sf))
