@@ -272,6 +272,39 @@ def forecast_feeds(events: DataFrame) -> dict[str, DataFrame]:
     return {f: b.filter(F.col("__feed") == f).drop("__feed") for f in feeds}
 
 
+def orders_extract(orders: DataFrame) -> DataFrame:
+    """Orders as a ledger CSV extract: every value as text, some integers
+    written as '7.0', empty cost centres and 'NA' item texts."""
+    month = F.month("o_orderdate").cast("string")
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("Purchasing Document"),
+        F.year("o_orderdate").cast("string").alias("Fiscal Year"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.concat(month, F.lit(".0"))).otherwise(month).alias("Period"),
+        F.col("o_totalprice").cast("string").alias("Amount in Company Code Currency"),
+        F.col("o_custkey").cast("string").alias("WBS Element"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise((F.col("o_custkey") % 100).cast("string")).alias("Cost Center"),
+        (F.col("o_orderkey") % 10).cast("string").alias("Reference Item"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("Posting Date"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_orderpriority")).alias(
+            "Journal Entry Item Text"
+        ),
+        F.col("o_orderstatus").alias("Order Status"),
+    )
+
+
+def write_csv(df: DataFrame, path: str, files: int = 4) -> None:
+    """Write text columns as header CSV files (quotes doubled), ``files``
+    part files per output folder."""
+    (
+        df.repartition(files)
+        .write.mode("overwrite")
+        .option("header", "true")
+        .option("escape", '"')
+        .option("encoding", "ISO-8859-1")
+        .csv(path)
+    )
+
+
 def hierarchy_nodes(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(statement items, parent links): regions under no parent, nations under
     their region, suppliers under their nation."""

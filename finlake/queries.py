@@ -27,7 +27,12 @@ from finlake.operators.lookup import duplicate_keys
 from finlake.plans import driver_tables as dt
 from finlake.plans.dims import chart_of_accounts, enhance_wbs_elements, fs_hierarchy
 from finlake.plans.gold import assemble_gold, exclude_totals
+from finlake.plans.ingest import import_files
+from finlake.plans.warehouse import Warehouse
+from finlake.session import scratch_path
+from finlake.sources.gold_sink import read_gold, write_gold
 from finlake.sources.ledger import new_files
+from finlake.streaming.ingest_stream import ingest_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -767,3 +772,86 @@ def _gold_all_columns(g: DataFrame) -> DataFrame:
 @query("gold_all", SQL_GOLD_ALL)
 def q_gold_all(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_all_columns(gold_all_frame(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Sinks and ingest round trips (files derived by Spark from the driver tables)
+# ---------------------------------------------------------------------------
+
+
+@query(
+    "gold_roundtrip",
+    "with " + SQL_DIMS + "," + _sql_ledger_fact("1998-01-01", "1999-01-01") + "," + _sql_ledger_gold("Actuals", True)
+    + "select * from g",
+)
+def q_gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """S14 + S15: gold actuals written partitioned by Year/Month, re-read."""
+    dims = dt.gold_dims(spark, sf)
+    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1998-01-01", "1999-01-01")
+    out = scratch_path(spark, "gold")
+    write_gold(assemble_gold(dims, actuals=feed, start="1998/01/01", end="1999/01/01"), out)
+    return _ledger_gold_columns(read_gold(spark, out))
+
+
+SQL_ORDERS_EXTRACT = """
+select o_orderkey, cast(extract(year from o_orderdate) as bigint) fiscal_year,
+  cast(extract(month from o_orderdate) as bigint) period, o_totalprice amount,
+  cast(o_custkey as varchar) wbs_element,
+  case when o_orderkey % 3 = 0 then null else cast(o_custkey % 100 as varchar) end cost_center,
+  o_orderkey % 10 reference_item, o_orderdate posting_date,
+  case when o_orderpriority = '5-LOW' then null else o_orderpriority end item_text,
+  o_orderstatus order_status,
+  make_timestamp(cast(extract(year from o_orderdate) as bigint), cast(extract(month from o_orderdate) as bigint), 1, 0, 0, 0)
+    partition_date
+from orders
+"""
+
+
+def _bronze_orders(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
+        col("Purchasing Document").cast("bigint").alias("o_orderkey"),
+        col("Fiscal Year").alias("fiscal_year"),
+        col("Period").alias("period"),
+        col("Amount in Company Code Currency").alias("amount"),
+        col("WBS Element").alias("wbs_element"),
+        col("Cost Center").alias("cost_center"),
+        col("Reference Item").alias("reference_item"),
+        col("Posting Date").alias("posting_date"),
+        col("Journal Entry Item Text").alias("item_text"),
+        col("Order Status").alias("order_status"),
+        col("PartitionDate").alias("partition_date"),
+    )
+
+
+def _orders_source(spark: SparkSession, sf: str) -> str:
+    """Orders written as CSV extracts in three folders (one per status)."""
+    src = scratch_path(spark, "extracts")
+    extract = dt.orders_extract(dt.table(spark, sf, "orders"))
+    for status in ("F", "O", "P"):
+        dt.write_csv(extract.filter(F.col("Order Status") == status), f"{src}/status_{status}")
+    return src
+
+
+@query("ingest_roundtrip", SQL_ORDERS_EXTRACT)
+def q_ingest_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """List, ledger anti-join, route, header-grouped typed CSV read,
+    partition date, strict dates, bronze write + ledger; then a second run
+    (which must load nothing) and the bronze table read back."""
+    src = _orders_source(spark, sf)
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    first = import_files(spark, wh, [src])
+    if first.rejected:
+        raise RuntimeError(f"unexpected rejections: {first.rejected[:3]}")
+    second = import_files(spark, wh, [src])
+    if second.ingested_count:
+        raise RuntimeError("second import loaded files again")
+    return _bronze_orders(wh.read_feed(spark, "actuals"))
+
+
+@query("stream_ingest", SQL_ORDERS_EXTRACT)
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same extracts through the file stream (availableNow)."""
+    src = _orders_source(spark, sf)
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    ingest_available(spark, wh, src, checkpoint=scratch_path(spark, "stream-checkpoint"))
+    return _bronze_orders(wh.read_feed(spark, "actuals"))

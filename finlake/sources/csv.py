@@ -171,10 +171,12 @@ def read_dim_csv(
     """One dimension file (UTF-8, header row, text unless typed). A bad
     typed value fails the read, as a broken dimension must not load. With
     ``ordinal`` the file order is kept as a distinct long column."""
-    groups = group_by_header(spark, [path], DIM_ENCODING)
-    if groups.rejected:
-        raise ValueError(f"{path}: {groups.rejected[0].reason}")
-    ((names, _),) = groups.groups.items()
+    headers = set(read_headers(spark, [path], DIM_ENCODING).values())
+    if len(headers) != 1:
+        raise ValueError(f"{path}: expected one header, found {len(headers)}")
+    names = tuple(next(csv.reader([headers.pop()])))
+    if len({n.lower() for n in names}) != len(names):
+        raise ValueError(f"{path}: duplicate column names in header {names}")
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))])
     raw = (
         spark.read.schema(schema)
@@ -185,8 +187,10 @@ def read_dim_csv(
         .csv(path)
     )
     if ordinal:
+        # File order: file path, then split offset, then row id in the split.
         raw = raw.select(
             "*",
+            F.col("_metadata.file_path").alias("__file"),
             F.col("_metadata.file_block_start").alias("__blk"),
             F.monotonically_increasing_id().alias("__rid"),
         )
@@ -208,6 +212,6 @@ def read_dim_csv(
     if ordinal:
         from finlake.operators.filldown import with_ordinal
 
-        staged = raw.select(*cols, "__blk", "__rid")
-        return with_ordinal(staged, ["__blk", "__rid"], name=ordinal).drop("__blk", "__rid")
+        staged = raw.select(*cols, "__file", "__blk", "__rid")
+        return with_ordinal(staged, ["__file", "__blk", "__rid"], name=ordinal).drop("__file", "__blk", "__rid")
     return raw.select(*cols)
