@@ -260,9 +260,11 @@ def lookup_join(
     if use_broadcast:
         joined = left_r.join(F.broadcast(right_r), cond, how)
     elif strategy == "auto" and how in ("inner", "left") and right_unique:
-        joined = _skew_split_join(left_r, right_r, lk, rk, cond, how)
+        joined = _skew_split_join(left_r, right_r.hint("merge"), lk, rk, cond, how)
     else:
-        joined = left_r.join(right_r, cond, how)
+        # Measured too large to broadcast (or not measured): a sort-merge
+        # join, which spills instead of failing.
+        joined = left_r.join(right_r.hint("merge"), cond, how)
 
     # Output columns: left (suffixed), then right without the shared keys.
     out: list[Column] = []

@@ -22,6 +22,7 @@ def _missing(exc: Exception) -> bool:
 @dataclass(frozen=True)
 class Warehouse:
     root: str
+    ledger: str | None = None  # ledger folder, default <root>/ledger
 
     def feed_path(self, feed: str) -> str:
         return f"{self.root.rstrip('/')}/bronze/{feed}"
@@ -31,7 +32,7 @@ class Warehouse:
 
     @property
     def ledger_path(self) -> str:
-        return f"{self.root.rstrip('/')}/ledger"
+        return self.ledger or f"{self.root.rstrip('/')}/ledger"
 
     @property
     def quarantine_path(self) -> str:
