@@ -91,13 +91,14 @@ _FIXED_WIDTH = {
 def _row_width(df: DataFrame) -> Column:
     """Approximate in-memory bytes of a row, computed per row: fixed widths
     for scalars, actual byte length for text, 64 for nested values."""
-    parts: list[Column] = [F.lit(16)]
+    fixed = 16
+    texts = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(col(f.name)), F.lit(0)) + F.lit(8))
+            texts.append("coalesce(octet_length(`" + f.name.replace("`", "``") + "`), 0) + 8")
         else:
-            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 64)))
-    return reduce(lambda a, b: a + b, parts).cast("long")
+            fixed += _FIXED_WIDTH.get(type(f.dataType), 64)
+    return F.expr(" + ".join([f"cast({fixed} as bigint)"] + texts))
 
 
 def _memo(df: DataFrame) -> dict:

@@ -146,8 +146,24 @@ def lookups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+_DIMS_CACHE: dict[tuple[int, str], GoldDims] = {}
+
+
 def gold_dims(spark: SparkSession, sf_dir: str) -> GoldDims:
-    return build_gold_dims(lookups(spark, sf_dir))
+    """Gold lookups of one table folder, built, validated and cached once per
+    session (they are reference data; the driver tables are read-only)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    dims = _DIMS_CACHE.get(key)
+    if dims is None or not _alive(dims):
+        dims = _DIMS_CACHE[key] = build_gold_dims(lookups(spark, sf_dir))
+    return dims
+
+
+def _alive(dims: GoldDims) -> bool:
+    try:
+        return dims.compass_codes.sparkSession.sparkContext._jsc is not None
+    except Exception:
+        return False
 
 
 # ---------------------------------------------------------------------------
