@@ -26,7 +26,9 @@ from finlake.operators.frames import cast_by_type, union_by_name
 from finlake.operators.lookup import duplicate_keys
 from finlake.plans import driver_tables as dt
 from finlake.plans.dims import chart_of_accounts, enhance_wbs_elements, fs_hierarchy
+from finlake.plans.driver_files import lineitem_extract, write_dimensions
 from finlake.plans.gold import assemble_gold, exclude_totals
+from finlake.plans.jobs import import_job, metadata_job, transform_job
 from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
 from finlake.session import scratch_path
@@ -855,3 +857,160 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     wh = Warehouse(scratch_path(spark, "warehouse"))
     ingest_available(spark, wh, src, checkpoint=scratch_path(spark, "stream-checkpoint"))
     return _bronze_orders(wh.read_feed(spark, "actuals"))
+
+
+# ---------------------------------------------------------------------------
+# End to end through files: metadata refresh -> import -> transform
+# ---------------------------------------------------------------------------
+
+SQL_FILE_DIMS = """
+wbs0 as (
+  select case when p_partkey = 0 then null else substr(p_type,1,1) || cast(p_partkey as varchar) end wbs_code,
+         p_name wbs_name,
+         case when p_size%5=1 then 1 else 2 end wbs_level,
+         cast(case when p_size%3=0 then null else p_size end as bigint) wbs_gl,
+         case when p_partkey%4=0 then null else cast(p_partkey%1500 as varchar) end wbs_pc,
+         p_partkey ord,
+         substr(case when p_partkey = 0 then null else substr(p_type,1,1) || cast(p_partkey as varchar) end, 1, 1)
+           type_char from part),
+cod as (select substr(p_type,1,1) type_char, min(p_type) wbs_type
+        from part where p_type<>'PROMO' group by 1),
+wbs as (select w.wbs_code, w.wbs_name, w.wbs_level, w.wbs_gl, w.wbs_pc, w.type_char, cod.wbs_type,
+    last_value(case when wbs_level=1 then wbs_code end ignore nulls) over
+      (order by ord rows between unbounded preceding and current row) parent_code
+  from wbs0 w left join cod on w.type_char is not distinct from cod.type_char),
+cc as (select cast(s.s_suppkey as varchar) cc_code, cast(s.s_suppkey%1500 as varchar) cc_pc,
+              cast(n.n_regionkey as varchar) compass_cc
+       from supplier s join nation n on s.s_nationkey=n.n_nationkey),
+comp as (select cast(r_regionkey as varchar) compass, r_name pl_text from region where r_regionkey<4),
+glc as (select cast(g.gl as bigint) gl, m.compass gl_compass
+        from (select distinct p_size gl from part) g
+        left join (select distinct p_size gl, cast(p_size%5 as varchar) compass from part where p_size<40) m on g.gl=m.gl),
+pcs as (select cast(c.c_custkey as varchar) pc, c.c_mktsegment division, n.n_name sig_desc
+        from customer c left join (select * from nation where n_nationkey<20) n on c.c_nationkey=n.n_nationkey),
+fact as (select l_orderkey, cast(l_linenumber as bigint) l_linenumber, l_partkey,
+    l_extendedprice amount,
+    case when l_linenumber%3=0 or l_partkey = 0 then null
+         else substr(p.p_type,1,1) || cast(l_partkey as varchar) end wbs_code,
+    case when l_linenumber%2=0 then cast(l_suppkey as varchar) end cc_code,
+    case when l_linenumber=5 then cast(l_suppkey as varchar) end partner_cc,
+    case when l_returnflag='R' then cast(l_partkey as varchar) end product_code,
+    cast(l_quantity as bigint) gl,
+    case when l_linenumber<4 then cast(l_orderkey%1500 as varchar) end pc,
+    cast(extract(year from l_shipdate) as bigint) fy,
+    cast(extract(month from l_shipdate) as bigint) fp
+  from lineitem left join part p on l_partkey = p.p_partkey
+  where l_shipdate >= timestamp '1998-01-01' and l_shipdate < timestamp '1999-01-01'),
+a as (select f.l_orderkey, f.l_linenumber, f.l_partkey, -f.amount amount, f.wbs_code, f.cc_code,
+    f.partner_cc, f.product_code, f.gl native_gl, coalesce(w.wbs_gl,f.gl) gl,
+    coalesce(w.wbs_pc,f.pc) pc, w.type_char, w.wbs_type, w.parent_code, f.fy, f.fp
+  from fact f left join wbs w on f.wbs_code is not distinct from w.wbs_code),
+b as (select a.*, coalesce(cc.compass_cc, glc.gl_compass) compass, coalesce(a.pc,cc.cc_pc) pc2
+  from a left join glc on a.gl is not distinct from glc.gl
+         left join cc on a.cc_code is not distinct from cc.cc_code)
+"""
+
+SQL_WAREHOUSE_GOLD = "with " + SQL_FILE_DIMS + """
+select b.l_orderkey, b.l_linenumber, b.l_partkey, 'Actuals' scenario, b.amount, b.native_gl, b.gl,
+  b.compass, comp.pl_text, b.pc2 pc, pcs.division, pcs.sig_desc, b.wbs_type, b.parent_code,
+  case when wbs_code is not null and not coalesce(type_char='M',false) then 'WBS'
+       when cc_code is not null or partner_cc is not null then 'COST CENTER'
+       when (wbs_code is null or coalesce(type_char='M',false)) and product_code is not null then 'NO WBS'
+       else 'FINANCE' end fiscal_type,
+  b.fy as yr, b.fp as mon
+from b left join comp on b.compass is not distinct from comp.compass
+       left join pcs on b.pc2 is not distinct from pcs.pc
+where b.fp<>0
+"""
+
+
+_FILE_WAREHOUSES: dict[tuple[int, str], tuple[Warehouse, str]] = {}
+
+
+def _file_warehouse(spark: SparkSession, sf: str) -> tuple[Warehouse, str]:
+    """Write dimension files and a ledger extract, then refresh the
+    dimensions and import the extract (once per session and folder)."""
+    key = (id(spark), sf.rstrip("/"))
+    if key not in _FILE_WAREHOUSES:
+        _FILE_WAREHOUSES[key] = _build_file_warehouse(spark, sf)
+    return _FILE_WAREHOUSES[key]
+
+
+def _build_file_warehouse(spark: SparkSession, sf: str) -> tuple[Warehouse, str]:
+    root = scratch_path(spark, "file-warehouse")
+    wh = Warehouse(f"{root}/warehouse")
+    write_dimensions(spark, sf, f"{root}/metadata")
+    dt.write_csv(lineitem_extract(spark, sf), f"{root}/extracts/ledger")
+    metadata_job(spark, wh, f"{root}/metadata")
+    report = import_job(spark, wh, [f"{root}/extracts"])
+    if report.rejected:
+        raise RuntimeError(f"unexpected rejections: {report.rejected[:3]}")
+    return wh, root
+
+
+@query("warehouse_gold", SQL_WAREHOUSE_GOLD)
+def q_warehouse_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """G1 through files: dimension CSVs (WBS file order kept across part
+    files) -> metadata job -> CSV import -> transform -> gold re-read."""
+    wh, root = _file_warehouse(spark, sf)
+    gold = transform_job(spark, wh, scratch_path(spark, "gold"), "1998/01/01", "1999/01/01")
+    return gold.select(
+        col("Purchasing Document").cast("bigint").alias("l_orderkey"),
+        col("Reference Item").alias("l_linenumber"),
+        col("Material Code").cast("bigint").alias("l_partkey"),
+        col("Scenario").alias("scenario"),
+        col(AMOUNT).alias("amount"),
+        col("Native G/L Account").alias("native_gl"),
+        col("G/L Account").alias("gl"),
+        col("Compass Code").alias("compass"),
+        col("P&L Line Text").alias("pl_text"),
+        col("Profit Center Code").alias("pc"),
+        col("Division").alias("division"),
+        col("Signature Description").alias("sig_desc"),
+        col("WBS Type").alias("wbs_type"),
+        col("WBS Parent Code").alias("parent_code"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+    )
+
+
+SQL_META_HIERARCHY = """
+with recursive items as (
+  select cast(r_regionkey as varchar) fsi, r_name text from region where r_regionkey < 4
+  union all
+  select 'N' || n_nationkey, case when n_nationkey % 7 = 3 then null else n_name end from nation where n_regionkey < 4),
+links as (
+  select cast(r_regionkey + 1 as bigint) id, cast(r_regionkey as varchar) fsi, cast(0 as bigint) parent
+  from region where r_regionkey < 4
+  union all
+  select cast(n_nationkey + 100 as bigint), 'N' || n_nationkey, cast(n_regionkey + 1 as bigint)
+  from nation where n_regionkey < 4),
+nodes as (select l.id, l.fsi, coalesce(i.text, l.fsi) as text, l.parent from links l join items i on l.fsi = i.fsi),
+walk as (
+  select id, parent as cur, text as path, 0 as lvl from nodes
+  union all
+  select w.id, p.parent, p.text || ' > ' || w.path, w.lvl + 1
+  from walk w join nodes p on p.id = w.cur where w.cur is not null and w.cur <> 0)
+select n.id, n.fsi, n.text, n.parent, w.path as hierarchy, cast(w.lvl as bigint) as level,
+  string_split(w.path, ' > ')[1] as level_0_text, string_split(w.path, ' > ')[2] as level_1_text
+from nodes n join walk w on w.id = n.id where w.cur is null or w.cur = 0
+"""
+
+
+@query("metadata_hierarchy", SQL_META_HIERARCHY)
+def q_metadata_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    """S5 + S12 + H1/H2: the statement hierarchy table the metadata job
+    built from the item and parent-link files, read back."""
+    wh, _ = _file_warehouse(spark, sf)
+    h = wh.read_meta(spark, "meta_fs_hierachy")
+    return h.select(
+        col("ID").alias("id"),
+        col("Financial Statement Item").alias("fsi"),
+        col("Text").alias("text"),
+        col("ID2").alias("parent"),
+        col("Hierarchy").alias("hierarchy"),
+        col("Level").alias("level"),
+        col("Level 0 Text").alias("level_0_text"),
+        col("Level 1 Text").alias("level_1_text"),
+    )

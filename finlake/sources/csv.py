@@ -161,22 +161,38 @@ def read_parquet_files(spark: SparkSession, paths: list[str], types: dict[str, T
     return df.select(*cols, F.col("source_file"), bad_any.alias("__bad"))
 
 
+def headers_under(spark: SparkSession, paths: list[str], encoding: str = DIM_ENCODING) -> dict[str, tuple[str, ...]]:
+    """Column names of each given file or folder (all part files of a
+    folder must share one header), from one distributed scan."""
+    found = {_norm(k): v for k, v in read_headers(spark, paths, encoding).items()}
+    out: dict[str, tuple[str, ...]] = {}
+    for p in paths:
+        base = _norm(p).rstrip("/")
+        lines = {h for f, h in found.items() if f == base or f.startswith(base + "/")}
+        if len(lines) != 1:
+            raise ValueError(f"{p}: expected one header, found {len(lines)}")
+        names = tuple(next(csv.reader([lines.pop()])))
+        if len({n.lower() for n in names}) != len(names):
+            raise ValueError(f"{p}: duplicate column names in header {names}")
+        out[p] = names
+    return out
+
+
 def read_dim_csv(
     spark: SparkSession,
     path: str,
     types: dict[str, T.DataType],
     columns: list[str] | None = None,
     ordinal: str | None = None,
+    names: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """One dimension file (UTF-8, header row, text unless typed). A bad
-    typed value fails the read, as a broken dimension must not load. With
-    ``ordinal`` the file order is kept as a distinct long column."""
-    headers = set(read_headers(spark, [path], DIM_ENCODING).values())
-    if len(headers) != 1:
-        raise ValueError(f"{path}: expected one header, found {len(headers)}")
-    names = tuple(next(csv.reader([headers.pop()])))
-    if len({n.lower() for n in names}) != len(names):
-        raise ValueError(f"{path}: duplicate column names in header {names}")
+    """One dimension file or folder of part files (UTF-8, header row,
+    text unless typed). A bad typed value fails the read, as a broken
+    dimension must not load. With ``ordinal`` the file order (file path,
+    then line) is kept as a distinct long column. ``names`` is the header
+    when already known."""
+    if names is None:
+        names = headers_under(spark, [path])[path]
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))])
     raw = (
         spark.read.schema(schema)
