@@ -21,6 +21,7 @@ import os
 from collections import defaultdict
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +102,17 @@ def ingest_frame(
     staged, bad_cols = with_date_columns(staged, names)
     staged = staged.withColumn("__bad", col("__bad") | bad_date | bad_cols)
     staged = staged.drop(*[c for c in staged.columns if c.startswith("__txt_")])
+    # Parsed once: kept (memory, spilling to disk) for the check and the write.
+    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _validate_and_write(spark, wh, feed, staged, paths, report)
+    finally:
+        staged.unpersist()
 
+
+def _validate_and_write(
+    spark: SparkSession, wh: Warehouse, feed: str, staged: DataFrame, paths: list[str], report: ImportReport
+) -> None:
     bad_files = [
         r["source_file"]
         for r in staged.filter(col("__bad")).select("source_file").distinct().collect()
@@ -122,7 +133,9 @@ def ingest_frame(
         return
 
     (
-        good.repartition(col("source_file"))
+        # rebalance: AQE splits a very large file's rows over several tasks
+        # and packs small files together, keeping rows of a file together.
+        good.hint("rebalance", "source_file")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_file")

@@ -39,11 +39,75 @@ class HeaderGroups:
     rejected: list[Rejected] = field(default_factory=list)
 
 
+HEADER_PROBE_BYTES = 1 << 16
+
+
+def _first_line_reader(encoding: str):
+    """Per-partition reader of the first line of each file (a few KB per
+    file), run inside Spark tasks. Paths it cannot open come back null and
+    are read by the scan fallback."""
+
+    def read(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            heads = []
+            for path in pdf["path"]:
+                try:
+                    if path.startswith("file:"):
+                        fs, inner = pafs.LocalFileSystem(), _norm(path)
+                    elif "://" in path:
+                        fs, inner = pafs.FileSystem.from_uri(path)
+                    else:
+                        fs, inner = pafs.LocalFileSystem(), path
+                    chunks = []
+                    with fs.open_input_stream(inner) as fh:
+                        while True:
+                            block = fh.read(HEADER_PROBE_BYTES)
+                            if not block:
+                                break
+                            chunks.append(block)
+                            if b"\n" in block:
+                                break
+                    data = b"".join(chunks)
+                    if not data.strip():
+                        heads.append("")
+                        continue
+                    heads.append(data.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding))
+                except Exception:
+                    heads.append(None)
+            yield pd.DataFrame({"path": pdf["path"], "header": heads})
+
+    return read
+
+
 def read_headers(spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING) -> dict[str, str]:
-    """First line of each file, from one distributed scan: the line with the
-    smallest row id within the file's first split."""
+    """First line of each file. Folders are expanded by Spark's file index;
+    each file's first line is read inside tasks (a few KB per file). Files
+    that cannot be opened that way fall back to a distributed scan."""
     if not paths:
         return {}
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(paths)
+        .select("path")
+    )
+    heads = listing.mapInPandas(_first_line_reader(encoding), "path string, header string").collect()
+    found = {r["path"]: r["header"] for r in heads if r["header"] is not None}
+    empty = [p for p, h in found.items() if h == ""]
+    for p in empty:
+        del found[p]
+    missing = [r["path"] for r in heads if r["header"] is None]
+    if missing:
+        found.update(_scan_headers(spark, missing, encoding))
+    return found
+
+
+def _scan_headers(spark: SparkSession, paths: list[str], encoding: str) -> dict[str, str]:
+    """Fallback: one distributed scan; the first line of a file is the line
+    with the smallest row id within the file's first split."""
     lines = (
         spark.read.option("sep", "\u0001")
         .option("quote", "\u0000")
@@ -83,7 +147,7 @@ def group_by_header(spark: SparkSession, paths: list[str], encoding: str = FACT_
         if h is None:
             out.rejected.append(Rejected(p, "empty file"))
             continue
-        names = tuple(next(csv.reader([h])))
+        names = tuple(next(csv.reader([h.lstrip("\ufeff")])))
         if len(set(names)) != len(names):
             out.rejected.append(Rejected(p, f"duplicate column names in header {names}"))
             continue
@@ -171,7 +235,7 @@ def headers_under(spark: SparkSession, paths: list[str], encoding: str = DIM_ENC
         lines = {h for f, h in found.items() if f == base or f.startswith(base + "/")}
         if len(lines) != 1:
             raise ValueError(f"{p}: expected one header, found {len(lines)}")
-        names = tuple(next(csv.reader([lines.pop()])))
+        names = tuple(next(csv.reader([lines.pop().lstrip("\ufeff")])))
         if len({n.lower() for n in names}) != len(names):
             raise ValueError(f"{p}: duplicate column names in header {names}")
         out[p] = names
