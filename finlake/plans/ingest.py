@@ -133,10 +133,10 @@ def _validate_and_write(
         return
 
     (
-        # rebalance: AQE splits a very large file's rows over several tasks
-        # and packs small files together, keeping rows of a file together.
-        good.hint("rebalance", "source_file")
-        .write.mode("overwrite")
+        # No shuffle: a file's rows already sit in the task(s) that read it
+        # (one task per file with multiLine, one per split otherwise), so each
+        # task writes into the partitions of the files it read.
+        good.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_file")
         .parquet(wh.feed_path(feed))
