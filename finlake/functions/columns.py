@@ -69,13 +69,20 @@ def month_start(year: str | Column, month: str | Column, strict: bool = True) ->
     return F.try_make_timestamp_ntz(y, m, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
 
 
+MDY_PATTERN = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
+
+
 def parse_date(c: str | Column, strict: bool = True, fmt: str = DATE_FORMAT) -> Column:
-    """Parse month/day/year text. Strict: a non-matching text fails the job
-    (ANSI); soft: it becomes null. Already-typed timestamps pass through."""
+    """Parse month/day/year text to a timestamp without zone. Strict: a
+    non-matching text fails the job (ANSI); soft: it becomes null. The soft
+    form matches the month/day/year shape and builds the value from its
+    parts, so no session time zone is involved."""
     x = _c(c)
     if strict:
         return F.to_timestamp_ntz(x, F.lit(fmt))
-    return F.try_to_timestamp(x, F.lit(fmt)).cast("timestamp_ntz")
+    part = [F.regexp_extract(x, MDY_PATTERN, i).cast("int") for i in (1, 2, 3)]
+    built = F.try_make_timestamp_ntz(part[2], part[0], part[1], F.lit(0), F.lit(0), F.lit(0))
+    return F.when(x.rlike(MDY_PATTERN), built)
 
 
 def null_tokens(c: str | Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
