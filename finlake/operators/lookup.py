@@ -10,13 +10,22 @@
 
 Strategy. The check of the "one" side is a single aggregation that also
 measures that side (rows and bytes). The side is broadcast only when that
-measured size is under ``finlake.broadcast.maxBytes``. Otherwise the join is a
-shuffle join; before it, keys of the big side that hold more than
-``finlake.skew.hotKeyRows`` rows (a null key included) are found with a
-map-side-combined count, and those rows are joined against the matching
-dimension rows, which are few (at most ``finlake.skew.maxHotKeys`` keys,
-unique by contract) and therefore broadcast. Everything else goes through the
-shuffle, where AQE's skew handling still applies. No row is dropped.
+measured size is under ``finlake.broadcast.maxBytes``; then the big side is
+never shuffled, so a key holding a third of its rows costs nothing extra.
+
+Otherwise the join is a sort-merge join. Hot keys (the null key included) are
+then handled in one of two ways, chosen by ``finlake.skew.mode``:
+
+* ``aqe`` (default): AQE's skew-join handling splits an oversized shuffle
+  partition of the big side into several tasks at run time, each joined with
+  the (small) matching partition of the dimension. No extra pass.
+* ``split``: keys holding at least ``finlake.skew.hotKeyRows`` rows are found
+  first with a map-side-combined count, and their rows are joined by
+  broadcast of their few dimension rows (at most ``finlake.skew.maxHotKeys``
+  keys, unique by contract); the rest shuffles. This costs one extra pass over
+  the big side, so it suits inputs that are cheap to re-read (a scan).
+
+Either way no row is dropped.
 """
 
 from __future__ import annotations
@@ -258,9 +267,10 @@ def lookup_join(
         strategy == "auto" and rstats is not None and rstats.bytes <= max_bytes and how in ("inner", "left")
     )
 
+    split = (left.sparkSession.conf.get("finlake.skew.mode", "aqe") or "aqe") == "split"
     if use_broadcast:
         joined = left_r.join(F.broadcast(right_r), cond, how)
-    elif strategy == "auto" and how in ("inner", "left") and right_unique:
+    elif strategy == "auto" and split and how in ("inner", "left") and right_unique:
         joined = _skew_split_join(left_r, right_r.hint("merge"), lk, rk, cond, how)
     else:
         # Measured too large to broadcast (or not measured): a sort-merge

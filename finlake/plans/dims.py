@@ -103,6 +103,7 @@ def enhance_wbs_elements(
     wbs_codification: DataFrame,
     ordinal: str = ORDINAL,
     keep_ordinal: bool = False,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """Parent code/name filled down from the latest level-1 row above (in
     file order), first character of the code as type char, and the
@@ -116,6 +117,7 @@ def enhance_wbs_elements(
             "WBS Parent Code": F.when(level_one, col("WBS Element Code")),
             "WBS Parent Name": F.when(level_one, col("WBS Element Name")),
         },
+        bucket_rows=bucket_rows,
     )
     source = TYPE_SOURCE if TYPE_SOURCE in filled.columns else "WBS Element Code"
     typed = filled.withColumn("WBS Type Char", first_char(source)).drop(TYPE_SOURCE)

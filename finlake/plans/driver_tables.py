@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import month_start, period_digits, route_feed, trend_scenario
-from finlake.plans.dims import ORDINAL, TYPE_SOURCE, GoldDims, build_gold_dims
+from finlake.plans.dims import ORDINAL, TYPE_SOURCE, GoldDims, build_gold_dims  # noqa: F401
 
 TABLES = [
     "region",

@@ -31,7 +31,7 @@ from finlake.plans.gold import assemble_gold, exclude_totals
 from finlake.plans.jobs import import_job, metadata_job, transform_job
 from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
-from finlake.session import scratch_path
+from finlake.session import conf_override, scratch_path
 from finlake.sources.gold_sink import read_gold, write_gold
 from finlake.sources.ledger import new_files
 from finlake.streaming.ingest_stream import ingest_available
@@ -162,6 +162,22 @@ def q_gold_actuals(spark: SparkSession, sf: str) -> DataFrame:
     return _ledger_gold_columns(g)
 
 
+@query(
+    "gold_actuals_shuffle",
+    "with " + SQL_DIMS + "," + _sql_ledger_fact("1998-01-01", "1999-01-01") + "," + _sql_ledger_gold("Actuals", True)
+    + "select * from g",
+)
+def q_gold_actuals_shuffle(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1 with every lookup on the path for dimensions too large to
+    broadcast: sort-merge joins (null-safe keys), skewed partitions such as
+    the null WBS code split by AQE at run time."""
+    with conf_override(spark, **{"finlake.broadcast.maxBytes": "0"}):
+        dims = dt.build_gold_dims(dt.lookups(spark, sf))
+        feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1998-01-01", "1999-01-01")
+        g = assemble_gold(dims, actuals=feed, start="1998/01/01", end="1999/01/01")
+        return _ledger_gold_columns(g)
+
+
 @query(
     "gold_cc_details",
     "with " + SQL_DIMS + "," + _sql_ledger_fact("1997-01-01", "1998-01-01")
@@ -201,6 +217,30 @@ def q_wbs_parent_fill(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "wbs_parent_fill_bucketed",
+    "with " + SQL_DIMS + """
+select wbs_code, wbs_name, wbs_level, type_char, wbs_type, lower(wbs_type) wbs_typ_local, parent_code, parent_name
+from wbs
+""",
+)
+def q_wbs_parent_fill_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 through the scalable path: buckets of 16 rows, so the bucket
+    summaries need a second, recursive level at every scale factor."""
+    part = dt.table(spark, sf, "part")
+    w = enhance_wbs_elements(dt.wbs_elements(part), dt.wbs_codification(part), bucket_rows=16)
+    return w.select(
+        col("WBS Element Code").alias("wbs_code"),
+        col("WBS Element Name").alias("wbs_name"),
+        col("WBS Level").alias("wbs_level"),
+        col("WBS Type Char").alias("type_char"),
+        col("WBS Type").alias("wbs_type"),
+        col("WBS Typ Local").alias("wbs_typ_local"),
+        col("WBS Parent Code").alias("parent_code"),
+        col("WBS Parent Name").alias("parent_name"),
+    )
+
+
 @query(
     "validate_many_to_one",
     """

@@ -79,6 +79,7 @@ def test_hot_key_split_keeps_every_row(spark):
     threshold they go through the broadcast branch, the rest shuffle."""
     spark.conf.set("finlake.broadcast.maxBytes", "1")
     spark.conf.set("finlake.skew.hotKeyRows", "50")
+    spark.conf.set("finlake.skew.mode", "split")
     try:
         left = spark.range(1000).select(
             F.when(F.col("id") % 3 == 0, F.lit(None))
@@ -102,6 +103,7 @@ def test_hot_key_split_keeps_every_row(spark):
     finally:
         spark.conf.unset("finlake.broadcast.maxBytes")
         spark.conf.unset("finlake.skew.hotKeyRows")
+        spark.conf.unset("finlake.skew.mode")
 
 
 def test_matches_pandas_merge_on_random_frames(spark):
