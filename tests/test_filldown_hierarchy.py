@@ -113,3 +113,21 @@ def test_hierarchy_missing_parent_raises(spark):
 def test_hierarchy_cycle_raises(spark):
     with pytest.raises(ValueError, match="cycle"):
         hierarchy_paths(_nodes(spark, [(1, 0, "r"), (2, 3, "a"), (3, 2, "b")]))
+
+
+def test_hierarchy_duplicate_ids_raise(spark):
+    from finlake.operators.lookup import MergeError
+
+    with pytest.raises(MergeError):
+        hierarchy_paths(_nodes(spark, [(1, 0, "r"), (2, 1, "a"), (2, 1, "b")]))
+
+
+def test_hierarchy_shuffle_path_equals_broadcast_path(spark):
+    data = [(i, (i - 1) // 3 if i > 1 else 0, f"t{i}") for i in range(1, 120)]
+    expect = rows(hierarchy_paths(_nodes(spark, data)), "ID", "Hierarchy", "Level")
+    spark.conf.set("finlake.broadcast.maxBytes", "0")
+    try:
+        got = hierarchy_paths(_nodes(spark, data))
+        assert rows(got, "ID", "Hierarchy", "Level") == expect
+    finally:
+        spark.conf.unset("finlake.broadcast.maxBytes")
