@@ -120,3 +120,32 @@ def test_gold_sink_dynamic_overwrite_and_reread(spark, tmp):
     assert sorted((r["Month"], r["v"]) for r in g.collect()) == [(1, "a"), (2, "b2")]
     assert dict(g.dtypes)["Year"] == "bigint" and dict(g.dtypes)["Month"] == "bigint"
     assert g.columns[-1] == "PartitionDate"
+
+
+def test_other_column_set_is_quarantined(spark, tmp):
+    src = f"{tmp}/src"
+    _write(f"{src}/one/first.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,a\n")
+    wh = Warehouse(f"{tmp}/wh")
+    assert import_files(spark, wh, [f"{src}/one"]).ingested_count == 1
+    _write(f"{src}/two/second.csv", "Fiscal Year,Period,Extra\n2024,1,x\n")
+    rep = import_files(spark, wh, [f"{src}/two"])
+    assert rep.ingested_count == 0 and "columns differ" in rep.rejected[0].reason
+
+
+def test_headers_equal_but_for_case_are_rejected(spark, tmp):
+    src = f"{tmp}/src"
+    _write(f"{src}/a.csv", "Period,PERIOD,Fiscal Year\n1,M01,2024\n")
+    rep = import_files(spark, Warehouse(f"{tmp}/wh"), [src])
+    assert rep.ingested_count == 0 and "case" in rep.rejected[0].reason
+
+
+def test_gold_sink_scenario_scope(spark, tmp):
+    out = f"{tmp}/gold"
+    schema = "Scenario string, Year long, Month long, v string"
+    write_gold(spark.createDataFrame([("Actuals", 2024, 1, "a"), ("Committed", 2024, 1, "c")], schema), out,
+               replace_scope="scenario")
+    # A rerun producing only commitments keeps the actuals of the same month.
+    write_gold(spark.createDataFrame([("Committed", 2024, 1, "c2")], schema), out, replace_scope="scenario")
+    assert sorted((r["Scenario"], r["v"]) for r in read_gold(spark, out).collect()) == [
+        ("Actuals", "a"), ("Committed", "c2")
+    ]
