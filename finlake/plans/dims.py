@@ -223,8 +223,7 @@ def chart_of_accounts(hierarchy: DataFrame, gl_to_compass_raw: DataFrame, gl_acc
     fs_to_gl = rename_columns(gl_to_compass_raw, {"Account To": "G/L Account"})
     fs_and_gl = lookup_join(fs_to_gl, gl_accounts, "G/L Account", how="inner", validate="one_to_one")
     tcoa = lookup_join(hierarchy, fs_and_gl, "Financial Statement Item", how="left", validate="one_to_many")
-    level_cols = [c for c in hierarchy.columns if "Level" in c]
-    return tcoa.select(*[col(c) for c in CHART_PREFIX + level_cols])
+    return ordered_columns(tcoa, CHART_PREFIX, contains="Level")
 
 
 def custom_wbs_elements(wbs_elements_raw: DataFrame, wbs_codification_raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:

@@ -25,7 +25,15 @@ from finlake.functions.columns import (
 from finlake.operators.frames import cast_by_type, union_by_name
 from finlake.operators.lookup import duplicate_keys
 from finlake.plans import driver_tables as dt
-from finlake.plans.dims import chart_of_accounts, enhance_wbs_elements, fs_hierarchy
+from finlake.plans.dims import (
+    chart_of_accounts,
+    custom_wbs_elements,
+    enhance_wbs_elements,
+    fs_hierarchy,
+    link_cost_center_to_compass,
+    link_gl_to_compass,
+    link_profit_center_to_signatures,
+)
 from finlake.plans.driver_files import lineitem_extract, write_dimensions
 from finlake.plans.gold import assemble_gold, exclude_totals
 from finlake.plans.jobs import import_job, metadata_job, transform_job
@@ -1054,3 +1062,105 @@ def q_metadata_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
         col("Level 0 Text").alias("level_0_text"),
         col("Level 1 Text").alias("level_1_text"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Single dimension links (J5, J6, J7) and custom WBS elements (H4)
+# ---------------------------------------------------------------------------
+
+
+@query(
+    "cost_center_compass",
+    """
+select s.s_suppkey cc_code, s.s_suppkey % 1500 pc, n.n_regionkey compass
+from supplier s join nation n on s.s_nationkey is not distinct from n.n_nationkey
+""",
+)
+def q_cost_center_compass(spark: SparkSession, sf: str) -> DataFrame:
+    """Cost centres joined (inner, m:1) to their node's compass code."""
+    cc = link_cost_center_to_compass(
+        dt.cost_centers(dt.table(spark, sf, "supplier")), dt.node_to_compass(dt.table(spark, sf, "nation"))
+    )
+    return cc.select(
+        col("Cost Center Code").alias("cc_code"), col("Profit Center Code").alias("pc"), col("Compass Code").alias("compass")
+    )
+
+
+@query(
+    "gl_compass",
+    """
+select g.gl, 'Account ' || cast(g.gl as varchar) long_text, m.compass
+from (select distinct cast(p_size as bigint) gl from part) g
+left join (select distinct cast(p_size as bigint) gl, p_size % 5 compass from part where p_size < 40) m
+  on g.gl is not distinct from m.gl
+""",
+)
+def q_gl_compass(spark: SparkSession, sf: str) -> DataFrame:
+    """Every account with its compass code (left, 1:1)."""
+    part = dt.table(spark, sf, "part")
+    g = link_gl_to_compass(dt.gl_accounts(part), dt.gl_accounts_to_compass(part))
+    return g.select(
+        col("G/L Account").alias("gl"), col("G/L Acct Long Text").alias("long_text"), col("Compass Code").alias("compass")
+    )
+
+
+@query(
+    "profit_center_signatures",
+    """
+select c.c_custkey pc, substr(c.c_mktsegment, 1, 3) division_abbreviation, c.c_mktsegment division,
+  c.c_nationkey sig_code, n.n_name sig_desc
+from customer c left join (select * from nation where n_nationkey < 20) n
+  on c.c_nationkey is not distinct from n.n_nationkey
+""",
+)
+def q_profit_center_signatures(spark: SparkSession, sf: str) -> DataFrame:
+    """Profit centres with their signature description (left, m:1)."""
+    pcs = link_profit_center_to_signatures(
+        dt.profit_centers(dt.table(spark, sf, "customer")), dt.signatures(dt.table(spark, sf, "nation"))
+    )
+    return pcs.select(
+        col("Profit Center Code").alias("pc"),
+        col("Division Abbreviation").alias("division_abbreviation"),
+        col("Division").alias("division"),
+        col("Signature Code").alias("sig_code"),
+        col("Signature Description").alias("sig_desc"),
+    )
+
+
+@query(
+    "custom_wbs_elements",
+    """
+with w as (
+  select case when p_partkey = 0 then null else substr(p_type,1,1) || cast(p_partkey as varchar) end code,
+         p_name name, case when p_size % 5 = 1 then 1 else 2 end lvl,
+         cast(case when p_size % 3 = 0 then null else p_size end as bigint) gl,
+         case when p_partkey % 4 = 0 then null else cast(p_partkey % 1500 as varchar) end pc,
+         p_partkey ord from part),
+cod as (select substr(p_type,1,1) type_char, min(p_type) wbs_type, lower(min(p_type)) type_local
+        from part where p_type <> 'PROMO' group by 1)
+select w.code wbs_code, w.name wbs_name, cast(w.lvl as bigint) wbs_level, w.gl wbs_gl, w.pc wbs_pc,
+  last_value(case when w.lvl = 1 then w.code end ignore nulls)
+    over (order by w.ord rows between unbounded preceding and current row) parent_code,
+  last_value(case when w.lvl = 1 then w.name end ignore nulls)
+    over (order by w.ord rows between unbounded preceding and current row) parent_name,
+  substr(w.code, 1, 1) type_char, cod.wbs_type, cod.type_local wbs_type_local
+from w left join cod on substr(w.code, 1, 1) is not distinct from cod.type_char
+""",
+)
+def q_custom_wbs_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """H4 over the refreshed file dimensions: the WBS file (order kept) with
+    parents, type char and codification under their lookup names."""
+    wh, _ = _file_warehouse(spark, sf)
+    w = custom_wbs_elements(wh.read_meta(spark, "meta_wbs_elements"), wh.read_meta(spark, "meta_wbs_codification"))
+    return w.select(
+        col("WBS Element Code").alias("wbs_code"),
+        col("WBS Element Name").alias("wbs_name"),
+        col("WBS Level").alias("wbs_level"),
+        col("WBS G/L Account").alias("wbs_gl"),
+        col("WBS Profit Center Code").alias("wbs_pc"),
+        col("WBS Parent Code").alias("parent_code"),
+        col("WBS Parent Name").alias("parent_name"),
+        col("WBS Type Char").alias("type_char"),
+        col("WBS Type").alias("wbs_type"),
+        col("WBS Type Local").alias("wbs_type_local"),
+    )
