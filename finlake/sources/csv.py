@@ -23,6 +23,19 @@ from pyspark.sql import types as T
 from finlake.functions.columns import col, null_tokens, strict_long
 from finlake.schemas import RAW_TYPES
 
+def source_file_name() -> Column:
+    """Base name of the file a row was read from. Spark reports it
+    URI-encoded ('a%20b.csv'); decode it so it equals the listed name. A
+    literal '+' is kept (form decoding would turn it into a space)."""
+    raw = F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B")
+    return F.url_decode(raw)
+
+
+def source_file_path() -> Column:
+    """Full path a row was read from, decoded like ``source_file_name``."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
 FACT_ENCODING = "ISO-8859-1"
 DIM_ENCODING = "UTF-8"
 
@@ -117,7 +130,7 @@ def _scan_headers(spark: SparkSession, paths: list[str], encoding: str) -> dict[
         .csv(paths)
         .select(
             "line",
-            F.col("_metadata.file_path").alias("path"),
+            source_file_path().alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("rid"),
         )
@@ -191,7 +204,7 @@ def read_csv_group(
         .option("multiLine", "true" if multi_line else "false")
         .option("mode", "PERMISSIVE")
         .csv(paths)
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
+        .select("*", source_file_name().alias("source_file"))
     )
     cols, flags = [], []
     for i, name in enumerate(names):
@@ -210,7 +223,7 @@ def read_parquet_files(spark: SparkSession, paths: list[str], types: dict[str, T
     their registry type so unions and joins line up."""
     types = RAW_TYPES if types is None else types
     df = spark.read.option("mergeSchema", "true").parquet(*paths)
-    df = df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    df = df.select("*", source_file_name().alias("source_file"))
     cols, bad_any = [], F.lit(False)
     for f in df.schema.fields:
         if f.name == "source_file":

@@ -149,3 +149,16 @@ def test_gold_sink_scenario_scope(spark, tmp):
     assert sorted((r["Scenario"], r["v"]) for r in read_gold(spark, out).collect()) == [
         ("Actuals", "a"), ("Committed", "c2")
     ]
+
+
+def test_names_with_spaces_plus_and_percent(spark, tmp):
+    src = f"{tmp}/src"
+    _write(f"{src}/ledger a+b 100%.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,ok\n")
+    _write(f"{src}/bad file.csv", HEADER + "2024,1.5,100,1,W,C,1/1/2024,bad\n")
+    wh = Warehouse(f"{tmp}/wh")
+    rep = import_files(spark, wh, [src])
+    assert rep.ingested["actuals"] == ["ledger a+b 100%.csv"]
+    assert [r.path for r in rep.rejected] == ["bad file.csv"]
+    bronze = wh.read_feed(spark, "actuals")
+    assert [r["source_file"] for r in bronze.collect()] == ["ledger a+b 100%.csv"]
+    assert import_files(spark, wh, [src]).ingested_count == 0  # ledger name equals the listed name
