@@ -189,14 +189,6 @@ def _null_safe_cond(lkeys: list[str], rkeys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-def _hot_predicate(keys: list[str], rows: list) -> Column:
-    """Null-safe membership of the key tuple in a small, bounded list."""
-    preds = []
-    for r in rows:
-        preds.append(reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.lit(r[i])) for i, k in enumerate(keys)]))
-    return reduce(lambda a, b: a | b, preds)
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -309,9 +301,13 @@ def _skew_split_join(
     if not hot:
         return left.join(right, cond, how)
     # Keys past max_hot stay in the shuffle path (exact; AQE splits them).
-    is_hot_left = _hot_predicate(lk, hot)
-    is_hot_right = _hot_predicate(rk, hot)
-    hot_dim = right.filter(is_hot_right)  # <= len(hot) rows: right is unique per key
-    hot_part = left.filter(is_hot_left).join(F.broadcast(hot_dim), cond, how)
-    rest = left.filter(~is_hot_left).join(right.filter(~is_hot_right), cond, how)
+    # The hot keys are a small table (<= max_hot rows): membership tests are
+    # null-safe semi/anti joins against its broadcast, not literal lists.
+    key_schema = T.StructType([T.StructField(f"__hk{i}", left.schema[k].dataType) for i, k in enumerate(lk)])
+    hot_keys = F.broadcast(left.sparkSession.createDataFrame([tuple(r[k] for k in lk) for r in hot], key_schema))
+    on_left = _null_safe_cond(lk, [f"__hk{i}" for i in range(len(lk))])
+    on_right = _null_safe_cond(rk, [f"__hk{i}" for i in range(len(rk))])
+    hot_dim = right.join(hot_keys, on_right, "left_semi")  # <= max_hot rows: right is unique per key
+    hot_part = left.join(hot_keys, on_left, "left_semi").join(F.broadcast(hot_dim), cond, how)
+    rest = left.join(hot_keys, on_left, "left_anti").join(right.join(hot_keys, on_right, "left_anti"), cond, how)
     return hot_part.unionByName(rest)
