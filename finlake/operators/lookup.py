@@ -245,6 +245,9 @@ def lookup_join(
 
     left_unique, right_unique = VALIDATIONS[validate]
     if left_unique:
+        # Measure both sides in one job when both need it.
+        wanted = [(left, lkeys)] + ([(right, rkeys)] if (right_unique or strategy == "auto") else [])
+        prefetch_key_stats(wanted)
         assert_unique(left, lkeys, side="left")
 
     rstats: SideStats | None = None
