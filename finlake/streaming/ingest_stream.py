@@ -30,10 +30,12 @@ def start_ingest_stream(
     checkpoint: str,
     input_format: str = "csv",
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     reports: list[ImportReport] | None = None,
 ):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery. Each micro-batch takes
+    at most ``max_files_per_trigger`` new files (``availableNow`` still
+    drains everything, in several batches)."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
