@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from finlake.functions.columns import col, month_start, parse_date, period_digits
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.csv import Rejected, group_by_header, read_csv_group, read_parquet_files
-from finlake.sources.files import list_files, one_per_name, with_feed
+from finlake.sources.files import list_files, mark_first_per_name, with_feed
 from finlake.sources.ledger import new_files, read_ledger, record
 
 log = logging.getLogger(__name__)
@@ -156,12 +156,14 @@ def import_paths(
     that the ledger has not seen."""
     report = ImportReport()
     fresh = new_files(files, read_ledger(spark, wh.ledger_path))
-    kept, dups = one_per_name(fresh)
-    report.duplicates = [r["path"] for r in dups.select("path").collect()]
-    routed = with_feed(kept).select("path", "feed").collect()  # file metadata only
+    # One job over file metadata only: route, and mark the file kept for each
+    # base name (D5: smallest path).
+    listing = with_feed(mark_first_per_name(fresh)).select("path", "feed", "__kept").collect()
+    report.duplicates = sorted(r["path"] for r in listing if not r["__kept"])
     by_feed: dict[str, list[str]] = defaultdict(list)
-    for r in routed:
-        by_feed[r["feed"]].append(r["path"])
+    for r in listing:
+        if r["__kept"]:
+            by_feed[r["feed"]].append(r["path"])
 
     for feed in sorted(by_feed):
         paths = sorted(by_feed[feed])
