@@ -40,17 +40,19 @@ def fill_down(
     ordinal: str,
     values: dict[str, Column],
     bucket_rows: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add (or replace) one column per ``values`` entry holding the last
     non-null value of its expression over rows with ordinal <= this row's.
 
-    ``ordinal`` must name a distinct, non-null integral column."""
+    ``ordinal`` must name a distinct, non-null integral column. ``rows``, when
+    already known, saves counting the frame."""
     if bucket_rows is None:
         conf = df.sparkSession.conf.get("finlake.filldown.bucketRows", None)
         bucket_rows = int(conf) if conf else DEFAULT_BUCKET_ROWS
     tmp = {name: f"__fv{i}" for i, name in enumerate(values)}
     staged = df.select("*", *[expr.alias(tmp[n]) for n, expr in values.items()])
-    filled = _fill(staged, ordinal, list(tmp.values()), exclusive=False, bucket_rows=bucket_rows, level=0)
+    filled = _fill(staged, ordinal, list(tmp.values()), exclusive=False, bucket_rows=bucket_rows, level=0, rows=rows)
     replaced = [col(c) if c not in values else col(tmp[c]).alias(c) for c in df.columns]
     new = [col(tmp[n]).alias(n) for n in values if n not in df.columns]
     return filled.select(*replaced, *new)

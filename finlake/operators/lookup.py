@@ -144,6 +144,13 @@ def prefetch_key_stats(items: list[tuple[DataFrame, list[str]]]) -> None:
         _memo(df)[ks] = SideStats(r["rows"], r["keys"], r["mx"], r["bytes"])
 
 
+def known_rows(df: DataFrame) -> int | None:
+    """Row count of ``df`` if some earlier measurement already gave it."""
+    for stats in _memo(df).values():
+        return stats.rows
+    return None
+
+
 def key_stats(df: DataFrame, keys: list[str]) -> SideStats:
     """Rows, distinct keys, largest key group and approximate bytes of
     ``df`` grouped on ``keys`` (null is a key value like any other), in one

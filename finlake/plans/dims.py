@@ -12,7 +12,7 @@ from finlake.functions.columns import col, first_char
 from finlake.operators.filldown import fill_down
 from finlake.operators.frames import ordered_columns, rename_columns
 from finlake.operators.hierarchy import hierarchy_paths, widen_levels
-from finlake.operators.lookup import lookup_join, prefetch_key_stats
+from finlake.operators.lookup import known_rows, lookup_join, prefetch_key_stats
 
 ORDINAL = "Source Row"  # file order of ordered dimension files
 
@@ -118,6 +118,7 @@ def enhance_wbs_elements(
             "WBS Parent Name": F.when(level_one, col("WBS Element Name")),
         },
         bucket_rows=bucket_rows,
+        rows=known_rows(wbs_elements),
     )
     source = TYPE_SOURCE if TYPE_SOURCE in filled.columns else "WBS Element Code"
     typed = filled.withColumn("WBS Type Char", first_char(source)).drop(TYPE_SOURCE)
@@ -150,6 +151,17 @@ class GoldDims:
     compass_codes: DataFrame
     profit_centers_to_signatures: DataFrame
 
+    def unpersist(self) -> None:
+        """Release the cached lookups (after the plans using them ran)."""
+        for df in (
+            self.wbs_enhanced,
+            self.gl_to_compass,
+            self.cost_center_to_compass,
+            self.compass_codes,
+            self.profit_centers_to_signatures,
+        ):
+            df.unpersist()
+
 
 def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
     """The five lookups of the gold rules. Each is a dimension (bounded by the
@@ -158,6 +170,7 @@ def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
     cardinality checks of one stage run as one job."""
     prefetch_key_stats(
         [
+            (lookups["wbs_elements"], ["WBS Element Code"]),  # its size feeds the fill-down
             (lookups["wbs_codification"], ["WBS Type Char"]),
             (lookups["gl_accounts"], ["G/L Account"]),
             (lookups["gl_accounts_to_compass"], ["G/L Account"]),
