@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.functions.columns import col
@@ -60,7 +59,3 @@ def ordered_columns(df: DataFrame, prefix: list[str], contains: str | None = Non
     """``prefix`` columns, then every column whose name contains ``contains``."""
     extra = [c for c in df.columns if contains and contains in c and c not in prefix]
     return df.select(*[col(c) for c in prefix + extra])
-
-
-def null_column(name: str, dtype: T.DataType | str = "string"):
-    return F.lit(None).cast(dtype).alias(name)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.functions.columns import month_start, period_digits, route_feed, trend_scenario
+from finlake.functions.columns import month_start, period_digits, route_feed
 from finlake.plans.dims import ORDINAL, TYPE_SOURCE, GoldDims, build_gold_dims  # noqa: F401
 
 TABLES = [
@@ -387,5 +387,4 @@ __all__ = [
     "ledger_feed",
     "lookups",
     "table",
-    "trend_scenario",
 ]

@@ -65,10 +65,3 @@ def mark_first_per_name(files: DataFrame, name_col: str = "file_name") -> DataFr
     base name."""
     first = files.groupBy(name_col).agg(F.min("path").alias("__keep"))
     return files.join(first, name_col).withColumn("__kept", F.col("path") == F.col("__keep")).drop("__keep")
-
-
-def one_per_name(files: DataFrame, name_col: str = "file_name") -> tuple[DataFrame, DataFrame]:
-    """Of files sharing a base name keep the smallest path; return
-    (kept, skipped)."""
-    tagged = mark_first_per_name(files, name_col)
-    return tagged.filter("__kept").drop("__kept"), tagged.filter("not __kept").drop("__kept")
