@@ -55,10 +55,11 @@ class HeaderGroups:
 HEADER_PROBE_BYTES = 1 << 16
 
 
-def _first_line_reader(encoding: str):
+def _first_line_reader(encoding: str, probe_bytes: int = HEADER_PROBE_BYTES):
     """Per-partition reader of the first line of each file (a few KB per
     file), run inside Spark tasks. Paths it cannot open come back null and
-    are read by the scan fallback."""
+    are read by the scan fallback. Self-contained (standard library, pandas,
+    pyarrow only), so executors need not import this package."""
 
     def read(batches):
         import pandas as pd
@@ -69,7 +70,9 @@ def _first_line_reader(encoding: str):
             for path in pdf["path"]:
                 try:
                     if path.startswith("file:"):
-                        fs, inner = pafs.LocalFileSystem(), _norm(path)
+                        local = path[len("file:"):]
+                        local = "/" + local.lstrip("/")
+                        fs, inner = pafs.LocalFileSystem(), local
                     elif "://" in path:
                         fs, inner = pafs.FileSystem.from_uri(path)
                     else:
@@ -77,7 +80,7 @@ def _first_line_reader(encoding: str):
                     chunks = []
                     with fs.open_input_stream(inner) as fh:
                         while True:
-                            block = fh.read(HEADER_PROBE_BYTES)
+                            block = fh.read(probe_bytes)
                             if not block:
                                 break
                             chunks.append(block)
