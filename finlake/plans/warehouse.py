@@ -47,6 +47,16 @@ class Warehouse:
                 return None
             raise
 
+    def read_feed_or_empty(self, spark: SparkSession, feed: str) -> DataFrame:
+        """A feed table, or an empty frame of the feed's needed columns when
+        nothing was ingested into it yet (D8, D9)."""
+        df = self.read_feed(spark, feed)
+        if df is None:
+            from finlake.schemas import feed_schema
+
+            df = spark.createDataFrame([], feed_schema(feed))
+        return df
+
     def feed_schema(self, spark: SparkSession, feed: str) -> T.StructType | None:
         df = self.read_feed(spark, feed)
         return None if df is None else df.schema

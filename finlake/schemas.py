@@ -154,6 +154,55 @@ ROUTES: list[tuple[str, str]] = [
 ]
 DEFAULT_FEED = "actuals"
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: columns each feed family needs (raw names, before renames).
+# A feed table that does not exist yet is read as an empty frame of these
+# columns, so the gold schema does not depend on which feeds have data.
+# ---------------------------------------------------------------------------
+LEDGER_FEED_COLUMNS = [
+    "Fiscal Year",
+    "Period",
+    "G/L Account",
+    "Amount in Company Code Currency",
+    "WBS Element",
+    "Cost Center",
+    "Partner Cost Center",
+    "Product",
+    "Profit Center",
+]
+FEED_COLUMNS: dict[str, list[str]] = {
+    "actuals": LEDGER_FEED_COLUMNS,
+    "cost_center_details": LEDGER_FEED_COLUMNS,
+    "commit_wbs": ["WBS Element", "G/L Account", "Amount in Company Code Currency", "Fiscal Year", "Period"],
+    "commit_cc": ["Cost Center", "G/L Account", "Amount in Company Code Currency", "Fiscal Year", "Period"],
+}
+FORECAST_FEED_COLUMNS = [
+    "YEAR",
+    "PERIOD",
+    "Last Refresh",
+    "SPEND TYPE",
+    "Value",
+    "CODE (L1_CC_Oth)",
+    "CODE DESCRIPTION  (L1_CC_Oth)",
+    "CODE (L2)",
+    "CODE DESCRIPTION (L2)",
+    "P&L LINE COMPASS CODE_FS",
+    "P&L DESTINATION ACCOUNT",
+    "Fiscal Period",
+]
+for _f in ("forecast_budget", "forecast_live_estimate", "forecast_pre_budget", "forecast_trend"):
+    FEED_COLUMNS[_f] = FORECAST_FEED_COLUMNS
+
+
+def feed_schema(feed: str) -> T.StructType:
+    """Schema of an empty feed table: its needed columns, the ingest-added
+    ``PartitionDate`` and ``source_file``."""
+    fields = [T.StructField(c, LONG if c == "Fiscal Period" else raw_type(c), True) for c in FEED_COLUMNS[feed]]
+    fields.append(T.StructField("PartitionDate", TS, True))
+    fields.append(T.StructField("source_file", STRING, True))
+    return T.StructType(fields)
+
+
 # FIXED VALUES: forecast scenarios, trend scenario tokens, excluded periods.
 FORECAST_SCENARIOS = {
     "forecast_live_estimate": "Live Estimate",

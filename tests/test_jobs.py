@@ -34,6 +34,8 @@ def test_cli_end_to_end(spark, tmp, capsys):
     assert "gold dataset:" in out
     gold = spark.table("gold_dataset")
     assert gold.count() == 836
+    # Feeds never ingested still give their columns (stable gold schema).
+    assert {"Code 1 Concatenated", "Spend Type", "WBS Profit Center Code"} <= set(gold.columns)
     assert set(r["Year"] for r in gold.select("Year").distinct().collect()) == {1998}
     # Parquet copies beside the inputs
     assert os.path.isdir(f"{tmp}/metadata/meta_wbs_elements.parquet")
