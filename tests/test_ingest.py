@@ -162,3 +162,22 @@ def test_names_with_spaces_plus_and_percent(spark, tmp):
     bronze = wh.read_feed(spark, "actuals")
     assert [r["source_file"] for r in bronze.collect()] == ["ledger a+b 100%.csv"]
     assert import_files(spark, wh, [src]).ingested_count == 0  # ledger name equals the listed name
+
+
+def test_line_oriented_read_splits_large_files(spark, tmp):
+    """multi_line=False lets Spark split one big file over several tasks;
+    every row still lands once, with its header and file name."""
+    src = f"{tmp}/src"
+    body = "".join(f"2024,{1 + i % 12},{100 + i},{i}.5,W{i},C,1/1/2024,n{i}\n" for i in range(20000))
+    _write(f"{src}/big_ledger.csv", HEADER + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024))
+    try:
+        wh = Warehouse(f"{tmp}/wh")
+        rep = import_files(spark, wh, [src], multi_line=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rep.ingested["actuals"] == ["big_ledger.csv"] and not rep.rejected
+    bronze = wh.read_feed(spark, "actuals")
+    assert bronze.count() == 20000
+    assert bronze.select("G/L Account").distinct().count() == 20000  # header line not read as data
+    assert {r["source_file"] for r in bronze.select("source_file").distinct().collect()} == {"big_ledger.csv"}
