@@ -726,8 +726,8 @@ FORECAST_RANGE = ("2023-01-01", "2025-01-01")
 @query("gold_forecast", "with " + SQL_DIMS + "," + _sql_forecast(*FORECAST_RANGE) + " select * from fcg")
 def q_gold_forecast(spark: SparkSession, sf: str) -> DataFrame:
     dims = dt.gold_dims(spark, sf)
-    feeds = dt.forecast_feeds(dt.table(spark, sf, "events"))
-    g = assemble_gold(dims, forecasts=feeds, start="2023/01/01", end="2025/01/01")
+    forecasts = dt.forecast_bronze(dt.table(spark, sf, "events"))  # one scan; feed from file name
+    g = assemble_gold(dims, forecasts=forecasts, start="2023/01/01", end="2025/01/01")
     return _forecast_columns(g)
 
 
@@ -795,7 +795,7 @@ def gold_all_frame(spark: SparkSession, sf: str) -> DataFrame:
         cc_details=dt.ledger_feed(lineitem, *ALL_RANGE),
         commit_wbs=dt.commit_wbs_feed(orders),
         commit_cc=dt.commit_cc_feed(orders),
-        forecasts=dt.forecast_feeds(dt.table(spark, sf, "events")),
+        forecasts=dt.forecast_bronze(dt.table(spark, sf, "events")),
         start=ALL_RANGE[0].replace("-", "/"),
         end=ALL_RANGE[1].replace("-", "/"),
     )

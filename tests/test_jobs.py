@@ -89,3 +89,18 @@ def test_custom_wbs_elements_and_ordered_dims(spark, tmp):
 def test_ordered_hierarchy_sorts_by_id(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "ID long")
     assert [r["ID"] for r in ordered_hierarchy(df).collect()] == [1, 2, 3]
+
+
+def test_forecast_input_forms_agree(spark):
+    from finlake.plans.gold import assemble_gold
+
+    dims = dt.gold_dims(spark, SF)
+    events = dt.table(spark, SF, "events")
+    cols = ["event_id", "Scenario", "Amount in Company Code Currency", "Compass Code", "G/L Account", "Month"]
+
+    def rows_of(forecasts):
+        g = assemble_gold(dims, forecasts=forecasts, start="2023/01/01", end="2025/01/01")
+        return sorted(tuple(r[c] for c in cols) for r in g.select(*[f"`{c}`" for c in cols]).collect())
+
+    four_tables = rows_of(dt.forecast_feeds(events))
+    assert four_tables and four_tables == rows_of(dt.forecast_bronze(events))
