@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, sharding
+from . import decontaminate, licenses, packing, sharding, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.contamination(docs, items).drop("row")
 
 
+def op3_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op4_pack(spark, sf_dir):
     return packing.pack_documents(packing.word_counts(_table(spark, sf_dir, "documents")))
 
@@ -25,14 +30,20 @@ def op5_shard(spark, sf_dir):
     return sharding.shard_rows(_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", shards)
 
 
+def op6_substrings(spark, sf_dir):
+    return substrings.dedup_digest(_table(spark, sf_dir, "documents"), window=20)
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_simhash": op3_simhash,
     "op4_pack": op4_pack,
     "op5_shard": op5_shard,
+    "op6_substrings": op6_substrings,
     "op8_licenses": op8_licenses,
 }
 ORACLE_SQL: dict[str, str] = {}
