@@ -112,7 +112,7 @@ def document_grams(docs: DataFrame, lengths: list[int]) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hash, span_hash = SpanHash(1), SpanHash(2)
-        names = ["row", "doc_id", "n_words", "len", "pos", "gram", "spans"]
+        names = ["row", "doc_id", "text_hash", "n_words", "len", "pos", "gram", "spans"]
         for batch in batches:
             for part in slices(batch):
                 spans = Spans(part.column("text"), word_hash, span_hash)
@@ -124,6 +124,7 @@ def document_grams(docs: DataFrame, lengths: list[int]) -> DataFrame:
                     [
                         part.column("row"),
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(counts.astype(np.int64)),
                         pa.array(np.zeros(rows, np.int32)),
                         pa.array(np.full(rows, -1, np.int64)),
@@ -147,6 +148,7 @@ def document_grams(docs: DataFrame, lengths: list[int]) -> DataFrame:
                         [
                             part.column("row").take(pa.array(head)),
                             part.column("doc_id").take(pa.array(head)),
+                            part.column("text_hash").take(pa.array(head)),
                             pa.array(counts[head].astype(np.int64)),
                             pa.array(np.full(len(cut), length, np.int32)),
                             pa.array((starts[cut] - spans.first[head]).astype(np.int64)),
@@ -156,7 +158,7 @@ def document_grams(docs: DataFrame, lengths: list[int]) -> DataFrame:
                         names,
                     )
 
-    schema = "row long, doc_id long, n_words long, len int, pos long, gram long, spans array<long>"
+    schema = "row long, doc_id long, text_hash long, n_words long, len int, pos long, gram long, spans array<long>"
     return docs.mapInArrow(emit, schema)
 
 
@@ -168,13 +170,14 @@ def hit_windows(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
     """(hits, benchmark windows). Hits: one header row (start null) per document and one
-    row per document place where a benchmark window occurs: row, doc_id, n_words, len, start, span."""
+    row per document place where a benchmark window occurs: row, doc_id, text_hash, n_words, len, start, span."""
     bench = materialize(benchmark_windows(items, window), "benchmark-windows")
     per_length = bench.groupBy("len").count().collect()  # at most ``window`` rows
     lengths, n_windows = sorted(r["len"] for r in per_length), sum(r["count"] for r in per_length)
     two = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
         F.monotonically_increasing_id().alias("row"),
     )
     kept = document_grams(two, lengths).alias("d")
@@ -184,7 +187,7 @@ def hit_windows(
     candidates = (
         kept.join(_joinable(grams, n_windows), same, "left")
         .filter("d.pos < 0 or known")
-        .select("row", "doc_id", "n_words", "d.len", "pos", F.posexplode_outer("spans").alias("shift", "span"))
+        .select("row", "doc_id", "text_hash", "n_words", "d.len", "pos", F.posexplode_outer("spans").alias("shift", "span"))
         .withColumn("start", F.when(F.col("pos") >= 0, F.col("pos") + F.col("shift")))
         .alias("c")
     )
@@ -192,7 +195,7 @@ def hit_windows(
     hits = (
         candidates.join(_joinable(spans, n_windows), whole, "left")
         .filter("pos < 0 or found")
-        .select("row", "doc_id", "n_words", "c.len", "start", "c.span")
+        .select("row", "doc_id", "text_hash", "n_words", "c.len", "start", "c.span")
     )
     return materialize(hits, "benchmark-hits"), bench
 
@@ -238,3 +241,15 @@ def contamination(
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window."""
+    hits, _ = hit_windows(docs, items, window)
+    bad = (
+        hits.filter("start is not null")
+        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .distinct()
+    )
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["__id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["__hash"])
+    return docs.join(bad, same, "left_anti")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, sharding, simhash, substrings
+from . import decontaminate, licenses, packing, sharding, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,16 +35,29 @@ def op6_substrings(spark, sf_dir):
     return substrings.dedup_digest(_table(spark, sf_dir, "documents"), window=20)
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op9_warc(spark, sf_dir):
+    back = warc.archive(_table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op4_pack": op4_pack,
     "op5_shard": op5_shard,
     "op6_substrings": op6_substrings,
+    "op7_toxicity": op7_toxicity,
     "op8_licenses": op8_licenses,
+    "op9_warc": op9_warc,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {}
