@@ -5,13 +5,18 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, packing, sharding, simhash, substrings, toxicity, warc
+from . import decontaminate, licenses, neighbours, packing, sharding, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_neighbours(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op2_decontaminate(spark, sf_dir):
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.contamination(docs, items).drop("row")
@@ -50,6 +55,7 @@ def op9_warc(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
     "op4_pack": op4_pack,
