@@ -28,10 +28,11 @@ BUCKET_BYTES = 8 << 20
 LAST = np.iinfo(np.int64).max
 
 
-def plan(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
+def plan(docs: DataFrame, text_col: str = "text", chunk_bytes: int | None = None) -> tuple[int, int]:
     """(chunks, buckets) for the corpus, from one pass over its text sizes."""
+    chunk_bytes = chunk_bytes or CHUNK_BYTES
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    return max(1, -(-total // CHUNK_BYTES)), max(1, -(-total // BUCKET_BYTES))
+    return max(1, -(-total // chunk_bytes)), max(1, -(-total // BUCKET_BYTES))
 
 
 def chunked(docs: DataFrame, chunks: int, id_col: str = "doc_id", text_col: str = "text", also: list[str] = ()) -> DataFrame:
@@ -94,3 +95,80 @@ def per_chunk(docs: DataFrame, other: DataFrame | None, work: Callable, schema:
         return work(Chunk(table), messages)
 
     return docs.groupBy("chunk").cogroup(other.groupBy("chunk")).applyInArrow(both, schema)
+
+
+# --- which hashes occur at a second place ------------------------------------
+
+REPEATED, INDEXED = np.uint64(1), np.uint64(2)
+BLOB = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary())])
+
+
+def pack64(values: np.ndarray) -> bytes:
+    """Sorted values as the runs (value, count) of their high 16 bits and 48 low bits each."""
+    high = (values >> np.uint64(48)).astype(np.uint16)
+    cut = np.flatnonzero(np.r_[True, high[1:] != high[:-1]][: len(high)])
+    count = np.diff(np.r_[cut, len(high)]).astype(np.uint32)
+    return np.uint32(len(cut)).tobytes() + high[cut].tobytes() + count.tobytes() + pack48(values)
+
+
+def unpack64(blob: bytes) -> np.ndarray:
+    n = int(np.frombuffer(blob, np.uint32, 1)[0])
+    high = np.frombuffer(blob, np.uint16, n, 4)
+    count = np.frombuffer(blob, np.uint32, n, 4 + 2 * n)
+    return unpack48(blob[4 + 6 * n :]) | (np.repeat(high, count).astype(np.uint64) << np.uint64(48))
+
+
+def hash_blobs(chunk: int, hashes: np.ndarray, indexed: np.ndarray, buckets: int) -> pa.Table:
+    """Per bucket, the chunk's distinct hashes (62 bits), flagged if indexed and if repeated in the chunk."""
+    if not len(hashes):
+        return BLOB.empty_table()
+    value = np.sort((hashes & ~np.uint64(3)) | np.where(indexed, INDEXED, np.uint64(0)))
+    plain = value >> np.uint64(2)
+    cut = np.flatnonzero(np.r_[True, plain[1:] != plain[:-1]])
+    often = np.diff(np.r_[cut, len(plain)]) > 1
+    value = np.bitwise_or.reduceat(value, cut) | np.where(often, REPEATED, np.uint64(0))
+    owner, bounds = by_bucket(value, buckets)
+    blobs = [pack64(value[a:b]) for a, b in zip(bounds, bounds[1:])]
+    return pa.table(
+        [pa.array(owner, pa.int32()), pa.array([chunk] * len(owner), pa.int32()), pa.array(blobs, pa.binary())], schema=BLOB
+    )
+
+
+def cuts(sorted_keys: np.ndarray) -> np.ndarray:
+    """Bounds of the runs of equal keys."""
+    first = np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1 if len(sorted_keys) else np.zeros(0, np.int64)
+    return np.r_[0, first, len(sorted_keys)] if len(sorted_keys) else np.zeros(1, np.int64)
+
+
+def live_hashes(table: pa.Table) -> pa.Table:
+    """Per chunk, its hashes of this bucket that are indexed somewhere and occur twice."""
+    chunk_of = table.column("chunk").to_pylist()
+    parts = [unpack64(b) for b in table.column("hashes").to_pylist()]
+    value = np.concatenate(parts)
+    source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.argsort(value, kind="stable")
+    value, source = value[order], source[order]
+    plain = value >> np.uint64(2)
+    bounds = cuts(plain)
+    size = np.diff(bounds)
+    flags = np.bitwise_or.reduceat(value, bounds[:-1])
+    keep = np.repeat(((flags & INDEXED) > 0) & (((flags & REPEATED) > 0) | (size > 1)), size)
+    value, source = plain[keep] << np.uint64(2), source[keep]
+    order = np.argsort(source, kind="stable")  # values stay sorted within a source
+    value, source = value[order], source[order]
+    bounds = cuts(source)
+    return pa.table(
+        {
+            "chunk": pa.array([chunk_of[s] for s in source[bounds[:-1]]], pa.int32()),
+            "hashes": pa.array([pack64(value[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+        }
+    )
+
+
+def is_live(hashes: np.ndarray, messages: pa.Table) -> np.ndarray:
+    """Which hashes a chunk's messages from ``live_hashes`` name."""
+    if not len(messages) or not len(hashes):
+        return np.zeros(len(hashes), bool)
+    live = np.sort(np.concatenate([unpack64(b) for b in messages.column("hashes").to_pylist()]))
+    found = hashes & ~np.uint64(3)
+    return live[np.minimum(np.searchsorted(live, found), len(live) - 1)] == found

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, neighbours, packing, sharding, simhash, substrings, toxicity, warc
+from . import decontaminate, licenses, neighbours, packing, sharding, simhash, substrings, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op9_warc(spark, sf_dir):
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_suffixes(spark, sf_dir):
+    return suffix_dedup.dedup_digest(_table(spark, sf_dir, "documents"), length=100).drop("spans")
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_decontaminate": op2_decontaminate,
@@ -64,6 +68,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
+    "op10_suffixes": op10_suffixes,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -13,7 +13,7 @@ A repeat is a run of at least ``window`` words that also starts earlier.
 
 Both exchanges carry values made unique per chunk (see ``chunks``), so a passage
 in a third of all documents is no hot key, and no pairs are formed. Windows are
-compared by a 64-bit hash of all their words; block grams by 46 bits, whose
+compared by a 64-bit hash of all their words; block grams by 62 bits, whose
 accidental matches only add candidates.
 
 Defined cases: a null or empty text has no words and is kept as it is; "earlier"
@@ -32,13 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, by_bucket, chunked, pack48, per_chunk, plan, unpack48
+from .chunks import Chunk, by_bucket, chunked, hash_blobs, is_live, live_hashes, per_chunk, plan
 from .storage import materialize, release
 from .textops import SPACE_WORDS, SpanHash, gram_mask, utf8, word_hashes, words
 
 WINDOW = 20
-BLOB = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary())])
-REPEATED, INDEXED = np.uint64(1), np.uint64(2)
 
 
 class Words:
@@ -62,64 +60,10 @@ class Words:
 
 
 def gram_blobs(chunk: Chunk, block: int, buckets: int) -> pa.Table:
-    """Per bucket, the distinct grams of the chunk (46 bits) and whether each is indexed or repeated here."""
+    """Per bucket, the distinct grams of the chunk and whether each is indexed or repeated here."""
     ws = Words(chunk)
     at, grams = ws.grams(block)
-    if not len(at):
-        return BLOB.empty_table()
-    indexed = (at - ws.first[ws.owner[at]]) % block == 0
-    value = (grams & ~np.uint64(3)) | np.where(indexed, INDEXED, np.uint64(0))
-    value.sort()
-    plain = value >> np.uint64(2)
-    new = np.r_[True, plain[1:] != plain[:-1]]
-    cut = np.flatnonzero(new)
-    value = np.bitwise_or.reduceat(value, cut) | np.where(np.diff(np.r_[cut, len(plain)]) > 1, REPEATED, np.uint64(0))
-    owner, bounds = by_bucket(value, buckets)
-    # the upper 16 bits stay with the blob in a small header: sorted values share them in runs
-    blobs = [pack64(value[a:b]) for a, b in zip(bounds, bounds[1:])]
-    return pa.table([pa.array(owner, pa.int32()), pa.array([chunk.number] * len(owner), pa.int32()), pa.array(blobs, pa.binary())], schema=BLOB)
-
-
-def pack64(values: np.ndarray) -> bytes:
-    """Sorted values as the high 16 bits' runs (value, count) and 48 low bits each."""
-    high = (values >> np.uint64(48)).astype(np.uint16)
-    cut = np.flatnonzero(np.r_[True, high[1:] != high[:-1]][: len(high)])
-    count = np.diff(np.r_[cut, len(high)]).astype(np.uint32)
-    return np.uint32(len(cut)).tobytes() + high[cut].tobytes() + count.tobytes() + pack48(values)
-
-
-def unpack64(blob: bytes) -> np.ndarray:
-    n = int(np.frombuffer(blob, np.uint32, 1)[0])
-    high = np.frombuffer(blob, np.uint16, n, 4)
-    count = np.frombuffer(blob, np.uint32, n, 4 + 2 * n)
-    return unpack48(blob[4 + 6 * n :]) | (np.repeat(high, count).astype(np.uint64) << np.uint64(48))
-
-
-def live_grams(table: pa.Table) -> pa.Table:
-    """Per chunk, its grams of this bucket that are indexed somewhere and occur twice."""
-    chunk_of = table.column("chunk").to_pylist()
-    parts = [unpack64(b.as_py()) for b in table.column("hashes")]
-    value = np.concatenate(parts)
-    source = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    order = np.argsort(value, kind="stable")
-    value, source = value[order], source[order]
-    plain = value >> np.uint64(2)
-    cut = np.flatnonzero(np.r_[True, plain[1:] != plain[:-1]])
-    size = np.diff(np.r_[cut, len(plain)])
-    flags = np.bitwise_or.reduceat(value, cut)
-    live = ((flags & INDEXED) > 0) & (((flags & REPEATED) > 0) | (size > 1))
-    keep = np.repeat(live, size)
-    value, source = plain[keep] << np.uint64(2), source[keep]
-    order = np.argsort(source, kind="stable")  # values stay sorted within a source
-    value, source = value[order], source[order]
-    first = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(source) else np.zeros(0, np.int64)
-    bounds = np.r_[first, len(source)]
-    return pa.table(
-        {
-            "chunk": pa.array([chunk_of[s] for s in source[first]], pa.int32()),
-            "hashes": pa.array([pack64(value[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
-        }
-    )
+    return hash_blobs(chunk.number, grams, (at - ws.first[ws.owner[at]]) % block == 0, buckets)
 
 
 PLACES = "bucket int, chunk int, hashes binary, ranks binary, places binary, done boolean"
@@ -135,11 +79,8 @@ def place_blobs(chunk: Chunk, messages: pa.Table, window: int, block: int, bucke
         return schema.empty_table()
     ws = Words(chunk)
     at, grams = ws.grams(block)
-    live = np.sort(np.concatenate([unpack64(b.as_py()) for b in messages.column("hashes")]))
-    found = grams & ~np.uint64(3)
-    slot = np.minimum(np.searchsorted(live, found), len(live) - 1)
     hit = np.zeros(ws.n + 1, np.int64)
-    hit[at[live[slot] == found] + 1] = 1
+    hit[at[is_live(grams, messages)] + 1] = 1
     hits = np.cumsum(hit)  # live grams that start before a place
     at, hashes = ws.grams(window)
     candidate = hits[np.minimum(at + window - block + 1, ws.n)] > hits[at]
@@ -230,7 +171,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     chunks, buckets = plan(docs, text_col)
     slim = chunked(docs, chunks, id_col, text_col)
     blobs = per_chunk(slim, None, lambda c: gram_blobs(c, block, buckets), "bucket int, chunk int, hashes binary")
-    live = blobs.groupBy("bucket").applyInArrow(live_grams, "chunk int, hashes binary")
+    live = blobs.groupBy("bucket").applyInArrow(live_hashes, "chunk int, hashes binary")
     live = materialize(live, "substring-live")
     release(docs.sparkSession)
     placed = per_chunk(slim, live, lambda c, m: place_blobs(c, m, window, block, buckets), PLACES)

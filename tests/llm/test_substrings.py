@@ -62,5 +62,5 @@ def test_packing_round_trip():
     import numpy as np
 
     values = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.int64).astype(np.uint64) * np.uint64(2))
-    assert (substrings.unpack64(substrings.pack64(values)) == values).all()
-    assert len(substrings.unpack64(substrings.pack64(values[:0]))) == 0
+    assert (chunks.unpack64(chunks.pack64(values)) == values).all()
+    assert len(chunks.unpack64(chunks.pack64(values[:0]))) == 0
