@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from . import anchors
+from .anchors import runs as anchor_runs
 from .chunks import Chunk, by_bucket, chunked, cuts, hash_blobs, is_live, live_hashes, per_chunk, plan
 from .storage import materialize, release
 from .suffixes import common_prefixes, suffix_array
@@ -94,7 +94,7 @@ def rows_of(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 def anchor_blobs(chunk: Chunk, length: int, buckets: int) -> pa.Table:
     b = Bytes(chunk)
-    _, _, anchor = anchors.runs(b.data, b.offsets, length)
+    _, _, anchor = anchor_runs(b.data, b.offsets, length)
     return hash_blobs(chunk.number, anchor, np.ones(len(anchor), bool), buckets)
 
 
@@ -103,7 +103,7 @@ def run_blobs(chunk: Chunk, messages: pa.Table, length: int, buckets: int) -> pa
     if chunk.number is None or not len(messages):
         return SENT.empty_table()
     b = Bytes(chunk)
-    first, windows, anchor = anchors.runs(b.data, b.offsets, length)
+    first, windows, anchor = anchor_runs(b.data, b.offsets, length)
     live = is_live(anchor, messages)
     first, windows, anchor = first[live], windows[live], anchor[live]
     hasher = SpanHash(7)
