@@ -34,6 +34,12 @@ def parser() -> argparse.ArgumentParser:
     tr.add_argument("--output-path", required=True)
     tr.add_argument("--range-start", required=True, help="first day included, YYYY/MM/DD")
     tr.add_argument("--range-end", required=True, help="first day excluded, YYYY/MM/DD")
+    tr.add_argument(
+        "--replace-scope",
+        default="scenario",
+        choices=["scenario", "month"],
+        help="replace the months of the scenarios produced, or of all scenarios",
+    )
     return p
 
 
@@ -62,7 +68,7 @@ def run(spark, args: argparse.Namespace) -> None:
             print(f"updated dimension table {table} with {n} records")
     else:
         tic = time.perf_counter()
-        gold = transform_job(spark, wh, args.output_path, args.range_start, args.range_end)
+        gold = transform_job(spark, wh, args.output_path, args.range_start, args.range_end, replace_scope=args.replace_scope)
         print(f"gold dataset: {gold.count()} rows in {time.perf_counter() - tic:0.2f} seconds")
 
 

@@ -91,12 +91,19 @@ def null_tokens(c: str | Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
     return F.when(~x.isin(list(tokens)), x)
 
 
+INTEGER_PATTERN = r"^\s*([+-]?\d+)(\.0*)?\s*$"
+
+
 def strict_long(c: str | Column) -> Column:
-    """Text -> long accepting '12' and '12.0' but not '12.5' or '1,234'.
-    Returns null for those; callers flag rows where text was set and the
-    result is null."""
-    d = _c(c).try_cast("decimal(38,6)")
-    return F.when(d == F.floor(d), d.cast("bigint"))
+    """Text -> long accepting '12', '12.0' and '1.2e1' but not '12.5',
+    '100.0000001', '1,234' or a number a long cannot hold. Returns null for
+    those; callers flag rows where text was set and the result is null."""
+    x = _c(c)
+    plain = F.regexp_extract(x, INTEGER_PATTERN, 1).try_cast("bigint")
+    number = x.try_cast("double")
+    exact = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53))
+    scientific = F.when(x.rlike("[eE]") & exact, number.try_cast("bigint"))
+    return F.when(x.rlike(INTEGER_PATTERN), plain).otherwise(scientific)
 
 
 def route_feed(file_name: str | Column) -> Column:

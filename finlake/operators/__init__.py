@@ -6,7 +6,6 @@ from finlake.operators.frames import (
     ordered_columns,
     rename_columns,
     union_by_name,
-    with_typed,
 )
 from finlake.operators.hierarchy import hierarchy_paths, max_depth, widen_levels
 from finlake.operators.lookup import MergeError, assert_unique, duplicate_keys, key_stats, lookup_join
@@ -29,5 +28,4 @@ __all__ = [
     "union_by_name",
     "widen_levels",
     "with_ordinal",
-    "with_typed",
 ]

@@ -22,7 +22,7 @@ from finlake.functions.columns import col
 from finlake.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKET_ROWS = 1_000_000
-CARRY_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "__ord") -> DataFrame:
@@ -85,11 +85,16 @@ def _fill(
     summary = d.groupBy(bucket).agg(
         *[F.max_by(col(v), F.when(col(v).isNotNull(), col(ordinal))).alias(v) for v in vcols]
     )
-    n_buckets = summary.count()
+    measured = summary.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.lit(16) + sum((F.coalesce(F.octet_length(col(v).cast("string")), F.lit(0)) + 8 for v in vcols), F.lit(0))).alias("bytes"),
+    ).first()
+    n_buckets = measured["n"]
     carry = _fill(summary, bucket, vcols, True, bucket_rows, level + 1, rows=n_buckets)
     carry = carry.select(F.col(bucket), *[col(v).alias(v + "__carry") for v in vcols])
-    # Broadcast the carry only when its measured row count is small.
-    if n_buckets <= CARRY_BROADCAST_ROWS:
+    # Broadcast the carry only when its measured size is within the limit.
+    limit = df.sparkSession.conf.get("finlake.broadcast.maxBytes", None)
+    if (measured["bytes"] or 0) <= int(limit or DEFAULT_BROADCAST_BYTES):
         carry = F.broadcast(carry)
     joined = in_bucket.join(carry, bucket, "left")
     return joined.select(

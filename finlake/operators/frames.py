@@ -29,7 +29,18 @@ def drop_if_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
-    """Union by column name; a column missing from a frame is null there."""
+    """Union by column name; a column missing from a frame is null there. A
+    column that is text in one frame and not in another is text in all (the
+    other way a code like 'A1' would have to become a number)."""
+    types: dict[str, set[str]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            types.setdefault(f.name, set()).add(f.dataType.simpleString())
+    as_text = {name for name, found in types.items() if len(found - {"void"}) > 1 and "string" in found}
+    if as_text:
+        frames = [
+            df.select(*[col(c).cast("string").alias(c) if c in as_text else col(c) for c in df.columns]) for df in frames
+        ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -46,15 +57,6 @@ def move_last(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[col(c) for c in df.columns if c != name], col(name))
 
 
-def with_typed(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
-    """Cast the named columns that are present and differ from their type."""
-    out = []
-    for f in df.schema.fields:
-        want = types.get(f.name)
-        out.append(col(f.name).cast(want).alias(f.name) if want is not None and f.dataType != want else col(f.name))
-    return df.select(*out)
-
-
 def ordered_columns(df: DataFrame, prefix: list[str], contains: str | None = None) -> DataFrame:
     """``prefix`` columns, then every column whose name contains ``contains``."""
     extra = [c for c in df.columns if contains and contains in c and c not in prefix]

@@ -213,7 +213,8 @@ def lookup_join(
     ``on`` keeps a single key column (the left one for inner/left joins);
     ``left_on``/``right_on`` keep both. Overlapping non-key columns get
     ``suffixes``. ``strategy``: "auto" (measured broadcast, else shuffle with
-    hot-key split), "broadcast", or "shuffle".
+    hot-key split), "broadcast" (raises if the measured side is over the
+    limit), or "shuffle".
     """
     how = {"left_outer": "left", "full": "outer", "full_outer": "outer"}.get(how, how)
     if how not in ("inner", "left", "right", "outer"):
@@ -253,21 +254,22 @@ def lookup_join(
     left_unique, right_unique = VALIDATIONS[validate]
     if left_unique:
         # Measure both sides in one job when both need it.
-        wanted = [(left, lkeys)] + ([(right, rkeys)] if (right_unique or strategy == "auto") else [])
+        wanted = [(left, lkeys)] + ([(right, rkeys)] if (right_unique or strategy != "shuffle") else [])
         prefetch_key_stats(wanted)
         assert_unique(left, lkeys, side="left")
 
     rstats: SideStats | None = None
-    if right_unique or strategy == "auto":
+    if right_unique or strategy != "shuffle":
         rstats = key_stats(right, rkeys)
         if right_unique and rstats.max_per_key > 1:
             assert_unique(right, rkeys, side="right")
 
     cond = _null_safe_cond(lk, rk)
     max_bytes = _conf_int(left, "finlake.broadcast.maxBytes", DEFAULT_BROADCAST_BYTES)
-    use_broadcast = strategy == "broadcast" or (
-        strategy == "auto" and rstats is not None and rstats.bytes <= max_bytes and how in ("inner", "left")
-    )
+    fits = rstats is not None and rstats.bytes <= max_bytes
+    if strategy == "broadcast" and not fits:
+        raise ValueError(f"the right side has {rstats.bytes} bytes; finlake.broadcast.maxBytes is {max_bytes}")
+    use_broadcast = fits and (strategy == "broadcast" or (strategy == "auto" and how in ("inner", "left")))
 
     split = (left.sparkSession.conf.get("finlake.skew.mode", "aqe") or "aqe") == "split"
     if use_broadcast:

@@ -218,6 +218,7 @@ def fs_hierarchy(fs_items: DataFrame, fs_parent_children: DataFrame, widen: bool
     return widen_levels(paths) if widen else paths
 
 
+# First columns of the chart of accounts.
 CHART_PREFIX = [
     "ID",
     "Financial Statement Item",
@@ -239,22 +240,21 @@ def chart_of_accounts(hierarchy: DataFrame, gl_to_compass_raw: DataFrame, gl_acc
     return ordered_columns(tcoa, CHART_PREFIX, contains="Level")
 
 
+# Names of the custom WBS elements.
+CUSTOM_WBS_RENAME = {
+    "WBS Element": "WBS Element Code",
+    "P&L_Destination": "WBS G/L Account",
+    "Level": "WBS Level",
+    "Profit Center": "WBS Profit Center Code",
+}
+CUSTOM_CODIFICATION_RENAME = {"Type Char": "WBS Type Char", "Type": "WBS Type", "Type Local": "WBS Type Local"}
+
+
 def custom_wbs_elements(wbs_elements_raw: DataFrame, wbs_codification_raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
     """H4: every column of the WBS file under lookup names, with parents,
     type char and codification (column ``WBS Type Local`` here)."""
-    w = rename_columns(
-        wbs_elements_raw,
-        {
-            "WBS Element": "WBS Element Code",
-            "P&L_Destination": "WBS G/L Account",
-            "Level": "WBS Level",
-            "Profit Center": "WBS Profit Center Code",
-        },
-    )
-    cod = rename_columns(
-        wbs_codification_raw,
-        {"Type Char": "WBS Type Char", "Type": "WBS Type", "Type Local": "WBS Type Local"},
-    )
+    w = rename_columns(wbs_elements_raw, CUSTOM_WBS_RENAME)
+    cod = rename_columns(wbs_codification_raw, CUSTOM_CODIFICATION_RENAME)
     return enhance_wbs_elements(w, cod, ordinal=ordinal)
 
 

@@ -48,10 +48,6 @@ def _when(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
 
-def _ts(text: str) -> Column:
-    return F.to_timestamp_ntz(F.lit(text))
-
-
 # ---------------------------------------------------------------------------
 # Dimensions
 # ---------------------------------------------------------------------------
@@ -63,7 +59,7 @@ def wbs_elements(part: DataFrame) -> DataFrame:
         F.col("p_name").alias("WBS Element Name"),
         F.when(F.col("p_size") % 5 == 1, F.lit(1)).otherwise(F.lit(2)).alias("WBS Level"),
         F.when(F.col("p_size") % 3 == 0, F.lit(None)).otherwise(F.col("p_size")).cast("bigint").alias("WBS G/L Account"),
-        F.when(F.col("p_partkey") % 4 == 0, F.lit(None)).otherwise(F.col("p_partkey") % 1500).alias("WBS Profit Center Code"),
+        F.when(F.col("p_partkey") % 4 == 0, F.lit(None)).otherwise(F.col("p_partkey")).alias("WBS Profit Center Code"),
         F.col("p_partkey").alias(ORDINAL),
         F.col("p_type").alias(TYPE_SOURCE),
     )
@@ -81,7 +77,7 @@ def wbs_codification(part: DataFrame) -> DataFrame:
 def cost_centers(supplier: DataFrame) -> DataFrame:
     return supplier.select(
         F.col("s_suppkey").alias("Cost Center Code"),
-        (F.col("s_suppkey") % 1500).alias("Profit Center Code"),
+        F.col("s_suppkey").alias("Profit Center Code"),
         F.col("s_nationkey").alias("Standard Hierarchy Node"),
     )
 
@@ -171,18 +167,11 @@ def _alive(dims: GoldDims) -> bool:
 # ---------------------------------------------------------------------------
 
 
-def ledger_feed(lineitem: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Lineitem as a ledger extract. When month-aligned bounds are given the
-    same half-open range is applied to the ship date, which is equivalent to
-    the range on the derived month and reaches the Parquet scan."""
-    li = lineitem
-    if start is not None:
-        li = li.filter(F.col("l_shipdate") >= _ts(start))
-    if end is not None:
-        li = li.filter(F.col("l_shipdate") < _ts(end))
+def ledger_feed(lineitem: DataFrame) -> DataFrame:
+    """Lineitem as a ledger extract."""
     fy = F.year("l_shipdate").cast("bigint")
     fp = F.month("l_shipdate").cast("bigint")
-    return li.select(
+    return lineitem.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -192,7 +181,7 @@ def ledger_feed(lineitem: DataFrame, start: str | None = None, end: str | None =
         _when(F.col("l_linenumber") == 5, F.col("l_suppkey")).alias("Partner Cost Center"),
         _when(F.col("l_returnflag") == "R", F.col("l_partkey")).alias("Product"),
         F.col("l_quantity").cast("bigint").alias("G/L Account"),
-        _when(F.col("l_linenumber") < 4, F.col("l_orderkey") % 1500).alias("Profit Center"),
+        _when(F.col("l_linenumber") < 4, F.floor(F.col("l_orderkey") / 10).cast("bigint")).alias("Profit Center"),
         fy.alias("Fiscal Year"),
         fp.alias("Period"),
         month_start(fy, fp).alias("PartitionDate"),
@@ -201,7 +190,7 @@ def ledger_feed(lineitem: DataFrame, start: str | None = None, end: str | None =
 
 def commit_wbs_feed(orders: DataFrame) -> DataFrame:
     fy = F.year("o_orderdate").cast("bigint")
-    fp = F.month("o_orderdate").cast("bigint")
+    fp = F.when(F.col("o_orderkey") % 11 == 0, 0).otherwise(F.month("o_orderdate")).cast("bigint")
     return orders.select(
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(18,2)").alias("Amount in Company Code Currency"),
@@ -212,24 +201,24 @@ def commit_wbs_feed(orders: DataFrame) -> DataFrame:
         .alias("Posting Date"),
         fy.alias("Fiscal Year"),
         fp.alias("Period"),
-        month_start(fy, fp).alias("PartitionDate"),
+        month_start(fy, fp, strict=False).alias("PartitionDate"),
     )
 
 
 def commit_cc_feed(orders: DataFrame) -> DataFrame:
     fy = F.year("o_orderdate").cast("bigint")
-    fp = F.month("o_orderdate").cast("bigint")
+    fp = F.when(F.col("o_orderkey") % 11 == 0, 0).otherwise(F.month("o_orderdate")).cast("bigint")
     return orders.select(
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(18,2)").alias("Amount in Company Code Currency"),
-        _when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 100).alias("Cost Center"),
+        _when(F.col("o_orderkey") % 3 != 0, F.floor(F.col("o_custkey") / 15).cast("bigint")).alias("Cost Center"),
         (F.col("o_orderkey") % 50 + 1).cast("bigint").alias("G/L Account"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
         .otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
         .alias("Delivery Date"),
         fy.alias("Fiscal Year"),
         fp.alias("Period"),
-        month_start(fy, fp).alias("PartitionDate"),
+        month_start(fy, fp, strict=False).alias("PartitionDate"),
     )
 
 
@@ -265,7 +254,7 @@ def forecast_bronze(events: DataFrame) -> DataFrame:
         F.lit("2024-02-01").alias("Last Refresh"),
         F.col("event_type").alias("SPEND TYPE"),
         F.col("value").cast("decimal(18,2)").alias("Value"),
-        _when(F.col("event_id") % 4 != 0, F.col("user_id") % 100).alias("CODE (L1_CC_Oth)"),
+        _when(F.col("event_id") % 4 != 0, F.col("user_id")).alias("CODE (L1_CC_Oth)"),
         _when(F.col("event_id") % 6 != 0, F.concat(F.lit("cc-"), F.col("event_type"))).alias(
             "CODE DESCRIPTION  (L1_CC_Oth)"
         ),
@@ -298,7 +287,7 @@ def orders_extract(orders: DataFrame) -> DataFrame:
         F.when(F.col("o_orderkey") % 5 == 0, F.concat(month, F.lit(".0"))).otherwise(month).alias("Period"),
         F.col("o_totalprice").cast("string").alias("Amount in Company Code Currency"),
         F.col("o_custkey").cast("string").alias("WBS Element"),
-        F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise((F.col("o_custkey") % 100).cast("string")).alias("Cost Center"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.floor(F.col("o_custkey") / 15).cast("bigint").cast("string")).alias("Cost Center"),
         (F.col("o_orderkey") % 10).cast("string").alias("Reference Item"),
         F.date_format("o_orderdate", "M/d/yyyy").alias("Posting Date"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_orderpriority")).alias(

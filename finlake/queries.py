@@ -69,7 +69,7 @@ wbs0 as (
   select nullif(p_partkey,0) wbs_code, p_name wbs_name,
          case when p_size%5=1 then 1 else 2 end wbs_level,
          cast(case when p_size%3=0 then null else p_size end as bigint) wbs_gl,
-         case when p_partkey%4=0 then null else p_partkey%1500 end wbs_pc,
+         case when p_partkey%4=0 then null else p_partkey end wbs_pc,
          p_partkey ord, substr(p_type,1,1) type_char from part),
 cod as (select substr(p_type,1,1) type_char, min(p_type) wbs_type
         from part where p_type<>'PROMO' group by 1),
@@ -79,7 +79,7 @@ wbs as (select w.wbs_code, w.wbs_name, w.wbs_level, w.wbs_gl, w.wbs_pc, w.type_c
     last_value(case when wbs_level=1 then wbs_name end ignore nulls) over
       (order by ord rows between unbounded preceding and current row) parent_name
   from wbs0 w left join cod on w.type_char is not distinct from cod.type_char),
-cc as (select s.s_suppkey cc_code, s.s_suppkey%1500 cc_pc, n.n_regionkey compass_cc
+cc as (select s.s_suppkey cc_code, s.s_suppkey cc_pc, n.n_regionkey compass_cc
        from supplier s join nation n on s.s_nationkey=n.n_nationkey),
 comp as (select r_regionkey compass, r_name pl_text from region where r_regionkey<4),
 glc as (select cast(g.gl as bigint) gl, m.compass gl_compass
@@ -99,7 +99,7 @@ def _sql_ledger_fact(lo: str, hi: str, name: str = "fact") -> str:
     case when l_linenumber=5 then l_suppkey end partner_cc,
     case when l_returnflag='R' then l_partkey end product_code,
     cast(l_quantity as bigint) gl,
-    case when l_linenumber<4 then l_orderkey%1500 end pc,
+    case when l_linenumber<4 then l_orderkey // 10 end pc,
     cast(extract(year from l_shipdate) as bigint) fy,
     cast(extract(month from l_shipdate) as bigint) fp
   from lineitem
@@ -165,7 +165,7 @@ def _ledger_gold_columns(g: DataFrame) -> DataFrame:
 )
 def q_gold_actuals(spark: SparkSession, sf: str) -> DataFrame:
     dims = dt.gold_dims(spark, sf)
-    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1998-01-01", "1999-01-01")
+    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"))
     g = assemble_gold(dims, actuals=feed, start="1998/01/01", end="1999/01/01")
     return _ledger_gold_columns(g)
 
@@ -181,7 +181,7 @@ def q_gold_actuals_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     the null WBS code split by AQE at run time."""
     with conf_override(spark, **{"finlake.broadcast.maxBytes": "0"}):
         dims = dt.build_gold_dims(dt.lookups(spark, sf))
-        feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1998-01-01", "1999-01-01")
+        feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"))
         g = assemble_gold(dims, actuals=feed, start="1998/01/01", end="1999/01/01")
         return _ledger_gold_columns(g)
 
@@ -193,7 +193,7 @@ def q_gold_actuals_shuffle(spark: SparkSession, sf: str) -> DataFrame:
 )
 def q_gold_cc_details(spark: SparkSession, sf: str) -> DataFrame:
     dims = dt.gold_dims(spark, sf)
-    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1997-01-01", "1998-01-01")
+    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"))
     g = assemble_gold(dims, cc_details=feed, start="1997/01/01", end="1998/01/01")
     return _ledger_gold_columns(g)
 
@@ -599,7 +599,7 @@ cw as (select o_orderkey, cast(o_totalprice as decimal(18,2)) amount,
    case when o_orderkey % 7 <> 0 then o_custkey end wbs_code,
    cast(o_orderkey % 50 + 1 as bigint) gl,
    case when o_orderstatus = 'P' then 'not a date' else strftime(o_orderdate, '%m/%d/%Y') end posting_text,
-   cast(extract(year from o_orderdate) as bigint) fy, cast(extract(month from o_orderdate) as bigint) fp
+   cast(extract(year from o_orderdate) as bigint) fy, cast(case when o_orderkey % 11 = 0 then 0 else extract(month from o_orderdate) end as bigint) fp
  from orders),
 cwa as (select c.o_orderkey, 'Committed' scenario, c.amount, c.gl native_gl, coalesce(w.wbs_gl, c.gl) gl,
     w.wbs_pc pc, w.wbs_type, w.parent_code, 'WBS' fiscal_type,
@@ -614,10 +614,10 @@ cwg as (select g.*, cast(glc.gl_compass as bigint) compass, comp.pl_text, pcs.di
 
 SQL_COMMIT_CC = """
 ccf as (select o_orderkey, cast(o_totalprice as decimal(18,2)) amount,
-   case when o_orderkey % 3 <> 0 then o_custkey % 100 end cc_code,
+   case when o_orderkey % 3 <> 0 then o_custkey // 15 end cc_code,
    cast(o_orderkey % 50 + 1 as bigint) gl,
    case when o_orderpriority = '5-LOW' then null else strftime(o_orderdate, '%-m/%-d/%Y') end delivery_text,
-   cast(extract(year from o_orderdate) as bigint) fy, cast(extract(month from o_orderdate) as bigint) fp
+   cast(extract(year from o_orderdate) as bigint) fy, cast(case when o_orderkey % 11 = 0 then 0 else extract(month from o_orderdate) end as bigint) fp
  from orders),
 ccg as (select f.o_orderkey, 'Committed' scenario, f.amount, f.gl,
    cast(coalesce(cc.compass_cc, glc.gl_compass) as bigint) compass, comp.pl_text, cc.cc_pc pc,
@@ -641,7 +641,7 @@ fb as (select event_id,
         else 'M' || lpad(cast(k % 13 as varchar), 2, '0') || '_T' end period,
    event_type spend_type,
    cast(value as decimal(18,2)) amount,
-   case when event_id % 4 <> 0 then user_id % 100 end code1,
+   case when event_id % 4 <> 0 then user_id end code1,
    case when event_id % 6 <> 0 then 'cc-' || event_type end code1_desc,
    case when event_id % 5 <> 0 then user_id end code2,
    'wbs' code2_desc,
@@ -748,7 +748,8 @@ def _forecast_columns(g: DataFrame) -> DataFrame:
     )
 
 
-ALL_RANGE = ("1997-01-01", "2025-01-01")
+#: Wider than any table: gold_all keeps every month.
+ALL_RANGE = ("1900-01-01", "2200-01-01")
 
 SQL_GOLD_ALL = (
     "with "
@@ -791,8 +792,8 @@ def gold_all_frame(spark: SparkSession, sf: str) -> DataFrame:
     orders = dt.table(spark, sf, "orders")
     return assemble_gold(
         dims,
-        actuals=dt.ledger_feed(lineitem, *ALL_RANGE),
-        cc_details=dt.ledger_feed(lineitem, *ALL_RANGE),
+        actuals=dt.ledger_feed(lineitem),
+        cc_details=dt.ledger_feed(lineitem),
         commit_wbs=dt.commit_wbs_feed(orders),
         commit_cc=dt.commit_cc_feed(orders),
         forecasts=dt.forecast_bronze(dt.table(spark, sf, "events")),
@@ -837,7 +838,7 @@ def q_gold_all(spark: SparkSession, sf: str) -> DataFrame:
 def q_gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """S14 + S15: gold actuals written partitioned by Year/Month, re-read."""
     dims = dt.gold_dims(spark, sf)
-    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"), "1998-01-01", "1999-01-01")
+    feed = dt.ledger_feed(dt.table(spark, sf, "lineitem"))
     out = scratch_path(spark, "gold")
     write_gold(assemble_gold(dims, actuals=feed, start="1998/01/01", end="1999/01/01"), out)
     return _ledger_gold_columns(read_gold(spark, out))
@@ -847,7 +848,7 @@ SQL_ORDERS_EXTRACT = """
 select o_orderkey, cast(extract(year from o_orderdate) as bigint) fiscal_year,
   cast(extract(month from o_orderdate) as bigint) period, o_totalprice amount,
   cast(o_custkey as varchar) wbs_element,
-  case when o_orderkey % 3 = 0 then null else cast(o_custkey % 100 as varchar) end cost_center,
+  case when o_orderkey % 3 = 0 then null else cast(o_custkey // 15 as varchar) end cost_center,
   o_orderkey % 10 reference_item, o_orderdate posting_date,
   case when o_orderpriority = '5-LOW' then null else o_orderpriority end item_text,
   o_orderstatus order_status,
@@ -917,7 +918,7 @@ wbs0 as (
          p_name wbs_name,
          case when p_size%5=1 then 1 else 2 end wbs_level,
          cast(case when p_size%3=0 then null else p_size end as bigint) wbs_gl,
-         case when p_partkey%4=0 then null else cast(p_partkey%1500 as varchar) end wbs_pc,
+         case when p_partkey%4=0 then null else cast(p_partkey as varchar) end wbs_pc,
          p_partkey ord,
          substr(case when p_partkey = 0 then null else substr(p_type,1,1) || cast(p_partkey as varchar) end, 1, 1)
            type_char from part),
@@ -927,13 +928,13 @@ wbs as (select w.wbs_code, w.wbs_name, w.wbs_level, w.wbs_gl, w.wbs_pc, w.type_c
     last_value(case when wbs_level=1 then wbs_code end ignore nulls) over
       (order by ord rows between unbounded preceding and current row) parent_code
   from wbs0 w left join cod on w.type_char is not distinct from cod.type_char),
-cc as (select cast(s.s_suppkey as varchar) cc_code, cast(s.s_suppkey%1500 as varchar) cc_pc,
+cc as (select cast(s.s_suppkey as varchar) cc_code, cast(s.s_suppkey as varchar) cc_pc,
               cast(n.n_regionkey as varchar) compass_cc
        from supplier s join nation n on s.s_nationkey=n.n_nationkey),
-comp as (select cast(r_regionkey as varchar) compass, r_name pl_text from region where r_regionkey<4),
+comp as (select cast(r_regionkey as varchar) compass, r_name pl_text from region),
 glc as (select cast(g.gl as bigint) gl, m.compass gl_compass
         from (select distinct p_size gl from part) g
-        left join (select distinct p_size gl, cast(p_size%5 as varchar) compass from part where p_size<40) m on g.gl=m.gl),
+        left join (select distinct p_size gl, cast(p_size%6 as varchar) compass from part where p_size<40) m on g.gl=m.gl),
 pcs as (select cast(c.c_custkey as varchar) pc, c.c_mktsegment division, n.n_name sig_desc
         from customer c left join (select * from nation where n_nationkey<20) n on c.c_nationkey=n.n_nationkey),
 fact as (select l_orderkey, cast(l_linenumber as bigint) l_linenumber, l_partkey,
@@ -944,7 +945,7 @@ fact as (select l_orderkey, cast(l_linenumber as bigint) l_linenumber, l_partkey
     case when l_linenumber=5 then cast(l_suppkey as varchar) end partner_cc,
     case when l_returnflag='R' then cast(l_partkey as varchar) end product_code,
     cast(l_quantity as bigint) gl,
-    case when l_linenumber<4 then cast(l_orderkey%1500 as varchar) end pc,
+    case when l_linenumber<4 then cast(l_orderkey // 10 as varchar) end pc,
     cast(extract(year from l_shipdate) as bigint) fy,
     cast(extract(month from l_shipdate) as bigint) fp
   from lineitem left join part p on l_partkey = p.p_partkey
@@ -1025,15 +1026,15 @@ def q_warehouse_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_META_HIERARCHY = """
 with recursive items as (
-  select cast(r_regionkey as varchar) fsi, r_name text from region where r_regionkey < 4
+  select cast(r_regionkey as varchar) fsi, r_name text from region
   union all
-  select 'N' || n_nationkey, case when n_nationkey % 7 = 3 then null else n_name end from nation where n_regionkey < 4),
+  select 'N' || n_nationkey, case when n_nationkey % 7 = 3 then null else n_name end from nation),
 links as (
   select cast(r_regionkey + 1 as bigint) id, cast(r_regionkey as varchar) fsi, cast(0 as bigint) parent
-  from region where r_regionkey < 4
+  from region
   union all
   select cast(n_nationkey + 100 as bigint), 'N' || n_nationkey, cast(n_regionkey + 1 as bigint)
-  from nation where n_regionkey < 4),
+  from nation),
 nodes as (select l.id, l.fsi, coalesce(i.text, l.fsi) as text, l.parent from links l join items i on l.fsi = i.fsi),
 walk as (
   select id, parent as cur, text as path, 0 as lvl from nodes
@@ -1072,7 +1073,7 @@ def q_metadata_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cost_center_compass",
     """
-select s.s_suppkey cc_code, s.s_suppkey % 1500 pc, n.n_regionkey compass
+select s.s_suppkey cc_code, s.s_suppkey pc, n.n_regionkey compass
 from supplier s join nation n on s.s_nationkey is not distinct from n.n_nationkey
 """,
 )
@@ -1134,7 +1135,7 @@ with w as (
   select case when p_partkey = 0 then null else substr(p_type,1,1) || cast(p_partkey as varchar) end code,
          p_name name, case when p_size % 5 = 1 then 1 else 2 end lvl,
          cast(case when p_size % 3 = 0 then null else p_size end as bigint) gl,
-         case when p_partkey % 4 = 0 then null else cast(p_partkey % 1500 as varchar) end pc,
+         case when p_partkey % 4 = 0 then null else cast(p_partkey as varchar) end pc,
          p_partkey ord from part),
 cod as (select substr(p_type,1,1) type_char, min(p_type) wbs_type, lower(min(p_type)) type_local
         from part where p_type <> 'PROMO' group by 1)

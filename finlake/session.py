@@ -1,8 +1,8 @@
 """Session construction and shared-storage helpers.
 
 Lineage cuts and intermediate tables go to the folder the cluster names in
-``spark.checkpoint.dir``. Only when the session has none (local tests) do we
-create one under /tmp.
+``spark.checkpoint.dir``. Only a local session without one (tests) gets a
+folder under /tmp.
 """
 
 from __future__ import annotations
@@ -49,7 +49,8 @@ def _context(spark: SparkSession):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder. Only a local session without one
+    gets a folder under /tmp; on a cluster a missing setting is an error."""
     sc = _context(spark)
     current = None
     if sc is not None:
@@ -59,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         if sc is not None:
             sc.setCheckpointDir(current)
