@@ -28,6 +28,12 @@ def parser() -> argparse.ArgumentParser:
     imp.add_argument("--source-path", action="append", required=True)
     imp.add_argument("--project-path", default=None, help="prefix for relative source paths")
     imp.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
+    imp.add_argument(
+        "--multi-line",
+        choices=["auto", "yes", "no"],
+        default="auto",
+        help="read whole files in one task: where quoted fields hold line breaks (auto), always, or never",
+    )
     meta = sub.add_parser("metadata", parents=[common], help="replace the dimension tables")
     meta.add_argument("--metadata-path", required=True)
     tr = sub.add_parser("transform", parents=[common], help="build the gold dataset")
@@ -58,7 +64,7 @@ def run(spark, args: argparse.Namespace) -> None:
     wh = Warehouse(args.warehouse)
     if args.command == "import":
         roots = [f"{args.project_path.rstrip('/')}/{p}" if args.project_path else p for p in args.source_path]
-        report = import_job(spark, wh, roots, args.input_format)
+        report = import_job(spark, wh, roots, args.input_format, {"auto": None, "yes": True, "no": False}[args.multi_line])
         print(f"ingested {report.ingested_count} files, rejected {len(report.rejected)}, "
               f"duplicate names skipped {len(report.duplicates)}")
         for r in report.rejected:

@@ -1,17 +1,23 @@
 """Batch import (G4): new files -> routed feeds -> typed frames -> bronze.
 
 Each file lands at most once. Files are grouped, never looped over one by
-one: one listing job, one ledger anti-join, one header scan, one validation
-aggregate and one write per (feed, header) group.
-
-Write protocol (exactly once without transactions): bronze is partitioned by
-``source_file`` and written with dynamic partition overwrite, then the ledger
-is appended. A crash between the two leaves partitions that the next run
-rewrites whole before recording them.
-
-A file holding a value that does not parse (a declared integer such as
-``1.5``, a date that is not month/day/year, a period month outside 1..12) is
-quarantined with its reason; the other files of the batch still load.
+one: one listing job, one ledger anti-join, one probe of the files' bytes, and
+one staged write, check and publish per (feed, header) group. A batch holds at
+most ``BATCH_NAMES`` base names, so a run of any size keeps a bounded list of
+paths in the driver.
+
+Write protocol (exactly once without transactions): typed rows go to a staging
+folder on shared storage, files with bad rows are found there, and the rows of
+good files are written to bronze (partitioned by month and ``source_file``, with
+dynamic partition overwrite); then the ledger is appended. A crash between the
+two leaves partitions that the next run rewrites before recording them.
+
+A file that cannot be loaded (an open quote, a value that does not parse to its
+type, a date that is not month/day/year, a period month outside 1..12, other
+columns than its feed, a value the feed's type cannot hold) is quarantined with
+its reason; the other files still load, and if another file of the same name
+exists, the next path is tried. Anything else, such as a storage or cluster
+fault, is raised, so the run (or the stream's batch) fails and can be repeated.
 """
 
 from __future__ import annotations
@@ -21,18 +27,21 @@ import os
 from collections import defaultdict
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import col, month_start, parse_date, period_digits
-from finlake.plans.warehouse import Warehouse
-from finlake.sources.csv import Rejected, group_by_header, read_csv_group, read_parquet_files
-from finlake.sources.files import list_files, mark_first_per_name, with_feed
+from finlake.plans.warehouse import MONTH, Warehouse
+from finlake.session import scratch_path
+from finlake.sources.csv import VISIBLE, Rejected, cast_value, first_reason, group_by_header, read_csv_group, read_parquet_files
+from finlake.sources.files import is_hidden, list_files, rank_per_name, visible_copies, with_feed
 from finlake.sources.ledger import new_files, read_ledger, record
+from finlake.sources.probe import parquet_facts
 
 log = logging.getLogger(__name__)
 
+BATCH_NAMES = 10_000
+
 
 @dataclass
 class ImportReport:
@@ -72,10 +81,11 @@ def with_partition_date(df: DataFrame) -> tuple[DataFrame, Column]:
     return df, F.lit(False)
 
 
-def with_date_columns(df: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+def with_date_columns(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[tuple[str, Column, Column]]]:
     """Every column with 'date' in its name (of ``names``) parsed as
-    month/day/year; text that does not parse flags its row."""
-    bad = F.lit(False)
+    month/day/year; text that does not parse flags its row. Returns the frame
+    (texts kept as ``__txt_*``) and the checks."""
+    checks = []
     out = df
     for f in df.schema.fields:
         if f.name not in names or "date" not in f.name.lower():
@@ -83,66 +93,116 @@ def with_date_columns(df: DataFrame, names: list[str]) -> tuple[DataFrame, Colum
         if f.dataType.typeName() == "string":
             out = out.withColumn(f"__txt_{f.name}", col(f.name))
             out = out.withColumn(f.name, parse_date(f.name, strict=False))
-            bad = bad | (col(f"__txt_{f.name}").isNotNull() & col(f.name).isNull())
+            checks.append((f.name, col(f"__txt_{f.name}").isNotNull() & col(f.name).isNull(), col(f"__txt_{f.name}")))
         else:
             out = out.withColumn(f.name, col(f.name).cast("timestamp_ntz"))
-    return out, bad
+    return out, checks
 
 
 def _base(path: str) -> str:
     return os.path.basename(path.rstrip("/"))
 
 
-def ingest_frame(
-    spark: SparkSession, wh: Warehouse, feed: str, df: DataFrame, paths: list[str], report: ImportReport
-) -> None:
-    """Validate, then write one (feed, header) group and record it."""
+def typed_rows(df: DataFrame) -> DataFrame:
+    """G5 and C9 on one (feed, header) group; ``__bad`` says why a row is bad."""
     names = [c for c in df.columns if c not in ("source_file", "__bad")]
-    staged, bad_date = with_partition_date(df)
-    staged, bad_cols = with_date_columns(staged, names)
-    staged = staged.withColumn("__bad", col("__bad") | bad_date | bad_cols)
-    staged = staged.drop(*[c for c in staged.columns if c.startswith("__txt_")])
-    # Parsed once: kept (memory, spilling to disk) for the check and the write.
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _validate_and_write(spark, wh, feed, staged, paths, report)
-    finally:
-        staged.unpersist()
-
-
-def _validate_and_write(
-    spark: SparkSession, wh: Warehouse, feed: str, staged: DataFrame, paths: list[str], report: ImportReport
-) -> None:
-    bad_files = [
-        r["source_file"]
-        for r in staged.filter(col("__bad")).select("source_file").distinct().collect()
-    ]
-    for name in bad_files:
-        report.rejected.append(Rejected(name, "values that do not parse to their declared type or date"))
-    good_names = sorted({_base(p) for p in paths} - set(bad_files))
-    if not good_names:
-        return
+    staged, bad_period = with_partition_date(df)
+    staged, checks = with_date_columns(staged, names)
+    period = F.when(bad_period, F.lit("no month can be built from the period columns"))
+    staged = staged.withColumn("__bad", F.coalesce(col("__bad"), first_reason(checks), period))
+    return staged.drop(*[c for c in staged.columns if c.startswith("__txt_")])
+
+
+def as_feed(staged: DataFrame, schema) -> DataFrame:
+    """Columns in the feed's order and types; a value its type cannot hold is bad."""
+    have = {f.name: f.dataType for f in staged.schema.fields}
+    cols, checks = [], []
+    for f in schema.fields:
+        if have[f.name] == f.dataType:
+            cols.append(col(f.name))
+            continue
+        typed, bad = cast_value(f.name, have[f.name], f.dataType)
+        cols.append(typed.alias(f.name))
+        checks.append((f.name, bad, col(f.name)))
+    return staged.select(*cols, F.coalesce(col("__bad"), first_reason(checks)).alias("__bad"))
 
-    good = staged.drop("__bad")
-    if bad_files:
-        good = good.filter(~col("source_file").isin(bad_files))
-    existing = wh.feed_schema(spark, feed)
-    if existing is not None and set(existing.fieldNames()) != set(good.columns):
-        for name in good_names:
-            report.rejected.append(Rejected(name, f"columns differ from feed table {feed}"))
-        return
 
+def ingest_group(spark: SparkSession, wh: Warehouse, feed: str, df: DataFrame, paths: list[str]) -> dict[str, str]:
+    """Stage, check and publish one (feed, header) group; returns path -> reason of the rejected ones."""
+    try:
+        staged = typed_rows(df)
+    except ValueError as exc:  # the columns contradict a rule
+        return {p: str(exc) for p in paths}
+    schema = wh.feed_schema(spark, feed)
+    if schema is None:
+        wanted = staged.drop("__bad").schema
+    elif set(schema.fieldNames()) != set(staged.columns) - {"__bad"}:
+        return {p: f"columns differ from feed table {feed}" for p in paths}
+    else:
+        wanted = schema
+        staged = as_feed(staged, schema)
+    folder = scratch_path(spark, f"staging-{feed}") + "/rows"
+    staged.write.parquet(folder)
+    rows = spark.read.schema(staged.schema).parquet(folder)
+    # at most one row per file of the batch
+    bad = rows.filter(col("__bad").isNotNull()).groupBy("source_file").agg(F.min("__bad").alias("reason"))
+    reasons = {r["source_file"]: r["reason"] for r in bad.collect()}
+    rejected = {p: reasons[_base(p)] for p in paths if _base(p) in reasons}
+    good_names = sorted({_base(p) for p in paths} - set(reasons))
+    if not good_names:
+        return rejected
+    if reasons:
+        rows = rows.join(F.broadcast(bad.select("source_file")), "source_file", "left_anti")
+    if schema is None:
+        wh.set_feed_schema(spark, feed, wanted)
+    month = F.date_format(col("PartitionDate"), "yyyy-MM") if "PartitionDate" in rows.columns else F.lit(None).cast("string")
     (
-        # No shuffle: a file's rows already sit in the task(s) that read it
-        # (one task per file with multiLine, one per split otherwise), so each
-        # task writes into the partitions of the files it read.
-        good.write.mode("overwrite")
+        # No shuffle: a file's rows already sit in the task(s) that staged it.
+        rows.select(*[col(f.name) for f in wanted.fields], month.alias(MONTH))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file")
+        .partitionBy(MONTH, "source_file")
         .parquet(wh.feed_path(feed))
     )
     record(spark, wh.ledger_path, spark.createDataFrame([(n,) for n in good_names], "file_name string"))
-    report.ingested[feed].extend(good_names)
+    return rejected
+
+
+def _ingest_files(
+    spark: SparkSession, wh: Warehouse, feed: str, paths: list[str], input_format: str, multi_line: bool | None
+) -> dict[str, str]:
+    """One file per base name into one feed; returns path -> reason of the rejected ones."""
+    hidden = [p for p in paths if is_hidden(p)]
+    copies = visible_copies(spark, hidden) if hidden else {}
+    original = {copies.get(p, p): p for p in paths}
+    rejected: dict[str, str] = {}
+    if input_format.lower() == "parquet":
+        facts = parquet_facts(spark, list(original))
+        groups: dict[str, list[str]] = defaultdict(list)
+        for p in original:
+            schema, problem = facts[p]
+            if problem:
+                rejected[original[p]] = problem
+            else:
+                groups[schema].append(p)
+        frames = [(read_parquet_files(spark, g), g) for _, g in sorted(groups.items(), key=lambda x: min(x[1]))]
+    else:
+        hg = group_by_header(spark, list(original))
+        rejected |= {original[r.path]: r.reason for r in hg.rejected}
+        frames = [
+            (read_csv_group(spark, names, g, multi_line=lines if multi_line is None else multi_line), g)
+            for (names, lines), g in hg.groups.items()
+        ]
+    for df, group in frames:
+        for p, reason in ingest_group(spark, wh, feed, df, [_plain(p) for p in group]).items():
+            rejected[next(original[g] for g in group if _plain(g) == p)] = reason
+    return rejected
+
+
+def _plain(path: str) -> str:
+    """Path with the base name that rows carry as ``source_file``."""
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/{name.removeprefix(VISIBLE)}"
 
 
 def import_paths(
@@ -150,37 +210,43 @@ def import_paths(
     wh: Warehouse,
     files: DataFrame,
     input_format: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> ImportReport:
     """Ingest the listed files (DataFrame with ``path`` and ``file_name``)
-    that the ledger has not seen."""
+    that the ledger has not seen. ``multi_line`` None reads whole files in one
+    task only where a quoted field holds a line break."""
     report = ImportReport()
     fresh = new_files(files, read_ledger(spark, wh.ledger_path))
-    # One job over file metadata only: route, and mark the file kept for each
-    # base name (D5: smallest path).
-    listing = with_feed(mark_first_per_name(fresh)).select("path", "feed", "__kept").collect()
-    report.duplicates = sorted(r["path"] for r in listing if not r["__kept"])
-    by_feed: dict[str, list[str]] = defaultdict(list)
-    for r in listing:
-        if r["__kept"]:
-            by_feed[r["feed"]].append(r["path"])
-
-    for feed in sorted(by_feed):
-        paths = sorted(by_feed[feed])
-        groups: list[tuple[DataFrame, list[str]]] = []
-        if input_format.lower() == "parquet":
-            groups.append((read_parquet_files(spark, paths), paths))
-        else:
-            hg = group_by_header(spark, paths)
-            report.rejected.extend(Rejected(_base(r.path), r.reason) for r in hg.rejected)
-            for names, group_paths in hg.groups.items():
-                groups.append((read_csv_group(spark, names, group_paths, multi_line=multi_line), group_paths))
-        for df, group_paths in groups:
-            try:
-                ingest_frame(spark, wh, feed, df, group_paths, report)
-            except Exception as exc:  # a broken group must not stop the others
-                log.error("feed %s: group of %d files rejected: %s", feed, len(group_paths), exc)
-                report.rejected.extend(Rejected(_base(p), f"{type(exc).__name__}: {exc}") for p in group_paths)
+    ranked = with_feed(rank_per_name(fresh.select("path", "file_name").distinct())).select("path", "file_name", "feed", "rank")
+    n_names = ranked.filter("rank = 1").count()
+    batches = max(1, -(-n_names // BATCH_NAMES))
+    batch_of = F.pmod(F.xxhash64("file_name"), F.lit(batches))
+    for b in range(batches):
+        rows = sorted(ranked.filter(batch_of == b).collect(), key=lambda r: (r["rank"], r["path"]))
+        waiting, loaded = rows, {}
+        while waiting:
+            # the smallest path of each name; the others wait for its outcome
+            now = {}
+            for r in waiting:
+                now.setdefault(r["file_name"], r)
+            by_feed: dict[str, list[str]] = defaultdict(list)
+            for r in now.values():
+                by_feed[r["feed"]].append(r["path"])
+            rejected: dict[str, str] = {}
+            for feed in sorted(by_feed):
+                paths = sorted(by_feed[feed])
+                found = _ingest_files(spark, wh, feed, paths, input_format, multi_line)
+                rejected |= found
+                done = [p for p in paths if p not in found]
+                report.ingested[feed].extend(_base(p) for p in done)
+                loaded |= {_base(p): p for p in done}
+            report.rejected += [Rejected(_base(p), reason) for p, reason in sorted(rejected.items())]
+            tried = {r["path"] for r in now.values()}
+            waiting = [r for r in waiting if r["path"] not in tried]
+            lost = [r for r in waiting if r["file_name"] in loaded]
+            report.duplicates += [r["path"] for r in lost]
+            waiting = [r for r in waiting if r["file_name"] not in loaded]
+    report.duplicates.sort()
     _write_quarantine(spark, wh, report)
     return report
 
@@ -190,7 +256,7 @@ def import_files(
     wh: Warehouse,
     roots: list[str],
     input_format: str = "csv",
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> ImportReport:
     """G4 entry: list ``*.<input_format>`` under ``roots`` and ingest."""
     files = list_files(spark, roots, input_format)
@@ -198,12 +264,15 @@ def import_files(
 
 
 def _write_quarantine(spark: SparkSession, wh: Warehouse, report: ImportReport) -> None:
-    if not report.rejected:
-        return
+    """Rejected files, and paths that lost to another file of their name."""
     rows = [(r.path, r.reason) for r in report.rejected]
+    rows += [(p, "another file of this name was loaded") for p in report.duplicates]
+    if not rows:
+        return
     (
         spark.createDataFrame(rows, "file_name string, reason string")
         .withColumn("rejected_at", F.localtimestamp().cast("timestamp_ntz"))
+        .coalesce(1)
         .write.mode("append")
         .parquet(wh.quarantine_path)
     )

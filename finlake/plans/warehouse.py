@@ -1,6 +1,7 @@
 """Storage layout of one warehouse under a root folder (any Hadoop path):
 
-  <root>/bronze/<feed>/source_file=<name>/   feed tables, one partition per file
+  <root>/bronze/<feed>/bronze_month=<yyyy-MM>/source_file=<name>/   feed tables
+  <root>/schema/<feed>/                      columns and types of each feed table
   <root>/meta/<table>/                       refreshed dimension tables
   <root>/ledger/                             ingested base names
   <root>/quarantine/                         rejected files and reasons
@@ -8,17 +9,28 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Partition column of the feed tables: month of PartitionDate, null without one.
+MONTH = "bronze_month"
+
 
 def _missing(exc: Exception) -> bool:
     text = str(exc)
     return "PATH_NOT_FOUND" in text or "does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
 
 
+def month_of(day: str) -> str:
+    """'2024/01/31' or '2024-01-31' -> '2024-01'."""
+    return datetime.strptime(day.replace("-", "/"), "%Y/%m/%d").strftime("%Y-%m")
+
+
 @dataclass(frozen=True)
 class Warehouse:
     root: str
@@ -38,19 +50,29 @@ class Warehouse:
     def quarantine_path(self) -> str:
         return f"{self.root.rstrip('/')}/quarantine"
 
-    def read_feed(self, spark: SparkSession, feed: str) -> DataFrame | None:
-        """A feed table, or None when nothing was ever ingested into it."""
-        try:
-            return spark.read.option("mergeSchema", "true").parquet(self.feed_path(feed))
-        except Exception as exc:
-            if _missing(exc):
-                return None
-            raise
-
-    def read_feed_or_empty(self, spark: SparkSession, feed: str) -> DataFrame:
+    def schema_path(self, feed: str) -> str:
+        return f"{self.root.rstrip('/')}/schema/{feed}"
+
+    def read_feed(self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None) -> DataFrame | None:
+        """A feed table, or None when nothing was ever ingested into it. With
+        ``start`` and ``end`` (first day included, first day excluded) only the
+        folders of the months they touch are read."""
+        schema = self.feed_schema(spark, feed)
+        if schema is None:
+            return None
+        stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+        df = spark.read.schema(stored).parquet(self.feed_path(feed))
+        if start and end:
+            month = F.col(MONTH)
+            df = df.filter((month >= month_of(start)) & (month <= month_of(end)))
+        return df.drop(MONTH)
+
+    def read_feed_or_empty(
+        self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None
+    ) -> DataFrame:
         """A feed table, or an empty frame of the feed's needed columns when
         nothing was ingested into it yet (D8, D9)."""
-        df = self.read_feed(spark, feed)
+        df = self.read_feed(spark, feed, start, end)
         if df is None:
             from finlake.schemas import feed_schema
 
@@ -58,8 +80,18 @@ class Warehouse:
         return df
 
     def feed_schema(self, spark: SparkSession, feed: str) -> T.StructType | None:
-        df = self.read_feed(spark, feed)
-        return None if df is None else df.schema
+        """Columns of a feed table (``source_file`` last), as its first file set them."""
+        try:
+            text = spark.read.option("wholetext", "true").text(self.schema_path(feed)).first()
+        except Exception as exc:
+            if _missing(exc):
+                return None
+            raise
+        return None if text is None else T.StructType.fromJson(json.loads(text["value"]))
+
+    def set_feed_schema(self, spark: SparkSession, feed: str, schema: T.StructType) -> None:
+        one = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+        one.write.mode("overwrite").text(self.schema_path(feed))
 
     def read_meta(self, spark: SparkSession, table: str) -> DataFrame | None:
         try:

@@ -22,18 +22,19 @@ from pyspark.sql import types as T
 
 from finlake.functions.columns import col, null_tokens, strict_long
 from finlake.schemas import RAW_TYPES
+from finlake.sources.probe import csv_facts
+from finlake.sources.probe import norm as _norm
+
+#: Prefix under which files that Spark's readers hide are copied (see ``files.visible_copies``).
+VISIBLE = "visible~"
+
 
 def source_file_name() -> Column:
     """Base name of the file a row was read from. Spark reports it
     URI-encoded ('a%20b.csv'); decode it so it equals the listed name. A
     literal '+' is kept (form decoding would turn it into a space)."""
     raw = F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B")
-    return F.url_decode(raw)
-
-
-def source_file_path() -> Column:
-    """Full path a row was read from, decoded like ``source_file_name``."""
-    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    return F.regexp_replace(F.url_decode(raw), f"^{VISIBLE}", "")
 
 
 FACT_ENCODING = "ISO-8859-1"
@@ -48,129 +49,41 @@ class Rejected:
 
 @dataclass
 class HeaderGroups:
-    groups: dict[tuple[str, ...], list[str]] = field(default_factory=dict)
-    rejected: list[Rejected] = field(default_factory=list)
+    """Paths by (column names, whether quoted fields hold line breaks)."""
 
-
-HEADER_PROBE_BYTES = 1 << 16
-
-
-def _first_line_reader(encoding: str, probe_bytes: int = HEADER_PROBE_BYTES):
-    """Per-partition reader of the first line of each file (a few KB per
-    file), run inside Spark tasks. Paths it cannot open come back null and
-    are read by the scan fallback. Self-contained (standard library, pandas,
-    pyarrow only), so executors need not import this package."""
-
-    def read(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-
-        for pdf in batches:
-            heads = []
-            for path in pdf["path"]:
-                try:
-                    if path.startswith("file:"):
-                        local = path[len("file:"):]
-                        local = "/" + local.lstrip("/")
-                        fs, inner = pafs.LocalFileSystem(), local
-                    elif "://" in path:
-                        fs, inner = pafs.FileSystem.from_uri(path)
-                    else:
-                        fs, inner = pafs.LocalFileSystem(), path
-                    chunks = []
-                    with fs.open_input_stream(inner) as fh:
-                        while True:
-                            block = fh.read(probe_bytes)
-                            if not block:
-                                break
-                            chunks.append(block)
-                            if b"\n" in block:
-                                break
-                    data = b"".join(chunks)
-                    if not data.strip():
-                        heads.append("")
-                        continue
-                    heads.append(data.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding))
-                except Exception:
-                    heads.append(None)
-            yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-    return read
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = field(default_factory=dict)
+    rejected: list[Rejected] = field(default_factory=list)
 
 
 def read_headers(spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING) -> dict[str, str]:
-    """First line of each file. Folders are expanded by Spark's file index;
-    each file's first line is read inside tasks (a few KB per file). Files
-    that cannot be opened that way fall back to a distributed scan."""
+    """First line of each non-empty file. Folders are expanded by Spark's file index."""
     if not paths:
         return {}
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(paths)
-        .select("path")
-    )
-    heads = listing.mapInPandas(_first_line_reader(encoding), "path string, header string").collect()
-    found = {r["path"]: r["header"] for r in heads if r["header"] is not None}
-    empty = [p for p, h in found.items() if h == ""]
-    for p in empty:
-        del found[p]
-    missing = [r["path"] for r in heads if r["header"] is None]
-    if missing:
-        found.update(_scan_headers(spark, missing, encoding))
-    return found
-
-
-def _scan_headers(spark: SparkSession, paths: list[str], encoding: str) -> dict[str, str]:
-    """Fallback: one distributed scan; the first line of a file is the line
-    with the smallest row id within the file's first split."""
-    lines = (
-        spark.read.option("sep", "\u0001")
-        .option("quote", "\u0000")
-        .option("header", "false")
-        .option("encoding", encoding)
-        .schema("line string")
-        .csv(paths)
-        .select(
-            "line",
-            source_file_path().alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("rid"),
-        )
-        .filter(F.col("block") == 0)
-        .groupBy("path")
-        .agg(F.min_by("line", "rid").alias("header"))
-    )
-    return {r["path"]: r["header"] for r in lines.collect()}
-
-
-def _norm(path: str) -> str:
-    """Local paths and file: URIs compare equal."""
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            path = path[len(prefix) :]
-            break
-    return "/" + path.lstrip("/") if path.startswith("/") else path
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    facts = csv_facts(spark, [r["path"] for r in listing.collect()], encoding)
+    return {p: f["header"] for p, f in facts.items() if not f["empty"]}
 
 
 def group_by_header(spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING) -> HeaderGroups:
-    headers = read_headers(spark, paths, encoding)
-    by_norm = {_norm(p): h for p, h in headers.items()}
+    facts = csv_facts(spark, paths, encoding)
     out = HeaderGroups()
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
     for p in paths:
-        h = headers.get(p, by_norm.get(_norm(p)))
-        if h is None:
+        f = facts[p]
+        if f["empty"]:
             out.rejected.append(Rejected(p, "empty file"))
             continue
-        names = tuple(next(csv.reader([h.lstrip("\ufeff")])))
+        if f["unclosed"]:
+            out.rejected.append(Rejected(p, "a quoted field is not closed"))
+            continue
+        names = tuple(next(csv.reader([f["header"].lstrip("\ufeff")])))
         if len(set(names)) != len(names):
             out.rejected.append(Rejected(p, f"duplicate column names in header {names}"))
             continue
         if len({n.lower() for n in names}) != len(names):
             out.rejected.append(Rejected(p, f"column names equal but for case in header {names}"))
             continue
-        groups[names].append(p)
+        groups[names, f["quoted_newline"]].append(p)
     out.groups = dict(groups)
     return out
 
@@ -186,6 +99,15 @@ def cast_text(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
     return typed, (c.isNotNull() & typed.isNull())
 
 
+def first_reason(checks: list[tuple[str, Column, Column]]) -> Column:
+    """Text naming the first (column, bad flag, value) whose flag holds, else null."""
+    if not checks:
+        return F.lit(None).cast("string")
+    return F.coalesce(
+        *[F.when(bad, F.concat(F.lit(f"column {name!r}: "), F.substring(value.cast("string"), 1, 80))) for name, bad, value in checks]
+    )
+
+
 def read_csv_group(
     spark: SparkSession,
     names: tuple[str, ...],
@@ -195,8 +117,8 @@ def read_csv_group(
     multi_line: bool = True,
 ) -> DataFrame:
     """Read files sharing one header; return typed columns in header order,
-    ``source_file`` (base name) and ``__bad``. ``multi_line`` keeps quoted
-    newlines (each file is then read by one task)."""
+    ``source_file`` (base name) and ``__bad`` (why the row is bad, or null).
+    ``multi_line`` keeps quoted newlines (each file is then read by one task)."""
     types = RAW_TYPES if types is None else types
     schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))])
     raw = (
@@ -209,36 +131,46 @@ def read_csv_group(
         .csv(paths)
         .select("*", source_file_name().alias("source_file"))
     )
-    cols, flags = [], []
+    cols, checks = [], []
     for i, name in enumerate(names):
         text = null_tokens(F.col(f"__c{i}"))
-        typed, bad = cast_text(text, types.get(name, T.StringType()))
+        dtype = types.get(name, T.StringType())
+        typed, bad = cast_text(text, dtype)
         cols.append(typed.alias(name))
-        flags.append(bad)
-    bad_any = F.lit(False)
-    for f in flags:
-        bad_any = bad_any | f
-    return raw.select(*cols, F.col("source_file"), bad_any.alias("__bad"))
+        if not isinstance(dtype, T.StringType):
+            checks.append((name, bad, text))
+    return raw.select(*cols, F.col("source_file"), first_reason(checks).alias("__bad"))
 
 
 def read_parquet_files(spark: SparkSession, paths: list[str], types: dict[str, T.DataType] | None = None) -> DataFrame:
-    """S3: Parquet extracts keep their own schema; known columns are cast to
+    """S3: Parquet extracts of one schema keep it; known columns are cast to
     their registry type so unions and joins line up."""
     types = RAW_TYPES if types is None else types
-    df = spark.read.option("mergeSchema", "true").parquet(*paths)
-    df = df.select("*", source_file_name().alias("source_file"))
-    cols, bad_any = [], F.lit(False)
+    df = spark.read.parquet(*paths).select("*", source_file_name().alias("source_file"))
+    cols, checks = [], []
     for f in df.schema.fields:
         if f.name == "source_file":
             continue
         want = types.get(f.name)
         if want is not None and f.dataType != want:
-            typed = col(f.name).try_cast(want)
-            bad_any = bad_any | (col(f.name).isNotNull() & typed.isNull())
+            typed, bad = cast_value(f.name, f.dataType, want)
+            checks.append((f.name, bad, col(f.name)))
             cols.append(typed.alias(f.name))
         else:
             cols.append(col(f.name))
-    return df.select(*cols, F.col("source_file"), bad_any.alias("__bad"))
+    return df.select(*cols, F.col("source_file"), first_reason(checks).alias("__bad"))
+
+
+def cast_value(name: str, source: T.DataType, want: T.DataType) -> tuple[Column, Column]:
+    """(column ``name`` as ``want``, bad flag): no value may change or get lost."""
+    c = col(name)
+    if isinstance(source, T.StringType):
+        return cast_text(null_tokens(c), want)
+    typed = c.try_cast(want)
+    bad = c.isNotNull() & typed.isNull()
+    if isinstance(want, T.LongType) and isinstance(source, (T.FractionalType,)):
+        bad = bad | (c != F.floor(c))
+    return typed, bad
 
 
 def headers_under(spark: SparkSession, paths: list[str], encoding: str = DIM_ENCODING) -> dict[str, tuple[str, ...]]:

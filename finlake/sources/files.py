@@ -2,17 +2,21 @@
 
 Listing uses Spark's own file index (``binaryFile`` with only the ``path``
 column selected, so no file content is read), which lists many roots in
-parallel and works on any Hadoop-compatible store.
+parallel and works on any Hadoop-compatible store; files that the index hides
+or skips (``_x.csv``, empty files) are added.
 """
 
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import base_name, route_feed
+from finlake.session import scratch_path
+from finlake.sources.csv import VISIBLE
 
 log = logging.getLogger(__name__)
 
@@ -27,10 +31,16 @@ def _exists(spark: SparkSession, root: str) -> bool:
         raise
 
 
+LISTING = "path string, file_name string, modification_time timestamp, length long"
+#: Folders of writers in progress and table formats, never sources.
+NOT_SOURCES = ("_temporary", "_spark_metadata", "_delta_log")
+
+
 def list_files(spark: SparkSession, roots: list[str], extension: str) -> DataFrame:
     """DataFrame(path, file_name, modification_time, length) of every file
-    named ``*.<extension>`` under ``roots``, recursively. Missing roots are
-    skipped with a warning."""
+    named ``*.<extension>`` under ``roots``, recursively: also empty files
+    (length 0) and those whose name or folder starts with ``_`` or ``.``,
+    which Spark's readers hide. Missing roots are skipped with a warning."""
     ext = extension.lstrip(".")
     found = []
     for root in roots:
@@ -39,20 +49,80 @@ def list_files(spark: SparkSession, roots: list[str], extension: str) -> DataFra
             continue
         found.append(root)
     if not found:
-        return spark.createDataFrame([], "path string, file_name string, modification_time timestamp, length long")
-    listing = (
+        return spark.createDataFrame([], LISTING)
+    index = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{ext}")
         .load(found)
         .select("path", "modificationTime", "length")
     )
-    return listing.select(
+    listing = index.select(
         "path",
         base_name("path").alias("file_name"),
         F.col("modificationTime").alias("modification_time"),
         "length",
     )
+    # The file index knows empty files, but a scan of it skips them.
+    known = spark.createDataFrame([(unquote(p),) for p in index.inputFiles()], "path string")
+    bare = F.regexp_replace("path", "^file:/*", "/")
+    empty = known.withColumn("bare", bare).join(listing.select(bare.alias("bare")), "bare", "left_anti")
+    listing = listing.unionByName(
+        empty.select("path", base_name("path").alias("file_name"), F.lit(0).cast("long").alias("length")), allowMissingColumns=True
+    )
+    hidden = [h for root in found for h in hidden_files(spark, root, ext)]
+    if hidden:
+        more = spark.createDataFrame([(p, n) for p, n in hidden], "path string, length long")
+        listing = listing.unionByName(more.withColumn("file_name", base_name("path")), allowMissingColumns=True)
+    return listing
+
+
+def hidden_files(spark: SparkSession, root: str, extension: str) -> list[tuple[str, int]]:
+    """(path, length) of files below ``root`` whose name or folder starts with
+    ``_`` or ``.``. The folders are matched level by level in the file system's
+    own client; only hidden entries are brought back."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(conf)
+    out, level = [], root.rstrip("/")
+
+    def add(status) -> None:
+        name = status.getPath().getName()
+        if name.endswith(f".{extension}"):
+            out.append((status.getPath().toString(), status.getLen()))
+
+    while True:
+        for status in fs.globStatus(path(f"{level}/[_.]*")) or []:
+            if not status.isDirectory():
+                add(status)
+            elif status.getPath().getName() not in NOT_SOURCES:
+                inside = fs.listFiles(status.getPath(), True)
+                while inside.hasNext():
+                    add(inside.next())
+        level += "/*"
+        if not fs.globStatus(path(f"{level}/*")):
+            return out
+
+
+def is_hidden(path: str) -> bool:
+    """Whether Spark's readers skip a file given by its path (only its own name counts then)."""
+    return path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", "."))
+
+
+def visible_copies(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Copies, below the shared scratch folder, of files that Spark's readers
+    would skip (their name starts with ``_`` or ``.``): path -> copy."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    folder = scratch_path(spark, "visible")
+    out = {}
+    for i, p in enumerate(paths):
+        name = p.rsplit("/", 1)[1]
+        copy = f"{folder}/{i}/{VISIBLE}{name}"
+        source, target = path(p), path(copy)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+        out[p] = copy
+    return out
 
 
 def with_feed(files: DataFrame, name_col: str = "file_name") -> DataFrame:
@@ -60,8 +130,7 @@ def with_feed(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     return files.withColumn("feed", route_feed(name_col))
 
 
-def mark_first_per_name(files: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Add ``__kept``, true for the smallest path among files sharing a
-    base name."""
-    first = files.groupBy(name_col).agg(F.min("path").alias("__keep"))
-    return files.join(first, name_col).withColumn("__kept", F.col("path") == F.col("__keep")).drop("__keep")
+def rank_per_name(files: DataFrame, name_col: str = "file_name") -> DataFrame:
+    """Add ``rank``, 1 for the smallest path among files sharing a base
+    name; the next one is tried if that is rejected."""
+    return files.withColumn("rank", F.row_number().over(Window.partitionBy(name_col).orderBy("path")))
