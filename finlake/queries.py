@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finlake.file_queries import FILE_QUERIES
 from finlake.functions.columns import (
     col,
     concat_codes,
@@ -1165,3 +1166,76 @@ def q_custom_wbs_elements(spark: SparkSession, sf: str) -> DataFrame:
         col("WBS Type").alias("wbs_type"),
         col("WBS Type Local").alias("wbs_type_local"),
     )
+
+
+SQL_META_TABLES = """
+select 'meta_company_divisions' tbl, c_mktsegment k, substr(c_mktsegment, 1, 3) v from (select distinct c_mktsegment from customer)
+union all
+select 'meta_fiscal_periods', cast(m as varchar), 'Period ' || m
+from (select distinct cast(extract(month from o_orderdate) as bigint) m from orders)
+union all
+select 'meta_fiscal_scenarios', cast(r_regionkey as varchar), r_name from region
+"""
+
+
+@query("meta_tables", SQL_META_TABLES)
+def q_meta_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Three small dimensions from the Parquet copies beside the inputs."""
+    _, root = _file_warehouse(spark, sf)
+    keys = {
+        "meta_company_divisions": ("Division", "Abbreviation"),
+        "meta_fiscal_periods": ("Fiscal Period", "Fiscal Period Text"),
+        "meta_fiscal_scenarios": ("Fiscal Order", "Scenario"),
+    }
+    parts = [
+        spark.read.parquet(f"{root}/metadata/{t}.parquet").select(
+            F.lit(t).alias("tbl"), col(k).cast("string").alias("k"), col(v).alias("v")
+        )
+        for t, (k, v) in keys.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SQL_GOLD_RERUN = (
+    "with "
+    + SQL_DIMS
+    + ","
+    + _sql_ledger_fact("1997-01-01", "1999-01-01", name="fact")
+    + ","
+    + _sql_ledger_gold("Actuals", True, "fact", "act_")
+    + ","
+    + SQL_COMMIT_WBS
+    + """
+select l_orderkey, l_linenumber, null::bigint o_orderkey, scenario, amount, gl, yr, mon from act_g
+union all
+select null, null, o_orderkey, scenario, amount, gl, yr, mon from cwg
+"""
+)
+
+
+@query("gold_rerun", SQL_GOLD_RERUN)
+def q_gold_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over different ranges; the first run's actuals stay, the
+    commitments (which ignore the range) are replaced, not doubled."""
+    dims = dt.gold_dims(spark, sf)
+    lineitem, orders = dt.table(spark, sf, "lineitem"), dt.table(spark, sf, "orders")
+    out = scratch_path(spark, "gold")
+    for start, end in (("1997/01/01", "1998/01/01"), ("1998/01/01", "1999/01/01")):
+        gold = assemble_gold(
+            dims, actuals=dt.ledger_feed(lineitem), commit_wbs=dt.commit_wbs_feed(orders), start=start, end=end
+        )
+        write_gold(gold, out)
+    return read_gold(spark, out).select(
+        "l_orderkey",
+        "l_linenumber",
+        "o_orderkey",
+        col("Scenario").alias("scenario"),
+        col(AMOUNT).alias("amount"),
+        col("G/L Account").alias("gl"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+    )
+
+
+for _name, (_run, _sql) in FILE_QUERIES.items():
+    query(_name, _sql)(_run)

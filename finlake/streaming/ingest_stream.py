@@ -12,17 +12,32 @@ the authority, which lets batch and stream share one bronze.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import base_name
 from finlake.plans.ingest import ImportReport, import_paths
 from finlake.plans.warehouse import Warehouse
+from finlake.sources.files import hidden_files, list_files
 
 # The fixed schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+def corrected_files(spark: SparkSession, wh: Warehouse, source_path: str, input_format: str) -> DataFrame | None:
+    """Quarantined files that were changed since; the stream itself never lists a path twice."""
+    try:
+        quarantine = spark.read.parquet(wh.quarantine_path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
+    last = quarantine.groupBy("file_name").agg(F.max("rejected_at").alias("rejected_at"))
+    listed = list_files(spark, [source_path], input_format).join(last, "file_name")
+    return listed.filter(F.col("modification_time").cast("timestamp_ntz") > F.col("rejected_at")).select("path", "file_name")
+
+
 def start_ingest_stream(
     spark: SparkSession,
     wh: Warehouse,
@@ -35,7 +50,11 @@ def start_ingest_stream(
 ):
     """Start the stream; returns the StreamingQuery. Each micro-batch takes
     at most ``max_files_per_trigger`` new files (``availableNow`` still
-    drains everything, in several batches)."""
+    drains everything, in several batches). Files with one base name that
+    arrive in different micro-batches load first come, first served; the
+    quarantine names the paths that lost inside a batch. Quarantined files that
+    were corrected since are imported before the stream starts. A fault that is
+    not the data's fails its batch, which then runs again."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
@@ -46,12 +65,23 @@ def start_ingest_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     listing = reader.load(source_path).select("path")
 
-    def ingest_batch(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select("path", base_name(F.col("path")).alias("file_name"))
-        report = import_paths(batch.sparkSession, wh, files, input_format)
+    def run(files: DataFrame) -> None:
+        report = import_paths(spark, wh, files, input_format)
         if reports is not None:
             reports.append(report)
 
+    def ingest_batch(batch: DataFrame, batch_id: int) -> None:
+        files = batch.select("path", base_name(F.col("path")).alias("file_name"))
+        hidden = hidden_files(spark, source_path, input_format.lstrip("."))
+        if hidden:  # the stream's listing does not show these
+            more = spark.createDataFrame(hidden, "path string, length long")
+            files = files.unionByName(more.select("path", base_name("path").alias("file_name")))
+        run(files)
+
+    again = corrected_files(spark, wh, source_path, input_format)
+    if again is not None:
+        run(again)
+
     writer = listing.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

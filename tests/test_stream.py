@@ -36,3 +36,38 @@ def test_stream_ingests_only_new_files(spark, tmp):
     # Nothing new: nothing loads.
     third = ingest_available(spark, wh, src, chk)
     assert sum(r.ingested_count for r in third) == 0
+
+
+def test_fault_fails_the_batch_and_replays(spark, tmp, monkeypatch):
+    import pytest
+    from finlake.plans import ingest
+
+    src, chk, wh = f"{tmp}/src", f"{tmp}/chk", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/ledger_1.csv", HEADER + "2024,1,100,1.0,a\n")
+    real, calls = ingest.record, []
+
+    def fails_once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("transient store error")
+        return real(*args)
+
+    monkeypatch.setattr(ingest, "record", fails_once)
+    with pytest.raises(Exception):
+        ingest_available(spark, wh, src, chk)
+    assert read_ledger(spark, wh.ledger_path).count() == 0
+    assert sum(r.ingested_count for r in ingest_available(spark, wh, src, chk)) == 1
+    assert wh.read_feed(spark, "actuals").count() == 1
+
+
+def test_corrected_and_hidden_files_load(spark, tmp):
+    src, chk, wh = f"{tmp}/src", f"{tmp}/chk", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/ledger_1.csv", HEADER + '2024,1,100,1.0,"open\n')
+    _write(f"{src}/_LE_2.csv", HEADER + "2024,1,100,1.0,hidden\n")
+    first = ingest_available(spark, wh, src, chk)
+    assert [r.path for rep in first for r in rep.rejected] == ["ledger_1.csv"]
+    assert wh.read_feed(spark, "forecast_live_estimate").collect()[0]["source_file"] == "_LE_2.csv"
+    _write(f"{src}/ledger_1.csv", HEADER + '2024,1,100,1.0,"closed"\n')
+    os.utime(f"{src}/ledger_1.csv", (4e9, 4e9))
+    ingest_available(spark, wh, src, chk)
+    assert wh.read_feed(spark, "actuals").collect()[0]["Note"] == "closed"
