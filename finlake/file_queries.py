@@ -193,3 +193,108 @@ FILE_QUERIES = {
     "ledger_rows": (ledger_rows, SQL_LEDGER_ROWS),
     "ingest_parquet": (ingest_parquet, SQL_PARQUET),
 }
+
+
+# ---------------------------------------------------------------------------
+# Every feed through files: extracts -> import -> transform -> gold re-read
+# ---------------------------------------------------------------------------
+
+RANGE = ("1997/01/01", "2024/01/01")
+
+
+def _text(c) -> F.Column:
+    return c.cast("string")
+
+
+def _wbs_of(df: DataFrame, key: str, part: DataFrame) -> DataFrame:
+    """``df`` with the WBS code (type letter and part key) of a key column as ``__wbs``."""
+    codes = part.select(F.col("p_partkey").alias("__k"), F.concat(F.substring("p_type", 1, 1), _text(F.col("p_partkey"))).alias("__wbs"))
+    return df.join(codes.filter("__k <> 0"), F.col(key) == F.col("__k"), "left")
+
+
+def feed_extracts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """File name -> rows of text: all nine feeds, with a column that a lookup supplies
+    (WBS Type in the ledger), a Fiscal Period without Period (cost centre details), a Last
+    Refresh with months from PERIOD (cost centre commitments, month 0 where it has no
+    digits; forecasts, with total rows), and dates."""
+    from finlake.plans.driver_files import lineitem_extract
+
+    part, orders, events = (dt.table(spark, sf, t) for t in ("part", "orders", "events"))
+    ledger = lineitem_extract(spark, sf)
+    k = F.col("o_orderkey")
+    common = [
+        _text(k).alias("Purchasing Document"),
+        _text(F.year("o_orderdate")).alias("Fiscal Year"),
+        _text(k % 50 + 1).alias("G/L Account"),
+        _text(F.col("o_totalprice")).alias(AMOUNT),
+    ]
+    wbs_rows = _wbs_of(orders, "o_custkey", part).select(
+        *common,
+        _text(F.month("o_orderdate")).alias("Period"),
+        F.when(k % 7 != 0, F.col("__wbs")).alias("WBS Element"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("Posting Date"),
+    )
+    cc_rows = orders.select(
+        *common,
+        _text(F.year("o_orderdate")).alias("YEAR"),
+        F.when(k % 11 == 0, F.lit("NONE")).otherwise(F.date_format("o_orderdate", "'M'MM'_T'")).alias("PERIOD"),
+        F.lit("x").alias("Last Refresh"),
+        F.when(k % 3 != 0, _text(F.floor(F.col("o_custkey") / 15))).alias("Cost Center"),
+    )
+    fc = _wbs_of(dt.forecast_bronze(events).withColumn("__user", F.col("CODE (L2)")), "__user", part)
+    fc = fc.withColumn("CODE (L2)", F.col("__wbs")).drop("__user", "__k", "__wbs", "Fiscal Period", "PartitionDate")
+    out = {
+        "ledger_1.csv": ledger.withColumn("WBS Type", F.lit("not this")),
+        "x_ccdet_1.csv": ledger.withColumnRenamed("Period", "Fiscal Period"),
+        "commit_wbs_1.csv": wbs_rows,
+        "commit_cc_1.csv": cc_rows,
+        "wbs_budget_1.csv": wbs_rows,
+    }
+    for name in ("LE", "prebud", "bud", "T03", "T05", "T09", "t03"):
+        rows = fc.filter(F.col("source_file") == f"fc_{name}_2024.csv").drop("source_file")
+        out[f"fc_{name}_2024.csv"] = rows.select(*[_text(col(c)).alias(c) for c in rows.columns])
+    return out
+
+
+def _all_feeds_warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    from finlake.plans.driver_files import write_dimensions
+    from finlake.plans.jobs import metadata_job
+
+    root = scratch_path(spark, "all-feeds")
+    wh = Warehouse(f"{root}/warehouse")
+    write_dimensions(spark, sf, f"{root}/metadata")
+    metadata_job(spark, wh, f"{root}/metadata", parquet_copies=False)
+    for name, df in feed_extracts(spark, sf).items():
+        folder = f"{root}/written/{name}"
+        df.coalesce(1).write.option("header", "true").option("escape", '"').option("encoding", "ISO-8859-1").csv(folder)
+        _move_part(spark, folder, f"{root}/extracts/{name}")
+    report = import_files(spark, wh, [f"{root}/extracts"])
+    if report.rejected:
+        raise RuntimeError(f"unexpected rejections: {report.rejected[:3]}")
+    return wh
+
+
+def warehouse_gold_all(spark: SparkSession, sf: str) -> DataFrame:
+    """G1, G4, G5 and the sink over all feeds, with a range narrower than the data."""
+    from finlake.plans.jobs import transform_job
+
+    gold = transform_job(spark, _all_feeds_warehouse(spark, sf), scratch_path(spark, "gold"), *RANGE)
+    # Range, months, lookup-supplied columns and the last column are all compared
+    return gold.select(
+        col("Purchasing Document").alias("document"),
+        col("Reference Item").alias("item"),
+        col("Scenario").alias("scenario"),
+        col("source_file"),
+        col(AMOUNT).alias("amount"),
+        col("G/L Account").alias("gl"),
+        col("Profit Center Code").alias("pc"),
+        col("Compass Code").alias("compass"),
+        col("P&L Line Text").alias("pl_text"),
+        col("WBS Type").alias("wbs_type"),
+        col("Fiscal Type").alias("fiscal_type"),
+        col("Posting Date").alias("posting_date"),
+        col("Code 1 Concatenated").alias("code1"),
+        col("Year").alias("yr"),
+        col("Month").alias("mon"),
+        F.col(gold.columns[-1]).alias("partition_date"),
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.file_queries import FILE_QUERIES
+from finlake.file_queries import FILE_QUERIES, warehouse_gold_all
 from finlake.functions.columns import (
     col,
     concat_codes,
@@ -1239,3 +1239,84 @@ def q_gold_rerun(spark: SparkSession, sf: str) -> DataFrame:
 
 for _name, (_run, _sql) in FILE_QUERIES.items():
     query(_name, _sql)(_run)
+
+
+def _sql_file_ledger(p: str, scenario: str, source: str, m_rule: bool) -> str:
+    m = "coalesce(type_char='M',false)" if m_rule else "false"
+    return f"""
+{p}a as (select f.*, -f.amount neg, coalesce(w.wbs_gl, f.gl) gl2, coalesce(w.wbs_pc, f.pc) pc1, w.type_char, w.wbs_type
+  from fact f left join wbs w on f.wbs_code is not distinct from w.wbs_code),
+{p}b as (select a.*, coalesce(cc.compass_cc, glc.gl_compass) compass, coalesce(a.pc1, cc.cc_pc) pc2
+  from {p}a a left join glc on a.gl2 is not distinct from glc.gl left join cc on a.cc_code is not distinct from cc.cc_code),
+{p}g as (select cast(l_orderkey as varchar) document, l_linenumber item, '{scenario}' scenario, '{source}' source_file, neg amount,
+   gl2 gl, pc2 pc, b.compass, comp.pl_text, wbs_type,
+   case when wbs_code is not null and not {m} then 'WBS' when cc_code is not null or partner_cc is not null then 'COST CENTER'
+        when product_code is not null then 'NO WBS' else 'FINANCE' end fiscal_type,
+   null::timestamp posting_date, null::varchar code1, fy yr, fp mon
+  from {p}b b left join comp on b.compass is not distinct from comp.compass)
+"""
+
+
+SQL_WAREHOUSE_GOLD_ALL = (
+    "with "
+    + SQL_FILE_DIMS.split(",\nfact as")[0]
+    + """,
+fact as (select l_orderkey, cast(l_linenumber as bigint) l_linenumber, l_extendedprice amount,
+    case when l_linenumber%3<>0 and l_partkey <> 0 then substr(p.p_type,1,1) || l_partkey end wbs_code,
+    case when l_linenumber%2=0 then cast(l_suppkey as varchar) end cc_code,
+    case when l_linenumber=5 then cast(l_suppkey as varchar) end partner_cc,
+    case when l_returnflag='R' then cast(l_partkey as varchar) end product_code,
+    cast(l_quantity as bigint) gl, case when l_linenumber<4 then cast(l_orderkey // 10 as varchar) end pc,
+    cast(extract(year from l_shipdate) as bigint) fy, cast(extract(month from l_shipdate) as bigint) fp
+  from lineitem left join part p on l_partkey = p.p_partkey
+  where l_shipdate >= timestamp '1997-01-01' and l_shipdate < timestamp '2024-01-01'),
+"""
+    + _sql_file_ledger("act_", "Actuals", "ledger_1.csv", True)
+    + ","
+    + _sql_file_ledger("ccd_", "Cost Center Details", "x_ccdet_1.csv", False)
+    + """,
+ord as (select o_orderkey, o_totalprice amount, cast(o_orderkey % 50 + 1 as bigint) gl, o_orderdate, o_custkey,
+   cast(extract(year from o_orderdate) as bigint) yr, cast(extract(month from o_orderdate) as bigint) mon from orders),
+cwa as (select o.*, case when o_orderkey % 7 <> 0 and o_custkey <> 0 then substr(p.p_type,1,1) || o_custkey end wbs_code
+  from ord o left join part p on o.o_custkey = p.p_partkey),
+cwb as (select c.*, coalesce(w.wbs_gl, c.gl) gl2, w.wbs_pc, w.wbs_type
+  from cwa c left join wbs w on c.wbs_code is not distinct from w.wbs_code),
+cwg as (select cast(o_orderkey as varchar) document, null::bigint item, 'Committed' scenario, 'commit_wbs_1.csv' source_file, amount,
+   gl2 gl, wbs_pc pc, glc.gl_compass compass, comp.pl_text, wbs_type, 'WBS' fiscal_type, o_orderdate posting_date, null::varchar code1,
+   yr, mon
+  from cwb left join glc on gl2 is not distinct from glc.gl left join comp on glc.gl_compass is not distinct from comp.compass),
+cca as (select o.*, case when o_orderkey % 3 <> 0 then cast(o_custkey // 15 as varchar) end cc_code,
+   case when o_orderkey % 11 = 0 then 0 else mon end fp from ord o),
+ccg as (select cast(o_orderkey as varchar) document, null::bigint item, 'Committed' scenario, 'commit_cc_1.csv' source_file, amount,
+   a.gl, cc.cc_pc pc, coalesce(cc.compass_cc, glc.gl_compass) compass, comp.pl_text, null::varchar wbs_type, 'COST CENTER' fiscal_type,
+   null::timestamp posting_date, null::varchar code1, yr, cast(fp as bigint) mon
+  from cca a left join glc on a.gl is not distinct from glc.gl left join cc on a.cc_code is not distinct from cc.cc_code
+   left join comp on coalesce(cc.compass_cc, glc.gl_compass) is not distinct from comp.compass where fp <> 0),
+ev as (select event_id, cast(json_extract_string(props, '$.k') as bigint) k, event_type, user_id, value from events),
+fb as (select *, cast(2023 + k % 2 as bigint) yr,
+   case when event_type = 'error' then 'TOTAL' when event_type = 'signup' then 'TOTAL_B' when event_id % 17 = 0 then null
+        else 'M' || lpad(cast(k % 13 as varchar), 2, '0') || '_T' end period,
+   case event_id % 4 when 0 then 'fc_LE_2024.csv' when 1 then 'fc_prebud_2024.csv' when 2 then 'fc_bud_2024.csv'
+     else ['fc_T03_2024.csv', 'fc_T05_2024.csv', 'fc_T09_2024.csv', 'fc_t03_2024.csv'][(event_id // 4) % 4 + 1] end source_file
+  from ev),
+fc as (select *, coalesce(try_cast(nullif(regexp_extract(period, '(\\d+)', 1), '') as bigint), 0) fp from fb),
+fcr as (select f.*, case when event_id % 4 <> 0 then cast(user_id as varchar) end code1,
+   case when event_id % 5 <> 0 and user_id <> 0 then substr(p.p_type,1,1) || user_id end code2
+  from fc f left join part p on f.user_id = p.p_partkey
+  where period not in ('TOTAL', 'TOTAL_B', 'TOTAL_T') and fp between 1 and 12 and yr = 2023),
+fcg as (select null::varchar document, null::bigint item,
+   case when contains(source_file, '_LE_') then 'Live Estimate' when contains(source_file, '_prebud_') then 'Pre-Budget'
+        when contains(source_file, '_bud_') then 'Budget' when contains(source_file, 'T03') then 'Trend 3'
+        when contains(source_file, 'T05') then 'Trend 5' when contains(source_file, 'T09') then 'Trend 9' end scenario,
+   source_file, -cast(cast(value as decimal(18,2)) as double) amount,
+   coalesce(case when event_id % 2 <> 0 then cast(floor(value) as bigint) % 50 end, w.wbs_gl) gl,
+   coalesce(cc.cc_pc, w.wbs_pc) pc, coalesce(case when event_id % 3 <> 0 then cast(event_id % 5 as varchar) end, cc.compass_cc) compass,
+   null::varchar pl_text, w.wbs_type, event_type fiscal_type, null::timestamp posting_date,
+   code1 || case when event_id % 6 <> 0 then 'cc-' || event_type end code1, yr, fp mon
+  from fcr left join cc on code1 is not distinct from cc.cc_code left join wbs w on code2 is not distinct from w.wbs_code),
+u as (select * from act_g union all select * from ccd_g union all select * from cwg union all select * from ccg
+  union all select * from fcg)
+select *, make_timestamp(yr, mon, 1, 0, 0, 0) partition_date from u
+"""
+)
+query("warehouse_gold_all", SQL_WAREHOUSE_GOLD_ALL)(warehouse_gold_all)
