@@ -6,6 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontaminate, licenses, neighbours, packing, sharding, simhash, substrings, suffix_dedup, toxicity, warc
+from .oracles import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,4 +72,3 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
