@@ -4,7 +4,8 @@ A chunk is the set of documents whose (id, text) hash to it, sorted by id (null
 last) and text, so every pass, also one repeated after a lost executor, sees
 the same documents in the same order and may refer to a place in a chunk by its
 number. The number of chunks follows the size of the corpus; a chunk holds about
-``CHUNK_BYTES`` of text, or one document if that is longer.
+``CHUNK_BYTES`` of text, or one document if that is longer, and is worked on a few
+MB at a time.
 
 What a chunk sends to other chunks goes by hash range ("bucket") as packed
 arrays, one row per chunk and bucket, after being made unique within the chunk;
@@ -25,14 +26,21 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 4 << 20
 #: Text bytes whose hashes meet in one bucket.
 BUCKET_BYTES = 8 << 20
+#: Beyond these counts chunks and buckets grow instead, up to 16 times their
+#: size, so that what a chunk sends to a bucket does not become a single hash.
+MANY_CHUNKS, MANY_BUCKETS, GROWTH = 1_000_000, 500_000, 16
 LAST = np.iinfo(np.int64).max
 
 
 def plan(docs: DataFrame, text_col: str = "text", chunk_bytes: int | None = None) -> tuple[int, int]:
     """(chunks, buckets) for the corpus, from one pass over its text sizes."""
-    chunk_bytes = chunk_bytes or CHUNK_BYTES
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    return max(1, -(-total // chunk_bytes)), max(1, -(-total // BUCKET_BYTES))
+
+    def parts(size: int, many: int) -> int:
+        size = max(size, min(GROWTH * size, total // many))
+        return max(1, -(-total // size))
+
+    return parts(chunk_bytes or CHUNK_BYTES, MANY_CHUNKS), parts(BUCKET_BYTES, MANY_BUCKETS)
 
 
 def chunked(docs: DataFrame, chunks: int, id_col: str = "doc_id", text_col: str = "text", also: list[str] = ()) -> DataFrame:

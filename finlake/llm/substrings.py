@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .chunks import Chunk, by_bucket, chunked, hash_blobs, is_live, live_hashes, per_chunk, plan
 from .storage import materialize, release
-from .textops import SPACE_WORDS, SpanHash, gram_mask, utf8, word_hashes, words
+from .textops import SPACE_WORDS, SpanHash, doc_ranges, gram_mask, utf8, word_hashes, words
 
 WINDOW = 20
 
@@ -44,12 +44,25 @@ class Words:
 
     def __init__(self, chunk: Chunk, hashed: bool = True):
         self.data, self.offsets = utf8(chunk.texts)
-        self.starts, self.ends, self.first = words(self.data, self.offsets, SPACE_WORDS)
+        hasher = SpanHash(3)
+        starts, ends, counts = ([np.zeros(0, np.int64)] for _ in range(3))
+        hashes = [np.zeros(0, np.uint64)]
+        for i, j in doc_ranges(self.offsets):
+            base = self.offsets[i]
+            data = self.data[base : self.offsets[j]]
+            s, e, first = words(data, self.offsets[i : j + 1] - base, SPACE_WORDS)
+            starts.append(s + base)
+            ends.append(e + base)
+            counts.append(np.diff(first))
+            if hashed:
+                hashes.append(word_hashes(data, s, e, hasher))
+        self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
+        self.first = np.r_[0, np.cumsum(np.concatenate(counts))]
         self.n = len(self.starts)
         self.owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         if hashed:
             self.grams_of = SpanHash(4)
-            self.prefix = self.grams_of.prefix(word_hashes(self.data, self.starts, self.ends, SpanHash(3)))
+            self.prefix = self.grams_of.prefix(np.concatenate(hashes))
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, hashes) of all grams of ``size`` words inside one document."""

@@ -37,11 +37,12 @@ from .anchors import runs as anchor_runs
 from .chunks import Chunk, by_bucket, chunked, cuts, hash_blobs, is_live, live_hashes, per_chunk, plan
 from .storage import materialize, release
 from .suffixes import common_prefixes, suffix_array
-from .textops import SpanHash, utf8
+from .textops import SpanHash, doc_ranges, utf8
 
 LENGTH = 100
 HOT = 256
 CHUNK_BYTES = 2 << 20
+SLICE_BYTES = 2 << 20
 
 #: Places: id rank, start in the document, start in the chunk, number of windows.
 PLACE = np.dtype([("rank", "<i8"), ("inner", "<i4"), ("at", "<i4"), ("windows", "<i4")])
@@ -62,6 +63,29 @@ class Bytes:
         self.data, self.offsets = utf8(chunk.texts)
         self.rank = chunk.rank
 
+    def runs(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first window, windows, anchor, hash of all bytes) of every run of the chunk."""
+        hasher = SpanHash(7)
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+        for i, j in doc_ranges(self.offsets, SLICE_BYTES):
+            base = self.offsets[i]
+            data = self.data[base : self.offsets[j]]
+            first, windows, anchor = anchor_runs(data, self.offsets[i : j + 1] - base, length)
+            span = hasher.spans(hasher.bytes_prefix(data), first, first + windows + length - 1)
+            out.append((first + base, windows, anchor, span))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def window_hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the windows that start at ``at``."""
+        hasher = SpanHash(8)
+        out = np.zeros(len(at), np.uint64)
+        for i, j in doc_ranges(self.offsets, SLICE_BYTES):
+            base, stop = self.offsets[i], self.offsets[j]
+            here = np.flatnonzero((at >= base) & (at < stop))
+            if len(here):
+                out[here] = hasher.grams(hasher.bytes_prefix(self.data[base:stop]), length)[at[here] - base]
+        return out
+
     def places(self, at: np.ndarray, windows: np.ndarray) -> np.ndarray:
         doc = np.searchsorted(self.offsets, at, side="right") - 1
         out = np.zeros(len(at), PLACE)
@@ -94,7 +118,7 @@ def rows_of(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 def anchor_blobs(chunk: Chunk, length: int, buckets: int) -> pa.Table:
     b = Bytes(chunk)
-    _, _, anchor = anchor_runs(b.data, b.offsets, length)
+    _, _, anchor, _ = b.runs(length)
     return hash_blobs(chunk.number, anchor, np.ones(len(anchor), bool), buckets)
 
 
@@ -103,11 +127,9 @@ def run_blobs(chunk: Chunk, messages: pa.Table, length: int, buckets: int) -> pa
     if chunk.number is None or not len(messages):
         return SENT.empty_table()
     b = Bytes(chunk)
-    first, windows, anchor = anchor_runs(b.data, b.offsets, length)
+    first, windows, anchor, span = b.runs(length)
     live = is_live(anchor, messages)
-    first, windows, anchor = first[live], windows[live], anchor[live]
-    hasher = SpanHash(7)
-    span = hasher.spans(hasher.bytes_prefix(b.data), first, first + windows + length - 1)
+    first, windows, anchor, span = first[live], windows[live], anchor[live], span[live]
     places = b.places(first, windows)
     order, head = grouped(places, anchor, span)
     known = later(order, head, places)
@@ -184,8 +206,7 @@ def text_blobs(chunk: Chunk, messages: pa.Table, length: int, buckets: int) -> p
         runs = np.frombuffer(b"".join(m["places"] for m in hot), PLACE)
         n = runs["windows"].astype(np.int64)
         at = np.repeat(runs["at"] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        hasher = SpanHash(8)
-        hashes = hasher.grams(hasher.bytes_prefix(b.data), length)[at]
+        hashes = b.window_hashes(at, length)
         places = b.places(at, np.ones(len(at), np.int64))
         order, head = grouped(places, hashes)
         known = later(order, head, places)

@@ -47,6 +47,16 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         start = stop
 
 
+def doc_ranges(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of at most ``limit`` bytes (or one document)."""
+    start, n = 0, len(offsets) - 1
+    while start < n:
+        stop = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
+        stop = max(start + 1, min(stop, n))
+        yield start, stop
+        start = stop
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (int64, one more than rows) of a string column; null is empty."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
