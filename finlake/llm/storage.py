@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,11 @@ def release(spark: SparkSession) -> None:
 
     Spark removes shuffle files when the driver's JVM has collected the last
     reference to them; between phases of one operator that would otherwise wait
-    for memory pressure while disks fill.
+    for memory pressure while disks fill. The first collection only frees what
+    holds those references (plans and listeners let go a moment later), so there
+    is a second one.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
