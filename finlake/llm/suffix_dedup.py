@@ -42,7 +42,7 @@ from .textops import SpanHash, doc_ranges, utf8
 LENGTH = 100
 HOT = 256
 CHUNK_BYTES = 2 << 20
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Places: id rank, start in the document, start in the chunk, number of windows.
 PLACE = np.dtype([("rank", "<i8"), ("inner", "<i4"), ("at", "<i4"), ("windows", "<i4")])

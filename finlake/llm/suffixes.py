@@ -5,15 +5,18 @@ than their successor, sort the leftmost-S substrings by inducing, name them,
 sort the string of names recursively, and induce all suffixes from the sorted
 leftmost-S ones. Scanning an array bucket by bucket, all entries of a bucket
 that are known induce their predecessors at once (in waves, while a bucket feeds
-itself), so a pass is a few array operations per bucket. To keep buckets few at
-every depth, the recursion writes names as digits to base ``BASE``.
+itself), so a pass is a few array operations per bucket. That pays while buckets
+are few; a string of more than ``BUCKETS`` different names is therefore sorted by
+doubling the length its ranks stand for, with one array sort per doubling (about
+six for runs of 200 bytes), and the levels above are induced from it as usual.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-BASE = 512
+#: Most names for which the recursion goes on bucket by bucket.
+BUCKETS = 2048
 SMALL = 24
 
 
@@ -99,6 +102,21 @@ def _names(t, lms, in_order):
     return name[lms], int((~same).sum()) + 1
 
 
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """Suffix array of a string of many different names by rank doubling."""
+    rank, size = names, 1
+    while True:
+        following = np.zeros(len(rank), np.int64)
+        following[:-size] = rank[size:] + 1
+        key = rank * (len(rank) + 2) + following
+        order = np.argsort(key, kind="stable")
+        new = np.zeros(len(rank), np.int64)
+        new[order[1:]] = np.cumsum(np.diff(key[order]) != 0)
+        if new[order[-1]] == len(rank) - 1:
+            return order
+        rank, size = new, 2 * size
+
+
 def _sort(t: np.ndarray, k: int) -> np.ndarray:
     """Suffix array of ``t`` over 0..k-1; its last symbol is 0 and occurs nowhere else."""
     n = len(t)
@@ -119,15 +137,9 @@ def _sort(t: np.ndarray, k: int) -> np.ndarray:
     in_order = rough[is_lms[rough]]
     names, n_names = _names(t, lms, in_order)
     if n_names < len(lms):
-        digits = 1
-        while BASE**digits < n_names:
-            digits += 1
-        reduced = np.zeros(len(lms) * digits + 1, np.uint16)
-        for d in range(digits):
-            reduced[d : len(lms) * digits : digits] = (names // BASE ** (digits - 1 - d)) % BASE + 1
-        order = _sort(reduced, BASE + 1)
-        order = order[order % digits == 0] // digits
-        in_order = lms[order[order < len(lms)]]
+        # the last name is the sentinel's, 0 and unique, as the recursion needs it
+        order = _sort(names.astype(np.uint16), n_names) if n_names <= BUCKETS else _doubled(names)
+        in_order = lms[order]
     return _induce(t, s_type, heads, ends, in_order, k)
 
 

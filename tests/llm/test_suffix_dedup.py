@@ -22,6 +22,17 @@ def test_suffix_array(seed):
     assert got.tolist() == plain_order(data)
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 10_000])
+def test_either_way_below_the_first_level(buckets, monkeypatch):
+    from finlake.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "BUCKETS", buckets)
+    rng = random.Random(buckets)
+    for symbols in (2, 5, 200):
+        data = bytes(rng.randrange(symbols) for _ in range(1500)) * 3
+        assert suffix_array(np.frombuffer(data, np.uint8)).tolist() == plain_order(data)
+
+
 def test_deep_recursion_and_separators():
     rng = random.Random(9)
     unit = bytes(rng.randrange(3) for _ in range(700))
