@@ -82,4 +82,22 @@ select page_id, payload_bytes, payload_digest, case when page_id = top then 'res
 from coded join top using (payload_digest)
 """
 
-ORACLE_SQL = {"op2_decontaminate": OP2, "op6_substrings": OP6, "op8_licenses": OP8, "op9_warc": OP9}
+#: On hexadecimal digits, two per byte; repeated starts are joined to islands before any byte is looked at.
+OP10 = """
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) hx, strlen(coalesce(text, '')) n from documents),
+win as (select doc_id, i, md5_number(substr(hx, 2 * i + 1, 200)) k from (select doc_id, hx, unnest(range(greatest(0, n - 99))) i from docs)),
+firsts as (select k, min({'d': doc_id, 'i': i}) f from win group by k having count(*) > 1),
+again as (select w.doc_id, w.i from win w join firsts using (k) where f.d <> w.doc_id or f.i <> w.i),
+marked as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 100 then 0 else 1 end new from again),
+islands as (select doc_id, min(i) s, max(i) + 100 e from (
+  select doc_id, i, sum(new) over (partition by doc_id order by i rows unbounded preceding) island from marked) group by doc_id, island),
+before as (select doc_id, s, e, coalesce(lag(e) over (partition by doc_id order by s), 0) kept_from from islands),
+cut as (select d.doc_id, sum(e - s) n_removed, count(*) n_spans,
+    string_agg(substr(hx, 2 * kept_from + 1, 2 * (s - kept_from)), '' order by s) || substr(any_value(hx), 2 * max(e) + 1) kept
+  from before b join docs d using (doc_id) group by d.doc_id)
+select d.doc_id, n n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, coalesce(n_spans, 0) n_spans,
+  sha256(unhex(coalesce(kept, hx))) kept_sha256
+from docs d left join cut using (doc_id)
+"""
+
+ORACLE_SQL = {"op2_decontaminate": OP2, "op6_substrings": OP6, "op8_licenses": OP8, "op9_warc": OP9, "op10_suffixes": OP10}
