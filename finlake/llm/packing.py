@@ -1,9 +1,9 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Documents become pieces of at most the largest permitted length. Pieces are
-dealt by a hash of their document to groups of about ``group_tokens`` tokens
-(the number of groups follows the corpus, a group's size does not), and each
-group is packed on its own by best-fit decreasing over all permitted lengths
+dealt by a hash of their row number to groups of about ``group_tokens`` tokens
+(the number of groups follows the corpus, a group's size does not, and no id,
+null or repeated, makes a group larger), and each group is packed on its own by best-fit decreasing over all permitted lengths
 together:
 
 * a piece goes to the open bin whose free room fits it most tightly;
@@ -135,7 +135,8 @@ def pack_documents(
     if not capacities or capacities[0] < 1:
         raise ValueError("permitted lengths must be positive")
     top = capacities[-1]
-    lengths = materialize(lengths.select("doc_id", "n_tokens"), "pack-lengths")
+    numbered = lengths.select("doc_id", "n_tokens", F.monotonically_increasing_id().alias("row"))
+    lengths = materialize(numbered, "pack-lengths")  # row numbers are settled by being written
     total = lengths.agg(F.sum("n_tokens")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
 
@@ -143,12 +144,13 @@ def pack_documents(
     pieces = (
         lengths.select(
             "doc_id",
+            "row",
             F.col("n_tokens").alias("doc_tokens"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.col("n_tokens") - 1), F.lit(top).cast("long"))).alias("start"),
         )
         .withColumn("n_tokens", F.least(F.lit(top), F.col("doc_tokens") - F.col("start")))
         .withColumn("piece", (F.col("start") / top).cast("int"))
-        .withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "doc_tokens"), F.lit(groups)))
+        .withColumn("part", F.pmod(F.xxhash64("row", "piece"), F.lit(groups)))
         .select("part", "doc_id", "piece", "start", "n_tokens")
     )
 
