@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 
 from finlake.session import scratch_path
 
+from .storage import release
+
 FILE_BYTES = 8 << 20
 ARCHIVED_AT = "20240101000000"
 ADDRESS = "0.0.0.0"
@@ -411,6 +413,8 @@ def archive(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> Da
     The ARC files and, without ``path``, the WARC files are below spark.checkpoint.dir."""
     spark = pages.sparkSession
     arc = write_arc(pages, scratch_path(spark, "arc") + "/files")
+    release(spark)
     path = path or scratch_path(spark, "warc") + "/files"
     write_warc(deduplicated(read_arc(spark, arc), min_bytes), path)
+    release(spark)
     return read_warc(spark, path)
