@@ -13,6 +13,7 @@ from finlake.operators.filldown import fill_down
 from finlake.operators.frames import ordered_columns, rename_columns
 from finlake.operators.hierarchy import hierarchy_paths, widen_levels
 from finlake.operators.lookup import known_rows, lookup_join, prefetch_key_stats
+from finlake.session import scratch_path
 
 ORDINAL = "Source Row"  # file order of ordered dimension files
 
@@ -151,22 +152,18 @@ class GoldDims:
     compass_codes: DataFrame
     profit_centers_to_signatures: DataFrame
 
-    def unpersist(self) -> None:
-        """Release the cached lookups (after the plans using them ran)."""
-        for df in (
-            self.wbs_enhanced,
-            self.gl_to_compass,
-            self.cost_center_to_compass,
-            self.compass_codes,
-            self.profit_centers_to_signatures,
-        ):
-            df.unpersist()
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "dimension") + "/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
     """The five lookups of the gold rules. Each is a dimension (bounded by the
-    reference data, not by the facts); it is cached so that its one
-    validation job and every lookup against it share one computation. All
+    reference data, not by the facts); it is written once to the shared scratch
+    folder, so its validation job and every lookup read the same small table,
+    and a plan with several lookups against one broadcasts it once. All
     cardinality checks of one stage run as one job."""
     prefetch_key_stats(
         [
@@ -179,15 +176,13 @@ def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
         ]
     )
     dims = GoldDims(
-        wbs_enhanced=enhance_wbs_elements(lookups["wbs_elements"], lookups["wbs_codification"]).cache(),
-        gl_to_compass=link_gl_to_compass(lookups["gl_accounts"], lookups["gl_accounts_to_compass"]).cache(),
-        cost_center_to_compass=link_cost_center_to_compass(
-            lookups["cost_centers"], lookups["node_to_compass"]
-        ).cache(),
-        compass_codes=lookups["compass_codes"].cache(),
-        profit_centers_to_signatures=link_profit_center_to_signatures(
-            lookups["profit_centers"], lookups["signatures"]
-        ).cache(),
+        wbs_enhanced=_stored(enhance_wbs_elements(lookups["wbs_elements"], lookups["wbs_codification"])),
+        gl_to_compass=_stored(link_gl_to_compass(lookups["gl_accounts"], lookups["gl_accounts_to_compass"])),
+        cost_center_to_compass=_stored(link_cost_center_to_compass(lookups["cost_centers"], lookups["node_to_compass"])),
+        compass_codes=_stored(lookups["compass_codes"]),
+        profit_centers_to_signatures=_stored(
+            link_profit_center_to_signatures(lookups["profit_centers"], lookups["signatures"])
+        ),
     )
     prefetch_key_stats(
         [
