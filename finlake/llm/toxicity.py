@@ -104,7 +104,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
         .limit(max_rows)
     )
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.join(marked, slim["doc_id"] == marked["id"]).select(F.col("mark").alias("toxic"), "text")
+    # at most ``max_rows`` pairs of numbers: the texts stay where they are
+    return slim.join(F.broadcast(marked), slim["doc_id"] == marked["id"]).select(F.col("mark").alias("toxic"), "text")
 
 
 def leaning_features(rows: DataFrame, totals: dict[int, int], n: int = N_FEATURES) -> np.ndarray:
