@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textops import SpanHash
+from .textops import SpanHash, mix
 
 GRAM = 32
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -53,4 +53,5 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray
     head[starts[long_enough]] = True
     first = np.flatnonzero(head)
     stop = np.flatnonzero(np.r_[ok[:-1] & (~ok[1:] | head[1:]), ok[-1:]]) + 1
-    return first, stop - first, hashes[anchor[first]]
+    # smallest hashes crowd at the low end; mixed again they spread evenly over hash ranges
+    return first, stop - first, mix(hashes[anchor[first]])
