@@ -3,6 +3,7 @@ dimensions the gold rules join against."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -175,15 +176,15 @@ def build_gold_dims(lookups: dict[str, DataFrame]) -> GoldDims:
             (lookups["signatures"], ["Signature Code"]),
         ]
     )
-    dims = GoldDims(
-        wbs_enhanced=_stored(enhance_wbs_elements(lookups["wbs_elements"], lookups["wbs_codification"])),
-        gl_to_compass=_stored(link_gl_to_compass(lookups["gl_accounts"], lookups["gl_accounts_to_compass"])),
-        cost_center_to_compass=_stored(link_cost_center_to_compass(lookups["cost_centers"], lookups["node_to_compass"])),
-        compass_codes=_stored(lookups["compass_codes"]),
-        profit_centers_to_signatures=_stored(
-            link_profit_center_to_signatures(lookups["profit_centers"], lookups["signatures"])
-        ),
-    )
+    linked = [
+        enhance_wbs_elements(lookups["wbs_elements"], lookups["wbs_codification"]),
+        link_gl_to_compass(lookups["gl_accounts"], lookups["gl_accounts_to_compass"]),
+        link_cost_center_to_compass(lookups["cost_centers"], lookups["node_to_compass"]),
+        lookups["compass_codes"],
+        link_profit_center_to_signatures(lookups["profit_centers"], lookups["signatures"]),
+    ]
+    with ThreadPoolExecutor(len(linked)) as pool:  # the small writes run side by side
+        dims = GoldDims(*pool.map(_stored, linked))
     prefetch_key_stats(
         [
             (dims.wbs_enhanced, ["WBS Element Code"]),
