@@ -31,16 +31,17 @@ def _exists(spark: SparkSession, root: str) -> bool:
         raise
 
 
-LISTING = "path string, file_name string, modification_time timestamp, length long"
+LISTING = "path string, file_name string, modification_time timestamp, length long, seen boolean"
 #: Folders of writers in progress and table formats, never sources.
 NOT_SOURCES = ("_temporary", "_spark_metadata", "_delta_log")
 
 
 def list_files(spark: SparkSession, roots: list[str], extension: str) -> DataFrame:
-    """DataFrame(path, file_name, modification_time, length) of every file
+    """DataFrame(path, file_name, modification_time, length, seen) of every file
     named ``*.<extension>`` under ``roots``, recursively: also empty files
     (length 0) and those whose name or folder starts with ``_`` or ``.``,
-    which Spark's readers hide. Missing roots are skipped with a warning."""
+    which Spark's readers hide (``seen`` is false for both). Missing roots are
+    skipped with a warning."""
     ext = extension.lstrip(".")
     found = []
     for root in roots:
@@ -62,24 +63,28 @@ def list_files(spark: SparkSession, roots: list[str], extension: str) -> DataFra
         base_name("path").alias("file_name"),
         F.col("modificationTime").alias("modification_time"),
         "length",
+        F.lit(True).alias("seen"),
     )
     # The file index knows empty files, but a scan of it skips them.
     known = spark.createDataFrame([(unquote(p),) for p in index.inputFiles()], "path string")
     bare = F.regexp_replace("path", "^file:/*", "/")
     empty = known.withColumn("bare", bare).join(listing.select(bare.alias("bare")), "bare", "left_anti")
+    not_seen = F.lit(False).alias("seen")
     listing = listing.unionByName(
-        empty.select("path", base_name("path").alias("file_name"), F.lit(0).cast("long").alias("length")), allowMissingColumns=True
+        empty.select("path", base_name("path").alias("file_name"), F.lit(0).cast("long").alias("length"), not_seen),
+        allowMissingColumns=True,
     )
     hidden = [h for root in found for h in hidden_files(spark, root, ext)]
     if hidden:
-        more = spark.createDataFrame([(p, n) for p, n in hidden], "path string, length long")
-        listing = listing.unionByName(more.withColumn("file_name", base_name("path")), allowMissingColumns=True)
+        more = spark.createDataFrame(hidden, "path string, length long, changed long")
+        changed = F.timestamp_millis("changed").alias("modification_time")
+        listing = listing.unionByName(more.select("path", base_name("path").alias("file_name"), changed, "length", not_seen))
     return listing
 
 
-def hidden_files(spark: SparkSession, root: str, extension: str) -> list[tuple[str, int]]:
-    """(path, length) of files below ``root`` whose name or folder starts with
-    ``_`` or ``.``. The folders are matched level by level in the file system's
+def hidden_files(spark: SparkSession, root: str, extension: str) -> list[tuple[str, int, int]]:
+    """(path, length, changed in ms) of files below ``root`` whose name or folder
+    starts with ``_`` or ``.``. The folders are matched level by level in the file system's
     own client; only hidden entries are brought back."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
@@ -89,7 +94,7 @@ def hidden_files(spark: SparkSession, root: str, extension: str) -> list[tuple[s
     def add(status) -> None:
         name = status.getPath().getName()
         if name.endswith(f".{extension}"):
-            out.append((status.getPath().toString(), status.getLen()))
+            out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
 
     while True:
         for status in fs.globStatus(path(f"{level}/[_.]*")) or []:

@@ -3,8 +3,10 @@
 The stream watches the source folders for new files (``binaryFile`` with only
 the ``path`` column selected, so file contents are not read by the stream) and
 hands each micro-batch of new paths to the batch importer through
-``foreachBatch``. The importer dedupes names inside the batch, anti-joins the
-ledger and writes bronze before the ledger, so a batch replayed after a
+``foreachBatch``, with every other listed path of the same base names: the
+smallest valid path loads and the quarantine names the others, as in a batch
+import, however the paths are dealt over micro-batches. The importer anti-joins
+the ledger and writes bronze before the ledger, so a batch replayed after a
 failure (the checkpoint is written after ``foreachBatch`` returns) loads
 nothing twice. The stream checkpoint only saves re-listing; the ledger stays
 the authority, which lets batch and stream share one bronze.
@@ -19,14 +21,18 @@ from pyspark.sql import functions as F
 from finlake.functions.columns import base_name
 from finlake.plans.ingest import ImportReport, import_paths
 from finlake.plans.warehouse import Warehouse
-from finlake.sources.files import hidden_files, list_files
+from finlake.sources.files import list_files
 
 # The fixed schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def corrected_files(spark: SparkSession, wh: Warehouse, source_path: str, input_format: str) -> DataFrame | None:
-    """Quarantined files that were changed since; the stream itself never lists a path twice."""
+#: What tells a file from a later one at its path.
+VERSION = ["path", "changed", "length"]
+
+
+def corrected_files(spark: SparkSession, wh: Warehouse, listing: DataFrame) -> DataFrame | None:
+    """Names of quarantined files that were changed since; the stream itself never lists a path twice."""
     try:
         quarantine = spark.read.parquet(wh.quarantine_path)
     except AnalysisException as exc:
@@ -34,8 +40,8 @@ def corrected_files(spark: SparkSession, wh: Warehouse, source_path: str, input_
             return None
         raise
     last = quarantine.groupBy("file_name").agg(F.max("rejected_at").alias("rejected_at"))
-    listed = list_files(spark, [source_path], input_format).join(last, "file_name")
-    return listed.filter(F.col("modification_time").cast("timestamp_ntz") > F.col("rejected_at")).select("path", "file_name")
+    changed = F.col("modification_time").cast("timestamp_ntz") > F.col("rejected_at")
+    return listing.join(last, "file_name").filter(changed).select("file_name")
 
 
 def start_ingest_stream(
@@ -50,11 +56,11 @@ def start_ingest_stream(
 ):
     """Start the stream; returns the StreamingQuery. Each micro-batch takes
     at most ``max_files_per_trigger`` new files (``availableNow`` still
-    drains everything, in several batches). Files with one base name that
-    arrive in different micro-batches load first come, first served; the
-    quarantine names the paths that lost inside a batch. Quarantined files that
-    were corrected since are imported before the stream starts. A fault that is
-    not the data's fails its batch, which then runs again."""
+    drains everything, in several batches); which files load does not depend on
+    it. A path that comes after its name was loaded is skipped, as in a batch
+    import. Quarantined files that were corrected since are imported before the
+    stream starts. A fault that is not the data's fails its batch, which then
+    runs again."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
@@ -65,22 +71,30 @@ def start_ingest_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     listing = reader.load(source_path).select("path")
 
-    def run(files: DataFrame) -> None:
-        report = import_paths(spark, wh, files, input_format)
+    tried: set[tuple] = set()  # versions of rejected files, which other batches offer again
+
+    def run(listed: DataFrame, names: DataFrame) -> None:
+        offered = listed.join(names.distinct(), "file_name", "left_semi")
+        offered = offered.withColumn("changed", F.unix_micros("modification_time"))
+        known = spark.createDataFrame(sorted(tried, key=str), "__path string, __changed long, __length long")
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in VERSION]
+        report = import_paths(spark, wh, offered.join(known, same, "left_anti"), input_format)
+        if report.rejected:
+            bad = spark.createDataFrame([(r.path,) for r in report.rejected], "file_name string")
+            tried.update(tuple(r) for r in offered.join(bad, "file_name", "left_semi").select(*VERSION).collect())
         if reports is not None:
             reports.append(report)
 
     def ingest_batch(batch: DataFrame, batch_id: int) -> None:
-        files = batch.select("path", base_name(F.col("path")).alias("file_name"))
-        hidden = hidden_files(spark, source_path, input_format.lstrip("."))
-        if hidden:  # the stream's listing does not show these
-            more = spark.createDataFrame(hidden, "path string, length long")
-            files = files.unionByName(more.select("path", base_name("path").alias("file_name")))
-        run(files)
-
-    again = corrected_files(spark, wh, source_path, input_format)
+        names = batch.select(base_name(F.col("path")).alias("file_name"))
+        listed = list_files(spark, [source_path], input_format)
+        # the stream's listing does not show hidden files
+        run(listed, names.unionByName(listed.filter("not seen").select("file_name")))
+
+    listed = list_files(spark, [source_path], input_format)
+    again = corrected_files(spark, wh, listed)
     if again is not None:
-        run(again)
+        run(listed, again)
 
     writer = listing.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

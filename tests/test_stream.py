@@ -2,7 +2,7 @@ import os
 
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.ledger import read_ledger
-from finlake.streaming.ingest_stream import ingest_available
+from finlake.streaming.ingest_stream import ingest_available, start_ingest_stream
 
 HEADER = "Fiscal Year,Period,G/L Account,Amount in Company Code Currency,Note\n"
 
@@ -71,3 +71,27 @@ def test_corrected_and_hidden_files_load(spark, tmp):
     os.utime(f"{src}/ledger_1.csv", (4e9, 4e9))
     ingest_available(spark, wh, src, chk)
     assert wh.read_feed(spark, "actuals").collect()[0]["Note"] == "closed"
+
+
+def test_any_batch_size_loads_what_a_batch_import_loads(spark, tmp):
+    from finlake.plans.ingest import import_files
+
+    src, good, bad = f"{tmp}/src", HEADER + "2024,1,100,1.0,{}\n", HEADER + "2024,13,100,1.0,{}\n"
+    # the larger path is older, so the stream sees it first
+    for age, folder in enumerate("ba"):
+        for name, text in {"ledger_1": good, "ledger_2": bad, "ledger_3": bad if folder == "a" else good}.items():
+            _write(f"{src}/{folder}/{name}.csv", text.format(folder))
+            os.utime(f"{src}/{folder}/{name}.csv", (1e9 + age, 1e9 + age))
+
+    def outcome(wh):
+        rows = wh.read_feed(spark, "actuals").select("source_file", "Note").collect()
+        quarantine = spark.read.parquet(wh.quarantine_path).select("file_name", "reason").collect()
+        return sorted(map(tuple, rows)), sorted(map(tuple, quarantine))
+
+    batch = Warehouse(f"{tmp}/batch")
+    import_files(spark, batch, [src])
+    assert outcome(batch)[0] == [("ledger_1.csv", "a"), ("ledger_3.csv", "b")]
+    for size in (1, 4):
+        wh = Warehouse(f"{tmp}/wh{size}")
+        start_ingest_stream(spark, wh, src, f"{tmp}/chk{size}", max_files_per_trigger=size).awaitTermination()
+        assert outcome(wh) == outcome(batch)
