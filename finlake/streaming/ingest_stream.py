@@ -58,9 +58,10 @@ def start_ingest_stream(
     at most ``max_files_per_trigger`` new files (``availableNow`` still
     drains everything, in several batches); which files load does not depend on
     it. A path that comes after its name was loaded is skipped, as in a batch
-    import. Quarantined files that were corrected since are imported before the
-    stream starts. A fault that is not the data's fails its batch, which then
-    runs again."""
+    import. Quarantined files that were corrected since, and files that the
+    stream's listing does not show (hidden or empty ones), are imported before
+    the stream starts, the latter also with every micro-batch. A fault that is
+    not the data's fails its batch, which then runs again."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
@@ -85,16 +86,21 @@ def start_ingest_stream(
         if reports is not None:
             reports.append(report)
 
+    def unseen(listed: DataFrame) -> DataFrame:
+        return listed.filter("not seen").select("file_name")
+
     def ingest_batch(batch: DataFrame, batch_id: int) -> None:
         names = batch.select(base_name(F.col("path")).alias("file_name"))
         listed = list_files(spark, [source_path], input_format)
-        # the stream's listing does not show hidden files
-        run(listed, names.unionByName(listed.filter("not seen").select("file_name")))
+        run(listed, names.unionByName(unseen(listed)))
 
+    # no micro-batch runs if only these are new
     listed = list_files(spark, [source_path], input_format)
-    again = corrected_files(spark, wh, listed)
+    first, again = unseen(listed), corrected_files(spark, wh, listed)
     if again is not None:
-        run(listed, again)
+        first = first.unionByName(again)
+    if not first.isEmpty():
+        run(listed, first)
 
     writer = listing.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

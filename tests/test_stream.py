@@ -95,3 +95,17 @@ def test_any_batch_size_loads_what_a_batch_import_loads(spark, tmp):
         wh = Warehouse(f"{tmp}/wh{size}")
         start_ingest_stream(spark, wh, src, f"{tmp}/chk{size}", max_files_per_trigger=size).awaitTermination()
         assert outcome(wh) == outcome(batch)
+
+
+def test_hidden_file_alone_loads(spark, tmp):
+    src, chk, wh = f"{tmp}/src", f"{tmp}/chk", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/ledger_1.csv", HEADER + "2024,1,100,1.0,a\n")
+    ingest_available(spark, wh, src, chk)
+    _write(f"{src}/_LE_2.csv", HEADER + "2024,1,100,1.0,hidden\n")
+    _write(f"{src}/_sub/ledger_3.csv", HEADER + "2024,1,100,1.0,below\n")
+    assert sum(r.ingested_count for r in ingest_available(spark, wh, src, chk)) == 2
+    assert [r["Note"] for r in wh.read_feed(spark, "forecast_live_estimate").collect()] == ["hidden"]
+    assert sorted(r["Note"] for r in wh.read_feed(spark, "actuals").collect()) == ["a", "below"]
+    _write(f"{src}/ledger_4.csv", "")
+    ingest_available(spark, wh, src, chk)
+    assert [r["file_name"] for r in spark.read.parquet(wh.quarantine_path).collect()] == ["ledger_4.csv"]
