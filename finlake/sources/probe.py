@@ -1,10 +1,11 @@
 """What a file is before Spark parses it: one streaming pass over its bytes.
 
 Runs inside tasks, a block at a time, so a file of any size needs little memory.
-For CSV it finds the header line, whether a quoted field holds a line break
-(only such files must be read whole by one task), and whether a quote is left
-open at the end (then rows would be swallowed, so the file is rejected). A quote
-opens a field only at the field's start; elsewhere it is text. For Parquet it
+For CSV it finds the header line, whether a quoted field holds a line break, \\n
+or \\r, at both of which Spark's line reader ends a line (only such files must be
+read whole by one task), and whether a quote is left open at the end (then rows
+would be swallowed, so the file is rejected). A quote opens a field only at the
+field's start; elsewhere it is text. For Parquet it
 reads the schema from the footer.
 """
 
@@ -52,7 +53,8 @@ def scan_csv(blocks: Iterable[bytes]) -> dict:
                 quoted = before is None or before in _BEFORE_FIELD
                 at = i + 1
                 continue
-            newline = newline or block.find(b"\n", at, i if i >= 0 else len(block)) >= 0
+            end = i if i >= 0 else len(block)
+            newline = newline or block.find(b"\n", at, end) >= 0 or block.find(b"\r", at, end) >= 0
             if i < 0:
                 break
             if i + 1 == len(block):

@@ -5,6 +5,7 @@ from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.gold_sink import read_gold, write_gold
 from finlake.sources.ledger import read_ledger
+from pyspark.sql import functions as F
 
 HEADER = "Fiscal Year,Period,G/L Account,Amount in Company Code Currency,WBS Element,Cost Center,Posting Date,Note\n"
 
@@ -181,3 +182,14 @@ def test_line_oriented_read_splits_large_files(spark, tmp):
     assert bronze.count() == 20000
     assert bronze.select("G/L Account").distinct().count() == 20000  # header line not read as data
     assert {r["source_file"] for r in bronze.select("source_file").distinct().collect()} == {"big_ledger.csv"}
+
+
+def test_quoted_carriage_return_loads_whole_rows(spark, tmp):
+    src = f"{tmp}/src"
+    _write(f"{src}/ledger_1.csv", HEADER + '2024,1,100,1,W,C,1/1/2024,"one\rtwo"\n2024,2,101,2,W,C,1/1/2024,b\n')
+    _write(f"{src}/fc_LE_1.csv", 'PERIOD,YEAR,Last Refresh,Note\nM01,2024,x,"one\rtwo"\nM02,2024,x,b\n')
+    wh = Warehouse(f"{tmp}/wh")
+    assert not import_files(spark, wh, [src]).rejected
+    for feed in ("actuals", "forecast_live_estimate"):
+        got = wh.read_feed(spark, feed).select(F.month("PartitionDate"), "Note").collect()
+        assert sorted(map(tuple, got)) == [(1, "one\rtwo"), (2, "b")], feed

@@ -46,3 +46,9 @@ def test_agrees_with_pandas_on_random_files(tmp):
         except pd.errors.ParserError as error:
             failed = "EOF inside string" in str(error)
         assert unclosed == failed, body
+
+
+def test_quoted_carriage_return_is_a_line_break():
+    for text, newline in [('a,b\n1,"x\ry"\n', True), ('a,b\r\n1,"x"\r\n', False), ('a,b\n1,"x\r\ny"\n', True)]:
+        for size in range(1, len(text) + 2):
+            assert scan_csv(blocks(text.encode(), size))["quoted_newline"] == newline, (text, size)
