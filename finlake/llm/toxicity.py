@@ -20,7 +20,8 @@ What reaches the driver is bounded by parameters: ``N_FEATURES`` features and
 
 Defined cases: a null or empty text has no features and gets the score of the
 bias alone; labels that are null are not used, an id labelled twice is toxic if
-either label says so; without labelled rows of both classes every score is the
+either label says so; of documents that share a labelled id, the one with the
+smallest text hash is learned from; without labelled rows of both classes every score is the
 labelled rows' share of toxic (0 without any); repeated rows each get a result;
 a null id is never held out nor learned from; other columns are ignored.
 """
@@ -95,7 +96,7 @@ N_PATTERNS = 4
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(toxic, text) of at most ``max_rows`` labelled rows that are not held out."""
+    """(toxic, text) of at most ``max_rows`` labelled ids that are not held out, one document each."""
     marked = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("id"))
@@ -105,7 +106,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     )
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # at most ``max_rows`` pairs of numbers: the texts stay where they are
-    return slim.join(F.broadcast(marked), slim["doc_id"] == marked["id"]).select(F.col("mark").alias("toxic"), "text")
+    found = slim.join(F.broadcast(marked), slim["doc_id"] == marked["id"])
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))  # combined before the shuffle: a text per id and task
+    return found.groupBy("id", "mark").agg(one.alias("d")).select(F.col("mark").alias("toxic"), "d.text")
 
 
 def leaning_features(rows: DataFrame, totals: dict[int, int], n: int = N_FEATURES) -> np.ndarray:

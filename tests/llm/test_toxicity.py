@@ -67,3 +67,11 @@ def test_nulls_and_missing_labels(spark):
     assert all(r.score < 1e-6 for r in T.score(docs, only).collect())
     assert T.score(docs.limit(0), model).count() == 0
     assert T.train(docs.limit(0), labels).bias == T.train(docs, labels.limit(0)).bias
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    docs, labels, _ = data(spark, 60)
+    again = docs.unionByName(docs.filter("doc_id < 9")).unionByName(docs.filter("doc_id < 9").selectExpr("doc_id", "text || ' more' text", "score", "predicted"))
+    one, many = (T.training_rows(d, labels) for d in (docs, again))
+    assert many.count() == one.count()
+    assert T.training_rows(again, labels, 10).count() == 10
