@@ -100,4 +100,18 @@ select d.doc_id, n n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, co
 from docs d left join cut using (doc_id)
 """
 
-ORACLE_SQL = {"op2_decontaminate": OP2, "op6_substrings": OP6, "op8_licenses": OP8, "op9_warc": OP9, "op10_suffixes": OP10}
+OP13 = f"""
+with d as (select doc_id, {_LOWER} t from documents)
+select doc_id, max(doc_id) over same keep_id, count(*) over same group_size, doc_id = max(doc_id) over same kept,
+  sha256(t) text_sha256
+from d window same as (partition by t)
+"""
+
+ORACLE_SQL = {
+    "op2_decontaminate": OP2,
+    "op6_substrings": OP6,
+    "op8_licenses": OP8,
+    "op9_warc": OP9,
+    "op10_suffixes": OP10,
+    "op13_exact": OP13,
+}

@@ -142,3 +142,16 @@ def best_fit(sizes, capacities, overhead):
             bins.append(b := [opening_length(s, capacities, overhead, volume), []])
         b[1].append(s)
     return [min(c for c in capacities if c >= sum(b[1])) for b in bins], [sum(b[1]) for b in bins]
+
+
+def exact_copies(docs, keep="smallest"):
+    """(doc_id, keep_id, group_size, kept, text_sha256); ids are distinct."""
+    groups = {}
+    for d, text in docs:
+        groups.setdefault((text or "").translate(AZ), []).append(d)
+    best = {t: (min if keep == "smallest" else max)(ids) for t, ids in groups.items()}
+    out = []
+    for d, text in docs:
+        t = (text or "").translate(AZ)
+        out.append((d, best[t], len(groups[t]), d == best[t], sha(t)))
+    return out
