@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, licenses, neighbours, packing, sharding, simhash, substrings, suffix_dedup, toxicity, warc
+from . import decontaminate, exact_dedup, licenses, neighbours, packing, resampling, sharding, simhash, substrings, suffix_dedup, toxicity, warc
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -59,6 +59,10 @@ def op10_suffixes(spark, sf_dir):
     return suffix_dedup.dedup_digest(_table(spark, sf_dir, "documents"), length=100).drop("spans")
 
 
+def op11_resampling(spark, sf_dir):
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_exact(spark, sf_dir):
     return exact_dedup.copies(_table(spark, sf_dir, "documents"), keep="largest").drop("row")
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
     "op10_suffixes": op10_suffixes,
+    "op11_resampling": op11_resampling,
     "op13_exact": op13_exact,
     "pipeline": corpus_pipeline.run,
 }

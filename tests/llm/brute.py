@@ -155,3 +155,38 @@ def exact_copies(docs, keep="smallest"):
         t = (text or "").translate(AZ)
         out.append((d, best[t], len(groups[t]), d == best[t], sha(t)))
     return out
+
+
+def resample(docs, target, percent=25, min_words=20, seed=7, buckets=10000, max_gram=2):
+    """(doc_id, n_features, weight, score, rank) by the formulas, a feature at a time; ids are distinct or null."""
+    import math
+    import zlib
+
+    def features(text):
+        ws = alnum(text)
+        grams = [" ".join(ws[i : i + g]) for g in range(1, max_gram + 1) for i in range(len(ws) - g + 1)]
+        return len(ws), [zlib.crc32(g.encode()) % buckets for g in grams]
+
+    def count(texts):
+        out = [0] * buckets
+        for text in texts:
+            for b in features(text)[1]:
+                out[b] += 1
+        return out
+
+    s, t = count(x for _, x in docs), count(target)
+    gain = [
+        math.floor(1000 * math.log(float((t[b] + 1) * (sum(s) + buckets)) / float((s[b] + 1) * (sum(t) + buckets)))) for b in range(buckets)
+    ]
+    rows = []
+    for d, text in docs:
+        n_words, fs = features(text)
+        weight = sum(gain[b] for b in fs) // len(fs) if fs else 0
+        score = None
+        if d is not None:
+            h = int(hashlib.sha256(f"{seed}:{d}".encode()).hexdigest()[:8], 16)
+            score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((d, len(fs), weight, score, n_words))
+    order = sorted((r for r in rows if r[0] is not None and r[4] >= min_words), key=lambda r: (-r[3], r[0]))
+    rank = {r[0]: i + 1 for i, r in enumerate(order[: percent * len(order) // 100])}
+    return [(d, n, w, sc, rank.get(d)) for d, n, w, sc, _ in rows]
