@@ -7,7 +7,9 @@ documents are masked before a ``bincount`` over the buckets. A feature is a run
 1 to ``MAX_GRAM`` words joined by one space, repeats counted; its bucket is the
 CRC-32 of its bytes modulo ``BUCKETS``. CRCs of runs come from those of their words
 (the CRC of a concatenation is a linear function of the parts' CRCs), so no
-feature is ever built as a string.
+feature is ever built as a string. As finding words is the dear part, the buckets
+of each document's features (two bytes each) are written once, below
+spark.checkpoint.dir, and read for the counts and for the weights.
 
 Weights. The whole corpus and the whole target are counted; a bucket's gain is
 the scaled logarithm of its smoothed target share over its smoothed corpus share;
@@ -170,19 +172,52 @@ class Batch:
         self.n_features = np.bincount(self.doc, minlength=n)
 
 
-def bucket_counts(texts: DataFrame, text_col: str = "text", buckets: int = BUCKETS, max_gram: int = MAX_GRAM) -> np.ndarray:
-    """Features per bucket over all texts: counted per task, summed by Spark."""
+def features(
+    docs: DataFrame, id_col: str | None, text_col: str = "text", buckets: int = BUCKETS, max_gram: int = MAX_GRAM
+) -> DataFrame:
+    """(doc_id, n_words, features): the bucket of every feature of every document, as packed numbers; written once, read twice."""
+    kind = np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crc, total = Crc(), np.zeros(buckets, np.int64)
+        crc = Crc()
         for batch in batches:
             for part in slices(batch):
-                total += np.bincount(Batch(part.column("text"), crc, buckets, max_gram).bucket, minlength=buckets)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
+                b = Batch(part.column("text"), crc, buckets, max_gram)
+                order = np.argsort(b.doc, kind="stable")
+                ends = kind.itemsize * np.r_[0, np.cumsum(b.n_features)]
+                packed = pa.Array.from_buffers(
+                    pa.binary(),
+                    len(part),
+                    [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(b.bucket[order].astype(kind))],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(b.n_words.astype(np.int64)), packed], ["doc_id", "n_words", "features"]
+                )
+
+    ids = F.col(f"`{id_col}`").cast("long") if id_col else F.lit(None).cast("long")
+    two = docs.select(ids.alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return materialize(two.mapInArrow(emit, "doc_id long, n_words long, features binary"), "resampling-features")
+
+
+def unpacked(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of all features, first feature of each document and the end)."""
+    data, offsets = utf8(column)
+    kind = np.dtype("<u2" if buckets <= 1 << 16 else "<u4")
+    return np.frombuffer(data.tobytes(), kind), offsets // kind.itemsize
 
-    slim = texts.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = slim.mapInArrow(emit, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+
+def bucket_counts(found: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Features per bucket over all documents: counted per task, summed by Spark."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for part in slices(batch, "features"):
+                total += np.bincount(unpacked(part.column("features"), buckets)[0], minlength=buckets)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "n"])
+
+    rows = found.select("features").mapInArrow(emit, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(buckets, np.int64)
     for r in rows:  # at most ``buckets`` rows
         out[r["bucket"]] = r["n"]
@@ -204,35 +239,25 @@ def gumbel(doc_id: int, seed: int, scale: int = SCALE) -> int:
     return math.floor(-scale * math.log(-math.log((h + 0.5) / 4294967296)))
 
 
-def weighted(
-    docs: DataFrame, gain: np.ndarray, id_col: str = "doc_id", text_col: str = "text", max_gram: int = MAX_GRAM, seed: int = SEED
-) -> DataFrame:
-    """(doc_id, n_words, n_features, weight, score): one row per input row."""
+def weighted(found: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame:
+    """(doc_id, n_words, n_features, weight, score): one row per document."""
     buckets = len(gain)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crc = Crc()
         for batch in batches:
-            for part in slices(batch):
-                b = Batch(part.column("text"), crc, buckets, max_gram)
-                total = np.zeros(len(part), np.int64)
-                np.add.at(total, b.doc, gain[b.bucket])
-                weight = np.where(b.n_features > 0, total // np.maximum(b.n_features, 1), 0)
+            for part in slices(batch, "features"):
+                feature, first = unpacked(part.column("features"), buckets)
+                n = np.diff(first)
+                sums = np.r_[0, np.cumsum(gain[feature])]
+                weight = (sums[first[1:]] - sums[first[:-1]]) // np.maximum(n, 1)
                 ids = part.column("doc_id").to_pylist()
                 score = [None if i is None else int(w) + gumbel(i, seed) for i, w in zip(ids, weight)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(b.n_words.astype(np.int64)),
-                        pa.array(b.n_features.astype(np.int64)),
-                        pa.array(weight),
-                        pa.array(score, pa.int64()),
-                    ],
+                    [part.column("doc_id"), part.column("n_words"), pa.array(n), pa.array(weight), pa.array(score, pa.int64())],
                     ["doc_id", "n_words", "n_features", "weight", "score"],
                 )
 
-    two = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return two.mapInArrow(emit, "doc_id long, n_words long, n_features long, weight long, score long")
+    return found.mapInArrow(emit, "doc_id long, n_words long, n_features long, weight long, score long")
 
 
 def ranked(rows: DataFrame, eligible: str, percent: int) -> DataFrame:
@@ -272,9 +297,9 @@ def resample(
     text_col: str = "text",
 ) -> DataFrame:
     """Per input row: doc_id, n_features, weight, score, rank (null if not drawn)."""
-    corpus = bucket_counts(docs, text_col, buckets, max_gram)
-    gain = gains(corpus, bucket_counts(target, "text", buckets, max_gram))
-    rows = materialize(weighted(docs, gain, id_col, text_col, max_gram, seed), "resampling-weights")
+    found = features(docs, id_col, text_col, buckets, max_gram)
+    wanted = bucket_counts(features(target, None, "text", buckets, max_gram), buckets)
+    rows = materialize(weighted(found, gains(bucket_counts(found, buckets), wanted), seed), "resampling-weights")
     out = ranked(rows, f"doc_id is not null and n_words >= {int(min_words)}", percent)
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
