@@ -100,6 +100,20 @@ select d.doc_id, n n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, co
 from docs d left join cut using (doc_id)
 """
 
+OP12 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+    [floor(256 * cast(x as double)) for x in embedding] e
+  from embeddings where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select a.vec_id anchor_id, b.vec_id, a.label = b.label same, cast(list_inner_product(a.e, b.e) as bigint) score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+pos as (select anchor_id, vec_id positive_id, score positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over w as int) rank, n.vec_id negative_id, p.positive_score, n.score negative_score
+from pos p join s n on n.anchor_id = p.anchor_id and not n.same and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id)
+qualify row_number() over w <= 5
+"""
+
 OP13 = f"""
 with d as (select doc_id, {_LOWER} t from documents)
 select doc_id, max(doc_id) over same keep_id, count(*) over same group_size, doc_id = max(doc_id) over same kept,
@@ -113,5 +127,6 @@ ORACLE_SQL = {
     "op8_licenses": OP8,
     "op9_warc": OP9,
     "op10_suffixes": OP10,
+    "op12_negatives": OP12,
     "op13_exact": OP13,
 }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, neighbours, packing, resampling, sharding, simhash, substrings, suffix_dedup, toxicity, warc
+from . import decontaminate, exact_dedup, hard_negatives, licenses, neighbours, packing, resampling, sharding, simhash, substrings, suffix_dedup, toxicity, warc
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -63,6 +64,11 @@ def op11_resampling(spark, sf_dir):
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", label=label)
+
+
 def op13_exact(spark, sf_dir):
     return exact_dedup.copies(_table(spark, sf_dir, "documents"), keep="largest").drop("row")
 
@@ -79,6 +85,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_suffixes": op10_suffixes,
     "op11_resampling": op11_resampling,
+    "op12_negatives": op12_negatives,
     "op13_exact": op13_exact,
     "pipeline": corpus_pipeline.run,
 }

@@ -190,3 +190,16 @@ def resample(docs, target, percent=25, min_words=20, seed=7, buckets=10000, max_
     order = sorted((r for r in rows if r[0] is not None and r[4] >= min_words), key=lambda r: (-r[3], r[0]))
     rank = {r[0]: i + 1 for i, r in enumerate(order[: percent * len(order) // 100])}
     return [(d, n, w, sc, rank.get(d)) for d, n, w, sc, _ in rows]
+
+
+def hard_negatives(rows, anchors, positives=5, negatives=5, low=80, high=100):
+    """rows: distinct (id, label, whole-number vector); anchors: ids -> the six columns, from all scores."""
+    out = []
+    for a in anchors:
+        mine = min((label, v) for i, label, v in rows if i == a)
+        scored = [(-sum(x * y for x, y in zip(mine[1], v)), i, label) for i, label, v in rows if i != a]
+        scored.sort()
+        for ps, p, _ in [s for s in scored if s[2] == mine[0]][:positives]:
+            fit = [(n, ns) for ns, n, label in scored if label != mine[0] and low * -ps <= 100 * -ns <= high * -ps]
+            out += [(a, p, r, n, -ps, -ns) for r, (n, ns) in enumerate(fit[:negatives], 1)]
+    return sorted(out)

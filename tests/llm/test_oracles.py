@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
@@ -23,4 +23,4 @@ def test_query_matches_oracle(spark, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == [*range(1, 12), 13] and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
