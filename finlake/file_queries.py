@@ -188,7 +188,98 @@ def ingest_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return rows.unionByName(rejected, allowMissingColumns=True)
 
 
+#: Orders per extract file, so the number of files grows with the table.
+ROWS_PER_FILE = 4096
+BREAK_COLUMN = "Item\nText"
+RAGGED_NAMES = ["ledger_0", "ledger_1", "x_ccdet_2", "ledger_3", "ledger_4", "ledger_5"]
+
+
+def _write_files(spark: SparkSession, lines: DataFrame, folder: str, line_end: str) -> None:
+    """``lines`` (name, k, value) as one text file per name, rows by k; each file is one task's."""
+    written = scratch_path(spark, "lines") + "/text"
+    dealt = lines.repartition("name").sortWithinPartitions("name", "k").select("name", "value")
+    dealt.write.partitionBy("name").option("lineSep", line_end).text(written)
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(written).getFileSystem(conf)
+    for status in fs.globStatus(path(f"{written}/name=*")):
+        name = status.getPath().getName().partition("=")[2]
+        _move_part(spark, f"{written}/name={name}", f"{folder}/{name}")
+
+
+def _ragged_extracts(spark: SparkSession, sf: str) -> str:
+    """Orders in six families of files by key, ``ROWS_PER_FILE`` keys each.
+
+    0 good; 1 lines end with CR alone; 2 a header with a quoted line break; 3 and 4 the row
+    whose key is the family's number has a field too many or lacks two; 5 CRLF, a delimiter at
+    the end of every row, and line breaks inside quotes."""
+    src = scratch_path(spark, "ragged-extracts")
+    o = dt.table(spark, sf, "orders").filter("o_orderkey >= 0")
+    k, n = F.col("o_orderkey"), len(RAGGED_NAMES)
+    family = (k % n).cast("int")
+    stem = F.element_at(F.array(*map(F.lit, RAGGED_NAMES)), family + 1)
+    name = F.concat(stem, F.lit("_"), F.floor(k / n / ROWS_PER_FILE).cast("string"), F.lit(".csv"))
+    odd = k == family
+    note = F.when(family == 5, F.concat(F.lit('"two\r\nlines, '), F.col("o_orderpriority"), F.lit('"'))).otherwise(F.col("o_orderpriority"))
+    fields = [k.cast("string"), F.year("o_orderdate").cast("string"), F.month("o_orderdate").cast("string"), (k % 50).cast("string")]
+    fields += [F.col("o_totalprice").cast("string"), note]
+    value = F.concat_ws(",", *fields)
+    value = (
+        F.when(odd & (family == 4), F.concat_ws(",", *fields[:4]))
+        .when(odd & (family == 3), F.concat(value, F.lit(",11")))
+        .when(family == 2, F.concat(value, F.lit(",item")))
+        .when(family == 5, F.concat(value, F.lit(",")))
+        .otherwise(value)
+    )
+    rows = o.select(name.alias("name"), family.alias("family"), k.alias("k"), value.alias("value"))
+    plain = ",".join(COLUMNS)
+    header = F.when(F.col("family") == 2, F.lit(f'{plain},"{BREAK_COLUMN}"')).otherwise(F.lit(plain))
+    heads = rows.select("name", "family").distinct().select("name", "family", F.lit(-1).cast("long").alias("k"), header.alias("value"))
+    lines = rows.unionByName(heads)
+    for families, line_end in (([0, 2, 3, 4], "\n"), ([1], "\r"), ([5], "\r\n")):
+        _write_files(spark, lines.filter(F.col("family").isin(families)), src, line_end)
+    return src
+
+
+SQL_RAGGED = """
+with o as (select *, o_orderkey % 6 f, (o_orderkey // 6) // 4096 part from orders),
+n as (select *, case f when 2 then 'x_ccdet_2' else 'ledger_' || f end || '_' || part || '.csv' file_name from o)
+select 'row' kind, file_name, case f when 2 then 'cost_center_details' else 'actuals' end feed, o_orderkey,
+  cast(o_orderkey % 50 as bigint) gl, o_totalprice amount,
+  case f when 5 then 'two' || chr(13) || chr(10) || 'lines, ' || o_orderpriority else o_orderpriority end note,
+  case f when 2 then 'item' end item,
+  make_timestamp(cast(extract(year from o_orderdate) as bigint), cast(extract(month from o_orderdate) as bigint), 1, 0, 0, 0)
+    partition_date
+from n where f not in (3, 4) or part > 0
+union all
+select distinct 'rejected', file_name, null, null, null, null, 'not the 6 fields of the header: ' || f, null, null
+from n where f in (3, 4) and part = 0
+"""
+
+
+def ingest_ragged(spark: SparkSession, sf: str) -> DataFrame:
+    """No row shifts or drops values, any line end, headers over lines; a row of another shape rejects its file."""
+    wh = Warehouse(scratch_path(spark, "warehouse"))
+    import_files(spark, wh, [_ragged_extracts(spark, sf)])
+    feeds = [wh.read_feed_or_empty(spark, f).withColumn("feed", F.lit(f)) for f in ("actuals", "cost_center_details")]
+    loaded = feeds[0].unionByName(feeds[1], allowMissingColumns=True)
+    rows = loaded.select(
+        F.lit("row").alias("kind"),
+        col("source_file").alias("file_name"),
+        "feed",
+        col("Purchasing Document").cast("bigint").alias("o_orderkey"),
+        col("G/L Account").alias("gl"),
+        col(AMOUNT).alias("amount"),
+        col("Note").alias("note"),
+        F.col(f"`{BREAK_COLUMN}`").alias("item"),
+        col("PartitionDate").alias("partition_date"),
+    )
+    reason = F.regexp_extract("reason", r"^(not the \d+ fields of the header: \d+),", 1)
+    rejected = spark.read.parquet(wh.quarantine_path).select(F.lit("rejected").alias("kind"), "file_name", reason.alias("note"))
+    return rows.unionByName(rejected, allowMissingColumns=True)
+
+
 FILE_QUERIES = {
+    "ingest_ragged": (ingest_ragged, SQL_RAGGED),
     "ingest_bad_files": (ingest_bad_files, SQL_BAD_FILES),
     "ledger_rows": (ledger_rows, SQL_LEDGER_ROWS),
     "ingest_parquet": (ingest_parquet, SQL_PARQUET),

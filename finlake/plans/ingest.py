@@ -187,12 +187,9 @@ def _ingest_files(
                 groups[schema].append(p)
         frames = [(read_parquet_files(spark, g), g) for _, g in sorted(groups.items(), key=lambda x: min(x[1]))]
     else:
-        hg = group_by_header(spark, list(original))
+        hg = group_by_header(spark, list(original), multi_line=multi_line)
         rejected |= {original[r.path]: r.reason for r in hg.rejected}
-        frames = [
-            (read_csv_group(spark, names, g, multi_line=lines if multi_line is None else multi_line), g)
-            for (names, lines), g in hg.groups.items()
-        ]
+        frames = [(read_csv_group(spark, names, g, records=line_end), g) for (names, line_end), g in hg.groups.items()]
     for df, group in frames:
         for p, reason in ingest_group(spark, wh, feed, df, [_plain(p) for p in group]).items():
             rejected[next(original[g] for g in group if _plain(g) == p)] = reason

@@ -2,12 +2,16 @@
 
 Spark maps an explicit CSV schema to columns by position and ignores the
 header, so a file whose columns come in another order would be silently
-swapped. We therefore (1) read the first line of every file in one
-distributed scan, (2) group files with identical headers, (3) read each group
-as text under its own header, (4) turn missing-value tokens into nulls and
-(5) cast by column name. A value that does not parse to its declared type
-marks its row bad (``__bad``) instead of failing the job; the import plan
-quarantines files that hold bad rows.
+swapped. We therefore (1) look at every file's first record and quotes (see
+``probe``), (2) group files with identical headers, (3) read each group as text
+under its own header, (4) turn missing-value tokens into nulls and (5) cast by
+column name. A value that does not parse to its declared type, or a row with more
+or fewer fields than the header, marks its row bad (``__bad``) instead of failing
+the job or moving values; the import plan quarantines files that hold bad rows. Only
+one empty field too many, from a delimiter at the end of a row, is let pass.
+
+Files are split over tasks by Spark's line reader; those whose quoted fields hold
+line breaks are read as records (see ``records``), split as well.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from pyspark.sql import types as T
 
 from finlake.functions.columns import col, null_tokens, strict_long
 from finlake.schemas import RAW_TYPES
-from finlake.sources.probe import csv_facts
-from finlake.sources.probe import norm as _norm
+from finlake.sources.probe import csv_facts, csv_head
+from finlake.sources.records import csv_records
+from finlake.sources.store import for_each, literal
+from finlake.sources.store import norm as _norm
 
 #: Prefix under which files that Spark's readers hide are copied (see ``files.visible_copies``).
 VISIBLE = "visible~"
@@ -33,8 +39,7 @@ def source_file_name() -> Column:
     """Base name of the file a row was read from. Spark reports it
     URI-encoded ('a%20b.csv'); decode it so it equals the listed name. A
     literal '+' is kept (form decoding would turn it into a space)."""
-    raw = F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B")
-    return F.regexp_replace(F.url_decode(raw), f"^{VISIBLE}", "")
+    return F.regexp_replace(F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B")), f"^{VISIBLE}", "")
 
 
 FACT_ENCODING = "ISO-8859-1"
@@ -49,25 +54,32 @@ class Rejected:
 
 @dataclass
 class HeaderGroups:
-    """Paths by (column names, whether quoted fields hold line breaks)."""
+    """Paths by (column names, line end of files to be read as records or None)."""
 
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = field(default_factory=dict)
+    groups: dict[tuple[tuple[str, ...], str | None], list[str]] = field(default_factory=dict)
     rejected: list[Rejected] = field(default_factory=list)
 
 
+def header_names(record: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([record.lstrip("\ufeff")])))
+
+
 def read_headers(spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING) -> dict[str, str]:
-    """First line of each non-empty file. Folders are expanded by Spark's file index."""
+    """First record of each non-empty file. Folders are expanded by Spark's file index."""
     if not paths:
         return {}
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
-    facts = csv_facts(spark, [r["path"] for r in listing.collect()], encoding)
-    return {p: f["header"] for p, f in facts.items() if not f["empty"]}
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in paths]).select("path")
+    heads = for_each([r["path"] for r in listing.collect()], lambda p: csv_head(spark, p))
+    return {p: h["record"].decode(encoding, "replace") for p, h in heads.items() if h["record"] is not None}
 
 
-def group_by_header(spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING) -> HeaderGroups:
+def group_by_header(
+    spark: SparkSession, paths: list[str], encoding: str = FACT_ENCODING, multi_line: bool | None = None
+) -> HeaderGroups:
+    """Files by header. They are read as records if a quoted field holds a line break, or as ``multi_line`` says."""
     facts = csv_facts(spark, paths, encoding)
     out = HeaderGroups()
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = defaultdict(list)
+    groups: dict[tuple[tuple[str, ...], str | None], list[str]] = defaultdict(list)
     for p in paths:
         f = facts[p]
         if f["empty"]:
@@ -76,14 +88,22 @@ def group_by_header(spark: SparkSession, paths: list[str], encoding: str = FACT_
         if f["unclosed"]:
             out.rejected.append(Rejected(p, "a quoted field is not closed"))
             continue
-        names = tuple(next(csv.reader([f["header"].lstrip("\ufeff")])))
+        if f["header"] is None:
+            out.rejected.append(Rejected(p, "no header record at the start of the file"))
+            continue
+        try:
+            names = header_names(f["header"])
+        except csv.Error as error:
+            out.rejected.append(Rejected(p, f"the header cannot be read: {error}"))
+            continue
         if len(set(names)) != len(names):
             out.rejected.append(Rejected(p, f"duplicate column names in header {names}"))
             continue
         if len({n.lower() for n in names}) != len(names):
             out.rejected.append(Rejected(p, f"column names equal but for case in header {names}"))
             continue
-        groups[names, f["quoted_newline"]].append(p)
+        as_records = f["quoted_newline"] if multi_line is None else multi_line
+        groups[names, f["line_end"] if as_records else None].append(p)
     out.groups = dict(groups)
     return out
 
@@ -108,29 +128,56 @@ def first_reason(checks: list[tuple[str, Column, Column]]) -> Column:
     )
 
 
+#: Column of the text of rows whose fields do not match the header.
+ODD = "__odd"
+OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": ODD}
+
+
+def text_schema(n: int) -> T.StructType:
+    """``n`` text columns by position, and the row itself if it has another number of fields."""
+    return T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(n)] + [T.StructField(ODD, T.StringType())])
+
+
+def text_ddl(n: int) -> str:
+    return ", ".join(f"{f.name} string" for f in text_schema(n).fields)
+
+
+def odd_row(n: int) -> Column:
+    """Why a row has the wrong shape, or null; a delimiter at its end is not counted."""
+    shorter = F.expr(f"substring({ODD}, 1, length({ODD}) - 1)")
+    closed = F.col(ODD).endswith(",") & F.from_csv(shorter, text_ddl(n), OPTIONS)[ODD].isNull()
+    return F.when(
+        F.when(F.col(ODD).isNotNull(), ~closed).otherwise(False), F.concat(F.lit(f"not the {n} fields of the header: "), F.substring(ODD, 1, 80))
+    )
+
+
 def read_csv_group(
     spark: SparkSession,
     names: tuple[str, ...],
     paths: list[str],
     types: dict[str, T.DataType] | None = None,
     encoding: str = FACT_ENCODING,
-    multi_line: bool = True,
+    records: str | None = None,
 ) -> DataFrame:
     """Read files sharing one header; return typed columns in header order,
     ``source_file`` (base name) and ``__bad`` (why the row is bad, or null).
-    ``multi_line`` keeps quoted newlines (each file is then read by one task)."""
+    ``records`` is the line end of files whose quoted fields hold line breaks; without
+    it every line is a row."""
     types = RAW_TYPES if types is None else types
-    schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", "true" if multi_line else "false")
-        .option("mode", "PERMISSIVE")
-        .csv(paths)
-        .select("*", source_file_name().alias("source_file"))
-    )
+    schema = text_schema(len(names))
+    if records is None:
+        raw = (
+            spark.read.schema(schema)
+            .options(**OPTIONS, header="true", encoding=encoding, multiLine="false", columnPruning="false")
+            .csv([literal(p) for p in paths])
+            .select("*", source_file_name().alias("source_file"))
+        )
+    else:
+        name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), f"^{VISIBLE}", "")
+        raw = csv_records(spark, paths, records).select(
+            F.from_csv(F.decode("record", encoding), text_ddl(len(names)), OPTIONS).alias("r"), name.alias("source_file")
+        )
+        raw = raw.select("r.*", "source_file")
     cols, checks = [], []
     for i, name in enumerate(names):
         text = null_tokens(F.col(f"__c{i}"))
@@ -139,14 +186,14 @@ def read_csv_group(
         cols.append(typed.alias(name))
         if not isinstance(dtype, T.StringType):
             checks.append((name, bad, text))
-    return raw.select(*cols, F.col("source_file"), first_reason(checks).alias("__bad"))
+    return raw.select(*cols, F.col("source_file"), F.coalesce(odd_row(len(names)), first_reason(checks)).alias("__bad"))
 
 
 def read_parquet_files(spark: SparkSession, paths: list[str], types: dict[str, T.DataType] | None = None) -> DataFrame:
     """S3: Parquet extracts of one schema keep it; known columns are cast to
     their registry type so unions and joins line up."""
     types = RAW_TYPES if types is None else types
-    df = spark.read.parquet(*paths).select("*", source_file_name().alias("source_file"))
+    df = spark.read.parquet(*[literal(p) for p in paths]).select("*", source_file_name().alias("source_file"))
     cols, checks = [], []
     for f in df.schema.fields:
         if f.name == "source_file":
@@ -183,7 +230,7 @@ def headers_under(spark: SparkSession, paths: list[str], encoding: str = DIM_ENC
         lines = {h for f, h in found.items() if f == base or f.startswith(base + "/")}
         if len(lines) != 1:
             raise ValueError(f"{p}: expected one header, found {len(lines)}")
-        names = tuple(next(csv.reader([lines.pop().lstrip("\ufeff")])))
+        names = header_names(lines.pop())
         if len({n.lower() for n in names}) != len(names):
             raise ValueError(f"{p}: duplicate column names in header {names}")
         out[p] = names
@@ -205,15 +252,14 @@ def read_dim_csv(
     when already known."""
     if names is None:
         names = headers_under(spark, [path])[path]
-    schema = T.StructType([T.StructField(f"__c{i}", T.StringType()) for i in range(len(names))])
     raw = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("encoding", DIM_ENCODING)
-        .option("escape", '"')
-        .option("multiLine", "true")
-        .csv(path)
+        spark.read.schema(text_schema(len(names)))
+        .options(**OPTIONS, header="true", encoding=DIM_ENCODING, multiLine="true", columnPruning="false")
+        .csv(literal(path))
     )
+    # a row with other fields than the header must not load
+    odd = odd_row(len(names))
+    raw = raw.withColumn("__c0", F.when(odd.isNotNull(), F.raise_error(F.concat(F.lit(f"{path}: "), odd))).otherwise(F.col("__c0")))
     if ordinal:
         # File order: file path, then split offset, then row id in the split.
         raw = raw.select(

@@ -1,172 +1,181 @@
-"""What a file is before Spark parses it: one streaming pass over its bytes.
-
-Runs inside tasks, a block at a time, so a file of any size needs little memory.
-For CSV it finds the header line, whether a quoted field holds a line break, \\n
-or \\r, at both of which Spark's line reader ends a line (only such files must be
-read whole by one task), and whether a quote is left open at the end (then rows
-would be swallowed, so the file is rejected). A quote opens a field only at the
-field's start; elsewhere it is text. For Parquet it
-reads the schema from the footer.
+"""What a file is before Spark parses it.
+
+For CSV: its first record, which names the columns, whether a quoted field holds a
+line break (``\\n``, ``\\r`` or both), and whether a quote is left open at the end
+(rows would be swallowed, so the file is rejected). A quote opens a field only at
+the field's start; elsewhere it is text.
+
+The first record comes from the file's head, whatever its line ends. The quotes
+are looked at by all tasks at once: Spark reads the files as lines, split like any
+text, and only lines that hold a quote are considered. As a task cannot know
+whether its piece of a file begins inside a quoted field, it reports for both cases
+the state at its end and whether a line ended inside quotes; the pieces of a file
+are then put one after the other. A file of any size needs little memory.
+
+For Parquet: the schema in the footer.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterable, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from finlake.sources.store import for_each, head, literal, norm, parquet_schema
 
 # Task code travels with the job: executors need not import this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_BYTES = 1 << 20
+QUOTE, COMMA = 0x22, 0x2C
 _BEFORE_FIELD = frozenset(b",\n\r")
-
-
-def scan_csv(blocks: Iterable[bytes]) -> dict:
-    """{'header': bytes, 'empty': bool, 'quoted_newline': bool, 'unclosed': bool}."""
-    head, head_done, blank = [], False, True
-    quoted = newline = closing = False
-    last = None
-    for block in blocks:
-        if not block:
+_MARK = re.compile(rb'["\r\n]')
+#: Bytes of a file's head read at first, and at most, to find its first record.
+HEAD_BYTES, MAX_HEAD = 1 << 16, 16 << 20
+
+
+def state_after(line: bytes, quoted: bool) -> bool:
+    """Whether a field is still quoted after ``line``, given whether one was before it."""
+    at = 0
+    while (i := line.find(b'"', at)) >= 0:
+        at = i + 1
+        if not quoted:
+            quoted = i == 0 or line[i - 1] in _BEFORE_FIELD
+        elif line[i + 1 : i + 2] == b'"':
+            at = i + 2
+        else:
+            quoted = False
+    return quoted
+
+
+def cut_records(text: bytes, quoted: bool) -> tuple[list[bytes], bytes, bool]:
+    """(records ended in ``text``, what follows the last one, whether it is inside quotes).
+    A record ends at any ``\\r`` or ``\\n`` outside quotes, so ``\\r\\n`` leaves an empty one, which is no record."""
+    ended, start, skip = [], 0, -1
+    for mark in _MARK.finditer(text):
+        i = mark.start()
+        if i == skip:
             continue
-        if not head_done:
-            cut = block.find(b"\n")
-            head.append(block if cut < 0 else block[:cut])
-            head_done = cut >= 0
-        blank = blank and not block.strip()
-        at = 0
-        if closing:  # the block before ended with a quote inside a quoted field
-            closing = False
-            if block[:1] == b'"':
-                at = 1
-            else:
-                quoted = False
-        while True:
-            i = block.find(b'"', at)
+        if text[i] != QUOTE:
             if not quoted:
-                if i < 0:
-                    break
-                before = block[i - 1] if i else last
-                quoted = before is None or before in _BEFORE_FIELD
-                at = i + 1
-                continue
-            end = i if i >= 0 else len(block)
-            newline = newline or block.find(b"\n", at, end) >= 0 or block.find(b"\r", at, end) >= 0
-            if i < 0:
-                break
-            if i + 1 == len(block):
-                closing = True
-                break
-            if block[i + 1] == 0x22:
-                at = i + 2
-            else:
-                quoted, at = False, i + 1
-        last = block[-1]
-    header = b"".join(head).rstrip(b"\r")
-    return {"header": header, "empty": blank, "quoted_newline": newline, "unclosed": quoted and not closing}
-
-
-def _open(path: str):
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
-def _stream_blocks(path: str) -> Iterator[bytes]:
-    fs, inner = _open(path)
-    with fs.open_input_stream(inner) as stream:
-        while block := stream.read(BLOCK_BYTES):
-            yield block
-
-
-SCHEMA = "path string, header string, empty boolean, quoted_newline boolean, unclosed boolean, problem string"
-
-
-def _row(path: str, blocks: Iterable[bytes], encoding: str) -> tuple:
-    s = scan_csv(blocks)
-    return path, s["header"].decode(encoding, "replace"), s["empty"], s["quoted_newline"], s["unclosed"], None
-
-
-def probe_csv(spark: SparkSession, paths: list[str], encoding: str):
-    """(frame with one row per path, scanner of (path, content) rows). Stores
-    that tasks cannot open directly are read through Spark's binary reader."""
-    scan, columns = _row, ["path", "header", "empty", "quoted_newline", "unclosed", "problem"]
-
-    def by_path(batches):
-        import pandas as pd
+                ended.append(text[start:i])
+                start = i + 1
+        elif not quoted:
+            quoted = i == start or text[i - 1] == COMMA
+        elif text[i + 1 : i + 2] == b'"':
+            skip = i + 1
+        else:
+            quoted = False
+    return ended, text[start:], quoted
 
-        for pdf in batches:
-            rows = []
-            for path in pdf["path"]:
-                try:
-                    rows.append(scan(path, _stream_blocks(path), encoding))
-                except (OSError, NotImplementedError, ValueError) as error:  # pyarrow.ArrowInvalid is a ValueError
-                    rows.append((path, None, None, None, None, f"unreadable: {error}"))
-            yield pd.DataFrame(rows, columns=columns)
-
-    def by_content(batches):
-        import pandas as pd
 
-        for pdf in batches:
-            yield pd.DataFrame([scan(p, [bytes(c)], encoding) for p, c in zip(pdf["path"], pdf["content"])], columns=columns)
+def first_record(data: bytes, whole: bool) -> bytes | None:
+    """The first record that is not blank, or None if ``data`` (the whole file or its head) does not hold it all."""
+    ended, rest, quoted = cut_records(data, False)
+    for record in [*ended, rest] if whole and not quoted else ended:
+        if record.strip():
+            return record
+    return None
 
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4))
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
-    return listed.mapInPandas(by_path, SCHEMA), by_content
 
+def line_end(data: bytes, record: bytes | None) -> str:
+    """The character that ends lines, as after the first record: ``\\r`` if it stands alone, else ``\\n``."""
+    after = data[data.find(record) + len(record) :][:2] if record else b""
+    return "\r" if after[:1] == b"\r" and after != b"\r\n" else "\n"
 
-def csv_facts(spark: SparkSession, paths: list[str], encoding: str) -> dict[str, dict]:
-    """Probe results of a bounded list of paths."""
-    if not paths:
-        return {}
-    direct, by_content = probe_csv(spark, paths, encoding)
-    found = {r["path"]: r.asDict() for r in direct.collect()}
-    missing = [p for p, r in found.items() if r["problem"]]
-    if missing:
-        again = spark.read.format("binaryFile").load(missing).select("path", "content").mapInPandas(by_content, SCHEMA)
-        by_norm = {norm(p): p for p in missing}
-        for r in again.collect():
-            found[by_norm[norm(r["path"])]] = r.asDict()
-    return found
-
-
-def norm(path: str) -> str:
-    """Local paths and file: URIs compare equal."""
-    for prefix in ("file://", "file:"):
-        if path.startswith(prefix):
-            path = path[len(prefix) :]
-            break
-    return "/" + path.lstrip("/") if path.startswith("/") else path
-
-
-def parquet_facts(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str | None, str | None]]:
-    """path -> (schema text, problem), from the footers, read in tasks."""
-
-    def footers(batches):
+
+def csv_head(spark: SparkSession, path: str) -> dict:
+    """{'record': bytes or None, 'empty': bool, 'line_end': str} from the start of a file."""
+    size = HEAD_BYTES
+    while True:
+        data = head(spark, path, size)
+        whole = len(data) < size
+        record = first_record(data, whole)
+        if record is not None or whole or size >= MAX_HEAD:
+            return {"record": record, "empty": whole and not data.strip(), "line_end": line_end(data, record)}
+        size = min(MAX_HEAD, size * 16)
+
+
+# --- lines of files, in pieces -----------------------------------------------------
+
+
+def raw_lines(spark: SparkSession, paths: list[str], sep: str | None = None) -> DataFrame:
+    """(path, block, line): the lines of files as bytes, with the start of the piece they were
+    read in. ``sep`` is the only line end; without it ``\\n``, ``\\r`` and ``\\r\\n`` all are."""
+    reader = spark.read
+    if sep is not None:
+        reader = reader.option("lineSep", sep)
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return reader.text([literal(p) for p in paths]).select(
+        path.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line")
+    )
+
+
+PIECES = "path string, block long, end_out boolean, end_in boolean, broken_out boolean, broken_in boolean"
+
+
+def piece_states(lines: DataFrame) -> DataFrame:
+    """Per piece of a file, if it begins outside (``_out``) or inside (``_in``) a quoted field: the
+    state at its end and whether a line ended inside quotes. ``lines`` may leave out lines without a quote."""
+
+    def emit(batches: Iterator) -> Iterator:
         import pandas as pd
-        import pyarrow as pa
-        import pyarrow.parquet as pq
 
-        for pdf in batches:
+        names = [c.split()[0] for c in PIECES.split(", ")]
+        now, out, inside, broken_out, broken_in = None, False, True, False, False
+        for batch in batches:
             rows = []
-            for path in pdf["path"]:
-                try:
-                    fs, inner = _open(path)
-                    rows.append((path, pq.read_schema(inner, filesystem=fs).remove_metadata().to_string(), None))
-                except NotImplementedError:
-                    rows.append((path, "", None))  # a store only Spark can open: one group
-                except (pa.ArrowInvalid, OSError) as error:
-                    rows.append((path, None, f"unreadable: {str(error)[:200]}"))
-            yield pd.DataFrame(rows, columns=["path", "schema", "problem"])
+            for key, line in zip(zip(batch["path"], batch["block"]), batch["line"]):
+                if key != now:
+                    if now:
+                        rows.append((*now, out, inside, broken_out, broken_in))
+                    now, out, inside, broken_out, broken_in = key, False, True, False, False
+                out, inside = state_after(line, out), state_after(line, inside)
+                broken_out, broken_in = broken_out or out, broken_in or inside
+            yield pd.DataFrame(rows, columns=names)
+        if now:
+            yield pd.DataFrame([(*now, out, inside, broken_out, broken_in)], columns=names)
+
+    return lines.mapInPandas(emit, PIECES)
+
+
+def quote_facts(spark: SparkSession, paths: list[str]) -> dict[str, tuple[bool, bool]]:
+    """norm(path) -> (a quoted field holds a line break, a quote is left open), of files that hold a quote."""
+    lines = raw_lines(spark, paths).filter(F.col("line").contains(F.lit(b'"')))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "end_out", "end_in", "broken_out", "broken_in")))
+    start = F.struct(F.lit(False).alias("inside"), F.lit(False).alias("broken"))
+
+    def one_more(seen, p):
+        inside = seen["inside"]
+        return F.struct(
+            F.when(inside, p["end_in"]).otherwise(p["end_out"]).alias("inside"),
+            (seen["broken"] | F.when(inside, p["broken_in"]).otherwise(p["broken_out"])).alias("broken"),
+        )
+
+    files = piece_states(lines).groupBy("path").agg(pieces.alias("pieces"))
+    found = files.select("path", F.aggregate("pieces", start, one_more).alias("f"))
+    return {norm(r["path"]): (r["f"]["broken"], r["f"]["inside"]) for r in found.collect()}  # one row per file
+
 
+def csv_facts(spark: SparkSession, paths: list[str], encoding: str) -> dict[str, dict]:
+    """Facts of a bounded list of paths: header (text or None), empty, quoted_newline, unclosed, line_end."""
     if not paths:
         return {}
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 200)))
-    return {r["path"]: (r["schema"], r["problem"]) for r in listed.mapInPandas(footers, "path string, schema string, problem string").collect()}
+    heads = for_each(paths, lambda p: csv_head(spark, p))
+    filled = [p for p in paths if not heads[p]["empty"]]
+    quotes = quote_facts(spark, filled) if filled else {}
+    out = {}
+    for p in paths:
+        h = heads[p]
+        broken, unclosed = quotes.get(norm(p), (False, False))
+        header = None if h["record"] is None else h["record"].decode(encoding, "replace")
+        out[p] = {"header": header, "empty": h["empty"], "quoted_newline": broken, "unclosed": unclosed, "line_end": h["line_end"]}
+    return out
+
+
+def parquet_facts(spark: SparkSession, paths: Iterable[str]) -> dict[str, tuple[str | None, str | None]]:
+    """path -> (schema text, problem), from the footers."""
+    return for_each(paths, lambda p: parquet_schema(spark, p))

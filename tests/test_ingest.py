@@ -193,3 +193,82 @@ def test_quoted_carriage_return_loads_whole_rows(spark, tmp):
     for feed in ("actuals", "forecast_live_estimate"):
         got = wh.read_feed(spark, feed).select(F.month("PartitionDate"), "Note").collect()
         assert sorted(map(tuple, got)) == [(1, "one\rtwo"), (2, "b")], feed
+
+
+def test_rows_of_another_shape_reject_their_file(spark, tmp):
+    src, cols = f"{tmp}/src", "Fiscal Year,Period,Text,Status,Cost Center\n"
+    _write(f"{src}/good.csv", cols + "2024,1,t,s,C1\n2024,1,t,s,C2,\n")
+    _write(f"{src}/more.csv", cols + "2024,1,t,s,C1\n2024,1,Smith, John,B,11\n")
+    _write(f"{src}/fewer.csv", cols + "2024,2,short\n2024,1,t,s,C1\n")
+    _write(f"{src}/more_quoted.csv", cols + '2024,1,"a\nb",s,C1\n2024,1,Smith, John,B,12\n')
+    wh = Warehouse(f"{tmp}/wh")
+    report = import_files(spark, wh, [src])
+    reasons = {r.path: r.reason for r in report.rejected}
+    assert report.ingested["actuals"] == ["good.csv"]
+    assert reasons == {
+        "more.csv": "not the 5 fields of the header: 2024,1,Smith, John,B,11",
+        "fewer.csv": "not the 5 fields of the header: 2024,2,short",
+        "more_quoted.csv": "not the 5 fields of the header: 2024,1,Smith, John,B,12",
+    }
+    assert sorted(r["Cost Center"] for r in wh.read_feed(spark, "actuals").collect()) == ["C1", "C2"]
+
+
+def test_any_line_end_and_headers_over_lines(spark, tmp):
+    src = f"{tmp}/src"
+    _write(f"{src}/ledger_1.csv", "Fiscal Year,Period,Note\r2024,1,a\r2024,2,b\r")
+    _write(f"{src}/ledger_2.csv", "\r\nFiscal Year,Period,Note\r\n2024,3,c\r\n")
+    _write(f"{src}/ledger_3.csv", 'Fiscal Year,Period,Note\r2024,4,"d\re"\r')
+    _write(f"{src}/x_ccdet.csv", 'Fiscal Year,Period,"Item\nText",Cost Center\n2024,5,t,C\n')
+    _write(f"{src}/bare.csv", 'Fiscal Year,Period,Note')
+    wh = Warehouse(f"{tmp}/wh")
+    assert not import_files(spark, wh, [src]).rejected
+    notes = {r["Period"]: r["Note"] for r in wh.read_feed(spark, "actuals").collect()}
+    assert notes == {1: "a", 2: "b", 3: "c", 4: "d\re"}
+    [row] = wh.read_feed(spark, "cost_center_details").collect()
+    assert (row["Item\nText"], row["Cost Center"]) == ("t", "C")
+
+
+def test_large_file_with_one_quoted_break_is_split(spark, tmp):
+    from finlake.sources.probe import raw_lines
+
+    src = f"{tmp}/src"
+    body = "".join(f'2024,{1 + i % 12},{100 + i},{i}.5,W{i},C,1/1/2024,{"n" if i != 9000 else chr(34) + "two" + chr(10) + "lines" + chr(34)}\n' for i in range(20000))
+    _write(f"{src}/big_ledger.csv", HEADER + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        assert raw_lines(spark, [f"{src}/big_ledger.csv"], "\n").rdd.getNumPartitions() > 10
+        wh = Warehouse(f"{tmp}/wh")
+        assert not import_files(spark, wh, [src]).rejected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    bronze = wh.read_feed(spark, "actuals")
+    assert bronze.count() == bronze.select("G/L Account").distinct().count() == 20000
+    assert [r["G/L Account"] for r in bronze.filter(F.col("Note").contains("\n")).collect()] == [9100]
+
+
+def test_names_with_pattern_characters(spark, tmp):
+    src = f"{tmp}/src"
+    for name in ("ledger [1].csv", "ledger {2,3}.csv", "ledger_star.csv"):
+        _write(f"{src}/{name}", HEADER + "2024,1,100,1,W,C,1/1/2024,a\n")
+    wh = Warehouse(f"{tmp}/wh")
+    assert sorted(import_files(spark, wh, [src]).ingested["actuals"]) == ["ledger [1].csv", "ledger {2,3}.csv", "ledger_star.csv"]
+    assert wh.read_feed(spark, "actuals").count() == 3
+
+
+def test_store_that_only_spark_reads(spark, tmp):
+    """A mount table: neither the local file system nor Arrow knows its paths."""
+    src, conf = f"{tmp}/src", spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.books.link./in", f"file://{src}")
+    _write(f"{src}/ledger_1.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,plain\n")
+    _write(f"{src}/ledger_2.csv", HEADER + '2024,2,100,1,W,C,1/1/2024,"two\nlines"\n')
+    _write(f"{src}/_LE_3.csv", "PERIOD,YEAR,Last Refresh,Note\nM01,2024,x,hidden\n")
+    spark.range(3).selectExpr("2024L `Fiscal Year`", "1L Period", "'p' Note").write.parquet(f"{src}/p/ledger_4.parquet")
+    _write(f"{src}/p/broken.parquet", "not a table")
+    wh = Warehouse(f"{tmp}/wh")
+    assert not import_files(spark, wh, ["viewfs://books/in"]).rejected
+    assert sorted(r["Note"] for r in wh.read_feed(spark, "actuals").collect()) == ["plain", "two\nlines"]
+    assert wh.read_feed(spark, "forecast_live_estimate").count() == 1
+    other = Warehouse(f"{tmp}/parquet")
+    report = import_files(spark, other, ["viewfs://books/in/p"], "parquet")
+    assert [r.path for r in report.rejected] == ["broken.parquet"] and "unreadable" in report.rejected[0].reason
+    assert other.read_feed(spark, "actuals").count() == 3
