@@ -6,11 +6,12 @@ one staged write, check and publish per (feed, header) group. A batch holds at
 most ``BATCH_NAMES`` base names, so a run of any size keeps a bounded list of
 paths in the driver.
 
-Write protocol (exactly once without transactions): typed rows go to a staging
-folder on shared storage, files with bad rows are found there, and the rows of
-good files are written to bronze (partitioned by month and ``source_file``, with
-dynamic partition overwrite); then the ledger is appended. A crash between the
-two leaves partitions that the next run rewrites before recording them.
+Write protocol (see ``sources.ledger``): typed rows go to a staging folder on
+shared storage, files with bad rows are found there, and the rows of good files are
+written to bronze as an attempt of their own, by month; then the ledger entry, the
+only commit, makes them visible. A crash before it leaves rows that no reader sees
+(``vacuum`` removes them), and the next run writes another attempt. Feeds are
+imported side by side; what was staged is removed at the end.
 
 A file that cannot be loaded (an open quote, a value that does not parse to its
 type, a date that is not month/day/year, a period month outside 1..12, other
@@ -24,19 +25,23 @@ from __future__ import annotations
 
 import logging
 import os
+import time
+import uuid
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import col, month_start, parse_date, period_digits
-from finlake.plans.warehouse import MONTH, Warehouse
+from finlake.plans.warehouse import ATTEMPT, MONTH, Warehouse
 from finlake.session import scratch_path
 from finlake.sources.csv import VISIBLE, Rejected, cast_value, first_reason, group_by_header, read_csv_group, read_parquet_files
 from finlake.sources.files import is_hidden, list_files, rank_per_name, visible_copies, with_feed
-from finlake.sources.ledger import new_files, read_ledger, record
+from finlake.sources.ledger import merge_commits, new_files, read_ledger, record
 from finlake.sources.probe import parquet_facts
+from finlake.sources.store import child_folders, remove
 
 log = logging.getLogger(__name__)
 
@@ -45,9 +50,12 @@ BATCH_NAMES = 10_000
 
 @dataclass
 class ImportReport:
+    """Base names per feed, what was rejected and why, and rows per feed as the writes counted them."""
+
     ingested: dict[str, list[str]] = field(default_factory=lambda: defaultdict(list))
     rejected: list[Rejected] = field(default_factory=list)
     duplicates: list[str] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=lambda: defaultdict(int))
 
     @property
     def ingested_count(self) -> int:
@@ -127,72 +135,107 @@ def as_feed(staged: DataFrame, schema) -> DataFrame:
     return staged.select(*cols, F.coalesce(col("__bad"), first_reason(checks)).alias("__bad"))
 
 
-def ingest_group(spark: SparkSession, wh: Warehouse, feed: str, df: DataFrame, paths: list[str]) -> dict[str, str]:
-    """Stage, check and publish one (feed, header) group; returns path -> reason of the rejected ones."""
+@dataclass
+class Published:
+    """One (feed, header) group: path -> reason of the rejected files, and what was written but not yet committed."""
+
+    rejected: dict[str, str]
+    attempt: str | None = None
+    names: list[str] = field(default_factory=list)
+    rows: int = 0
+
+
+def publish_group(spark: SparkSession, wh: Warehouse, feed: str, df: DataFrame, paths: list[str], work: str) -> Published:
+    """Stage and check one (feed, header) group and write its good files as a new attempt."""
     try:
         staged = typed_rows(df)
     except ValueError as exc:  # the columns contradict a rule
-        return {p: str(exc) for p in paths}
+        return Published({p: str(exc) for p in paths})
     schema = wh.feed_schema(spark, feed)
     if schema is None:
         wanted = staged.drop("__bad").schema
     elif set(schema.fieldNames()) != set(staged.columns) - {"__bad"}:
-        return {p: f"columns differ from feed table {feed}" for p in paths}
+        return Published({p: f"columns differ from feed table {feed}" for p in paths})
     else:
         wanted = schema
         staged = as_feed(staged, schema)
-    folder = scratch_path(spark, f"staging-{feed}") + "/rows"
-    staged.write.parquet(folder)
-    rows = spark.read.schema(staged.schema).parquet(folder)
-    # at most one row per file of the batch
-    bad = rows.filter(col("__bad").isNotNull()).groupBy("source_file").agg(F.min("__bad").alias("reason"))
-    reasons = {r["source_file"]: r["reason"] for r in bad.collect()}
+    folder, attempt = f"{work}/staging-{uuid.uuid4().hex}", uuid.uuid4().hex
+    seen = Observation()
+    staged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(col("__bad")).alias("bad")).write.parquet(folder)
+    rows, reasons = spark.read.schema(staged.schema).parquet(folder), {}
+    if seen.get["bad"]:
+        # at most one row per file of the batch
+        bad = rows.filter(col("__bad").isNotNull()).groupBy("source_file").agg(F.min("__bad").alias("reason"))
+        reasons = {r["source_file"]: r["reason"] for r in bad.collect()}
+        rows = rows.join(F.broadcast(bad.select("source_file")), "source_file", "left_anti")
     rejected = {p: reasons[_base(p)] for p in paths if _base(p) in reasons}
     good_names = sorted({_base(p) for p in paths} - set(reasons))
     if not good_names:
-        return rejected
-    if reasons:
-        rows = rows.join(F.broadcast(bad.select("source_file")), "source_file", "left_anti")
+        return Published(rejected)
     if schema is None:
         wh.set_feed_schema(spark, feed, wanted)
     month = F.date_format(col("PartitionDate"), "yyyy-MM") if "PartitionDate" in rows.columns else F.lit(None).cast("string")
+    written = Observation()
     (
         # No shuffle: a file's rows already sit in the task(s) that staged it.
         rows.select(*[col(f.name) for f in wanted.fields], month.alias(MONTH))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH, "source_file")
-        .parquet(wh.feed_path(feed))
+        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.partitionBy(MONTH)
+        .parquet(f"{wh.feed_path(feed)}/{ATTEMPT}={attempt}")
     )
-    record(spark, wh.ledger_path, spark.createDataFrame([(n,) for n in good_names], "file_name string"))
-    return rejected
+    return Published(rejected, attempt, good_names, written.get["rows"])
 
 
-def _ingest_files(
-    spark: SparkSession, wh: Warehouse, feed: str, paths: list[str], input_format: str, multi_line: bool | None
+def ingest_group(
+    spark: SparkSession, wh: Warehouse, feed: str, df: DataFrame, paths: list[str], work: str, report: ImportReport
 ) -> dict[str, str]:
-    """One file per base name into one feed; returns path -> reason of the rejected ones."""
-    hidden = [p for p in paths if is_hidden(p)]
-    copies = visible_copies(spark, hidden) if hidden else {}
-    original = {copies.get(p, p): p for p in paths}
+    """Publish and commit one (feed, header) group; returns path -> reason of the rejected ones."""
+    found = publish_group(spark, wh, feed, df, paths, work)
+    if found.names:
+        names = spark.createDataFrame([(n,) for n in found.names], "file_name string")
+        record(spark, wh.ledger_path, names, found.attempt)
+        report.rows[feed] += found.rows
+    return found.rejected
+
+
+def frames_of(
+    spark: SparkSession, paths: list[str], input_format: str, multi_line: bool | None, work: str
+) -> tuple[list[tuple[DataFrame, list[str]]], dict[str, str]]:
+    """(frames with the paths they read, one per header or schema; path -> reason of unreadable files)."""
     rejected: dict[str, str] = {}
     if input_format.lower() == "parquet":
-        facts = parquet_facts(spark, list(original))
         groups: dict[str, list[str]] = defaultdict(list)
-        for p in original:
-            schema, problem = facts[p]
+        for p, (schema, problem) in parquet_facts(spark, paths).items():
             if problem:
-                rejected[original[p]] = problem
+                rejected[p] = problem
             else:
                 groups[schema].append(p)
-        frames = [(read_parquet_files(spark, g), g) for _, g in sorted(groups.items(), key=lambda x: min(x[1]))]
-    else:
-        hg = group_by_header(spark, list(original), multi_line=multi_line)
-        rejected |= {original[r.path]: r.reason for r in hg.rejected}
-        frames = [(read_csv_group(spark, names, g, records=line_end), g) for (names, line_end), g in hg.groups.items()]
+        return [(read_parquet_files(spark, g), g) for _, g in sorted(groups.items(), key=lambda x: min(x[1]))], rejected
+    hg = group_by_header(spark, paths, multi_line=multi_line)
+    rejected |= {r.path: r.reason for r in hg.rejected}
+    return [(read_csv_group(spark, names, g, records=sep, work=work), g) for (names, sep), g in hg.groups.items()], rejected
+
+
+def _ingest_files(
+    spark: SparkSession,
+    wh: Warehouse,
+    feed: str,
+    paths: list[str],
+    input_format: str,
+    multi_line: bool | None,
+    work: str,
+    report: ImportReport,
+) -> dict[str, str]:
+    """One file per base name into one feed; returns path -> reason of the rejected ones."""
+    hidden = [p for p in paths if is_hidden(p)]
+    copies = visible_copies(spark, hidden, f"{work}/visible-{uuid.uuid4().hex}") if hidden else {}
+    original = {copies.get(p, p): p for p in paths}
+    frames, unreadable = frames_of(spark, list(original), input_format, multi_line, work)
+    rejected = {original[p]: reason for p, reason in unreadable.items()}
     for df, group in frames:
-        for p, reason in ingest_group(spark, wh, feed, df, [_plain(p) for p in group]).items():
-            rejected[next(original[g] for g in group if _plain(g) == p)] = reason
+        plain = {_plain(p): original[p] for p in group}
+        for p, reason in ingest_group(spark, wh, feed, df, list(plain), work, report).items():
+            rejected[plain[p]] = reason
     return rejected
 
 
@@ -217,6 +260,7 @@ def import_paths(
     ranked = with_feed(rank_per_name(fresh.select("path", "file_name").distinct())).select("path", "file_name", "feed", "rank")
     n_names = ranked.filter("rank = 1").count()
     batches = max(1, -(-n_names // BATCH_NAMES))
+    work = scratch_path(spark, "import")
     batch_of = F.pmod(F.xxhash64("file_name"), F.lit(batches))
     for b in range(batches):
         rows = sorted(ranked.filter(batch_of == b).collect(), key=lambda r: (r["rank"], r["path"]))
@@ -230,11 +274,16 @@ def import_paths(
             for r in now.values():
                 by_feed[r["feed"]].append(r["path"])
             rejected: dict[str, str] = {}
-            for feed in sorted(by_feed):
-                paths = sorted(by_feed[feed])
-                found = _ingest_files(spark, wh, feed, paths, input_format, multi_line)
+
+            def load(feed: str) -> dict[str, str]:
+                return _ingest_files(spark, wh, feed, sorted(by_feed[feed]), input_format, multi_line, work, report)  # noqa: B023
+
+            # feeds share no file, so their jobs run side by side
+            with ThreadPoolExecutor(max(1, len(by_feed))) as pool:
+                outcomes = dict(zip(sorted(by_feed), pool.map(load, sorted(by_feed))))
+            for feed, found in outcomes.items():
                 rejected |= found
-                done = [p for p in paths if p not in found]
+                done = [p for p in sorted(by_feed[feed]) if p not in found]
                 report.ingested[feed].extend(_base(p) for p in done)
                 loaded |= {_base(p): p for p in done}
             report.rejected += [Rejected(_base(p), reason) for p, reason in sorted(rejected.items())]
@@ -245,6 +294,8 @@ def import_paths(
             waiting = [r for r in waiting if r["file_name"] not in loaded]
     report.duplicates.sort()
     _write_quarantine(spark, wh, report)
+    merge_commits(spark, wh.ledger_path)
+    remove(spark, work)
     return report
 
 
@@ -273,3 +324,21 @@ def _write_quarantine(spark: SparkSession, wh: Warehouse, report: ImportReport)
         .write.mode("append")
         .parquet(wh.quarantine_path)
     )
+
+
+def vacuum(spark: SparkSession, wh: Warehouse, feeds: list[str], older_than_hours: float = 24) -> list[str]:
+    """Remove attempts that were never committed and are older than any running import can be."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    committed = read_ledger(spark, wh.ledger_path).select("attempt").distinct()
+    found = []
+    for feed in feeds:
+        for folder in child_folders(spark, wh.feed_path(feed)):
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            age = time.time() - target.getFileSystem(conf).getFileStatus(target).getModificationTime() / 1000
+            if age >= older_than_hours * 3600:
+                found.append((folder, target.getName().partition("=")[2]))
+    listed = spark.createDataFrame(found, "folder string, attempt string")
+    gone = [r["folder"] for r in listed.join(committed, "attempt", "left_anti").collect()]
+    for folder in gone:
+        remove(spark, folder)
+    return gone

@@ -1,6 +1,6 @@
 """Storage layout of one warehouse under a root folder (any Hadoop path):
 
-  <root>/bronze/<feed>/bronze_month=<yyyy-MM>/source_file=<name>/   feed tables
+  <root>/bronze/<feed>/attempt=<id>/bronze_month=<yyyy-MM>/   feed tables; the ledger says which attempts count
   <root>/schema/<feed>/                      columns and types of each feed table
   <root>/meta/<table>/                       refreshed dimension tables
   <root>/ledger/                             ingested base names
@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Partition column of the feed tables: month of PartitionDate, null without one.
-MONTH = "bronze_month"
+from finlake.sources.ledger import read_ledger, visible_rows
+
+#: Partition columns of the feed tables: the import attempt, and the month of PartitionDate (null without one).
+ATTEMPT, MONTH = "attempt", "bronze_month"
 
 
 def _missing(exc: Exception) -> bool:
@@ -53,26 +55,30 @@ class Warehouse:
     def schema_path(self, feed: str) -> str:
         return f"{self.root.rstrip('/')}/schema/{feed}"
 
-    def read_feed(self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None) -> DataFrame | None:
-        """A feed table, or None when nothing was ever ingested into it. With
-        ``start`` and ``end`` (first day included, first day excluded) only the
-        folders of the months they touch are read."""
+    def read_feed(
+        self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None, ledger: DataFrame | None = None
+    ) -> DataFrame | None:
+        """A feed table: the rows of files the ledger holds, or None when nothing was ever
+        ingested into it. With ``start`` and ``end`` (first day included, first day excluded)
+        only the folders of the months they touch are read. ``ledger`` is the ledger
+        when already read."""
         schema = self.feed_schema(spark, feed)
         if schema is None:
             return None
-        stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+        stored = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType()), T.StructField(MONTH, T.StringType())])
         df = spark.read.schema(stored).parquet(self.feed_path(feed))
+        df = visible_rows(df, read_ledger(spark, self.ledger_path) if ledger is None else ledger)
         if start and end:
             month = F.col(MONTH)
             df = df.filter((month >= month_of(start)) & (month <= month_of(end)))
-        return df.drop(MONTH)
+        return df.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
 
     def read_feed_or_empty(
-        self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None
+        self, spark: SparkSession, feed: str, start: str | None = None, end: str | None = None, ledger: DataFrame | None = None
     ) -> DataFrame:
         """A feed table, or an empty frame of the feed's needed columns when
         nothing was ingested into it yet (D8, D9)."""
-        df = self.read_feed(spark, feed, start, end)
+        df = self.read_feed(spark, feed, start, end, ledger)
         if df is None:
             from finlake.schemas import feed_schema
 

@@ -248,6 +248,8 @@ LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("filename", STRING, False),
         T.StructField("ingested_at", TS, True),
+        # the attempt whose rows this entry makes visible
+        T.StructField("attempt", STRING, True),
     ]
 )
 

@@ -158,11 +158,12 @@ def read_csv_group(
     types: dict[str, T.DataType] | None = None,
     encoding: str = FACT_ENCODING,
     records: str | None = None,
+    work: str | None = None,
 ) -> DataFrame:
     """Read files sharing one header; return typed columns in header order,
     ``source_file`` (base name) and ``__bad`` (why the row is bad, or null).
-    ``records`` is the line end of files whose quoted fields hold line breaks; without
-    it every line is a row."""
+    ``records`` is the line end of files whose quoted fields hold line breaks (``work``
+    is then a folder on shared storage for them); without it every line is a row."""
     types = RAW_TYPES if types is None else types
     schema = text_schema(len(names))
     if records is None:
@@ -174,7 +175,7 @@ def read_csv_group(
         )
     else:
         name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), f"^{VISIBLE}", "")
-        raw = csv_records(spark, paths, records).select(
+        raw = csv_records(spark, paths, records, work).select(
             F.from_csv(F.decode("record", encoding), text_ddl(len(names)), OPTIONS).alias("r"), name.alias("source_file")
         )
         raw = raw.select("r.*", "source_file")

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import base_name, route_feed
-from finlake.session import scratch_path
 from finlake.sources.csv import VISIBLE
 
 log = logging.getLogger(__name__)
@@ -114,12 +113,11 @@ def is_hidden(path: str) -> bool:
     return path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", "."))
 
 
-def visible_copies(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Copies, below the shared scratch folder, of files that Spark's readers
+def visible_copies(spark: SparkSession, paths: list[str], folder: str) -> dict[str, str]:
+    """Copies, below ``folder`` on shared storage, of files that Spark's readers
     would skip (their name starts with ``_`` or ``.``): path -> copy."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
-    folder = scratch_path(spark, "visible")
     out = {}
     for i, p in enumerate(paths):
         name = p.rsplit("/", 1)[1]

@@ -14,6 +14,7 @@ in as many pieces as any text file:
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
@@ -83,9 +84,10 @@ class Piece:
 RECORDS = "path string, block long, kind int, first boolean, record binary"
 
 
-def csv_records(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
+def csv_records(spark: SparkSession, paths: list[str], sep: str, work: str | None = None) -> DataFrame:
     """(path, record): the records of files whose lines end with ``sep`` ("\\n", also after "\\r",
-    or "\\r"), as bytes, without each file's first record and without blank ones."""
+    or "\\r"), as bytes, without each file's first record and without blank ones. Records
+    are kept below ``work``, or the shared scratch folder, until the caller is done."""
     lines = raw_lines(spark, paths, sep)
     inside = starts_inside(piece_states(lines)).withColumn("inside", F.lit(True))
     # at most one row per piece of a file
@@ -114,7 +116,7 @@ def csv_records(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=names)
 
     # used twice, so written once
-    folder = scratch_path(spark, "records") + "/rows"
+    folder = f"{work or scratch_path(spark, 'records')}/records-{uuid.uuid4().hex}"
     told.mapInPandas(emit, RECORDS).write.parquet(folder)
     found = spark.read.schema(RECORDS).parquet(folder)
     whole = found.filter(F.col("kind") == WHOLE).select("path", "first", "record")

@@ -66,3 +66,19 @@ def parquet_schema(spark: SparkSession, path: str) -> tuple[str | None, str | No
         return reader.getFooter().getFileMetaData().getSchema().toString(), None
     finally:
         reader.close()
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly below a folder, without hidden ones; none if it is missing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    found = [s.getPath() for s in fs.listStatus(target) if s.isDirectory()]
+    return [p.toString() for p in found if not p.getName().startswith(("_", "."))]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run or a merged ledger wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.gold_sink import read_gold, write_gold
@@ -272,3 +273,58 @@ def test_store_that_only_spark_reads(spark, tmp):
     report = import_files(spark, other, ["viewfs://books/in/p"], "parquet")
     assert [r.path for r in report.rejected] == ["broken.parquet"] and "unreadable" in report.rejected[0].reason
     assert other.read_feed(spark, "actuals").count() == 3
+
+
+def test_file_changed_after_a_crash_leaves_no_old_row(spark, tmp, monkeypatch):
+    from finlake.plans import ingest
+
+    src, wh = f"{tmp}/src", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/a.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,old\n2024,3,100,1,W,C,1/1/2024,old\n")
+    real = ingest.record
+    monkeypatch.setattr(ingest, "record", lambda *a: (_ for _ in ()).throw(OSError("store is down")))
+    with pytest.raises(OSError):
+        import_files(spark, wh, [src])
+    assert wh.read_feed(spark, "actuals").count() == 0  # written, but nobody sees it
+    monkeypatch.setattr(ingest, "record", real)
+    _write(f"{src}/a.csv", HEADER + "2024,2,100,1,W,C,1/1/2024,new\n")
+    report = import_files(spark, wh, [src])
+    assert report.rows == {"actuals": 1}
+    assert [r["Note"] for r in wh.read_feed(spark, "actuals").collect()] == ["new"]
+    # the attempt without a commit goes, the other one stays
+    assert ingest.vacuum(spark, wh, ["actuals", "forecast_trend"], 24) == []
+    assert len(ingest.vacuum(spark, wh, ["actuals", "forecast_trend"], 0)) == 1
+    assert wh.read_feed(spark, "actuals").count() == 1
+
+
+def test_two_importers_of_one_file_show_it_once(spark, tmp):
+    from finlake.plans import ingest
+
+    src, wh = f"{tmp}/src", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/a.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,x\n")
+    [(df, group)], _ = ingest.frames_of(spark, [f"{src}/a.csv"], "csv", None, f"{tmp}/work")
+    slow = ingest.publish_group(spark, wh, "actuals", df, group, f"{tmp}/work")  # not yet committed
+    import_files(spark, wh, [src])
+    ingest.record(spark, wh.ledger_path, spark.createDataFrame([("a.csv",)], "file_name string"), slow.attempt)
+    assert wh.read_feed(spark, "actuals").count() == 1
+
+
+def test_many_imports_leave_few_ledger_files(spark, tmp):
+    from finlake.sources import ledger
+
+    path = f"{tmp}/ledger"
+    for i in range(12):
+        names = spark.createDataFrame([(f"f{i}.csv",), (f"g{i}.csv",)], "file_name string")
+        ledger.record(spark, path, names, f"{i:032x}")
+        ledger.merge_commits(spark, path, max_commits=4)
+    assert len(os.listdir(path)) <= 5
+    assert sorted(r["filename"] for r in read_ledger(spark, path).collect()) == sorted(f"{c}{i}.csv" for c in "fg" for i in range(12))
+
+
+def test_staging_is_removed(spark, tmp, monkeypatch):
+    from finlake.plans import ingest
+
+    folders, real = [], ingest.scratch_path
+    monkeypatch.setattr(ingest, "scratch_path", lambda *a: folders.append(real(*a)) or folders[-1])
+    _write(f"{tmp}/src/a.csv", HEADER + '2024,1,100,1,W,C,1/1/2024,"two\nlines"\n')
+    import_files(spark, Warehouse(f"{tmp}/wh"), [f"{tmp}/src"])
+    assert folders and not any(os.path.exists(f.replace("file:", "")) for f in folders)
