@@ -11,6 +11,7 @@ from finlake.plans import driver_tables as dt
 from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
 from finlake.session import scratch_path
+from finlake.sources.files import list_files
 from finlake.sources.ledger import read_ledger
 
 COLUMNS = ["Purchasing Document", "Fiscal Year", "Period", "G/L Account", "Amount in Company Code Currency", "Note"]
@@ -278,7 +279,57 @@ def ingest_ragged(spark: SparkSession, sf: str) -> DataFrame:
     return rows.unionByName(rejected, allowMissingColumns=True)
 
 
+SQL_CRASH = """
+with o as (select *, 'ledger_' || (o_orderkey // 4096) || '.csv' file_name from orders)
+select 'row' kind, file_name, o_orderkey, make_timestamp(2031, 2, 1, 0, 0, 0) partition_date, o_totalprice amount, null n from o
+union all
+select 'run ' || r, 'actuals', null, null, null, case r when 1 then 0 when 2 then (select count(*) from orders) else 0 end
+from (values (1), (2), (3)) t(r)
+union all
+select 'commits', null, null, null, null, (select count(distinct file_name) from o)
+"""
+
+
+def crash_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A run stops between bronze and the ledger, its files change month and amount, two more runs follow.
+
+    Rows as read in the end, rows visible after the first run and loaded by the next ones
+    (as the writes counted them), and ledger entries."""
+    from finlake.plans.ingest import frames_of, publish_group
+
+    o, k = dt.table(spark, sf, "orders"), F.col("o_orderkey")
+    name = F.concat(F.lit("ledger_"), F.floor(k / ROWS_PER_FILE).cast("string"), F.lit(".csv"))
+
+    def extract(month: int, factor: int) -> str:
+        folder = scratch_path(spark, "crash-extracts")
+        fields = [k, F.lit(2031), F.lit(month), k % 50, F.col("o_totalprice") * factor, F.col("o_orderpriority")]
+        value = F.concat_ws(",", *[f.cast("string") for f in fields])
+        rows = o.select(name.alias("name"), k.alias("k"), value.alias("value"))
+        heads = rows.select("name").distinct().select("name", F.lit(-1).cast("long").alias("k"), F.lit(",".join(COLUMNS)).alias("value"))
+        _write_files(spark, rows.unionByName(heads), folder, "\n")
+        return folder
+
+    wh, work = Warehouse(scratch_path(spark, "warehouse")), scratch_path(spark, "work")
+    before = [r["path"] for r in list_files(spark, [extract(1, 2)], "csv").select("path").collect()]
+    for df, paths in frames_of(spark, before, "csv", None, work)[0]:
+        publish_group(spark, wh, "actuals", df, paths, work)  # written, and never committed
+    counts = [wh.read_feed(spark, "actuals").count()]
+    after = extract(2, 1)
+    counts += [import_files(spark, wh, [after]).rows["actuals"] for _ in range(2)]
+    entries = read_ledger(spark, wh.ledger_path).count()
+    told = [(f"run {i}", "actuals", n) for i, n in enumerate(counts, 1)] + [("commits", None, entries)]
+    rows = wh.read_feed(spark, "actuals").select(
+        F.lit("row").alias("kind"),
+        col("source_file").alias("file_name"),
+        col("Purchasing Document").cast("bigint").alias("o_orderkey"),
+        col("PartitionDate").alias("partition_date"),
+        col(AMOUNT).alias("amount"),
+    )
+    return rows.unionByName(spark.createDataFrame(told, "kind string, file_name string, n long"), allowMissingColumns=True)
+
+
 FILE_QUERIES = {
+    "crash_replay": (crash_replay, SQL_CRASH),
     "ingest_ragged": (ingest_ragged, SQL_RAGGED),
     "ingest_bad_files": (ingest_bad_files, SQL_BAD_FILES),
     "ledger_rows": (ledger_rows, SQL_LEDGER_ROWS),
