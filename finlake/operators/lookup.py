@@ -13,6 +13,13 @@ measures that side (rows and bytes). The side is broadcast only when that
 measured size is under ``finlake.broadcast.maxBytes``; then the big side is
 never shuffled, so a key holding a third of its rows costs nothing extra.
 
+A larger side is first cut to the keys that the big side holds (semi-join
+reduction, ``finlake.lookup.reduce``, on by default): the big side's distinct keys
+are written once, from its key columns alone; if so many rows of average width would
+fit, the dimension's rows with these keys are written, measured, and broadcast if
+they do fit. That takes a pass over the key columns instead of a shuffle of
+whole facts.
+
 Otherwise the join is a sort-merge join. Hot keys (the null key included) are
 then handled in one of two ways, chosen by ``finlake.skew.mode``:
 
@@ -33,11 +40,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.functions.columns import col
+from finlake.session import scratch_path
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_HOT_KEY_ROWS = 2_000_000
@@ -272,8 +280,14 @@ def lookup_join(
     use_broadcast = fits and (strategy == "broadcast" or (strategy == "auto" and how in ("inner", "left")))
 
     split = (left.sparkSession.conf.get("finlake.skew.mode", "aqe") or "aqe") == "split"
+    reduced = None
+    if strategy == "auto" and not use_broadcast and right_unique and how in ("inner", "left") and max_bytes > 0:
+        if (left.sparkSession.conf.get("finlake.lookup.reduce", "true") or "true") == "true":
+            reduced = _reduced_side(left_r, right_r, lk, rk, rstats, max_bytes)
     if use_broadcast:
         joined = left_r.join(F.broadcast(right_r), cond, how)
+    elif reduced is not None:
+        joined = left_r.join(F.broadcast(reduced), cond, how)
     elif strategy == "auto" and split and how in ("inner", "left") and right_unique:
         joined = _skew_split_join(left_r, right_r.hint("merge"), lk, rk, cond, how)
     else:
@@ -295,6 +309,28 @@ def lookup_join(
     return joined.select(*out)
 
 
+def _written(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``df`` written to the shared scratch folder and read back, with what was measured on the way."""
+    seen, path = Observation(), scratch_path(df.sparkSession, name) + "/rows"
+    df.observe(seen, *[m.alias(n) for n, m in measures.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+def _reduced_side(
+    left: DataFrame, right: DataFrame, lk: list[str], rk: list[str], stats: SideStats, max_bytes: int
+) -> DataFrame | None:
+    """The rows of ``right`` (unique on ``rk``) whose keys occur in ``left``, or None if they do not fit ``max_bytes``."""
+    names = [f"__lk{i}" for i in range(len(lk))]
+    distinct = left.select(*[col(k).alias(n) for k, n in zip(lk, names)]).distinct()
+    keys, found = _written(distinct, "lookup-keys", rows=F.count(F.lit(1)))
+    if found["rows"] * stats.bytes > max_bytes * max(stats.rows, 1):
+        return None
+    # a key is no wider than the row it belongs to, so the keys fit as well
+    held = right.join(F.broadcast(keys), _null_safe_cond(rk, names), "left_semi")
+    rows, found = _written(held, "lookup-reduced", bytes=F.coalesce(F.sum(_row_width(right)), F.lit(0)))
+    return rows if found["bytes"] <= max_bytes else None
+
+
 def _skew_split_join(
     left: DataFrame, right: DataFrame, lk: list[str], rk: list[str], cond: Column, how: str
 ) -> DataFrame:

@@ -127,3 +127,39 @@ def test_prefetch_measures_once(spark):
     prefetch_key_stats([(a, ["k"]), (b, ["k"])])
     assert a.__dict__["_finlake_key_stats"][("k",)].rows == 5
     assert b.__dict__["_finlake_key_stats"][("k",)].rows == 3
+
+
+def test_large_side_is_cut_to_the_keys_in_use(spark):
+    """The dimension is over the limit, its rows that the facts use are not: same rows, no fact shuffle."""
+    facts = spark.createDataFrame([(f"k{i % 5}" if i % 7 else None, i, "f") for i in range(300)], SCHEMA_L)
+    dim = spark.createDataFrame([(f"k{i}" if i else None, i, "d" * 50) for i in range(2000)], SCHEMA_R)
+    want = {how: rows(lookup_join(facts, dim, "k", how=how)) for how in ("left", "inner")}
+    before = {k: spark.conf.get(k, None) for k in ("finlake.broadcast.maxBytes", "finlake.lookup.reduce")}
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        spark.conf.set("finlake.broadcast.maxBytes", "4000")
+        for how in want:
+            out = lookup_join(facts, dim, "k", how=how)
+            assert rows(out) == want[how]
+            assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
+        # switched off, or with more keys in use than fit: a sort-merge join
+        spark.conf.set("finlake.lookup.reduce", "false")
+        assert "SortMergeJoin" in plan(lookup_join(facts, dim, "k"))
+        spark.conf.set("finlake.lookup.reduce", "true")
+        many = facts.withColumn("k", F.concat(F.lit("k"), F.col("a").cast("string")))
+        out = lookup_join(many, dim, "k")
+        assert "SortMergeJoin" in plan(out) and out.count() == 300
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_reduced_gold_plan_shuffles_no_facts(spark):
+    from finlake.queries import QUERIES
+
+    out = QUERIES["gold_actuals_reduced"](spark, "/root/testdata/sf0.01")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
