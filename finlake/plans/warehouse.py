@@ -2,7 +2,7 @@
 
   <root>/bronze/<feed>/attempt=<id>/bronze_month=<yyyy-MM>/   feed tables; the ledger says which attempts count
   <root>/schema/<feed>/                      columns and types of each feed table
-  <root>/meta/<table>/                       refreshed dimension tables
+  <root>/meta/<table>/v-<time>/              versions of the refreshed dimension tables
   <root>/ledger/                             ingested base names
   <root>/quarantine/                         rejected files and reasons
 """
@@ -13,21 +13,17 @@ import json
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finlake.sources.ledger import read_ledger, visible_rows
+from finlake.sources.store import new_version, notes, publish, put_note, versions
 
 #: Partition columns of the feed tables: the import attempt, and the month of PartitionDate (null without one).
 ATTEMPT, MONTH = "attempt", "bronze_month"
 
 
-def _missing(exc: Exception) -> bool:
-    text = str(exc)
-    return "PATH_NOT_FOUND" in text or "does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
-
-
 def month_of(day: str) -> str:
     """'2024/01/31' or '2024-01-31' -> '2024-01'."""
     return datetime.strptime(day.replace("-", "/"), "%Y/%m/%d").strftime("%Y-%m")
@@ -87,22 +83,21 @@ class Warehouse:
 
     def feed_schema(self, spark: SparkSession, feed: str) -> T.StructType | None:
         """Columns of a feed table (``source_file`` last), as its first file set them."""
-        try:
-            text = spark.read.option("wholetext", "true").text(self.schema_path(feed)).first()
-        except Exception as exc:
-            if _missing(exc):
-                return None
-            raise
-        return None if text is None else T.StructType.fromJson(json.loads(text["value"]))
+        first = next(iter(notes(spark, self.schema_path(feed)).values()), None)
+        return None if first is None else T.StructType.fromJson(json.loads(first))
 
     def set_feed_schema(self, spark: SparkSession, feed: str, schema: T.StructType) -> None:
-        one = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-        one.write.mode("overwrite").text(self.schema_path(feed))
+        put_note(spark, self.schema_path(feed), schema.json())
 
     def read_meta(self, spark: SparkSession, table: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.meta_path(table))
-        except Exception as exc:
-            if _missing(exc):
-                return None
-            raise
+        """The last published version of a dimension table, or None."""
+        found = versions(spark, self.meta_path(table))
+        return spark.read.parquet(found[-1]) if found else None
+
+    def write_meta(self, spark: SparkSession, table: str, df: DataFrame) -> tuple[DataFrame, int]:
+        """Replace a dimension table (S12): a new version is written beside the old one, which
+        stays what readers see until the new one is whole. Returns the table and its rows."""
+        version, seen = new_version(self.meta_path(table)), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(version)
+        publish(spark, version)
+        return spark.read.parquet(version), seen.get["rows"]

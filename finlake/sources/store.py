@@ -1,13 +1,16 @@
-"""Small reads through Spark's own file-system client, so any store Spark can list can be read.
+"""Small reads and writes through Spark's own file-system client, so any store that Spark can use will do.
 
-Only the first record of a text file and the footer of a Parquet file are read
-here, for a bounded batch of paths and several at a time; whole files are always
-read by Spark's readers, in tasks.
+Of data files only the first record of a text file and the footer of a Parquet file
+are read here, for a bounded batch of paths and several at a time; whole files are
+always read by Spark's readers, in tasks. Notes (schemas, markers) are small files
+that appear whole, under names of their own, and are never overwritten.
 """
 
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -82,3 +85,61 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that this run or a merged ledger wrote."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _open(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put_note(spark: SparkSession, folder: str, text: str) -> str:
+    """A new small file in ``folder``; it has its name only once it is whole. Later notes have greater names."""
+    name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    hidden, fs = _open(spark, f"{folder}/.{name}")
+    shown, _ = _open(spark, f"{folder}/{name}")
+    stream = fs.create(hidden)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, shown):
+        raise OSError(f"cannot write {shown}")
+    return name
+
+
+def notes(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name -> text of the notes in ``folder``, oldest first."""
+    target, fs = _open(spark, folder)
+    if not fs.exists(target):
+        return {}
+    names = sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+    names = [n for n in names if not n.startswith((".", "_"))]
+    return {n: head(spark, f"{folder}/{n}", 64 << 20).decode() for n in names}
+
+
+# --- versions of a table -----------------------------------------------------------
+
+PUBLISHED = "_published"
+
+
+def new_version(folder: str) -> str:
+    """A folder for the next version of a table; readers do not see it before ``publish``."""
+    return f"{folder.rstrip('/')}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def versions(spark: SparkSession, folder: str) -> list[str]:
+    """Published versions, oldest first."""
+    found = []
+    for version in sorted(child_folders(spark, folder)):
+        mark, fs = _open(spark, f"{version}/{PUBLISHED}")
+        if fs.exists(mark):
+            found.append(version)
+    return found
+
+
+def publish(spark: SparkSession, version: str, keep: int = 2) -> None:
+    """Make a written version the current one, and remove all but the last ``keep``."""
+    mark, fs = _open(spark, f"{version}/{PUBLISHED}")
+    fs.create(mark).close()
+    for old in versions(spark, version.rsplit("/", 1)[0])[:-keep]:
+        remove(spark, old)

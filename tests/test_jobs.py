@@ -104,3 +104,34 @@ def test_forecast_input_forms_agree(spark):
 
     four_tables = rows_of(dt.forecast_feeds(events))
     assert four_tables and four_tables == rows_of(dt.forecast_bronze(events))
+
+
+def test_failed_refresh_keeps_the_old_dimension(spark, tmp):
+    import pytest
+
+    wh = Warehouse(f"{tmp}/wh")
+    old = spark.range(5)
+    assert wh.write_meta(spark, "meta_x", old)[1] == 5
+    broken = spark.range(8).select(F.when(F.col("id") == 7, F.raise_error(F.lit("bad"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="bad"):
+        wh.write_meta(spark, "meta_x", broken)
+    assert wh.read_meta(spark, "meta_x").count() == 5
+    for n in (6, 7, 8):
+        wh.write_meta(spark, "meta_x", spark.range(n))
+    assert wh.read_meta(spark, "meta_x").count() == 8
+    assert wh.read_meta(spark, "meta_missing") is None
+
+
+def test_gold_reread_knows_the_columns_of_all_runs(spark, tmp):
+    import pytest
+    from finlake.sources.gold_sink import read_gold, write_gold
+
+    out, schema = f"{tmp}/gold", "Scenario string, Year long, Month long"
+    write_gold(spark.createDataFrame([("Actuals", 2024, 1, "a")], f"{schema}, v string"), out)
+    write_gold(spark.createDataFrame([("Actuals", 2024, 2, 1.5)], f"{schema}, w double"), out)
+    gold = read_gold(spark, out)
+    assert sorted((r["Month"], r["v"], r["w"]) for r in gold.collect()) == [(1, "a", None), (2, None, 1.5)]
+    assert gold.columns == ["v", "w", "Scenario", "Year", "Month"]
+    with pytest.raises(ValueError, match="earlier runs wrote"):
+        write_gold(spark.createDataFrame([("Actuals", 2024, 3, 7)], f"{schema}, v long"), out)
+    assert read_gold(spark, out).count() == 2
