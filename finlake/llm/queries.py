@@ -52,7 +52,7 @@ def op8_licenses(spark, sf_dir):
 
 
 def op9_warc(spark, sf_dir):
-    back = warc.archive(_table(spark, sf_dir, "pages"))
+    back = warc.archive(_table(spark, sf_dir, "pages"), payloads=False)
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

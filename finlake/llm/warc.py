@@ -13,14 +13,23 @@ largest page id stays a response, the others become revisits that name it.
 
 Files are written by Spark's text sink (gzip; line separator = record
 separator), so they commit like any Spark output and live in any store Spark can
-write. A file holds one task's records; tasks hold about ``FILE_BYTES`` of
-payload. They are read back as whole files, streamed record by record.
+write. Rows go to files where they are, without a shuffle: a task begins a new file
+after so many records as hold about ``FILE_BYTES`` of payload (more in very large
+archives, which would be millions of files). Files are read back whole, streamed
+record by record.
+
+A conversion parses the ARC files twice. The first pass only gives each record's
+identity, length and digest; revisits are found among these slim rows. The second
+pass reads a file together with the list of its revisits and writes WARC records at
+once, so no payload is shuffled. Payloads are bytes throughout, in any encoding.
 
 Defined cases: null html is an empty payload; a null URL is ``about:blank``;
 white space and control characters in URLs are percent-encoded; page ids travel
 in an HTTP header and a null id in none, a null id is smaller than any other and
 rows that share the largest id are all responses; a damaged or cut record ends
-its file with one row whose ``problem`` says where; empty input gives no rows.
+its file with one row whose ``problem`` says where, and its file's records before it
+are converted; an archive of one file has version 1 only; other columns are ignored;
+empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -39,9 +48,11 @@ from pyspark.sql import functions as F
 
 from finlake.session import scratch_path
 
-from .storage import release
+from .storage import materialize, release
 
 FILE_BYTES = 8 << 20
+#: Beyond so many files they grow instead, up to MAX_FILE_BYTES.
+MANY_FILES, MAX_FILE_BYTES = 100_000, 128 << 20
 ARCHIVED_AT = "20240101000000"
 ADDRESS = "0.0.0.0"
 #: Rows of payload yielded at a time.
@@ -97,25 +108,33 @@ def arc_record(version: int, name: str, offset: int, url: str | None, page_id: i
     return f"{head} {len(content)}\n{content.decode()}"
 
 
-def write_arc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> str:
-    """Pages (page_id, url, html) as gzipped ARC files, versions 1 and 2 by turns."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-total // file_bytes))
+def records_per_file(pages: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Records that hold about ``file_bytes`` of html."""
+    total, n = pages.agg(F.sum(F.octet_length("html")), F.count(F.lit(1))).first()
+    total = total or 0
+    size = max(file_bytes, min(MAX_FILE_BYTES, total // MANY_FILES))
+    return max(1, n * size // max(total, 1))
+
+
+def write_arc(pages: DataFrame, path: str, records: int | None = None) -> str:
+    """Pages (page_id, url, html) as gzipped ARC files of ``records`` records, versions 1 and 2 by turns."""
+    records = records or records_per_file(pages)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        version, name = 1 + part % 2, f"part-{part:05d}.arc"
-        offset = 0
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             out, size = [], 0
             for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
-                if not offset:
+                if at % records == 0:  # the sink begins a file here
+                    version = 1 + (part + at // records) % 2
+                    name = f"part-{part:05d}-{at // records:05d}.arc"
                     out.append(arc_version_block(version, name))
-                    offset = len(out[0]) + 1
+                    offset = len(out[-1]) + 1
                 out.append(arc_record(version, name, offset, url, page_id, html))
                 offset += len(out[-1].encode()) + 1
+                at += 1
                 size += len(out[-1])
                 if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(out)], ["value"])
@@ -124,8 +143,8 @@ def write_arc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> str:
                 yield pa.RecordBatch.from_arrays([pa.array(out)], ["value"])
 
     slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    spread = slim.repartition(files, F.xxhash64("page_id", "url", F.octet_length("html")))
-    spread.mapInArrow(emit, "value string").write.option("compression", "gzip").option("lineSep", "\n").text(path)
+    lines = slim.mapInArrow(emit, "value string")
+    lines.write.options(compression="gzip", lineSep="\n", maxRecordsPerFile=records + 1).text(path)
     return path
 
 
@@ -215,7 +234,7 @@ def converted(record: dict) -> dict:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
 def _read(files: DataFrame, parse, schema: pa.Schema, ddl: str) -> DataFrame:
@@ -234,7 +253,7 @@ def _read(files: DataFrame, parse, schema: pa.Schema, ddl: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return files.mapInArrow(emit, ddl)
+    return files.select("content").mapInArrow(emit, ddl)
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -245,69 +264,109 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 # --- WARC --------------------------------------------------------------------
 
 
-def deduplicated(records: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Marks revisits: ``warc_type``, ``refers_to`` (page id) and ``refers_to_id`` (record id)."""
+IDENTITIES = pa.schema(
+    [
+        ("path", pa.string()),
+        ("number", pa.int64()),
+        ("page_id", pa.int64()),
+        ("record_id", pa.string()),
+        ("payload_bytes", pa.int64()),
+        ("digest", pa.string()),
+    ]
+)
+
+
+def identities(files: DataFrame) -> DataFrame:
+    """(path, number, page_id, record_id, payload_bytes, digest) of every sound response record, without payloads."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                rows = []
+                for number, row in enumerate(map(converted, arc_records(content.as_py()))):
+                    if "problem" not in row and row["warc_type"] == "response":
+                        rows.append({"path": path, "number": number} | {c: row[c] for c in IDENTITIES.names[2:]})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, IDENTITIES)
+
+    return files.mapInArrow(emit, "path string, number long, page_id long, record_id string, payload_bytes long, digest string")
+
+
+def revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(path, number, refers_to, refers_to_id): the records whose payload is that of another page."""
     same = (
-        records.filter(F.col("problem").isNull() & (F.col("payload_bytes") >= min_bytes) & (F.col("warc_type") == "response"))
-        .groupBy(F.col("digest").alias("__digest"))
+        records.filter(F.col("payload_bytes") >= min_bytes)
+        .groupBy("digest")
         .agg(
-            F.max("page_id").alias("__page"),
-            F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "record_id"))["record_id"].alias("__record"),
-            F.count(F.lit(1)).alias("__n"),
+            F.max("page_id").alias("refers_to"),
+            F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "record_id"))["record_id"].alias("refers_to_id"),
+            F.count(F.lit(1)).alias("n"),
         )
-        .filter("__n > 1")
+        .filter("n > 1")
+        .drop("n")
     )
-    again = F.col("__n").isNotNull() & (F.col("warc_type") == "response") & ~F.col("page_id").eqNullSafe(F.col("__page"))
-    return (
-        records.join(same, records["digest"] == same["__digest"], "left")
-        .withColumn("refers_to", F.when(again, F.col("__page")))
-        .withColumn("refers_to_id", F.when(again, F.col("__record")))
-        .withColumn("payload", F.when(~again, F.col("payload")))
-        .withColumn("warc_type", F.when(again, F.lit("revisit")).otherwise(F.col("warc_type")))
-        .drop("__digest", "__page", "__record", "__n")
+    return records.join(same, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(
+        "path", "number", "refers_to", "refers_to_id"
     )
 
 
-def warc_record(row: dict) -> str:
+def warc_record(row: dict) -> bytes:
     http = bool(row["head"])
-    block = row["head"] + (row["payload"] or b"")
+    revisit = row["warc_type"] == "revisit"
+    block = row["head"] if revisit else row["head"] + row["payload"]
     lines = ["WARC/1.0", f"WARC-Type: {row['warc_type']}", f"WARC-Record-ID: <{row['record_id']}>"]
     lines += [f"WARC-Date: {row['date']}", f"WARC-Target-URI: {row['url']}"]
-    if row["warc_type"] == "revisit":
+    if revisit:
         lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{row['refers_to_id']}>"]
         lines.append(f"X-Refers-To-Page: {row['refers_to']}")
     lines.append("Content-Type: application/http; msgtype=response" if http else f"Content-Type: {row['mime']}")
     lines += [f"WARC-Payload-Digest: sha1:{row['digest']}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}"]
-    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]) + block.decode("utf-8", "surrogateescape") + "\r\n"
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n"
 
 
 WARCINFO = "software: Spark ARC converter\r\nformat: WARC File Format 1.0\r\n"
 
 
-def write_warc(records: DataFrame, path: str) -> str:
-    """Gzipped WARC files; each starts with a warcinfo record. Rows with a problem are left out."""
+def warcinfo() -> bytes:
+    info = {"warc_type": "warcinfo", "record_id": f"urn:uuid:{uuid.uuid4()}", "mime": "application/warc-fields"}
+    info |= {"date": iso_date(ARCHIVED_AT), "url": "urn:warcinfo", "head": b"", "payload": WARCINFO.encode()}
+    return warc_record(info | {"digest": base32_sha1(WARCINFO.encode())})
+
+
+def convert(spark: SparkSession, arc_path: str, path: str, min_bytes: int = 0, records: int | None = None) -> str:
+    """ARC files under ``arc_path`` as gzipped WARC files, each beginning with a warcinfo record and holding
+    ``records`` records at most (all of a task's if None)."""
+    files = _files(spark, arc_path)
+    found = materialize(identities(files), "warc-identities")
+    entry = F.struct("number", "refers_to", "refers_to_id")
+    # at most the records of one file
+    told = revisits(found, min_bytes).groupBy("path").agg(F.collect_list(entry).alias("revisits"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        started = False
+        at = 0
         for batch in batches:
-            out, size = [], 0
-            for i in range(len(batch)):
-                if not started:
-                    started = True
-                    info = {"warc_type": "warcinfo", "record_id": f"urn:uuid:{uuid.uuid4()}", "mime": "application/warc-fields"}
-                    info |= {"date": iso_date(ARCHIVED_AT), "url": "urn:warcinfo", "head": b"", "payload": WARCINFO.encode()}
-                    out.append(warc_record(info | {"digest": base32_sha1(WARCINFO.encode())}))
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                out.append(warc_record(row))
-                size += len(out[-1])
-                if size > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(out)], ["value"])
-                    out, size = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out)], ["value"])
-
-    rows = records.filter("problem is null").mapInArrow(emit, "value string")
-    rows.write.option("compression", "gzip").option("lineSep", "\r\n").text(path)
+            for content, again in zip(batch.column("content"), batch.column("revisits").to_pylist()):
+                refers = {r["number"]: r for r in again or ()}
+                out, size = [], 0
+                for number, row in enumerate(map(converted, arc_records(content.as_py()))):
+                    if "problem" in row:
+                        continue
+                    if number in refers:
+                        row |= refers[number] | {"warc_type": "revisit"}
+                    if at == 0 or records and at % records == 0:  # the sink begins a file here
+                        out.append(warcinfo())
+                    out.append(warc_record(row))
+                    at += 1
+                    size += len(out[-1])
+                    if size > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                        out, size = [], 0
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+    lines = files.join(told, "path", "left").select("content", "revisits").mapInArrow(emit, "value binary")
+    writer = lines.select(F.col("value").cast("string")).write.options(compression="gzip", lineSep="\r\n")
+    (writer.option("maxRecordsPerFile", records + 1) if records else writer).text(path)
     return path
 
 
@@ -400,21 +459,25 @@ def parsed(record: dict) -> dict | None:
     }
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Records of WARC files; without ``payloads`` these are still checked, but not returned."""
+
     def parse(content: bytes) -> Iterator[dict]:
-        return (row for row in map(parsed, warc_records(content)) if row is not None)
+        for row in map(parsed, warc_records(content)):
+            if row is not None:
+                yield row if payloads else row | {"payload": None}
 
     return _read(_files(spark, path), parse, WARC_ROWS, WARC_DDL)
 
 
-def archive(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> DataFrame:
+def archive(pages: DataFrame, min_bytes: int = 0, path: str | None = None, payloads: bool = True) -> DataFrame:
     """Pages -> ARC files -> WARC files under ``path`` -> rows of ``read_warc``.
 
     The ARC files and, without ``path``, the WARC files are below spark.checkpoint.dir."""
     spark = pages.sparkSession
-    arc = write_arc(pages, scratch_path(spark, "arc") + "/files")
-    release(spark)
+    records = records_per_file(pages)
+    arc = write_arc(pages, scratch_path(spark, "arc") + "/files", records)
     path = path or scratch_path(spark, "warc") + "/files"
-    write_warc(deduplicated(read_arc(spark, arc), min_bytes), path)
+    convert(spark, arc, path, min_bytes, records)
     release(spark)
-    return read_warc(spark, path)
+    return read_warc(spark, path, payloads)

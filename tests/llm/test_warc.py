@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import os
 
 from finlake.llm import warc
 
@@ -79,3 +80,36 @@ def test_versions_and_damage(tmp):
     torn = list(warc.arc_records(gzip.compress(one.encode())[:-20]))
     assert "problem" in torn[-1]
     assert list(warc.arc_records(b"")) == []
+
+
+def test_bytes_of_any_encoding_and_damaged_files_are_converted(spark, tmp):
+    latin = b"caf\xe9 \x00\xff"
+    head = warc.http_head(len(latin), 4)
+    record = f"http://l/1 1.2.3.4 1999 text/html {len(head) + len(latin)}\n".encode() + head + latin + b"\n"
+    folder = f"{tmp}/arc"
+    os.makedirs(folder)
+    for name, data in {"a.arc": record, "b.arc.gz": record, "c.arc": record + record[:-5]}.items():
+        data = warc.arc_version_block(1, name).encode() + b"\n" + data
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(gzip.compress(data) if name.endswith("gz") else data)
+    assert {bytes(r.payload) for r in warc.read_arc(spark, folder).filter("problem is null").collect()} == {latin}
+    out = warc.convert(spark, folder, f"{tmp}/warc", min_bytes=100)
+    rows = warc.read_warc(spark, out).collect()
+    assert [(r.page_id, bytes(r.payload), r.problem, r.date) for r in rows] == [(4, latin, None, "1999-01-01T00:00:00Z")] * 3
+
+
+def test_small_files_each_begin_anew(spark, tmp):
+    pages = frame(spark, [(i, f"http://a/{i}", f"page {i // 2}") for i in range(50)]).coalesce(2)
+    arc = warc.write_arc(pages, f"{tmp}/arc", records=4)
+    found = warc._files(spark, arc).collect()
+    assert len(found) == 14
+    for f in found:
+        text = gzip.decompress(bytes(f.content))
+        assert text.startswith(b"filedesc://") and text.count(b"filedesc://") == 1
+    assert {r.arc_version for r in warc.read_arc(spark, arc).collect()} == {1, 2}
+    out = warc.convert(spark, arc, f"{tmp}/warc", records=4)
+    for f in warc._files(spark, out).collect():
+        assert gzip.decompress(bytes(f.content)).startswith(b"WARC/1.0\r\nWARC-Type: warcinfo")
+    rows = warc.read_warc(spark, out).collect()
+    assert {r.page_id: r.refers_to for r in rows} == {i: None if i % 2 else i + 1 for i in range(50)}
+    assert all(r.payload is None for r in warc.read_warc(spark, out, payloads=False).collect())
