@@ -102,7 +102,7 @@ def test_small_files_each_begin_anew(spark, tmp):
     pages = frame(spark, [(i, f"http://a/{i}", f"page {i // 2}") for i in range(50)]).coalesce(2)
     arc = warc.write_arc(pages, f"{tmp}/arc", records=4)
     found = warc._files(spark, arc).collect()
-    assert len(found) == 14
+    assert 13 <= len(found) <= 14  # two tasks, four records a file
     for f in found:
         text = gzip.decompress(bytes(f.content))
         assert text.startswith(b"filedesc://") and text.count(b"filedesc://") == 1
