@@ -116,8 +116,9 @@ def records_per_file(pages: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     return max(1, n * size // max(total, 1))
 
 
-def write_arc(pages: DataFrame, path: str, records: int | None = None) -> str:
-    """Pages (page_id, url, html) as gzipped ARC files of ``records`` records, versions 1 and 2 by turns."""
+def write_arc(pages: DataFrame, path: str, records: int | None = None, level: str = "DEFAULT_COMPRESSION") -> str:
+    """Pages (page_id, url, html) as gzipped ARC files of ``records`` records, versions 1 and 2 by turns.
+    ``level`` is Hadoop's name of the gzip level."""
     records = records or records_per_file(pages)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +145,8 @@ def write_arc(pages: DataFrame, path: str, records: int | None = None) -> str:
 
     slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     lines = slim.mapInArrow(emit, "value string")
-    lines.write.options(compression="gzip", lineSep="\n", maxRecordsPerFile=records + 1).text(path)
+    how = {"compression": "gzip", "zlib.compress.level": level, "lineSep": "\n", "maxRecordsPerFile": records + 1}
+    lines.write.options(**how).text(path)
     return path
 
 
@@ -476,7 +478,8 @@ def archive(pages: DataFrame, min_bytes: int = 0, path: str | None = None, paylo
     The ARC files and, without ``path``, the WARC files are below spark.checkpoint.dir."""
     spark = pages.sparkSession
     records = records_per_file(pages)
-    arc = write_arc(pages, scratch_path(spark, "arc") + "/files", records)
+    # read once more and not kept, so the quickest level
+    arc = write_arc(pages, scratch_path(spark, "arc") + "/files", records, "BEST_SPEED")
     path = path or scratch_path(spark, "warc") + "/files"
     convert(spark, arc, path, min_bytes, records)
     release(spark)
