@@ -43,12 +43,12 @@ def plan(docs: DataFrame, text_col: str = "text", chunk_bytes: int | None = None
     return parts(chunk_bytes or CHUNK_BYTES, MANY_CHUNKS), parts(BUCKET_BYTES, MANY_BUCKETS)
 
 
-def chunked(docs: DataFrame, chunks: int, id_col: str = "doc_id", text_col: str = "text", also: list[str] = ()) -> DataFrame:
-    """(chunk, doc_id, text, also...)."""
-    text = F.col(text_col).cast("string")
-    key = F.pmod(F.xxhash64(F.col(id_col).cast("long"), text), F.lit(chunks))
-    rest = [F.col(f"`{c}`").alias(f"__{c}") for c in also]
-    return docs.select(key.cast("int").alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *rest)
+def chunked(docs: DataFrame, chunks: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """(chunk, doc_id, text[, rest]): rest holds all columns of the input but the text."""
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    key = F.pmod(F.xxhash64(doc_id, text), F.lit(chunks))
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")] if carry else []
+    return docs.select(key.cast("int").alias("chunk"), doc_id.alias("doc_id"), text.alias("text"), *rest)
 
 
 class Chunk:

@@ -14,9 +14,10 @@ most ``BROADCAST_ROWS`` windows (counted first) and a shuffle join beyond.
 
 Defined cases: a null or empty text has no words and no hits; an item without
 words has no window; repeated documents are judged each on its own; repeated
-items and windows count once per item_id; items with a null id are not used (no
-id to report); other columns are ignored whatever their names; empty tables on
-either side give rows without hits or no rows.
+items and windows count once per item_id; an item with a null id hits like any
+other, but has no id to report, so it is left out of n_items and items_sha256; ids
+of any type are compared as text; other columns are ignored whatever their
+names; empty tables on either side give rows without hits or no rows.
 """
 
 from __future__ import annotations
@@ -100,10 +101,8 @@ def benchmark_windows(items: DataFrame, window: int, id_col: str = "item_id", te
                         ["item_id", "len", "gram", "span"],
                     )
 
-    two = items.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")
-    )
-    return two.mapInArrow(emit, "item_id long, len int, gram long, span long").distinct()
+    two = items.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text"))
+    return two.mapInArrow(emit, "item_id string, len int, gram long, span long").distinct()
 
 
 def document_grams(docs: DataFrame, lengths: list[int]) -> DataFrame:
@@ -175,9 +174,9 @@ def hit_windows(
     per_length = bench.groupBy("len").count().collect()  # at most ``window`` rows
     lengths, n_windows = sorted(r["len"] for r in per_length), sum(r["count"] for r in per_length)
     two = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"),
-        F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("text_hash"),
         F.monotonically_increasing_id().alias("row"),
     )
     kept = document_grams(two, lengths).alias("d")
@@ -215,15 +214,16 @@ def contamination(
         .groupBy("row")
         .agg(F.sum(F.greatest(F.lit(0), F.col("start") + F.col("len") - F.greatest("start", "reach"))).alias("n_hit"))
     )
+    # the items of a window as one list, so a passage of many items stays one row per document and window
+    holders = bench.filter("item_id is not null").groupBy("len", "span").agg(F.collect_set("item_id").alias("holders"))
+    n_windows = bench.count()
     named = (
         hits.filter("start is not null")
         .select("row", "len", "span")
         .distinct()
-        .join(bench.select("len", "span", "item_id").distinct(), ["len", "span"])
-        .select("row", "item_id")
-        .distinct()
+        .join(_joinable(holders, n_windows), ["len", "span"])
         .groupBy("row")
-        .agg(F.collect_list(F.col("item_id").cast("string")).alias("items"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("holders"))).alias("items"))
     )
     items_text = F.concat_ws(",", F.array_sort(F.coalesce("items", F.array().cast("array<string>"))))
     return (

@@ -9,7 +9,7 @@ _ALNUM = f"regexp_extract_all({_LOWER}, '[^\\x{{00}}-\\x{{2F}}\\x{{3A}}-\\x{{60}
 _SPACED = "regexp_extract_all(coalesce(text, ''), '[^\\x{20}\\x{09}-\\x{0D}]+')"
 
 OP2 = f"""
-with items as (select item_id, {_ALNUM} ws from benchmark where item_id is not null),
+with items as (select item_id, {_ALNUM} ws from benchmark),
 sized as (select item_id, ws, least(10, len(ws)) n from items where len(ws) > 0),
 wins as (select distinct item_id, n, array_to_string(ws[i + 1 : i + n], ' ') k
   from (select item_id, ws, n, unnest(range(len(ws) - n + 1)) i from sized)),
@@ -21,7 +21,7 @@ hits as (select p.doc_id, p.n, p.i, w.item_id from places p join wins w on p.n =
 covered as (select doc_id, count(*) n_hit from (
   select distinct doc_id, i + j p from (select distinct doc_id, n, i, unnest(range(n)) j from hits)) group by 1),
 named as (select doc_id, count(*) n_items, string_agg(item, ',' order by item) items
-  from (select distinct doc_id, cast(item_id as varchar) item from hits) group by 1)
+  from (select distinct doc_id, cast(item_id as varchar) item from hits where item_id is not null) group by 1)
 select d.doc_id, cast(len(ws) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
   sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
 from docs d left join covered using (doc_id) left join named using (doc_id)

@@ -26,7 +26,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -139,15 +139,26 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One document of each group: the one with the smallest doc_id (an input row
-    without id only if the whole group has none; then the smallest text hash)."""
+    without id only if the whole group has none; then the smallest text hash), all
+    columns as they were, whatever their names; of rows that share id and text, one."""
     found = near_duplicates(docs, shingle, max_bits)
+    # ids and hashes without nulls, so that grouping and join need one shuffle of the rows
+    number, no_id = F.coalesce("doc_id", F.lit(0)).alias("number"), F.col("doc_id").isNull().alias("no_id")
     keepers = (
         found.groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("k"))
-        .select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
+        .agg(F.min(F.struct(no_id, number, "text_hash")).alias("k"))
+        .select("k.no_id", "k.number", F.col("k.text_hash").alias("text_hash"))
         .distinct()
     )
-    keyed = docs.withColumn("__h", F.xxhash64(F.col("text").cast("string")))
-    kept = keyed.join(keepers, keyed["doc_id"].eqNullSafe(keepers["__id"]) & (keyed["__h"] == keepers["__hash"]))
-    first = F.row_number().over(Window.partitionBy("doc_id", "__h").orderBy("doc_id"))
-    return kept.withColumn("__n", first).filter("__n = 1").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.select(
+        doc_id.isNull().alias("no_id"),
+        F.coalesce(doc_id, F.lit(0)).alias("number"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        whole,
+    )
+    key = ["no_id", "number", "text_hash"]
+    # equal rows meet as one per task
+    one = keyed.groupBy(*key).agg(F.first("row").alias("row"))
+    return one.join(keepers, key, "left_semi").select("row.*")

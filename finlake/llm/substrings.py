@@ -176,7 +176,7 @@ def covered_words(n: int, messages: pa.Table, window: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def repeated_places(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", also: list[str] = ()):
+def repeated_places(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False):
     """(chunked documents, messages): per chunk, the word places where a repeated window starts."""
     if window < 2:
         raise ValueError("a window holds at least two words")
@@ -191,7 +191,7 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     later = placed.groupBy("bucket").applyInArrow(later_places, "chunk int, places binary")
     later = materialize(later, "substring-later")
     release(docs.sparkSession)
-    return chunked(docs, chunks, id_col, text_col, also), later
+    return chunked(docs, chunks, id_col, text_col, carry), later
 
 
 def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,8 +221,8 @@ def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every repeated span cut out of its texts; texts without repeats stay as they are.
 
-    A span is cut from its first word to the start of the next kept word."""
-    also = [c for c in docs.columns if c not in (id_col, text_col)]
+    A span is cut from its first word to the start of the next kept word. All other
+    columns are as they were, whatever their names; repeated rows are cut alike."""
 
     def finish(chunk: Chunk, messages: pa.Table) -> pa.Table:
         table = chunk.table
@@ -241,9 +241,7 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
             texts[i] = ws.data[base : ws.offsets[i + 1]][keep].tobytes().decode()
         return table.set_column(table.column_names.index("text"), "text", pa.array(texts, pa.string())).drop_columns(["chunk"])
 
-    parts, later = repeated_places(docs, window, id_col, text_col, also)
+    parts, later = repeated_places(docs, window, id_col, text_col, carry=True)
     fields = [f for f in parts.schema.fields if f.name != "chunk"]
     out = per_chunk(parts, later, finish, type(parts.schema)(fields))
-    names = {"doc_id": id_col, "text": text_col, **{f"__{c}": c for c in also}}
-    back = {v: k for k, v in names.items()}
-    return out.select(*[F.col(f"`{back[c]}`").alias(c) for c in docs.columns])
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns])

@@ -275,12 +275,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that the model predicts to be toxic; no shuffle, columns as they are."""
+    """``docs`` without the rows that the model predicts to be toxic; no shuffle, columns as they are, whatever their names."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
         for batch in batches:
-            for part in slices(batch, text_col):
-                yield part.filter(pa.array(model.logits(part.column(text_col), hasher) < 0))
+            for part in slices(batch):
+                yield part.filter(pa.array(model.logits(part.column("text"), hasher) < 0))
 
-    return docs.mapInArrow(emit, docs.schema)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
+    two = docs.select(F.col(f"`{text_col}`").alias("text"), others)
+    kept = two.mapInArrow(emit, two.schema)
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns])

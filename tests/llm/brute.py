@@ -21,11 +21,12 @@ def decontaminate(docs, items, window=10):
     windows = {}
     for item, text in items:
         ws = alnum(text)
-        if item is None or not ws:
+        if not ws:
             continue
         n = min(window, len(ws))
         for i in range(len(ws) - n + 1):
-            windows.setdefault(n, {}).setdefault(tuple(ws[i : i + n]), set()).add(item)
+            # an item without id hits, but is not named
+            windows.setdefault(n, {}).setdefault(tuple(ws[i : i + n]), set()).update([] if item is None else [item])
     out = []
     for doc, text in docs:
         ws = alnum(text)

@@ -41,3 +41,12 @@ def test_empty_tables(spark):
     assert D.contamination(d, i).count() == 0
     d, i = frames(spark, [(1, "a b c")], [])
     assert got(D.contamination(d, i)) == [(1, 3, 0, 0, brute.sha(""), False)]
+
+
+def test_items_without_id_and_with_text_ids(spark):
+    docs = [(1, "x one two three y"), (2, "four five"), (3, "none of them")]
+    d, _ = frames(spark, docs, [])
+    items = [(None, "one two three"), ("i-2", "four five"), ("i-10", "four five")]
+    found = got(D.contamination(d, spark.createDataFrame(items, "item_id string, text string")))
+    assert found == sorted(brute.decontaminate(docs, items), key=str)
+    assert [(f[0], f[2], f[3], f[5]) for f in found] == [(1, 3, 0, True), (2, 2, 2, True), (3, 0, 0, False)]

@@ -63,3 +63,21 @@ def test_odd_rows_pass_every_stage(spark):
         for _, stage in P.STAGES:
             frame = materialize(stage(spark, frame, SF), "test-odd")
         frame.count()
+
+
+def test_other_columns_pass_untouched(spark):
+    """Columns that are named like the operators' own, or with a dot, through every filtering stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["__h", "__n", "__id", "__hash", "chunk", "a.b", "row", "rest", "no_id", "number", "root", "fp"]
+    from pyspark.sql import functions as F
+
+    wide = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    plain_frame, wide_frame = docs, materialize(wide.unionByName(wide), "test-wide")
+    plain_frame = docs.unionByName(docs)
+    for name, stage in P.STAGES[:-1]:
+        plain_frame = materialize(stage(spark, plain_frame, SF), f"test-plain-{name}")
+        wide_frame = materialize(stage(spark, wide_frame, SF), f"test-wide-{name}")
+        assert wide_frame.columns == wide.columns and wide_frame.dtypes == wide.dtypes
+        rows = wide_frame.collect()
+        assert all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in names)
+        assert sorted((r["doc_id"], r["text"] or "") for r in rows) == sorted((r["doc_id"], r["text"] or "") for r in plain_frame.collect())
