@@ -46,6 +46,8 @@ N_FEATURES = 512
 #: Least documents of the sample that hold a feature.
 MIN_DOCS = 3
 STEMS = (4, 5, 6)
+#: Text bytes whose features are in memory at a time.
+SLICE = 1 << 20
 N_LEXICON = 160
 N_CLEAN_VOTERS = 8
 FOLDS = 5
@@ -117,7 +119,7 @@ def leaning_features(rows: DataFrame, totals: dict[int, int], n: int = N_FEATURE
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 f = Features(part.column("text"), hasher)
                 toxic = np.asarray(part.column("toxic"))[f.doc]
                 value, slot = np.unique(f.hash, return_inverse=True)
@@ -150,7 +152,7 @@ def feature_bits(rows: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 f = Features(part.column("text"), hasher, ordered)
                 bits = np.zeros((len(part), len(features) + N_PATTERNS), bool)
                 bits[f.doc, order[f.slot]] = True
@@ -263,7 +265,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 p = 1 / (1 + np.exp(-np.clip(model.logits(part.column("text"), hasher), -500, 500)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p)], ["doc_id", "score"])
 
@@ -280,7 +282,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHash(5)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 yield part.filter(pa.array(model.logits(part.column("text"), hasher) < 0))
 
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
