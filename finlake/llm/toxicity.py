@@ -2,14 +2,17 @@
 
 1. Voters. From labelled rows (a bounded sample, see ``MAX_ROWS``) the words and
    word stems (first 4, 5 and 6 bytes) that lean most to either class are found
-   by distributed counts. Each leaning feature is a lexicon voter that votes
-   toxic where it occurs; random subsets of the lexicon are voters for clean
-   where none of their entries occurs; a few pattern voters look at shouting,
-   exclamation marks and length.
+   by distributed counts. A lexicon voter fires where its feature occurs, a pattern
+   voter where its measure of shouting, exclamation marks or length is met. Those
+   whose log ratio of firing rates lies ``SURE`` standard errors from zero vote.
 2. Label model. A generative model with a firing rate per voter and class is
-   fitted by expectation-maximisation, started from the labelled rows. Voters
-   that fire together beyond what the class explains share their weight: each
-   log-likelihood ratio is divided by one plus its squared residual correlations.
+   fitted by expectation-maximisation over votes alone. The labelled rows choose the
+   voters and give the rates' first values and prior counts; a row's own label is no
+   vote, so its posterior can contradict it. Correlations are estimated in each
+   round from what the class leaves unexplained; voters that fire together share
+   their weight: each log-likelihood ratio is divided by one plus the sum of its
+   residual correlations to the power ``SHARPNESS``, so that copies of a voter count
+   once and weak correlations hardly count.
 3. Classifier. A logistic regression over the features is trained on the model's
    posterior labels.
 4. Every whole text is scored by the linear classifier, in tasks.
@@ -22,7 +25,8 @@ Defined cases: a null or empty text has no features and gets the score of the
 bias alone; labels that are null are not used, an id labelled twice is toxic if
 either label says so; of documents that share a labelled id, the one with the
 smallest text hash is learned from; without labelled rows of both classes every score is the
-labelled rows' share of toxic (0 without any); repeated rows each get a result;
+labelled rows' share of toxic (0 without any); if no voter is sure enough, the share of toxic is every
+row's posterior; repeated rows each get a result;
 a null id is never held out nor learned from; other columns are ignored.
 """
 
@@ -48,8 +52,10 @@ MIN_DOCS = 3
 STEMS = (4, 5, 6)
 #: Text bytes whose features are in memory at a time.
 SLICE = 1 << 20
-N_LEXICON = 160
-N_CLEAN_VOTERS = 8
+#: Standard errors that a voter's log ratio lies from zero.
+SURE = 3.0
+#: Power of the residual correlations by which voters share weight.
+SHARPNESS = 8
 FOLDS = 5
 
 
@@ -166,49 +172,47 @@ def feature_bits(rows: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.
     return np.array([t for t, _ in got]), bits[:, : len(features)], bits[:, len(features) :]
 
 
-def votes(present: np.ndarray, patterns: np.ndarray, leans: np.ndarray) -> np.ndarray:
+def votes(present: np.ndarray, patterns: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """One column per voter, true where it fires."""
-    lexicon = np.flatnonzero(leans > 0)[:N_LEXICON]
-    rng = np.random.default_rng(11)
-    columns = [present[:, lexicon], patterns]
-    for _ in range(N_CLEAN_VOTERS):
-        some = rng.permutation(lexicon)[: max(1, len(lexicon) // 2)]
-        columns.append(~present[:, some].any(axis=1)[:, None])
-    return np.concatenate(columns, axis=1)
+    candidates = np.concatenate([present, patterns], axis=1)
+    fired = np.stack([candidates[~toxic].sum(axis=0), candidates[toxic].sum(axis=0)]) + 0.5
+    rows = np.array([[(~toxic).sum()], [toxic.sum()]]) + 1.0
+    ratio = np.log(fired[1] / rows[1]) - np.log(fired[0] / rows[0])
+    return candidates[:, np.abs(ratio) > SURE * np.sqrt((1 / fired).sum(axis=0))]
 
 
-def label_model(fired: np.ndarray, marks: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """Posterior probability of toxic per row."""
+def label_model(fired: np.ndarray, toxic: np.ndarray, rounds: int = 12) -> np.ndarray:
+    """Posterior probability of toxic per row, from the voters alone; without voters it is the share of toxic."""
     x = fired.astype(np.float32)
-    posterior = 0.98 * marks + 0.01
-    anchor = posterior.copy()
+    gold = np.stack([~toxic, toxic]).astype(np.float32)
+    gold_fired, gold_rows = gold @ x, gold.sum(axis=1, keepdims=True)
+    first = (gold_fired + 0.5) / (gold_rows + 1)
+    prior = toxic.mean()
+    weight, posterior = gold, np.full(len(x), np.inf)
     for _ in range(rounds):
-        weight = np.stack([1 - posterior, posterior]).astype(np.float32)
-        rate = (weight @ x + 0.5) / (weight.sum(axis=1, keepdims=True) + 1.0)
-        prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
+        rate = (weight @ x + gold_fired + first) / (weight.sum(axis=1, keepdims=True) + gold_rows + 1)
         # residual correlation of the voters given the class
-        scale = np.sqrt((weight[0].mean() * rate[0] * (1 - rate[0]) + weight[1].mean() * rate[1] * (1 - rate[1])) + 1e-9)
         residual = np.zeros((x.shape[1],) * 2, np.float32)
         for c in (0, 1):
             centred = (x - rate[c]) * np.sqrt(weight[c])[:, None]
             residual += centred.T @ centred
-        corr = residual / len(x) / scale[:, None] / scale[None, :]
+        scale = np.sqrt(np.maximum(np.diag(residual), 1e-9))
+        corr = residual / scale[:, None] / scale[None, :]
         np.fill_diagonal(corr, 0)
-        share = 1.0 / (1.0 + np.sum(np.clip(corr, 0, 1) ** 2, axis=1))
+        share = 1 / (1 + (np.clip(corr, 0, 1) ** SHARPNESS).sum(axis=1))
         on = np.log(rate[1] / rate[0]) * share
         off = np.log((1 - rate[1]) / (1 - rate[0])) * share
         evidence = np.log(prior / (1 - prior)) + x @ on + (1 - x) @ off
-        # each row's own mark is one more voter, of fixed accuracy
-        evidence += np.log(anchor / (1 - anchor))
         updated = 1 / (1 + np.exp(-np.clip(evidence, -30, 30)))
-        done = np.abs(updated - posterior).max() < 1e-4
+        done = np.abs(updated - posterior).max() < 1e-3
         posterior = updated
+        weight = np.stack([1 - posterior, posterior]).astype(np.float32)
         if done:
             break
     return posterior
 
 
-def logistic(x: np.ndarray, target: np.ndarray, l2: float = 3e-5, rounds: int = 600) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, target: np.ndarray, l2: float = 3e-5, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Weights and bias for soft targets, by accelerated gradient steps."""
     x = x.astype(np.float32)
     row = np.full(len(x), 1 / len(x), np.float32)
@@ -250,10 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     features = leaning_features(rows, totals)
     marks, present, patterns = feature_bits(rows, features)
     toxic = marks == 1
-    leans = np.log((present[toxic].sum(axis=0) + 0.5) / (toxic.sum() + 1)) - np.log(
-        (present[~toxic].sum(axis=0) + 0.5) / ((~toxic).sum() + 1)
-    )
-    posterior = label_model(votes(present, patterns, leans), toxic.astype(np.float64))
+    posterior = label_model(votes(present, patterns, toxic), toxic)
     weights, bias = logistic(present, posterior)
     order = np.argsort(features)
     return Model(bias, features[order], weights[order])
