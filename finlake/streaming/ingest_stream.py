@@ -9,7 +9,9 @@ import, however the paths are dealt over micro-batches. The importer anti-joins
 the ledger and writes bronze before the ledger, so a batch replayed after a
 failure (the checkpoint is written after ``foreachBatch`` returns) loads
 nothing twice. The stream checkpoint only saves re-listing; the ledger stays
-the authority, which lets batch and stream share one bronze.
+the authority, which lets batch and stream share one bronze. Versions of files
+that were rejected are a table beside the checkpoint, so neither a later batch nor
+a restart tries them again; the driver keeps nothing between batches.
 """
 
 from __future__ import annotations
@@ -29,6 +31,21 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 #: What tells a file from a later one at its path.
 VERSION = ["path", "changed", "length"]
+VERSION_SCHEMA = "path string, changed long, length long"
+
+
+def rejected_versions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Versions of files that the stream with this checkpoint has rejected."""
+    try:
+        return spark.read.schema(VERSION_SCHEMA).parquet(_rejected_path(checkpoint))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], VERSION_SCHEMA)
+        raise
+
+
+def _rejected_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-rejected"
 
 
 def corrected_files(spark: SparkSession, wh: Warehouse, listing: DataFrame) -> DataFrame | None:
@@ -72,17 +89,17 @@ def start_ingest_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     listing = reader.load(source_path).select("path")
 
-    tried: set[tuple] = set()  # versions of rejected files, which other batches offer again
-
     def run(listed: DataFrame, names: DataFrame) -> None:
         offered = listed.join(names.distinct(), "file_name", "left_semi")
         offered = offered.withColumn("changed", F.unix_micros("modification_time"))
-        known = spark.createDataFrame(sorted(tried, key=str), "__path string, __changed long, __length long")
+        known = rejected_versions(spark, checkpoint).select(*[F.col(c).alias(f"__{c}") for c in VERSION])
         same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in VERSION]
-        report = import_paths(spark, wh, offered.join(known, same, "left_anti"), input_format)
+        fresh = offered.join(known, same, "left_anti")
+        report = import_paths(spark, wh, fresh, input_format)
         if report.rejected:
             bad = spark.createDataFrame([(r.path,) for r in report.rejected], "file_name string")
-            tried.update(tuple(r) for r in offered.join(bad, "file_name", "left_semi").select(*VERSION).collect())
+            versions = fresh.join(bad, "file_name", "left_semi").select(*VERSION)
+            versions.coalesce(1).write.mode("append").parquet(_rejected_path(checkpoint))
         if reports is not None:
             reports.append(report)
 

@@ -2,7 +2,7 @@ import os
 
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.ledger import read_ledger
-from finlake.streaming.ingest_stream import ingest_available, start_ingest_stream
+from finlake.streaming.ingest_stream import ingest_available, rejected_versions, start_ingest_stream
 
 HEADER = "Fiscal Year,Period,G/L Account,Amount in Company Code Currency,Note\n"
 
@@ -109,3 +109,21 @@ def test_hidden_file_alone_loads(spark, tmp):
     _write(f"{src}/ledger_4.csv", "")
     ingest_available(spark, wh, src, chk)
     assert [r["file_name"] for r in spark.read.parquet(wh.quarantine_path).collect()] == ["ledger_4.csv"]
+
+
+def test_a_restart_does_not_try_rejected_versions_again(spark, tmp):
+    src, chk, wh = f"{tmp}/src", f"{tmp}/chk", Warehouse(f"{tmp}/wh")
+    _write(f"{src}/a/ledger_1.csv", HEADER + '2024,1,100,1.0,"open\n')
+    ingest_available(spark, wh, src, chk)
+    assert rejected_versions(spark, chk).count() == 1
+    # a new path brings the name up again: only that path is tried
+    _write(f"{src}/b/ledger_1.csv", HEADER + '2024,1,100,1.0,"open too\n')
+    again = ingest_available(spark, wh, src, chk)
+    assert [r.path for rep in again for r in rep.rejected] == ["ledger_1.csv"]
+    assert rejected_versions(spark, chk).select("path").distinct().count() == 2
+    assert spark.read.parquet(wh.quarantine_path).count() == 2
+    # a corrected version is another one
+    _write(f"{src}/a/ledger_1.csv", HEADER + "2024,1,100,1.0,closed\n")
+    os.utime(f"{src}/a/ledger_1.csv", (4e9, 4e9))
+    ingest_available(spark, wh, src, chk)
+    assert [r["Note"] for r in wh.read_feed(spark, "actuals").collect()] == ["closed"]
