@@ -19,7 +19,8 @@ accidental matches only add candidates.
 Defined cases: a null or empty text has no words and is kept as it is; "earlier"
 is the smaller doc_id, then the earlier start, and a null id comes after every
 other; rows that share an id count as the same place at the same start, so a
-repeated row is no repeat of itself; other columns pass by; empty in, empty out.
+repeated row is no repeat of itself, and rows that share id and text are worked on
+as one, however many they are; other columns pass by; empty in, empty out.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Chunk, by_bucket, chunked, hash_blobs, is_live, live_hashes, per_chunk, plan
+from .chunks import Chunk, Plan, all_copies, by_bucket, chunked, distinct_rows, hash_blobs, is_live, live_hashes, per_bucket, per_chunk, plan, to_all_rows
 from .storage import materialize, release
 from .textops import SPACE_WORDS, SpanHash, doc_ranges, gram_mask, utf8, word_hashes, words
 
@@ -176,29 +177,29 @@ def covered_words(n: int, messages: pa.Table, window: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
-def repeated_places(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: bool = False):
-    """(chunked documents, messages): per chunk, the word places where a repeated window starts."""
+def repeated_places(rows: DataFrame, corpus: Plan, window: int = WINDOW) -> DataFrame:
+    """Messages: per chunk, the word places where a repeated window starts."""
     if window < 2:
         raise ValueError("a window holds at least two words")
     block = window // 2
-    chunks, buckets = plan(docs, text_col)
-    slim = chunked(docs, chunks, id_col, text_col)
-    blobs = per_chunk(slim, None, lambda c: gram_blobs(c, block, buckets), "bucket int, chunk int, hashes binary")
-    live = blobs.groupBy("bucket").applyInArrow(live_hashes, "chunk int, hashes binary")
-    live = materialize(live, "substring-live")
-    release(docs.sparkSession)
-    placed = per_chunk(slim, live, lambda c, m: place_blobs(c, m, window, block, buckets), PLACES)
-    later = placed.groupBy("bucket").applyInArrow(later_places, "chunk int, places binary")
-    later = materialize(later, "substring-later")
-    release(docs.sparkSession)
-    return chunked(docs, chunks, id_col, text_col, carry), later
+    chunks, buckets = corpus.chunks, corpus.buckets
+    slim = chunked(rows, chunks)
+    blobs = per_chunk(slim, None, lambda c: gram_blobs(c, block, buckets), "bucket int, chunk int, hashes binary", chunks)
+    live = materialize(per_bucket(blobs, live_hashes, "chunk int, hashes binary", buckets), "substring-live")
+    release(rows.sparkSession)
+    placed = per_chunk(slim, live, lambda c, m: place_blobs(c, m, window, block, buckets), PLACES, chunks)
+    later = materialize(per_bucket(placed, later_places, "chunk int, places binary", buckets), "substring-later")
+    release(rows.sparkSession)
+    return later
 
 
 def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: doc_id, n_words, n_removed, kept_sha256 (kept words joined by one space)."""
 
     def finish(chunk: Chunk, messages: pa.Table) -> pa.Table:
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+        schema = pa.schema(
+            [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("copies", pa.int64())]
+        )
         if chunk.number is None:
             return schema.empty_table()
         ws = Words(chunk, hashed=False)
@@ -212,10 +213,32 @@ def dedup_digest(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 text = [w for w, g in zip(text, gone[a:b]) if not g]
             shas.append(hashlib.sha256(b" ".join(text)).hexdigest())
         ids = chunk.ids.combine_chunks() if isinstance(chunk.ids, pa.ChunkedArray) else chunk.ids
-        return pa.table([ids, pa.array(np.diff(ws.first)), pa.array(removed), pa.array(shas)], schema=schema)
-
-    parts, later = repeated_places(docs, window, id_col, text_col)
-    return per_chunk(parts, later, finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        columns = [ids, pa.array(np.diff(ws.first)), pa.array(removed), pa.array(shas), chunk.table.column("copies")]
+        return pa.table(columns, schema=schema)
+
+    corpus = plan(docs, id_col, text_col)
+    rows = distinct_rows(docs, corpus, id_col, text_col)
+    later = repeated_places(rows, corpus, window)
+    parts = chunked(rows, corpus.chunks, carry=("copies",))
+    out = "doc_id long, n_words long, n_removed long, kept_sha256 string, copies long"
+    return all_copies(per_chunk(parts, later, finish, out, corpus.chunks), corpus)
+
+
+def cut_texts(chunk: Chunk, messages: pa.Table, window: int) -> tuple[list[str | None], np.ndarray]:
+    """(texts of the chunk without their repeated spans, numbers of the texts that changed)."""
+    ws = Words(chunk, hashed=False)
+    gone = covered_words(ws.n, messages, window)
+    texts = chunk.table.column("text").to_pylist()
+    changed = np.unique(ws.owner[gone])
+    for i in changed:
+        a, b = ws.first[i], ws.first[i + 1]
+        keep = np.ones(ws.offsets[i + 1] - ws.offsets[i], bool)
+        mine, base = gone[a:b], ws.offsets[i]
+        edge = np.flatnonzero(np.diff(np.r_[False, mine, False].astype(np.int8)))
+        for x, y in zip(edge[::2], edge[1::2]):
+            keep[ws.starts[a + x] - base : ws.starts[a + y] - base if a + y < b else len(keep)] = False
+        texts[i] = ws.data[base : ws.offsets[i + 1]][keep].tobytes().decode()
+    return texts, changed
 
 
 def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,25 +246,31 @@ def dedup_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
 
     A span is cut from its first word to the start of the next kept word. All other
     columns are as they were, whatever their names; repeated rows are cut alike."""
+    corpus = plan(docs, id_col, text_col)
+    rows = distinct_rows(docs, corpus, id_col, text_col)
+    later = repeated_places(rows, corpus, window)
+    if corpus.repeats:
+
+        def changed_only(chunk: Chunk, messages: pa.Table) -> pa.Table:
+            table = chunk.table.drop_columns(["chunk"])
+            if chunk.number is None:
+                return table.append_column("new_text", table.column("text"))
+            texts, changed = cut_texts(chunk, messages, window)
+            return table.append_column("new_text", pa.array(texts, pa.string())).take(pa.array(changed, pa.int64()))
+
+        parts = chunked(rows, corpus.chunks, carry=("copies",))
+        out = "doc_id long, text string, copies long, new_text string"
+        changed = materialize(per_chunk(parts, later, changed_only, out, corpus.chunks), "substring-cut")
+        return to_all_rows(docs, changed, corpus, id_col, text_col)
 
     def finish(chunk: Chunk, messages: pa.Table) -> pa.Table:
         table = chunk.table
-        if chunk.number is None:
-            return table.drop_columns(["chunk"])
-        ws = Words(chunk, hashed=False)
-        gone = covered_words(ws.n, messages, window)
-        texts = table.column("text").to_pylist()
-        for i in np.unique(ws.owner[gone]):
-            a, b = ws.first[i], ws.first[i + 1]
-            keep = np.ones(ws.offsets[i + 1] - ws.offsets[i], bool)
-            mine, base = gone[a:b], ws.offsets[i]
-            edge = np.flatnonzero(np.diff(np.r_[False, mine, False].astype(np.int8)))
-            for x, y in zip(edge[::2], edge[1::2]):
-                keep[ws.starts[a + x] - base : ws.starts[a + y] - base if a + y < b else len(keep)] = False
-            texts[i] = ws.data[base : ws.offsets[i + 1]][keep].tobytes().decode()
-        return table.set_column(table.column_names.index("text"), "text", pa.array(texts, pa.string())).drop_columns(["chunk"])
-
-    parts, later = repeated_places(docs, window, id_col, text_col, carry=True)
+        if chunk.number is not None:
+            texts, _ = cut_texts(chunk, messages, window)
+            table = table.set_column(table.column_names.index("text"), "text", pa.array(texts, pa.string()))
+        return table.drop_columns(["chunk"])
+
+    parts = chunked(docs, corpus.chunks, id_col, text_col, carry=True)
     fields = [f for f in parts.schema.fields if f.name != "chunk"]
-    out = per_chunk(parts, later, finish, type(parts.schema)(fields))
+    out = per_chunk(parts, later, finish, type(parts.schema)(fields), corpus.chunks)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns])

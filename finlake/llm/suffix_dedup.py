@@ -21,8 +21,9 @@ and 64 of the run together, 64 bits for the windows of hot anchors).
 Defined cases: a null or empty text has no bytes; "earlier" is the smaller
 doc_id, then the earlier start, and a null id comes after every other; rows that
 share an id are the same place at the same start, so a repeated row is no repeat
-of itself; matches never cross documents and may cut inside a character; other
-columns are ignored; empty in, empty out.
+of itself, and rows that share id and text are worked on as one, however many they
+are; matches never cross documents and may cut inside a character; other columns
+are ignored; empty in, empty out.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .anchors import runs as anchor_runs
-from .chunks import Chunk, by_bucket, chunked, cuts, hash_blobs, is_live, live_hashes, per_chunk, plan
+from .chunks import Chunk, Plan, all_copies, by_bucket, chunked, cuts, distinct_rows, hash_blobs, is_live, live_hashes, per_bucket, per_chunk, plan
 from .storage import materialize, release
 from .suffixes import common_prefixes, suffix_array
 from .textops import SpanHash, doc_ranges, utf8
@@ -268,23 +269,23 @@ def settle_windows(table: pa.Table, length: int) -> pa.Table:
     return rows_of(out, MESSAGE)
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(chunked documents, messages): per chunk, ranges of starts of strings that also start earlier."""
-    spark = docs.sparkSession
-    chunks, buckets = plan(docs, text_col, CHUNK_BYTES)
-    parts = chunked(docs, chunks, id_col, text_col)
-    blobs = per_chunk(parts, None, lambda c: anchor_blobs(c, length, buckets), "bucket int, chunk int, hashes binary")
-    live = materialize(blobs.groupBy("bucket").applyInArrow(live_hashes, "chunk int, hashes binary"), "suffix-anchors")
+def repeated_ranges(rows: DataFrame, corpus: Plan, length: int = LENGTH) -> DataFrame:
+    """Messages: per chunk, ranges of starts of strings that also start earlier."""
+    spark = rows.sparkSession
+    chunks, buckets = corpus.chunks, corpus.buckets
+    parts = chunked(rows, chunks)
+    blobs = per_chunk(parts, None, lambda c: anchor_blobs(c, length, buckets), "bucket int, chunk int, hashes binary", chunks)
+    live = materialize(per_bucket(blobs, live_hashes, "chunk int, hashes binary", buckets), "suffix-anchors")
     release(spark)
-    sent = per_chunk(parts, live, lambda c, m: run_blobs(c, m, length, buckets), SENT_DDL)
-    asked = materialize(sent.groupBy("bucket").applyInArrow(settle_runs, MESSAGE_DDL), "suffix-runs")
+    sent = per_chunk(parts, live, lambda c, m: run_blobs(c, m, length, buckets), SENT_DDL, chunks)
+    asked = materialize(per_bucket(sent, settle_runs, MESSAGE_DDL, buckets), "suffix-runs")
     release(spark)
     wanted = asked.filter(f"kind <> {REPEATS}")
-    sent = per_chunk(parts, wanted, lambda c, m: text_blobs(c, m, length, buckets), SENT_DDL)
-    found = sent.groupBy("bucket").applyInArrow(lambda t: settle_windows(t, length), MESSAGE_DDL)
+    sent = per_chunk(parts, wanted, lambda c, m: text_blobs(c, m, length, buckets), SENT_DDL, chunks)
+    found = per_bucket(sent, lambda t: settle_windows(t, length), MESSAGE_DDL, buckets)
     found = materialize(found, "suffix-windows")
     release(spark)
-    return parts, asked.filter(f"kind = {REPEATS}").unionByName(found)
+    return asked.filter(f"kind = {REPEATS}").unionByName(found)
 
 
 def dedup_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,6 +294,7 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     def finish(chunk: Chunk, messages: pa.Table) -> pa.Table:
         ddl = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]
         ddl += [("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
+        ddl += [("copies", pa.int64())]
         schema = pa.schema(ddl)
         if chunk.number is None:
             return schema.empty_table()
@@ -304,16 +306,19 @@ def dedup_digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             np.add.at(step, p["at"] + p["windows"] + length - 1, -1)
         gone = np.cumsum(step)[:-1] > 0
         rows = []
-        ids = chunk.ids.to_pylist()
+        ids, copies = chunk.ids.to_pylist(), chunk.table.column("copies").to_pylist()
         for i, doc in enumerate(ids):
             x, y = int(b.offsets[i]), int(b.offsets[i + 1])
             mine, text = gone[x:y], b.data[x:y]
             edge = np.flatnonzero(np.diff(np.r_[False, mine, False].astype(np.int8)))
             sha = hashlib.sha256((text[~mine] if len(edge) else text).tobytes()).hexdigest()
             spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])]
-            rows.append((doc, y - x, int(mine.sum()), len(spans), sha, spans))
+            rows.append((doc, y - x, int(mine.sum()), len(spans), sha, spans, copies[i]))
         return rows_of(rows, schema)
 
-    parts, messages = repeated_ranges(docs, length, id_col, text_col)
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
-    return per_chunk(parts, messages, finish, out)
+    corpus = plan(docs, id_col, text_col, CHUNK_BYTES)
+    distinct = distinct_rows(docs, corpus, id_col, text_col)
+    messages = repeated_ranges(distinct, corpus, length)
+    parts = chunked(distinct, corpus.chunks, carry=("copies",))
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, copies long"
+    return all_copies(per_chunk(parts, messages, finish, out, corpus.chunks), corpus)

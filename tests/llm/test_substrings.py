@@ -1,6 +1,8 @@
 import random
 
 import brute
+from pyspark.sql import functions as F
+
 from finlake.llm import chunks, substrings
 
 
@@ -53,6 +55,55 @@ def test_texts_keep_everything_else(spark):
     assert all(v[1:] == (5, "c") for v in texts.values())
 
 
+def test_no_repeated_rows(spark):
+    check(spark, list({d: None for d in corpus(4)}))
+
+
+def hot_corpus():
+    hot = (None, "start " + " ".join(f"h{i}" for i in range(45)) + " end")
+    cut = (7, " ".join(f"h{i}" for i in range(5, 40)) + " tail")
+    return corpus(5, 20) + [hot] * 60 + [cut] * 30 + [(8, cut[1])] * 9
+
+
+def test_rows_that_share_id_and_text_are_one(spark, monkeypatch):
+    docs = hot_corpus()
+    monkeypatch.setattr(chunks, "SPLIT_ROWS", 4)
+    monkeypatch.setattr(chunks, "MAX_SPLIT", 30)
+    df = frame(spark, docs)
+    found = chunks.plan(df)
+    assert found.repeats and found.rows == len(docs)
+    one = {(r.doc_id, r.text): r.copies for r in chunks.distinct_rows(df, found).collect()}
+    assert one == {d: docs.count(d) for d in docs}
+    check(spark, docs)
+
+
+def test_repeated_rows_are_cut_alike(spark, monkeypatch):
+    docs = hot_corpus()
+    single = list({d: None for d in docs})
+    cut = substrings.dedup_texts(frame(spark, single).withColumn("whole", F.col("text"))).collect()
+    expect = {(r.doc_id, r.whole): r.text for r in cut}
+    assert any(k[1] != v for k, v in expect.items())
+    for split in (4, 100_000):
+        monkeypatch.setattr(chunks, "SPLIT_ROWS", split)
+        rows = [(i, t, n, f"v{n}", n, "p") for n, (i, t) in enumerate(docs)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, id int, `a.b` string, copies int, piece string")
+        out = substrings.dedup_texts(df)
+        assert out.columns == df.columns
+        got = sorted(tuple(r) for r in out.select("id", "doc_id", "text", "`a.b`", "copies", "piece").collect())
+        assert got == [(n, i, expect[i, t], f"v{n}", n, "p") for n, (i, t) in enumerate(docs)]
+
+
+def test_tasks_follow_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(chunks, "BUCKET_BYTES", 400)
+    monkeypatch.setattr(chunks, "PER_TASK", 1)
+    df = frame(spark, list({d: None for d in corpus(6)}))
+    found = chunks.plan(df)
+    assert found.chunks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert chunks.spread(chunks.chunked(df, found.chunks), "chunk", found.chunks).rdd.getNumPartitions() == found.chunks
+    check(spark, list({d: None for d in corpus(6)}))
+
+
 def test_empty(spark):
     assert substrings.dedup_digest(frame(spark, [])).count() == 0
     assert substrings.dedup_texts(frame(spark, [])).count() == 0

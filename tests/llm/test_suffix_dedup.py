@@ -119,5 +119,15 @@ def test_hot_anchors(spark, monkeypatch):
     check(spark, corpus(3))
 
 
+def test_no_repeated_rows(spark):
+    check(spark, list({d: None for d in corpus(4)}))
+
+
+def test_rows_that_share_id_and_text_are_one(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "SPLIT_ROWS", 4)
+    docs = corpus(5, 20)
+    check(spark, docs + [(None, "q" + docs[0][1] * 3)] * 60 + [docs[1]] * 30)
+
+
 def test_empty(spark):
     assert suffix_dedup.dedup_digest(frame(spark, [])).count() == 0
