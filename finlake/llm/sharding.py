@@ -69,5 +69,10 @@ def shard_rows(df: DataFrame, key: str, shards: list[str], size: int = TABLE_SIZ
 
 
 def write_shards(df: DataFrame, key: str, shards: list[str], path: str, size: int = TABLE_SIZE) -> None:
-    """One folder per shard; a shard's rows may take several files (no task holds a whole shard)."""
-    shard_rows(df, key, shards, size).write.mode("overwrite").partitionBy("shard").parquet(path)
+    """One folder per shard, ``shard=<name>``, with files of the advisory partition size.
+
+    Rows are rebalanced by shard, so a file holds one shard and the number of files
+    follows the data, not tasks times shards; a large shard is split over several
+    tasks. Empty in: no shard folders. A table that is there is replaced."""
+    placed = shard_rows(df, key, shards, size)
+    placed.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -1,8 +1,11 @@
+import os
 import random
 from collections import Counter, defaultdict
 
 import brute
 import pytest
+from pyspark.sql import functions as F
+
 from finlake.llm import packing, sharding
 
 
@@ -78,3 +81,26 @@ def test_rows_are_placed(spark):
     assert all("xyz"[table[r.slot]] == r.shard for r in rows)
     assert len({r.slot for r in rows if r.doc_id == 1}) == 1
     assert sharding.shard_rows(df.limit(0), "doc_id", ["x"], 101).count() == 0
+
+
+def test_written_shards_hold_all_rows(spark, tmp):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("shard", F.lit("mine"))
+    docs = docs.unionByName(docs.filter("doc_id <= 1").withColumn("doc_id", F.lit(None).cast("long")))
+    shards = [f"shard-{i:03d}" for i in range(8)]
+    placed = sharding.shard_rows(docs, "doc_id", shards)
+    sharding.write_shards(docs, "doc_id", shards, f"{tmp}/shards")
+    back = spark.read.parquet(f"{tmp}/shards").select(*placed.columns)
+    assert placed.exceptAll(back).count() == 0 and back.count() == docs.count()
+    counts = {r.shard: r["count"] for r in placed.groupBy("shard").count().collect()}
+    assert set(counts) == set(shards)
+    for shard in shards:
+        files = spark.read.parquet(f"{tmp}/shards/shard={shard}")
+        assert files.count() == counts[shard] and len(files.inputFiles()) == 1
+    # without one shard, few of the other shards' rows move
+    fewer = sharding.shard_rows(docs, "doc_id", shards[:-1]).select("doc_id", F.col("shard").alias("now"))
+    both = placed.filter("doc_id is not null").join(fewer, "doc_id")
+    stay = both.filter(F.col("shard") != shards[-1])
+    assert stay.filter("shard <> now").count() < 0.2 * stay.count()
+    assert both.filter(F.col("now") == shards[-1]).count() == 0
+    sharding.write_shards(docs.limit(0), "doc_id", shards, f"{tmp}/none")
+    assert not [f for f in os.listdir(f"{tmp}/none") if f.startswith("shard=")]
