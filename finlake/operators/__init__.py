@@ -1,4 +1,4 @@
-from finlake.operators.filldown import fill_down, fill_down_exact, with_ordinal
+from finlake.operators.filldown import fill_down, fill_down_exact, with_ordinal, with_row_number
 from finlake.operators.frames import (
     cast_by_type,
     drop_if_present,
@@ -28,4 +28,5 @@ __all__ = [
     "union_by_name",
     "widen_levels",
     "with_ordinal",
+    "with_row_number",
 ]

@@ -35,6 +35,23 @@ def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "__ord
     return ordered.checkpoint(eager=True)
 
 
+def with_row_number(df: DataFrame, order_by: list[str | Column], name: str) -> DataFrame:
+    """Consecutive row numbers from 1 in ``order_by`` order, without a window over all rows.
+
+    An ordinal holds its partition and the place in it; the rows of the partitions
+    before are added, from one count per partition of the sort (a frame that grows
+    with the number of partitions, not of rows). Ties get different numbers."""
+    numbered = with_ordinal(df, order_by, "__place")
+    part = F.shiftright("__place", 33)
+    inside = col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = numbered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(col("__part"), F.coalesce(before, F.lit(0)).alias("__before"))
+    joined = numbered.withColumn("__part", part).join(F.broadcast(starts), "__part")
+    rest = [col(c) for c in df.columns if c != name]
+    return joined.select(*rest, (col("__before") + inside + 1).alias(name))
+
+
 def fill_down(
     df: DataFrame,
     ordinal: str,

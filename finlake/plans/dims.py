@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.columns import col, first_char
-from finlake.operators.filldown import fill_down
+from finlake.operators.filldown import fill_down, with_row_number
 from finlake.operators.frames import ordered_columns, rename_columns
 from finlake.operators.hierarchy import hierarchy_paths, widen_levels
 from finlake.operators.lookup import known_rows, lookup_join, prefetch_key_stats
@@ -254,9 +254,10 @@ def custom_wbs_elements(wbs_elements_raw: DataFrame, wbs_codification_raw: DataF
     return enhance_wbs_elements(w, cod, ordinal=ordinal)
 
 
-def ordered_hierarchy(h: DataFrame) -> DataFrame:
-    """O1: hierarchy rows sorted by ID (for output only)."""
-    return h.orderBy(col("ID"))
+def ordered_hierarchy(h: DataFrame, position: str | None = None) -> DataFrame:
+    """O1: hierarchy rows sorted by ID (for output only), or with their number in
+    that order as column ``position``, which outlives a write."""
+    return with_row_number(h, ["ID"], position) if position else h.orderBy(col("ID"))
 
 
 __all__ = [

@@ -34,6 +34,7 @@ from finlake.plans.dims import (
     link_cost_center_to_compass,
     link_gl_to_compass,
     link_profit_center_to_signatures,
+    ordered_hierarchy,
 )
 from finlake.plans.driver_files import lineitem_extract, write_dimensions
 from finlake.plans.gold import assemble_gold, exclude_totals
@@ -583,6 +584,16 @@ def q_hierarchy_levels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "hierarchy_order",
+    "with recursive " + SQL_TREE + " select row_number() over (order by id) as position, id, hierarchy from tree",
+)
+def q_hierarchy_order(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: the hierarchy in ID order, as consecutive numbers."""
+    h = ordered_hierarchy(_tree(spark, sf, widen=False), position="Position")
+    return h.select(col("Position").alias("position"), col("ID").alias("id"), col("Hierarchy").alias("hierarchy"))
+
+
 @query(
     "chart_of_accounts",
     "with recursive " + SQL_TREE + """,

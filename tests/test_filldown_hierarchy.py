@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators.filldown import fill_down, fill_down_exact, with_ordinal
+from finlake.operators.filldown import fill_down, fill_down_exact, with_ordinal, with_row_number
 from finlake.operators.hierarchy import hierarchy_paths, widen_levels
+from finlake.session import conf_override
 from tests.conftest import rows
 
 
@@ -131,3 +132,22 @@ def test_hierarchy_shuffle_path_equals_broadcast_path(spark):
         assert rows(got, "ID", "Hierarchy", "Level") == expect
     finally:
         spark.conf.unset("finlake.broadcast.maxBytes")
+
+
+def test_row_numbers_follow_the_order(spark):
+    rng = random.Random(4)
+    ids = list(range(5000))
+    rng.shuffle(ids)
+    df = spark.createDataFrame([(i,) for i in ids], "ID long").repartition(7)
+    # small partitions stay apart, so that the counts of several partitions are added
+    with conf_override(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        got = rows(with_row_number(df, ["ID"], "n"), "n", "ID")
+    assert sorted(got) == [(i + 1, i) for i in range(5000)]
+
+
+def test_row_numbers_of_ties_nulls_and_nothing(spark):
+    df = spark.createDataFrame([(None, 9), (2, 9), (2, 9), (1, 9)], "ID long, n int")
+    out = with_row_number(df, ["ID"], "n")
+    assert out.columns == ["ID", "n"]
+    assert rows(out, "n", "ID") == [(1, None), (2, 1), (3, 2), (4, 2)]
+    assert with_row_number(df.limit(0), ["ID"], "n").count() == 0
