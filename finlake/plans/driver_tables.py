@@ -297,12 +297,20 @@ def orders_extract(orders: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, files: int = 4) -> None:
-    """Write text columns as header CSV files (quotes doubled), ``files``
-    part files per output folder."""
+#: Rows of an extract's part file, about.
+ROWS_PER_PART = 500_000
+
+
+def write_csv(df: DataFrame, path: str, files: int | None = 4) -> None:
+    """Write text columns as header CSV files (quotes doubled): at least ``files``
+    part files in the output folder, and so many that none has much more than
+    ``ROWS_PER_PART`` rows. With ``files`` None AQE cuts and merges them by size."""
+    if files is None:
+        dealt = df.hint("rebalance")
+    else:
+        dealt = df.repartition(max(files, -(-df.count() // ROWS_PER_PART)))
     (
-        df.repartition(files)
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("header", "true")
         .option("escape", '"')
         .option("encoding", "ISO-8859-1")

@@ -1017,7 +1017,7 @@ def _build_file_warehouse(spark: SparkSession, sf: str) -> tuple[Warehouse, str]
     root = scratch_path(spark, "file-warehouse")
     wh = Warehouse(f"{root}/warehouse")
     write_dimensions(spark, sf, f"{root}/metadata")
-    dt.write_csv(lineitem_extract(spark, sf), f"{root}/extracts/ledger")
+    dt.write_csv(lineitem_extract(spark, sf), f"{root}/extracts/ledger", files=None)
     metadata_job(spark, wh, f"{root}/metadata")
     report = import_job(spark, wh, [f"{root}/extracts"])
     if report.rejected:

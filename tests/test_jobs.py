@@ -11,6 +11,7 @@ from finlake.plans.jobs import metadata_job
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.csv import read_dim_csv
 from finlake.schemas import DIMENSIONS
+from finlake.session import conf_override
 
 SF = "/root/testdata/sf0.001"
 
@@ -135,3 +136,15 @@ def test_gold_reread_knows_the_columns_of_all_runs(spark, tmp):
     with pytest.raises(ValueError, match="earlier runs wrote"):
         write_gold(spark.createDataFrame([("Actuals", 2024, 3, 7)], f"{schema}, v long"), out)
     assert read_gold(spark, out).count() == 2
+
+
+def test_extracts_are_cut_by_size(spark, tmp, monkeypatch):
+    lines = spark.range(60_000).selectExpr("cast(id as string) a", "cast(hash(id) as string) b")
+    with conf_override(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}):
+        dt.write_csv(lines.coalesce(1), f"{tmp}/cut", files=None)
+    monkeypatch.setattr(dt, "ROWS_PER_PART", 6_000)
+    dt.write_csv(lines.coalesce(1), f"{tmp}/dealt")
+    for folder in ("cut", "dealt"):
+        written = spark.read.option("header", "true").csv(f"{tmp}/{folder}")
+        assert len(written.inputFiles()) > 8
+        assert written.count() == 60_000 and written.exceptAll(lines).isEmpty()
