@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.functions.columns import base_name
+from finlake.functions.columns import base_name, extract_path
 from finlake.plans.ingest import ImportReport, import_paths
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.files import list_files
@@ -107,7 +107,7 @@ def start_ingest_stream(
         return listed.filter("not seen").select("file_name")
 
     def ingest_batch(batch: DataFrame, batch_id: int) -> None:
-        names = batch.select(base_name(F.col("path")).alias("file_name"))
+        names = batch.select(base_name(extract_path(F.col("path"))).alias("file_name"))
         listed = list_files(spark, [source_path], input_format)
         run(listed, names.unionByName(unseen(listed)))
 

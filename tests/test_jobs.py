@@ -7,7 +7,7 @@ from finlake.plans import driver_tables as dt
 from finlake.plans.dims import custom_wbs_elements, ordered_hierarchy
 from finlake.plans.driver_files import lineitem_extract, write_dimensions
 from finlake.plans.ingest import import_files
-from finlake.plans.jobs import metadata_job
+from finlake.plans.jobs import import_job, metadata_job
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.csv import read_dim_csv
 from finlake.schemas import DIMENSIONS
@@ -148,3 +148,27 @@ def test_extracts_are_cut_by_size(spark, tmp, monkeypatch):
         written = spark.read.option("header", "true").csv(f"{tmp}/{folder}")
         assert len(written.inputFiles()) > 8
         assert written.count() == 60_000 and written.exceptAll(lines).isEmpty()
+
+
+def test_part_files_of_a_folder_are_one_extract(spark, tmp):
+    head = "Purchasing Document,Fiscal Year,Period,Amount in Company Code Currency,Note\n"
+
+    def put(path, text):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(text)
+
+    for i in range(3):
+        put(f"{tmp}/in/ledger_1.csv/part-{i}.csv", head + "".join(f'd{i}{j},2024,{i + 1},1.5,"two\nlines"\n' for j in range(4)))
+        bad = "x" if i == 1 else "2024"
+        put(f"{tmp}/in/ledger_2.csv/part-{i}.csv", head + f"e{i},{bad},1,1.5,n\n")
+        put(f"{tmp}/in/ledger_3.csv/part-{i}.csv", (head if i else head.replace("Note", "Other")) + f"f{i},2024,1,1.5,n\n")
+    put(f"{tmp}/in/ledger_4.csv", head + "g,2024,1,1.5,n\n")
+    wh = Warehouse(f"{tmp}/wh")
+    report = import_job(spark, wh, [f"{tmp}/in"])
+    assert dict(report.ingested) == {"actuals": ["ledger_1.csv", "ledger_4.csv"]}
+    assert {r.path: r.reason[:18] for r in report.rejected} == {"ledger_2.csv": "column 'Fiscal Yea", "ledger_3.csv": "the part files dif"}
+    got = wh.read_feed(spark, "actuals").groupBy("source_file").count().collect()
+    assert {r["source_file"]: r["count"] for r in got} == {"ledger_1.csv": 12, "ledger_4.csv": 1}
+    again = import_job(spark, wh, [f"{tmp}/in"])
+    assert not again.ingested_count
