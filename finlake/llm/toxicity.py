@@ -4,7 +4,7 @@
    word stems (first 4, 5 and 6 bytes) that lean most to either class are found
    by distributed counts. A lexicon voter fires where its feature occurs, a pattern
    voter where its measure of shouting, exclamation marks or length is met. Those
-   whose log ratio of firing rates lies ``SURE`` standard errors from zero vote.
+   whose log ratio of firing rates lies ``SURE`` standard errors from zero may vote.
 2. Label model. A generative model with a firing rate per voter and class is
    fitted by expectation-maximisation over votes alone. The labelled rows choose the
    voters and give the rates' first values and prior counts; a row's own label is no
@@ -12,7 +12,10 @@
    round from what the class leaves unexplained; voters that fire together share
    their weight: each log-likelihood ratio is divided by one plus the sum of its
    residual correlations to the power ``SHARPNESS``, so that copies of a voter count
-   once and weak correlations hardly count.
+   once and weak correlations hardly count. Many weak voters that share a cause other
+   than the class (a language, long texts) would pull the model to that cause: a model
+   is fitted for each least log ratio of ``STRENGTHS``, and the one whose posteriors
+   agree best with the labelled rows as a whole is taken.
 3. Classifier. A logistic regression over the features is trained on the model's
    posterior labels.
 4. Every whole text is scored by the linear classifier, in tasks.
@@ -54,6 +57,10 @@ STEMS = (4, 5, 6)
 SLICE = 1 << 20
 #: Standard errors that a voter's log ratio lies from zero.
 SURE = 3.0
+#: Least sizes of a voter's log ratio that are tried.
+STRENGTHS = (3.0, 2.0, 1.0, 0.0)
+#: Least probability of a label when models are compared, so that wrong labels do not decide.
+DOUBT = 0.01
 #: Power of the residual correlations by which voters share weight.
 SHARPNESS = 8
 FOLDS = 5
@@ -172,13 +179,13 @@ def feature_bits(rows: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.
     return np.array([t for t, _ in got]), bits[:, : len(features)], bits[:, len(features) :]
 
 
-def votes(present: np.ndarray, patterns: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """One column per voter, true where it fires."""
+def votes(present: np.ndarray, patterns: np.ndarray, toxic: np.ndarray, strength: float = 0.0) -> np.ndarray:
+    """One column per voter of a log ratio above ``strength``, true where it fires."""
     candidates = np.concatenate([present, patterns], axis=1)
     fired = np.stack([candidates[~toxic].sum(axis=0), candidates[toxic].sum(axis=0)]) + 0.5
     rows = np.array([[(~toxic).sum()], [toxic.sum()]]) + 1.0
     ratio = np.log(fired[1] / rows[1]) - np.log(fired[0] / rows[0])
-    return candidates[:, np.abs(ratio) > SURE * np.sqrt((1 / fired).sum(axis=0))]
+    return candidates[:, np.abs(ratio) > np.maximum(strength, SURE * np.sqrt((1 / fired).sum(axis=0)))]
 
 
 def label_model(fired: np.ndarray, toxic: np.ndarray, rounds: int = 12) -> np.ndarray:
@@ -212,6 +219,21 @@ def label_model(fired: np.ndarray, toxic: np.ndarray, rounds: int = 12) -> np.nd
     return posterior
 
 
+def posteriors(present: np.ndarray, patterns: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Those of the label model, of one for each set of voters, that agrees best with the labels; ties: stronger voters."""
+    best, least, tried = np.zeros(0), np.inf, 0
+    for strength in STRENGTHS:
+        fired = votes(present, patterns, toxic, strength)
+        if fired.shape[1] == tried and (tried or strength):  # the sets are nested: none more, or none yet
+            continue
+        tried = fired.shape[1]
+        posterior = label_model(fired, toxic)
+        loss = -np.log(np.maximum(np.where(toxic, posterior, 1 - posterior), DOUBT)).mean()
+        if loss < least:
+            best, least = posterior, loss
+    return best
+
+
 def logistic(x: np.ndarray, target: np.ndarray, l2: float = 3e-5, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Weights and bias for soft targets, by accelerated gradient steps."""
     x = x.astype(np.float32)
@@ -254,8 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     features = leaning_features(rows, totals)
     marks, present, patterns = feature_bits(rows, features)
     toxic = marks == 1
-    posterior = label_model(votes(present, patterns, toxic), toxic)
-    weights, bias = logistic(present, posterior)
+    weights, bias = logistic(present, posteriors(present, patterns, toxic))
     order = np.argsort(features)
     return Model(bias, features[order], weights[order])
 

@@ -76,6 +76,22 @@ def test_a_label_is_no_vote():
     assert np.allclose(T.label_model(x[:, :0], marks), marks.mean())
 
 
+def test_many_weak_voters_do_not_move_the_class():
+    rng = np.random.default_rng(5)
+    truth = rng.random(4000) < 0.1
+    lexicon = np.where(truth[:, None], rng.random((4000, 10)) < 0.4, rng.random((4000, 10)) < 0.001)
+    # a language in which toxic rows are more frequent: its 150 words say little each, and much together
+    language = rng.random(4000) < np.where(truth, 0.5, 0.3)
+    common = np.where(language[:, None], rng.random((4000, 150)) < 0.3, rng.random((4000, 150)) < 0.02)
+    x, none = np.concatenate([lexicon, common], axis=1), np.zeros((4000, 0), bool)
+    posterior = T.posteriors(x, none, truth)
+    assert np.mean(posterior[truth] > 0.5) > 0.95 and np.mean(posterior[~truth] > 0.5) < 0.02
+    # voters of one strength alone, and none at all
+    weak = T.posteriors(common, none, truth)
+    assert len(weak) == 4000 and np.allclose(weak, T.label_model(T.votes(common, none, truth), truth))
+    assert np.allclose(T.posteriors(x[:, :0], none, truth), truth.mean())
+
+
 def test_nulls_and_missing_labels(spark):
     docs, labels, _ = data(spark, 60)
     odd = spark.createDataFrame([(None, "grumble"), (1000, None), (1001, ""), (1001, ""), (1002, "é " * 50000)], "doc_id long, text string")
