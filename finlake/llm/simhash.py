@@ -114,7 +114,9 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
         .select(F.col("fp").alias("x"), F.xxhash64("i", F.col("part").bitwiseXOR(F.col("mask"))).alias("key"))
     )
     close = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))).between(1, max_bits)
-    return probes.join(table, (probes["key"] == table["key"]) & close).select("x", "y").distinct()
+    # Spark sizes a table after an explode like the one before it, so it would broadcast the probes, dozens for each
+    # fingerprint: a sort-merge join, whatever the sizes look like
+    return probes.hint("merge").join(table, (probes["key"] == table["key"]) & close).select("x", "y").distinct()
 
 
 def near_duplicates(

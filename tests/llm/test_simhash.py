@@ -2,7 +2,8 @@ import random
 
 import brute
 import numpy as np
-from finlake.llm import simhash
+from pyspark.sql import functions as F
+from finlake.llm import components, simhash
 from finlake.llm.components import connected_components
 
 
@@ -69,3 +70,26 @@ def test_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "x long, y long")
     got = {r.node: r.root for r in connected_components(df, "x", "y").collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+
+
+def test_links_do_not_broadcast_what_an_explode_makes_larger(spark, tmp):
+    # written, so that sizes are known and below the limit of a broadcast, as on the real table
+    spark.range(300).select(F.col("id").alias("fp")).write.parquet(f"{tmp}/prints")
+    plan = final_plan(simhash.links(spark.read.parquet(f"{tmp}/prints"), 2))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_rounds_broadcast_by_counted_links(spark, tmp, monkeypatch):
+    spark.range(1, 50).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b")).write.parquet(f"{tmp}/links")
+    links = spark.read.parquet(f"{tmp}/links")
+    assert "BroadcastHashJoin" in final_plan(components._round(links, 49))
+    monkeypatch.setattr(components, "BROADCAST_LINKS", 48)
+    plan = final_plan(components._round(links, 49))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    got = connected_components(links, "a", "b").collect()
+    assert sorted((r.node, r.root) for r in got) == [(i, 0) for i in range(50)]
