@@ -125,7 +125,8 @@ def to_all_rows(docs: DataFrame, changed: DataFrame, corpus: Plan, id_col: str,
     )
     same_pair = rows["id"].eqNullSafe(news["id"]) & (rows["h"] == news["h"]) & (rows["text"] == news["whole"])
     found = same_pair & (rows["piece"] == news["piece"])
-    joined = rows.join(news, found, "left").select(F.coalesce("new_text", "text").alias("text"), "rest")
+    # texts written compressed, then exploded: Spark would size them far too low for a broadcast
+    joined = rows.join(news.hint("merge"), found, "left").select(F.coalesce("new_text", "text").alias("text"), "rest")
     return joined.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in docs.columns])
 
 

@@ -115,3 +115,13 @@ def test_packing_round_trip():
     values = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.int64).astype(np.uint64) * np.uint64(2))
     assert (chunks.unpack64(chunks.pack64(values)) == values).all()
     assert len(chunks.unpack64(chunks.pack64(values[:0]))) == 0
+
+
+def test_cut_texts_are_not_broadcast(spark, tmp):
+    spark.range(50).selectExpr("id doc_id", "repeat('a b ', 100) text", "2L copies", "'a' new_text").write.parquet(f"{tmp}/changed")
+    docs = spark.range(50).selectExpr("id doc_id", "repeat('a b ', 100) text", "'x' lang")
+    changed = spark.read.parquet(f"{tmp}/changed")
+    df = chunks.to_all_rows(docs.union(docs), changed, chunks.Plan(1, 1, 100, True), "doc_id", "text")
+    assert [(r.text, r.lang) for r in df.collect()] == [("a", "x")] * 100
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "SortMergeJoin" in plan  # what is broadcast is the few pairs to be split
