@@ -1,11 +1,13 @@
 import datetime as dt
 import os
+from urllib.parse import quote
 
 import pytest
 from finlake.plans.ingest import import_files
 from finlake.plans.warehouse import Warehouse
 from finlake.sources.gold_sink import read_gold, write_gold
 from finlake.sources.ledger import read_ledger
+from finlake.sources.store import literal
 from pyspark.sql import functions as F
 
 HEADER = "Fiscal Year,Period,G/L Account,Amount in Company Code Currency,WBS Element,Cost Center,Posting Date,Note\n"
@@ -328,3 +330,55 @@ def test_staging_is_removed(spark, tmp, monkeypatch):
     _write(f"{tmp}/src/a.csv", HEADER + '2024,1,100,1,W,C,1/1/2024,"two\nlines"\n')
     import_files(spark, Warehouse(f"{tmp}/wh"), [f"{tmp}/src"])
     assert folders and not any(os.path.exists(f.replace("file:", "")) for f in folders)
+
+
+def test_good_rows_are_written_once_and_by_compiled_code(spark, tmp, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    _write(f"{tmp}/src/ledger_1.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,a\n")
+    _write(f"{tmp}/src/x_ccdet_1.csv", HEADER + "2024,1,100,1,W,C,1/1/2024,a\n")
+    _write(f"{tmp}/src/x_ccdet_2.csv", HEADER + "2024,13,100,1,W,C,1/1/2024,a\n")
+    plain, written = DataFrameWriter.parquet, []
+
+    def parquet(self, path, *args, **kwargs):
+        if "bronze" in path or "import" in path:
+            written.append((path.split("/attempt=")[0], spark.conf.get("spark.sql.codegen.hugeMethodLimit")))
+        plain(self, path, *args, **kwargs)
+
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    wh = Warehouse(f"{tmp}/wh")
+    report = import_files(spark, wh, [f"{tmp}/src"])
+    assert [r.path for r in report.rejected] == ["x_ccdet_2.csv"] and report.rows == {"actuals": 1, "cost_center_details": 1}
+    # a second time only where a file is rejected
+    feeds = ["actuals", "cost_center_details", "cost_center_details"]
+    assert sorted(written) == [(wh.feed_path(f), "8000") for f in feeds]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+    assert wh.read_feed(spark, "actuals").columns[-2:] == ["source_file", "PartitionDate"]
+    assert len(os.listdir(wh.feed_path("cost_center_details"))) == 1
+
+
+def test_source_names_of_plain_and_encoded_paths(spark, tmp):
+    from finlake.sources.csv import source_file_name
+
+    names = {
+        "a/ledger_1.csv": "ledger_1.csv",
+        "a/b.csv/part-0.csv": "b.csv",
+        "a/b c.csv/part-1.csv": "b c.csv",
+        "a d/e.parquet/part-2.csv": "e.parquet",
+        "a/_f.csv/part-3.csv": "part-3.csv",
+        "a/.csv/part-4.csv": "part-4.csv",
+        "a/g.txt/part-5.csv": "part-5.csv",
+        "a/h.csv/other.csv": "other.csv",
+        "a/i+j%.csv": "i+j%.csv",
+        "a/visible~_k.csv": "_k.csv",
+        "a/\xe9.csv/part-6.csv": "\xe9.csv",
+    }
+    for path in names:
+        _write(f"{tmp}/src/{path}", f"{path}\n", "utf-8")
+    found = spark.createDataFrame([(f"file:{tmp}/src/{quote(p, safe='/+~')}", p) for p in names], "u string, value string")
+    got = found.select(F.struct(F.col("u").alias("file_path")).alias("_metadata"), "value").select("value", source_file_name().alias("n"))
+    assert {r["value"]: r["n"] for r in got.collect()} == names
+    seen = [p for p in names if "/_" not in p and "/." not in p]  # Spark hides the others
+    rows = spark.read.text([literal(f"{tmp}/src/{p}") for p in seen]).select("value", source_file_name().alias("n"))
+    assert {r["value"]: r["n"] for r in rows.collect()} == {p: names[p] for p in seen}
